@@ -24,61 +24,68 @@ def customer_status(total_orders: Column, days_since_last: Column) -> Column:
     )
 
 
-def _customer_orders(stg_customers: DataFrame, dim_customer: DataFrame, fact: DataFrame) -> DataFrame:
-    """customers LEFT JOIN dim ON id LEFT JOIN fact ON key.
-
-    ``customer_key`` is md5(customer_id), so matching the fact on the key is
-    the same as matching it on the bigint id among facts whose key was found;
-    joining on the id keeps every join of the chain on one narrow key, and
-    the fact (already hash-partitioned by ``customer_id`` from its own dim
-    lookup) needs no second shuffle.
+def _customer_orders(stg_customers: DataFrame, dim_customer: DataFrame, fact: DataFrame, as_of=None,
+                     own_dates: bool = True) -> DataFrame:
+    """customers LEFT JOIN dim ON id LEFT JOIN fact ON key, grouped by
+    (key, name, email), computed without joining a single order row.
+
+    The fact is first reduced to one row per customer (partial aggregation
+    map-side, so a customer holding a third of all orders costs one row per
+    map task), the dimension to one row per id with its row count.  The join
+    chain then runs on customer-sized frames and on one bigint key.  The
+    result equals the row-level join exactly, duplicates included: each
+    staging row meets ``_dims`` dimension rows, and each of those meets all
+    orders of the id, so the id's order total is counted ``_dims`` times.
+    (A fact's key was looked up from this dimension on ``customer_id`` and the
+    key is md5 of the id, so matching on the key is matching on the id.)
     """
-    sc = stg_customers.select("customer_id", "name", "email").alias("sc")
-    dc = dim_customer.select("customer_id", "customer_key").alias("dc")
-    fo = (
+    per_customer = (
         fact.where(F.col("customer_key").isNotNull())
-        .select("customer_id", "order_id", "order_date", "discounted_total")
-        .alias("fo")
+        .groupBy("customer_id")
+        .agg(
+            F.count_distinct("order_id").alias("_orders"),
+            F.min("order_date").alias("_first"),
+            F.max("order_date").alias("_last"),
+            money_sum("discounted_total").alias("_sum"),
+        )
+        .alias("pf")
     )
-    return sc.join(dc, F.col("sc.customer_id") == F.col("dc.customer_id"), "left").join(
-        fo, F.col("dc.customer_id") == F.col("fo.customer_id"), "left"
+    dims = (
+        dim_customer.groupBy("customer_id")
+        .agg(F.count(F.lit(1)).alias("_dims"), F.min("customer_key").alias("customer_key"))
+        .alias("dm")
     )
-
-
-def customer_metrics(stg_customers: DataFrame, dim_customer: DataFrame, fact: DataFrame, as_of=None) -> DataFrame:
-    j = _customer_orders(stg_customers, dim_customer, fact)
-    g = j.groupBy(F.col("dc.customer_key").alias("customer_key"), F.col("sc.name").alias("name"),
+    sc = stg_customers.select("customer_id", "name", "email").alias("sc")
+    j = sc.join(dims, F.col("sc.customer_id") == F.col("dm.customer_id"), "left").join(
+        per_customer,
+        (F.col("sc.customer_id") == F.col("pf.customer_id")) & F.col("dm._dims").isNotNull(),
+        "left",
+    )
+    d = as_of_col(as_of)
+    g = j.groupBy(F.col("dm.customer_key").alias("customer_key"), F.col("sc.name").alias("name"),
                   F.col("sc.email").alias("email")).agg(
-        F.count_distinct(F.col("fo.order_id")).alias("total_orders"),
-        F.min("fo.order_date").alias("first_order_date"),
-        F.max("fo.order_date").alias("last_order_date"),
-        money_sum("fo.discounted_total").alias("_ltv"),
+        F.coalesce(F.max("pf._orders"), F.lit(0)).alias("total_orders"),
+        (F.min("pf._first") if own_dates else F.min(d)).alias("first_order_date"),
+        (F.max("pf._last") if own_dates else F.max(d)).alias("last_order_date"),
+        F.sum(F.col("pf._sum") * F.col("dm._dims")).alias("_ltv"),
     )
     return g.select(
         "customer_key", "name", "email", "total_orders", "first_order_date", "last_order_date",
         to_double("_ltv").alias("lifetime_value"),
-        customer_status(F.col("total_orders"), day_diff(as_of_col(as_of), F.col("last_order_date"))).alias(
-            "customer_status"),
+        customer_status(F.col("total_orders"), day_diff(d, F.col("last_order_date"))).alias("customer_status"),
     )
 
 
+def customer_metrics(stg_customers: DataFrame, dim_customer: DataFrame, fact: DataFrame, as_of=None) -> DataFrame:
+    """Orders, first/last order date, lifetime value and lifecycle status per
+    customer (A1, J2, P8)."""
+    return _customer_orders(stg_customers, dim_customer, fact, as_of, own_dates=True)
+
+
 def customer_churn(stg_customers: DataFrame, dim_customer: DataFrame, fact: DataFrame, as_of=None) -> DataFrame:
     """As :func:`customer_metrics`, but both dates are min/max of the build
-    date (quirk Q1): only 'Never Purchased' and 'Active' can come out."""
-    j = _customer_orders(stg_customers, dim_customer, fact)
-    d = as_of_col(as_of)
-    g = j.groupBy(F.col("dc.customer_key").alias("customer_key"), F.col("sc.name").alias("name"),
-                  F.col("sc.email").alias("email")).agg(
-        F.count_distinct(F.col("fo.order_id")).alias("total_orders"),
-        F.min(d).alias("first_order_date"),
-        F.max(d).alias("last_order_date"),
-        money_sum("fo.discounted_total").alias("_ltv"),
-    )
-    return g.select(
-        "customer_key", "name", "email", "total_orders", "first_order_date", "last_order_date",
-        to_double("_ltv").alias("lifetime_value"),
-        customer_status(F.col("total_orders"), day_diff(d, F.col("last_order_date"))).alias("customer_status"),
-    )
+    date (quirk Q1): only 'Never Purchased' and 'Active' can come out (A2, J3, P9)."""
+    return _customer_orders(stg_customers, dim_customer, fact, as_of, own_dates=False)
 
 
 def mtd_revenue(fact: DataFrame, as_of=None, month_filter: bool = False) -> DataFrame:

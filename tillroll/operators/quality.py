@@ -49,6 +49,24 @@ def unique(df: DataFrame, model: str, column: str) -> DataFrame:
     return _row(model, column, "unique", F.col("n"), dup.agg(F.count(F.lit(1)).alias("n")))
 
 
+def unique_many(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
+    """All ``unique`` tests of one model in one scan and one shuffle.
+
+    Values are stacked as (column, value-as-string) pairs and grouped once;
+    keys are ids and strings, whose string forms are distinct exactly when
+    the values are.  Same result as :func:`unique` per column."""
+    if len(columns) == 1:
+        return unique(df, model, columns[0])
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
+    long = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (column, value)").where(F.col("value").isNotNull())
+    dup = long.groupBy("column", "value").count().where(F.col("count") > 1)
+    wide = dup.agg(*[F.count_if(F.col("column") == c).alias(f"_u{i}") for i, c in enumerate(columns)])
+    back = ", ".join(f"'{c}', _u{i}" for i, c in enumerate(columns))
+    return wide.selectExpr(f"stack({len(columns)}, {back}) AS (column, failing_rows)").select(
+        F.lit(model).alias("model"), "column", F.lit("unique").alias("test"),
+        F.col("failing_rows").cast("bigint").alias("failing_rows"))
+
+
 def accepted_values(df: DataFrame, model: str, column: str, values: list[str]) -> DataFrame:
     bad = df.where(~F.col(column).isin(list(values)))  # NULL: predicate is NULL, row passes
     return _row(model, column, "accepted_values", F.col("n"), bad.agg(F.count_distinct(F.col(column)).alias("n")))
@@ -68,20 +86,23 @@ def run_tests(models: dict[str, DataFrame], tests: list[DataTest], kinds: set[st
     kinds = kinds or {"not_null", "unique", "accepted_values", "relationships"}
     frames: list[DataFrame] = []
     nn: dict[str, list[str]] = {}
+    uq: dict[str, list[str]] = {}
     for t in tests:
         if t.test not in kinds or t.model not in models:
             continue
         if t.test == "not_null":
             nn.setdefault(t.model, []).append(t.column)
+        elif t.test == "unique":
+            uq.setdefault(t.model, []).append(t.column)
     for m, cols in nn.items():
         frames.append(not_null(models[m], m, cols))
+    for m, cols in uq.items():
+        frames.append(unique_many(models[m], m, cols))
     for t in tests:
-        if t.test not in kinds or t.model not in models or t.test == "not_null":
+        if t.test not in kinds or t.model not in models or t.test in ("not_null", "unique"):
             continue
         df = models[t.model]
-        if t.test == "unique":
-            frames.append(unique(df, t.model, t.column))
-        elif t.test == "accepted_values":
+        if t.test == "accepted_values":
             frames.append(accepted_values(df, t.model, t.column, list(t.values)))
         elif t.test == "relationships":
             pm, pc = t.to

@@ -157,6 +157,13 @@ class Warehouse:
     def fact_churn(self) -> DataFrame:
         return marts.fact_churn(self.customer_metrics)
 
+    # Model name -> attribute holding it.
+    ATTR = {"analytics_customer_metrics": "customer_metrics", "analytics_revenue_daily": "revenue_daily"}
+
+    def override(self, name: str, df: DataFrame) -> None:
+        """Use ``df`` (e.g. the materialized table) for model ``name`` from now on."""
+        self.__dict__[self.ATTR.get(name, name)] = df
+
     def model(self, name: str) -> DataFrame:
         return {
             "stg_customers": lambda: self.stg_customers,

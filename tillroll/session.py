@@ -18,7 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
 }
@@ -45,6 +46,7 @@ def build_session(
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )

@@ -1 +1,82 @@
-"""sinks"""
+"""Sinks (K3-K8): tables, views, by-name appends and copies over JDBC.
+
+Writes happen on the executors; nothing is collected to the driver.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+
+def save_table(df: DataFrame, name: str, path: str | None = None, partition_by: list[str] | None = None) -> str:
+    """Full rebuild of a model (K3): overwrite, as Parquet.  With ``path`` the
+    table is an external location (shared storage on a cluster)."""
+    w = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if path:
+        w.option("path", path)
+    w.saveAsTable(name)
+    return name
+
+
+def save_view(df: DataFrame, alias: str) -> str:
+    """A model materialized as a view under its alias (K4)."""
+    df.createOrReplaceTempView(alias)
+    return alias
+
+
+def create_empty(spark: SparkSession, name: str, schema: T.StructType, path: str | None = None) -> bool:
+    """Create an empty table with ``schema`` unless it exists.
+    Returns True when the table was created."""
+    if spark.catalog.tableExists(name):
+        return False
+    w = spark.createDataFrame([], schema).write.format("parquet")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+    return True
+
+
+def append_by_name(df: DataFrame, name: str) -> None:
+    """Append matching columns by name, not position (K6); extra columns of
+    ``df`` are dropped and missing ones become NULL."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        target = spark.table(name).schema
+        from pyspark.sql import functions as F
+
+        cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
+                else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields]
+        df = df.select(*cols)
+    df.write.mode("append").format("parquet").saveAsTable(name)
+
+
+def copy_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
+              batch_size: int = 10000, num_partitions: int | None = None) -> str:
+    """Append ``df`` to an external database table (K7): skipped when empty,
+    never an upsert.  Each executor writes its own partitions.
+    ``num_partitions`` caps concurrent connections to the database."""
+    if df.isEmpty():
+        return "skipped"
+    out = df.coalesce(num_partitions) if num_partitions else df
+    opts = {"batchsize": str(batch_size), **(properties or {})}
+    out.write.mode("append").jdbc(url, table, properties=opts)
+    return "written"
+
+
+def copy_tables(spark: SparkSession, names: list[str], url: str, properties: dict | None = None,
+                writer=copy_jdbc) -> list[tuple[str, str]]:
+    """Copy a list of tables (K8).  Tables that do not exist are reported as
+    'missing' and the rest go on."""
+    report = []
+    for name in names:
+        if not spark.catalog.tableExists(name):
+            report.append((name, "missing"))
+            continue
+        try:
+            report.append((name, writer(spark.table(name), url, name, properties)))
+        except Exception as e:  # noqa: BLE001 - one failed table must not stop the others
+            report.append((name, f"error: {type(e).__name__}"))
+    return report

@@ -14,7 +14,7 @@ the loader writes after exploding ``carts[].products``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,12 +25,35 @@ from ..functions import MONEY
 PAGE_SIZE = 100
 
 
-@dataclass
 class Bronze:
-    customers: DataFrame  # _source, _total, user
-    products: DataFrame  # _source, _total, product
-    carts: DataFrame  # _source, _total, cart (header fields, no products array)
-    lines: DataFrame  # cart_id, line
+    """The four bronze frames, each built on first use (building a frame
+    resolves its plan, which is not free; most queries need one or two)."""
+
+    def __init__(self, spark: SparkSession | None = None, sf_dir: str | None = None):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @classmethod
+    def from_frames(cls, customers: DataFrame, products: DataFrame, carts: DataFrame, lines: DataFrame) -> "Bronze":
+        """Bronze read from storage (the loader's output) instead of the adapter."""
+        b = cls()
+        b.__dict__.update(customers=customers, products=products, carts=carts, lines=lines)
+        return b
+
+    @cached_property
+    def customers(self) -> DataFrame:  # _source, _total, user
+        return customers(self.spark, self.sf_dir)
+
+    @cached_property
+    def products(self) -> DataFrame:  # _source, _total, product
+        return products(self.spark, self.sf_dir)
+
+    @cached_property
+    def carts(self) -> DataFrame:  # _source, _total, cart (header fields, no products array)
+        return carts(self.spark, self.sf_dir)
+
+    @cached_property
+    def lines(self) -> DataFrame:  # cart_id, line
+        return lines(self.spark, self.sf_dir)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,4 +152,4 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
-    return Bronze(customers(spark, sf_dir), products(spark, sf_dir), carts(spark, sf_dir), lines(spark, sf_dir))
+    return Bronze(spark, sf_dir)
