@@ -30,7 +30,7 @@ def load_bronze(spark: SparkSession, landing_root: str, bronze_root: str, multi_
     for entity in ENTITY_FILES:
         env = envelopes.read_envelopes(spark, landing_root, entity, multi_line)
         good, bad = envelopes.quarantine(env)
-        bad.select("_source", envelopes.CORRUPT).write.mode("overwrite").parquet(
+        bad.write.mode("overwrite").parquet(
             f"{bronze_root}/_quarantine/{entity}")
         envelopes.explode_records(good, entity).write.mode("overwrite").parquet(f"{bronze_root}/{entity}")
         if entity == "orders":

@@ -55,8 +55,12 @@ def read_envelopes(spark: SparkSession, root: str, entity: str, multi_line: bool
 
 
 def quarantine(env: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split envelopes into (good, bad); bad rows are whole unreadable files."""
-    bad = env.where(F.col(CORRUPT).isNotNull())
+    """Split envelopes into (good, bad); bad rows are whole unreadable files.
+
+    ``bad`` keeps the ``total`` counter next to the raw text: Spark rejects a
+    scan of raw JSON whose only data column is the corrupt-record column, so
+    writing ``bad`` (one scan, no cache) needs a parsed column alongside."""
+    bad = env.where(F.col(CORRUPT).isNotNull()).select("_source", CORRUPT, "total")
     good = env.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return good, bad
 
