@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import (as_int, count_text, label_or_unknown, money, money_sum, money_text,
+from ..functions import (as_int, count_text, label_or_unknown, money_sum, money_text,
                          pad_label, pct2, pct_text, plural, ratio2, round2, to_double, day_diff)
 from .marts import ACTIVE, CHURNED, CHURN_DAYS
 from .staging import as_of_col
@@ -179,7 +179,7 @@ def kpi_report_text(dim_customer: DataFrame, dim_product: DataFrame, fact: DataF
     cnt = lambda df: df.agg(F.count(F.lit(1)).alias("n"))
     status = kpi_customer_status(metrics)
     mtd1 = mtd.agg(money_sum("gross_revenue").alias("g"), money_sum("net_revenue").alias("n"),
-                   F.sum(money("avg_order_value")).alias("a"))
+                   money_sum("avg_order_value").alias("a"))
     rev = kpi_total_revenue(daily)
     return _union([
         _kv(1, "Total Customers", count_text("n"), cnt(dim_customer)),

@@ -7,13 +7,14 @@ read back, so later models start from storage, not from the whole lineage
 
 from __future__ import annotations
 
-import os
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import DEFAULT_AS_OF
 from ..operators import kpis, quality
+from ..session import checkpoint_dir
 from ..sinks import save_view
 from ..sources import envelopes
 from ..sources.fixtures import Bronze
@@ -44,22 +45,42 @@ def read_bronze(spark: SparkSession, bronze_root: str) -> Bronze:
     return Bronze.from_frames(r("customers"), r("products"), r("orders"), r("orders_lines"))
 
 
-def build_models(w: Warehouse, model_root: str) -> list[str]:
-    """Materialize every model in dependency order (K3, K4)."""
+def build_models(w: Warehouse, model_root: str, register_views: bool = True) -> list[str]:
+    """Materialize every model in dependency order (K3, K4): tables are
+    written once and read back (later models start from storage), views
+    stay lazy and are registered under their alias."""
     spark = w.stg_customers.sparkSession
     built = []
     for m in MODELS:
         df = w.model(m.name)
         if m.materialized == "table":
-            path = os.path.join(model_root, m.name)
+            path = f"{model_root.rstrip('/')}/{m.name}"
             df.write.mode("overwrite").parquet(path)
             w.override(m.name, spark.read.parquet(path))
-        else:
+        elif register_views:
             save_view(df, m.alias or m.name)
         built.append(m.name)
     return built
 
 
+# The one orders-sized model that every mart and several tests read.
+SHARED_MODELS = ("fact_orders",)
+
+
+def materialized(spark: SparkSession, w: Warehouse, names=SHARED_MODELS) -> Warehouse:
+    """``w`` with the models in ``names`` written once under the session's
+    shared checkpoint folder and read back, for jobs that read them many
+    times (the data-test suite, the report).  The smaller customer- and
+    product-sized models are recomputed where used; Spark reuses their
+    shuffles inside one plan."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tillroll-models-{uuid.uuid4().hex}"
+    for name in names:
+        path = f"{root}/{name}"
+        w.model(name).write.mode("overwrite").parquet(path)
+        w.override(name, spark.read.parquet(path))
+    return w
+
+
 def run_pipeline(spark: SparkSession, landing_root: str, work_root: str, as_of=DEFAULT_AS_OF,
                  multi_line: bool = True) -> dict:
     t0 = time.time()

@@ -19,7 +19,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import MONEY
+from ..functions import money_units, units_to_double
 
 # Records per landed page for entities without a natural landing date.
 PAGE_SIZE = 100
@@ -108,7 +108,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line_discounted(li: DataFrame) -> F.Column:
-    return (li.l_extendedprice * (F.lit(1.0) - li.l_discount)).cast(MONEY)
+    """Discounted line amount in 1/10000 units (exact bigint)."""
+    return money_units(li.l_extendedprice * (F.lit(1.0) - li.l_discount))
 
 
 def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,19 +117,21 @@ def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     # Partial aggregation runs map-side, so even an order holding a third of
     # all lines shuffles one row per map task.
+    # Amounts are summed as bigint units: exact, and per-order totals are far
+    # below the bigint range.
     agg = li.groupBy(F.col("l_orderkey")).agg(
-        F.sum(F.col("l_extendedprice").cast(MONEY)).alias("gross"),
+        F.sum(money_units("l_extendedprice")).alias("gross"),
         F.sum(_line_discounted(li)).alias("net"),
         F.count(F.col("l_orderkey")).alias("n_lines"),
         F.sum(F.col("l_quantity")).alias("qty"),
     )
     j = o.join(agg, o.o_orderkey == agg.l_orderkey, "left")
-    zero = F.lit(0).cast(MONEY)
+    zero = F.lit(0).cast("bigint")
     cart = F.struct(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("userId"),
-        F.coalesce(F.col("gross"), zero).cast("double").alias("total"),
-        F.coalesce(F.col("net"), zero).cast("double").alias("discountedTotal"),
+        units_to_double(F.coalesce(F.col("gross"), zero)).alias("total"),
+        units_to_double(F.coalesce(F.col("net"), zero)).alias("discountedTotal"),
         F.coalesce(F.col("n_lines"), F.lit(0)).cast("bigint").alias("totalProducts"),
         F.coalesce(F.col("qty"), F.lit(0.0)).cast("bigint").alias("totalQuantity"),
         F.col("o_orderdate").cast("date").alias("orderDate"),
@@ -146,7 +149,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("id"),
         F.col("p_name").alias("title"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        _line_discounted(li).cast("double").alias("discountedTotal"),
+        units_to_double(_line_discounted(li)).alias("discountedTotal"),
     )
     return j.select(F.col("l_orderkey").alias("cart_id"), line.alias("line"))
 
