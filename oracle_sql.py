@@ -281,6 +281,35 @@ def _complete(entity: str, raw: str) -> str:
             f"count(*) >= coalesce(max(_total), count(*)) AS complete FROM {raw}")
 
 
+def _dash(sec: int, row: int, section: str, metric: str, value: str, src: str) -> str:
+    return f"SELECT {sec} AS section_no, {row} AS row_no, '{section}' AS section, {metric} AS metric, {value} AS value FROM {src}"
+
+
+_DASHBOARD = "\nUNION ALL\n".join([
+    _dash(1, 0, "Sales Summary", "'MTD Net Revenue'", money_text("n"),
+          f"(SELECT {money_sum('net_revenue')} AS n FROM mtd_revenue)"),
+    _dash(1, 1, "Sales Summary", "'MTD Gross Revenue'", money_text("g"),
+          f"(SELECT {money_sum('gross_revenue')} AS g FROM mtd_revenue)"),
+    _dash(1, 2, "Sales Summary", "'Orders MTD'", count_text("o"), "(SELECT sum(total_orders) AS o FROM mtd_revenue)"),
+    _dash(1, 3, "Sales Summary", "'Customers MTD'", count_text("c"),
+          "(SELECT sum(unique_customers) AS c FROM mtd_revenue)"),
+    "SELECT 2 AS section_no, CAST(row_number() OVER (ORDER BY qty DESC, product_id) AS INTEGER) AS row_no, "
+    "'Product Analytics' AS section, 'Product ' || CAST(product_id AS VARCHAR) AS metric, "
+    f"{count_text('qty')} || ' sold' AS value FROM (SELECT id AS product_id, sum(quantity) AS qty FROM raw_lines "
+    "GROUP BY id ORDER BY qty DESC, product_id LIMIT 5)",
+    _dash(3, 0, "Customer Analytics", "'Churn Rate (calc)'", pct_text("r"),
+          f"(SELECT {r2(f'sum(CASE WHEN ({AS_OF} - last_order_date) > 90 THEN 1 ELSE 0 END) * 100', 'count(*)')} "
+          f"AS r FROM customer_churn)"),
+    _dash(3, 1, "Customer Analytics", "'Avg LTV'", money_text("a"),
+          f"(SELECT {r2(money_sum('lifetime_value'), 'count(lifetime_value)')} AS a FROM customer_metrics)"),
+    _dash(4, 0, "Revenue Analytics", "'Total Revenue'", money_text("t"),
+          f"(SELECT CAST({money_sum('daily_revenue')} AS DOUBLE) AS t FROM revenue_daily)"),
+    _dash(4, 1, "Revenue Analytics", "'Latest (' || strftime(report_date, '%Y-%m-%d') || ')'",
+          money_text("daily_revenue"),
+          "(SELECT report_date, daily_revenue FROM revenue_daily ORDER BY report_date DESC LIMIT 1)"),
+    _dash(5, 0, "Summary", "'Reports executed'", "'4'", "(SELECT 1)"),
+])
+
 _CHURNED_X100 = "sum(CASE WHEN customer_status = 'Churned' THEN 1 ELSE 0 END) * 100"
 _ORDER_WORD = "(CASE WHEN orders = 1 THEN 'Order' ELSE 'Orders' END)"
 
@@ -340,6 +369,7 @@ ORACLE_SQL: dict[str, str] = {
                            "CAST(CAST(round(CAST(price AS DECIMAL(18,4)) * 100) AS BIGINT) AS DOUBLE) / 100.0 "
                            "AS price_dollars FROM stg_products"),
     "kpi_report_text": _q(_REPORT),
+    "dashboard": _q(_DASHBOARD),
     "top_products_text": _q(
         "SELECT CAST(row_number() OVER (ORDER BY revenue DESC, title) AS INTEGER) AS rank, "
         "CAST(row_number() OVER (ORDER BY revenue DESC, title) AS VARCHAR) || '. ' || "

@@ -182,3 +182,17 @@ def test_churn_report_counts_churned_per_month(wh):
 
 def test_dims_keep_all_staging_rows(wh):
     assert dims.dim_customer(wh.stg_customers).count() == wh.stg_customers.count()
+
+
+def test_dashboard_sections_follow_present_models(wh):
+    full = {"mtd_revenue": wh.mtd_revenue, "customer_churn": wh.customer_churn,
+            "analytics_customer_metrics": wh.customer_metrics, "analytics_revenue_daily": wh.revenue_daily}
+    rows = kpis.dashboard(full, AS_OF).collect()
+    assert {r["section"] for r in rows} == {"Sales Summary", "Customer Analytics", "Revenue Analytics", "Summary"}
+    assert [r["value"] for r in rows if r["metric"] == "Reports executed"] == ["4"]
+    # Without the date column the churn rate falls back to the status; a
+    # missing model drops its section.
+    part = {"customer_churn": wh.customer_churn.drop("last_order_date")}
+    rows = kpis.dashboard(part, AS_OF).collect()
+    assert {(r["section"], r["metric"], r["value"]) for r in rows} == {
+        ("Customer Analytics", "Churn Rate (calc)", "0.00%"), ("Summary", "Reports executed", "1")}

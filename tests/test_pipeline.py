@@ -13,7 +13,7 @@ from tillroll.plans.pipeline import run_pipeline
 from tillroll.sources import envelopes
 
 
-def test_pipeline_round_trip(spark, scratch):
+def test_pipeline_round_trip(spark, scratch, capsys):
     w = Warehouse.from_sf(spark, SF0001)
     landing = os.path.join(scratch, "landing")
     envelopes.land(w.bronze.customers.select("user.*"), landing, "customers", "2001-08-02", page_size=30)
@@ -31,3 +31,12 @@ def test_pipeline_round_trip(spark, scratch):
                                                    w.revenue_daily, w.customer_metrics).orderBy("line_no").collect()]
     assert out["report"] == direct
     assert spark.catalog.tableExists("raw_orders")  # staging models are views under their alias
+
+    from tillroll.__main__ import main
+
+    capsys.readouterr()
+    assert main(["dashboard", os.path.join(scratch, "work")]) == 0
+    dash = capsys.readouterr().out
+    assert "-- Sales Summary --" in dash and "Reports executed: 4" in dash
+    assert main(["validate-landing", landing]) == 0
+    assert "orders 2001-08-02" in capsys.readouterr().out

@@ -195,3 +195,65 @@ def kpi_report_text(dim_customer: DataFrame, dim_product: DataFrame, fact: DataF
         _kv(11, "Customer Churn Rate", pct_text("churn_rate_pct"), status),
         _kv(12, "Average Customer LTV", money_text("avg_ltv"), status),
     ])
+
+
+def _dash(section_no: int, row_no: int, section: str, metric: Column, value: Column, src: DataFrame) -> DataFrame:
+    return src.select(F.lit(section_no).alias("section_no"), F.lit(row_no).alias("row_no"),
+                      F.lit(section).alias("section"), metric.alias("metric"), value.alias("value"))
+
+
+def dashboard(models: dict[str, DataFrame], as_of=None) -> DataFrame:
+    """The analytics dashboard as rows ``(section_no, row_no, section,
+    metric, value)`` (3.3).  A section runs only when its model is present
+    and has the needed column (P14, S17); the last row counts the present
+    models.  The product section uses exploded order lines (quirk Q9), and
+    the churn rate uses the last order date when present, else the status."""
+    parts: list[DataFrame] = []
+    mtd = models.get("mtd_revenue")
+    if mtd is not None:
+        cols = set(mtd.columns)
+        a = mtd.agg(*[money_sum(c).alias(c) for c in ("net_revenue", "gross_revenue") if c in cols],
+                    *[F.sum(c).alias(c) for c in ("total_orders", "unique_customers") if c in cols])
+        for i, (c, label, fmt) in enumerate([("net_revenue", "MTD Net Revenue", money_text),
+                                             ("gross_revenue", "MTD Gross Revenue", money_text),
+                                             ("total_orders", "Orders MTD", count_text),
+                                             ("unique_customers", "Customers MTD", count_text)]):
+            if c in cols:
+                parts.append(_dash(1, i, "Sales Summary", F.lit(label), fmt(c), a))
+    lines = models.get("order_lines")
+    if lines is not None and {"product_id", "quantity"} <= set(lines.columns):
+        top = (lines.groupBy("product_id").agg(F.sum("quantity").alias("qty"))
+               .orderBy(F.col("qty").desc_nulls_last(), F.col("product_id").asc_nulls_last()).limit(5))
+        r = top.withColumn("_r", F.row_number().over(
+            Window.orderBy(F.col("qty").desc_nulls_last(), F.col("product_id").asc_nulls_last())))
+        parts.append(r.select(F.lit(2).alias("section_no"), F.col("_r").cast("int").alias("row_no"),
+                              F.lit("Product Analytics").alias("section"),
+                              F.concat(F.lit("Product "), F.col("product_id").cast("string")).alias("metric"),
+                              F.concat(count_text("qty"), F.lit(" sold")).alias("value")))
+    churn = models.get("customer_churn")
+    if churn is not None:
+        cols = set(churn.columns)
+        if "last_order_date" in cols:
+            rate = churn_rate_by_date(churn, as_of)
+        elif "customer_status" in cols:
+            rate = churn_rate_by_status(churn)
+        else:
+            rate = None
+        if rate is not None:
+            parts.append(_dash(3, 0, "Customer Analytics", F.lit("Churn Rate (calc)"), pct_text("churn_rate_pct"), rate))
+    metrics = models.get("analytics_customer_metrics")
+    if metrics is not None and "lifetime_value" in metrics.columns:
+        parts.append(_dash(3, 1, "Customer Analytics", F.lit("Avg LTV"), money_text("avg_ltv"), kpi_avg_ltv(metrics)))
+    daily = models.get("analytics_revenue_daily")
+    if daily is not None and "daily_revenue" in daily.columns:
+        parts.append(_dash(4, 0, "Revenue Analytics", F.lit("Total Revenue"), money_text("total_revenue"),
+                           kpi_revenue_summary(daily)))
+        latest = kpi_latest_day(daily)
+        parts.append(_dash(4, 1, "Revenue Analytics",
+                           F.concat(F.lit("Latest ("), F.date_format("report_date", "yyyy-MM-dd"), F.lit(")")),
+                           money_text("daily_revenue"), latest))
+    present = sum(1 for k in ("mtd_revenue", "customer_churn", "analytics_customer_metrics",
+                              "analytics_revenue_daily") if k in models)
+    one_row = next(iter(models.values())).agg(F.count(F.lit(1)).alias("_n"))  # a global aggregate: one row
+    parts.append(_dash(5, 0, "Summary", F.lit("Reports executed"), F.lit(str(present)), one_row))
+    return _union(parts)

@@ -89,6 +89,14 @@ def kpi_report_text(spark, sf_dir):
                                 w.revenue_daily, w.customer_metrics)
 
 
+def dashboard(spark, sf_dir):
+    w = _built(spark, sf_dir)
+    models = {"mtd_revenue": w.mtd_revenue, "customer_churn": w.customer_churn,
+              "analytics_customer_metrics": w.customer_metrics, "analytics_revenue_daily": w.revenue_daily,
+              "order_lines": w.order_lines}
+    return kpis.dashboard(models, DEFAULT_AS_OF)
+
+
 QUERIES: dict[str, Query] = {
     "raw_batch_counts": raw_batch_counts,
     "raw_load_totals": raw_load_totals,
@@ -130,4 +138,5 @@ QUERIES: dict[str, Query] = {
     "dq_accepted_values": _data_tests({"accepted_values"}),
     "dq_relationships": _data_tests({"relationships"}),
     "dq_summary": dq_summary,
+    "dashboard": dashboard,
 }
