@@ -67,3 +67,14 @@ def test_hot_customer_holding_a_third_of_orders(spark):
     total = w.customer_metrics.agg(F.sum("total_orders")).first()[0]
     assert total == 900
     assert w.mtd_revenue.first()["report_date"] == dt.date(2001, 8, 2)
+
+
+def test_marts_agree_with_each_other(spark):
+    """Daily revenue sums to the month-to-date net revenue (no month filter,
+    quirk Q3), and customer lifetime values add up to it as well."""
+    w = Warehouse.from_sf(spark, SF0001)
+    daily = kpis.kpi_total_revenue(w.revenue_daily).first()["total_revenue"]
+    mtd = w.mtd_revenue.first()
+    ltv = kpis.kpi_revenue_summary(w.customer_metrics.withColumnRenamed("lifetime_value", "daily_revenue"))
+    assert daily == mtd["net_revenue"] == ltv.first()["total_revenue"]
+    assert mtd["total_orders"] == w.fact_orders.count() == 1500

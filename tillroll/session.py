@@ -68,6 +68,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         d = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(d)
     return d
