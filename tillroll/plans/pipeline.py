@@ -73,7 +73,10 @@ def materialized(spark: SparkSession, w: Warehouse, names=SHARED_MODELS) -> Ware
     times (the data-test suite, the report).  The smaller customer- and
     product-sized models are recomputed where used; Spark reuses their
     shuffles inside one plan."""
-    root = f"{checkpoint_dir(spark).rstrip('/')}/tillroll-models-{uuid.uuid4().hex}"
+    base = checkpoint_dir(spark)
+    if not base:  # nowhere shared to write: recompute instead (same results)
+        return w
+    root = f"{base.rstrip('/')}/tillroll-models-{uuid.uuid4().hex}"
     for name in names:
         path = f"{root}/{name}"
         w.model(name).write.mode("overwrite").parquet(path)

@@ -59,13 +59,18 @@ def build_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) do we pick a scratch folder; on a
-    cluster the setting must point at shared storage.
+    Only when it is unset and the master is local (tests) do we pick a
+    scratch folder; on a cluster the setting must point at shared storage.
+    Without a SparkContext (Spark Connect) the session setting is returned,
+    or None.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return spark.conf.get("spark.checkpoint.dir", None)
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         if not sc.master.startswith("local"):
