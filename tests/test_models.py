@@ -196,3 +196,24 @@ def test_dashboard_sections_follow_present_models(wh):
     rows = kpis.dashboard(part, AS_OF).collect()
     assert {(r["section"], r["metric"], r["value"]) for r in rows} == {
         ("Customer Analytics", "Churn Rate (calc)", "0.00%"), ("Summary", "Reports executed", "1")}
+
+
+def test_latest_option_keeps_newest_landed_version(spark):
+    older = _bronze(spark, "product", PRODUCT, [product(1, stock=5), product(2, stock=0)],
+                    source="products/2026/06/29/a.json")
+    newer = _bronze(spark, "product", PRODUCT, [product(1, stock=7)], source="products/2026/06/30/a.json")
+    both = older.unionByName(newer)
+    assert staging.stg_products(both).count() == 3  # DISTINCT keeps both versions of id 1 (Q4)
+    got = {r["product_id"]: r["stock"] for r in staging.stg_products(both, latest=True).collect()}
+    assert got == {1: 7, 2: 0}
+    res = quality.unique(dims.dim_product(staging.stg_products(both, latest=True)), "dim_product", "product_id")
+    assert res.first()["failing_rows"] == 0
+
+
+def test_mtd_month_filter(spark):
+    carts = [cart(1, 1, 10.0, 8.0, dt.date(2001, 8, 1)), cart(2, 1, 10.0, 6.0, dt.date(2001, 7, 31)),
+             cart(3, 1, 10.0, 5.0, dt.date(2001, 8, 3))]
+    w = warehouse(spark, [user(1)], [], carts)
+    assert w.mtd_revenue.first()["net_revenue"] == 19.0  # all orders (quirk Q3)
+    r = marts.mtd_revenue(w.fact_orders, AS_OF, month_filter=True).first()
+    assert (r["total_orders"], r["net_revenue"], r["month"]) == (1, 8.0, dt.datetime(2001, 8, 1))

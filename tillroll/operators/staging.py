@@ -14,8 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def stg_customers(customers: DataFrame) -> DataFrame:
+def latest_records(bronze: DataFrame, record: str) -> DataFrame:
+    """Quirk Q4 option: keep one version of each record id, the one from the
+    latest landed file (``_source`` paths sort by landing day, then by the
+    time-stamped file name)."""
+    keyed = bronze.select(F.col(f"{record}.id").alias("_id"), "_source", record)
+    return latest_per_key(keyed, ["_id"], "_source").drop("_id")
+
+
+def stg_customers(customers: DataFrame, latest: bool = False) -> DataFrame:
     u = "user"
+    if latest:
+        customers = latest_records(customers, u)
     return customers.select(
         F.col(f"{u}.id").alias("customer_id"),
         # '||' semantics: NULL when any part is NULL.
@@ -28,8 +38,10 @@ def stg_customers(customers: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def stg_products(products: DataFrame) -> DataFrame:
+def stg_products(products: DataFrame, latest: bool = False) -> DataFrame:
     p = "product"
+    if latest:
+        products = latest_records(products, p)
     return products.select(
         F.col(f"{p}.id").alias("product_id"),
         F.col(f"{p}.title").alias("title"),
@@ -53,10 +65,12 @@ def as_of_col(as_of: str | _dt.date | Column | None) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
-def stg_orders(carts: DataFrame, as_of=None) -> DataFrame:
+def stg_orders(carts: DataFrame, as_of=None, latest: bool = False) -> DataFrame:
     """``order_date`` is the cart's own date when the source has one, else the
     build date (the original stamps every order with ``current_date``)."""
     c = "cart"
+    if latest:
+        carts = latest_records(carts, c)
     has_date = "orderDate" in carts.select(f"{c}.*").columns
     order_date = F.coalesce(F.col(f"{c}.orderDate"), as_of_col(as_of)) if has_date else as_of_col(as_of)
     return carts.select(

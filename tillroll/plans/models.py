@@ -93,9 +93,12 @@ DATA_TESTS: list[DataTest] = [
 class Warehouse:
     """All models over one set of bronze frames, built lazily and once."""
 
-    def __init__(self, bronze_frames: Bronze, as_of=DEFAULT_AS_OF):
+    def __init__(self, bronze_frames: Bronze, as_of=DEFAULT_AS_OF, latest: bool = False):
+        """``latest`` keeps only the latest landed version of each record
+        (quirk Q4 option); the default is the original ``SELECT DISTINCT``."""
         self.bronze = bronze_frames
         self.as_of = as_of
+        self.latest = latest
 
     @classmethod
     def from_sf(cls, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF) -> "Warehouse":
@@ -103,15 +106,15 @@ class Warehouse:
 
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return staging.stg_customers(self.bronze.customers)
+        return staging.stg_customers(self.bronze.customers, self.latest)
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return staging.stg_products(self.bronze.products)
+        return staging.stg_products(self.bronze.products, self.latest)
 
     @cached_property
     def stg_orders(self) -> DataFrame:
-        return staging.stg_orders(self.bronze.carts, self.as_of)
+        return staging.stg_orders(self.bronze.carts, self.as_of, self.latest)
 
     @cached_property
     def order_lines(self) -> DataFrame:
