@@ -56,3 +56,11 @@ def test_day_diff_and_trunc(spark):
     r = d.select(day_diff("b", "a").alias("x"), trunc_ts("month", "b").alias("m")).first()
     assert r["x"] == 1
     assert r["m"] == dt.datetime(2001, 1, 1)
+
+
+def test_money_text_or_dash(spark):
+    from tillroll.functions import money_text_or_dash
+
+    df = spark.createDataFrame([("12.5",), ("abc",), (None,), ("1234567.891",)], "v string")
+    got = [r["t"] for r in df.select(money_text_or_dash("v").alias("t")).collect()]
+    assert got == ["$12.50", "-", "-", "$1,234,567.89"]
