@@ -59,7 +59,9 @@ raw_customers AS (
          'c' || CAST(c.c_custkey AS VARCHAR) AS username,
          lower(c.c_mktsegment) AS gender,
          n.n_name AS city
-  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+  FROM customer c
+  LEFT JOIN (SELECT n_nationkey, min(n_name) AS n_name FROM nation GROUP BY n_nationkey) n
+    ON c.c_nationkey = n.n_nationkey),
 raw_products AS (
   SELECT 'products/page-' || CAST(CAST(floor(p_partkey / 100) AS BIGINT) AS VARCHAR) AS _source,
          (SELECT count(*) FROM part) AS _total,
@@ -90,7 +92,9 @@ raw_lines AS (
          CAST(l.l_quantity AS BIGINT) AS quantity,
          CAST(CAST(l.l_extendedprice * (CAST(1.0 AS DOUBLE) - l.l_discount) AS DECIMAL(18,4)) AS DOUBLE)
            AS discountedTotal
-  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey),
+  FROM lineitem l
+  LEFT JOIN (SELECT p_partkey, min(p_name) AS p_name FROM part GROUP BY p_partkey) p
+    ON l.l_partkey = p.p_partkey),
 stg_customers AS (
   SELECT DISTINCT id AS customer_id, firstName || ' ' || lastName AS name, email, phone, username, gender, city
   FROM raw_customers),

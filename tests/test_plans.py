@@ -78,3 +78,15 @@ def test_marts_agree_with_each_other(spark):
     ltv = kpis.kpi_revenue_summary(w.customer_metrics.withColumnRenamed("lifetime_value", "daily_revenue"))
     assert daily == mtd["net_revenue"] == ltv.first()["total_revenue"]
     assert mtd["total_orders"] == w.fact_orders.count() == 1500
+
+
+def test_unused_lookups_are_dropped(spark):
+    """Lookups are distinct on their key, so a plan that never reads the
+    looked-up column does not join (no lineitem shuffle to attach titles it
+    ignores, no per-order line aggregation to count landed orders)."""
+    import __spark_entry__ as E
+
+    qty = plan(E.queries()["top_products_by_qty"](spark, SF0001))
+    assert "part.parquet" not in qty and "Join" not in qty
+    totals = plan(E.queries()["raw_load_totals"](spark, SF0001))
+    assert "Join" not in totals and "lineitem.parquet" not in totals

@@ -73,7 +73,9 @@ def _entity_total(df: DataFrame) -> F.Column:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    # One city per nation key (distinct on the key, so plans that do not read
+    # the city drop the join).
+    n = read_table(spark, sf_dir, "nation").groupBy("n_nationkey").agg(F.min("n_name").alias("n_name"))
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     user = F.struct(
         F.col("c_custkey").alias("id"),
@@ -143,7 +145,10 @@ def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity",
                                                      "l_extendedprice", "l_discount")
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    # One title per part key.  Being distinct on the key also lets Catalyst
+    # drop this join from plans that never read the title (e.g. units per
+    # product id), instead of shuffling every line to attach it.
+    p = read_table(spark, sf_dir, "part").groupBy("p_partkey").agg(F.min("p_name").alias("p_name"))
     j = li.join(p, li.l_partkey == p.p_partkey, "left")
     line = F.struct(
         F.col("l_partkey").alias("id"),
