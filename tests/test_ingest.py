@@ -121,3 +121,15 @@ def test_incremental_load_is_exactly_once(spark, scratch):
     load_incremental(spark, landing, "orders", bronze, ckpt)
     assert spark.read.parquet(bronze).count() == 3
     assert spark.read.parquet(bronze + "_lines").count() == 5
+
+
+def test_frozen_schema_from_first_file(spark, scratch):
+    assert envelopes.create_raw_table_if_needed(spark, "raw_c_none", scratch, "customers") is False
+    write_json(scratch, "customers", "2026-06-30", "b.json", {"users": [{"id": 9, "extra": "x"}]})
+    write_json(scratch, "customers", "2026-06-29", "a.json", {"users": [{"id": 1, "email": "e"}], "total": 1})
+    schema = envelopes.frozen_schema(spark, scratch, "customers")
+    user = schema["users"].dataType.elementType
+    assert sorted(user.fieldNames()) == ["email", "id"]  # from the earliest file only
+    assert envelopes.create_raw_table_if_needed(spark, "raw_c", scratch, "customers") is True
+    assert envelopes.create_raw_table_if_needed(spark, "raw_c", scratch, "customers") is False
+    assert spark.table("raw_c").count() == 0 and "users" in spark.table("raw_c").columns

@@ -54,6 +54,40 @@ def read_envelopes(spark: SparkSession, root: str, entity: str, multi_line: bool
     return df.withColumn("_source", F.col("_metadata.file_path"))
 
 
+def landed_files(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """Paths of all ``*.json`` files below ``root/entity``, any depth
+    (file metadata only)."""
+    path = os.path.join(root, entity)
+    if not os.path.exists(path) and "://" not in root:
+        return spark.createDataFrame([], "path string")
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.json").load(path).select("path"))
+
+
+def frozen_schema(spark: SparkSession, root: str, entity: str, multi_line: bool = True) -> T.StructType | None:
+    """The schema inferred from the lexicographically first landed file,
+    or None when nothing was landed.  Inference reads that one file only;
+    the result is meant to be frozen (stored) and passed to later reads."""
+    first = landed_files(spark, root, entity).agg(F.min("path").alias("p")).first()["p"]
+    if first is None:
+        return None
+    return spark.read.option("multiLine", multi_line).json(first).schema
+
+
+def create_raw_table_if_needed(spark: SparkSession, table: str, root: str, entity: str,
+                               path: str | None = None) -> bool:
+    """Create the empty raw table from the first file's schema.  No-op
+    (False) when the table exists; False when no file was landed."""
+    if spark.catalog.tableExists(table):
+        return False
+    schema = frozen_schema(spark, root, entity)
+    if schema is None:
+        return False
+    from ..sinks import create_empty
+
+    return create_empty(spark, table, schema, path)
+
+
 def quarantine(env: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split envelopes into (good, bad); bad rows are whole unreadable files.
 
