@@ -216,3 +216,26 @@ def test_mtd_month_filter(spark):
     assert w.mtd_revenue.first()["net_revenue"] == 19.0  # all orders (quirk Q3)
     r = marts.mtd_revenue(w.fact_orders, AS_OF, month_filter=True).first()
     assert (r["total_orders"], r["net_revenue"], r["month"]) == (1, 8.0, dt.datetime(2001, 8, 1))
+
+
+ORIGINAL_TOP_CUSTOMERS_SQL = """
+select rc.name, cast(count(distinct fo.order_id) as int) as orders,
+       cast(round(sum(cast(fo.discounted_total as decimal(18,4))), 2) as double) as spend
+from fo join dc on fo.customer_key = dc.customer_key join sc rc on dc.customer_id = rc.customer_id
+group by rc.name
+"""
+
+
+def test_top_customers_equals_row_level_join_with_duplicates(spark):
+    users = [user(1), user(1, city="Rome"), user(2, first="Bo"), user(3, first="Bo")]
+    carts = [cart(10, 1, 10.0, 9.5, days_before(3)), cart(11, 1, 20.0, 18.25, days_before(40)),
+             cart(12, 2, 7.0, 7.0, days_before(100)), cart(13, 3, 1.0, 1.5, days_before(2)),
+             cart(14, 77, 2.0, 2.0, days_before(2))]
+    w = warehouse(spark, users, [], carts)
+    w.stg_customers.createOrReplaceTempView("sc")
+    w.dim_customer.createOrReplaceTempView("dc")
+    w.fact_orders.createOrReplaceTempView("fo")
+    want = sorted(tuple(r) for r in spark.sql(ORIGINAL_TOP_CUSTOMERS_SQL).collect())
+    got = sorted(tuple(r) for r in kpis.top_customers(w.fact_orders, w.dim_customer, w.stg_customers, k=10).collect())
+    assert got == want
+    assert dict((n, s) for n, _, s in got)["Ann Lee"] == 8 * (9.5 + 18.25)

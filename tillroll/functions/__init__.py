@@ -55,13 +55,15 @@ def money_units(c: Column | str) -> Column:
     return F.rint(col(c) * F.lit(float(MONEY_SCALE))).cast("bigint")
 
 
-def money_sum(c: Column | str) -> Column:
-    """Exact, order-independent sum of money as DECIMAL(28,4).
+def money_sum(c: Column | str, weight: Column | str | None = None) -> Column:
+    """Exact, order-independent sum of money as DECIMAL(28,4), each amount
+    counted ``weight`` times when a weight is given.
 
     Units are added as DECIMAL(18,0), which Spark keeps in a 64-bit fast path
     until the running total passes 10^18 units and then widens, so the sum
     never overflows; it is scaled back once per group."""
-    total = F.sum(money_units(c).cast("decimal(18,0)"))
+    units = money_units(c) if weight is None else money_units(c) * col(weight).cast("bigint")
+    total = F.sum(units.cast("decimal(18,0)"))
     return (total / F.lit(MONEY_SCALE)).cast("decimal(28,4)")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (as_int, count_text, label_or_unknown, money_sum, money_text,
                          pad_label, pct2, pct_text, plural, ratio2, round2, to_double, day_diff)
+from .facts import customer_lookup
 from .marts import ACTIVE, CHURNED, CHURN_DAYS
 from .staging import as_of_col
 
@@ -120,14 +121,20 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, stg_customers: DataF
 
     fact JOIN dim ON key JOIN staging ON id: a fact's key exists only if it
     was looked up on ``customer_id``, so all three sides join on that one
-    bigint column (one shuffle per side, none between the joins)."""
+    bigint column.  The dimension enters as the shared one-row-per-id lookup
+    whose row count weights the spend: the same sums as joining every
+    dimension row, without the fan-out."""
     fo = fact.where(F.col("customer_key").isNotNull()).select("customer_id", "order_id", "discounted_total").alias("fo")
-    dc = dim_customer.select("customer_id").alias("dc")
+    dc = customer_lookup(dim_customer).alias("dc")
     rc = stg_customers.select("customer_id", "name").alias("rc")
-    j = fo.join(dc, F.col("fo.customer_id") == F.col("dc.customer_id")).join(
+    # Reading the key (never NULL) keeps this lookup identical to the fact's,
+    # so its shuffle is reused rather than recomputed.
+    on = (F.col("fo.customer_id") == F.col("dc.customer_id")) & F.col("dc.customer_key").isNotNull()
+    j = fo.join(dc, on).join(
         rc, F.col("dc.customer_id") == F.col("rc.customer_id"))
     g = j.groupBy(F.col("rc.name").alias("name")).agg(
-        F.count_distinct(F.col("fo.order_id")).alias("_orders"), money_sum("fo.discounted_total").alias("_spend"))
+        F.count_distinct(F.col("fo.order_id")).alias("_orders"),
+        money_sum("fo.discounted_total", "dc._dims").alias("_spend"))
     return (g.select("name", F.col("_orders").cast("int").alias("orders"), round2("_spend").alias("spend"))
             .orderBy(F.col("spend").desc_nulls_last(), F.col("name").asc_nulls_last()).limit(k))
 

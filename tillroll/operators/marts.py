@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import day_diff, money_sum, ratio2, to_double, trunc_ts
+from .facts import customer_lookup
 from .staging import as_of_col
 
 # Customer lifecycle labels and thresholds (days).
@@ -50,11 +51,7 @@ def _customer_orders(stg_customers: DataFrame, dim_customer: DataFrame, fact: Da
         )
         .alias("pf")
     )
-    dims = (
-        dim_customer.groupBy("customer_id")
-        .agg(F.count(F.lit(1)).alias("_dims"), F.min("customer_key").alias("customer_key"))
-        .alias("dm")
-    )
+    dims = customer_lookup(dim_customer).alias("dm")
     sc = stg_customers.select("customer_id", "name", "email").alias("sc")
     j = sc.join(dims, F.col("sc.customer_id") == F.col("dm.customer_id"), "left").join(
         per_customer,
