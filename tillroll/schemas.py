@@ -60,3 +60,18 @@ def table_name(entity: str) -> str:
 
 # Bronze: one row per record, envelope metadata kept as columns.
 BRONZE_META = _st(("_source", S), ("_total", L))
+
+
+# Columns of the driver's test tables that the adapter reads, declared so a
+# read lists the file but never infers its schema.  Parquet matches columns
+# by name, so a declared subset reads only these columns.
+_I, _TS = T.IntegerType(), T.TimestampNTZType()
+TEST_TABLES = {
+    "customer": _st(("c_custkey", L), ("c_name", S), ("c_nationkey", _I), ("c_mktsegment", S)),
+    "nation": _st(("n_nationkey", _I), ("n_name", S)),
+    "part": _st(("p_partkey", L), ("p_name", S), ("p_brand", S), ("p_type", S), ("p_size", _I),
+                ("p_retailprice", D)),
+    "orders": _st(("o_orderkey", L), ("o_custkey", L), ("o_orderdate", _TS)),
+    "lineitem": _st(("l_orderkey", L), ("l_partkey", L), ("l_quantity", D), ("l_extendedprice", D),
+                    ("l_discount", D)),
+}

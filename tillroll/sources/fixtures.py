@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import money_units, units_to_double
+from ..schemas import TEST_TABLES
 
 # Records per landed page for entities without a natural landing date.
 PAGE_SIZE = 100
@@ -57,7 +58,8 @@ class Bronze:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table with its declared columns (no schema inference)."""
+    return spark.read.schema(TEST_TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _page_source(entity: str, key: str) -> F.Column:
