@@ -239,3 +239,10 @@ def test_top_customers_equals_row_level_join_with_duplicates(spark):
     got = sorted(tuple(r) for r in kpis.top_customers(w.fact_orders, w.dim_customer, w.stg_customers, k=10).collect())
     assert got == want
     assert dict((n, s) for n, _, s in got)["Ann Lee"] == 8 * (9.5 + 18.25)
+
+
+def test_relationships_counts_orphan_rows(spark):
+    child = spark.createDataFrame([(1,), (1,), (2,), (None,), (5,), (5,)], "k long")
+    parent = spark.createDataFrame([(1,)], "k long")
+    assert quality.relationships(child, "c", "k", parent, "k").first()["failing_rows"] == 3
+    assert quality.relationships(child.where("k = 1"), "c", "k", parent, "k").first()["failing_rows"] == 0
