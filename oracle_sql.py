@@ -267,6 +267,12 @@ _REPORT = "\nUNION ALL\n".join([
     _report_line(10, "Churned Customers", count_text("churned_customers"), "customer_status_kpi"),
     _report_line(11, "Customer Churn Rate", pct_text("churn_rate_pct"), "customer_status_kpi"),
     _report_line(12, "Average Customer LTV", money_text("avg_ltv"), "customer_status_kpi"),
+    _report_line(13, "Customers Extracted", count_text("coalesce(max(_total), count(*))"), "raw_customers"),
+    _report_line(14, "Products Extracted", count_text("coalesce(max(_total), count(*))"), "raw_products"),
+    _report_line(15, "Orders Extracted", count_text("count(*)"), "raw_carts"),
+    _report_line(16, "Customers Table", count_text("count(*)") + " || ' rows'", "raw_customers"),
+    _report_line(17, "Products Table", count_text("count(*)") + " || ' rows'", "raw_products"),
+    _report_line(18, "Orders Table", count_text("count(*)") + " || ' rows'", "raw_carts"),
 ])
 
 

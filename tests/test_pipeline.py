@@ -27,8 +27,11 @@ def test_pipeline_round_trip(spark, scratch, capsys):
     assert out["loaded"] == {"customers": 150, "products": 200, "orders": 1500}
     assert len(out["models_built"]) == 11
     assert len(out["tests"]) == 35 and out["tests_passed"] == 35
+    raw = {"customers": w.bronze.customers, "products": w.bronze.products, "orders": w.bronze.carts}
     direct = [r.line for r in kpis.kpi_report_text(w.dim_customer, w.dim_product, w.fact_orders, w.mtd_revenue,
-                                                   w.revenue_daily, w.customer_metrics).orderBy("line_no").collect()]
+                                                   w.revenue_daily, w.customer_metrics, raw)
+              .orderBy("line_no").collect()]
+    assert len(direct) == 18
     assert out["report"] == direct
     assert spark.catalog.tableExists("raw_orders")  # staging models are views under their alias
 

@@ -178,11 +178,14 @@ def _kv(line_no: int, label: str, value: Column, src: DataFrame) -> DataFrame:
 
 
 def kpi_report_text(dim_customer: DataFrame, dim_product: DataFrame, fact: DataFrame, mtd: DataFrame,
-                    daily: DataFrame, metrics: DataFrame) -> DataFrame:
+                    daily: DataFrame, metrics: DataFrame, raw: dict[str, DataFrame] | None = None) -> DataFrame:
     """The numeric lines of the run report as (line_no, line).
 
     Each line is an aggregate over its own mart, unioned; no frame is joined
-    to another, and nothing is collected."""
+    to another, and nothing is collected.  With ``raw`` (bronze frames of
+    customers, products, orders) the extraction and raw-table lines are
+    added: customers and products extracted are the totals the source
+    reports, orders extracted is the landed count."""
     cnt = lambda df: df.agg(F.count(F.lit(1)).alias("n"))
     status = kpi_customer_status(metrics)
     mtd1 = mtd.agg(money_sum("gross_revenue").alias("g"), money_sum("net_revenue").alias("n"),
@@ -201,9 +204,27 @@ def kpi_report_text(dim_customer: DataFrame, dim_product: DataFrame, fact: DataF
         _kv(10, "Churned Customers", count_text("churned_customers"), status),
         _kv(11, "Customer Churn Rate", pct_text("churn_rate_pct"), status),
         _kv(12, "Average Customer LTV", money_text("avg_ltv"), status),
+        *(_raw_lines(raw) if raw else []),
     ])
 
 
+def _raw_lines(raw: dict[str, DataFrame]) -> list[DataFrame]:
+    def landed(df: DataFrame) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n"), F.max("_total").alias("_t")).select(
+            "n", F.coalesce(F.col("_t"), F.col("n")).alias("total"))
+
+    c, p, o = (landed(raw[e]) for e in ("customers", "products", "orders"))
+    rows = F.concat(count_text("n"), F.lit(" rows"))
+    return [
+        _kv(13, "Customers Extracted", count_text("total"), c),
+        _kv(14, "Products Extracted", count_text("total"), p),
+        _kv(15, "Orders Extracted", count_text("n"), o),
+        _kv(16, "Customers Table", rows, c),
+        _kv(17, "Products Table", rows, p),
+        _kv(18, "Orders Table", rows, o),
+    ]
+
+
 def _dash(section_no: int, row_no: int, section: str, metric: Column, value: Column, src: DataFrame) -> DataFrame:
     return src.select(F.lit(section_no).alias("section_no"), F.lit(row_no).alias("row_no"),
                       F.lit(section).alias("section"), metric.alias("metric"), value.alias("value"))

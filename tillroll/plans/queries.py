@@ -86,7 +86,7 @@ def kpi_row_counts(spark, sf_dir):
 def kpi_report_text(spark, sf_dir):
     w = _built(spark, sf_dir)
     return kpis.kpi_report_text(w.dim_customer, w.dim_product, w.fact_orders, w.mtd_revenue,
-                                w.revenue_daily, w.customer_metrics)
+                                w.revenue_daily, w.customer_metrics, _bronze_frames(w))
 
 
 def dashboard(spark, sf_dir):

@@ -106,7 +106,9 @@ def explode_records(env: DataFrame, entity: str) -> DataFrame:
     keeps it as its own table."""
     key, _, single = ENTITIES[entity]
     rec = F.explode(F.col(key)).alias(single)
-    out = env.select("_source", F.coalesce(F.col("total"), F.size(F.col(key)).cast("bigint")).alias("_total"), rec)
+    # ``_total`` stays NULL when the source reports none; readers fall back
+    # to the landed count over all files (one file's size is not a total).
+    out = env.select("_source", F.col("total").alias("_total"), rec)
     if entity == "orders":
         out = out.select("_source", "_total",
                          F.struct(*[F.col(f"{single}.{f.name}") for f in CART_HEADER.fields]).alias(single))
