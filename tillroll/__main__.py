@@ -3,6 +3,7 @@
   pipeline LANDING WORK [--as-of D] [--ndjson]   load, build, test and report
   dashboard WORK [--as-of D]                     dashboard over a built WORK folder
   validate-landing LANDING                       landed files per entity and day
+  copy-jdbc WORK URL [--table T ...] [--prop k=v ...]  append built tables to a database
 
 Under spark-submit the session comes from the cluster settings; locally a
 local[*] session is built.
@@ -38,6 +39,12 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--as-of", default=DEFAULT_AS_OF)
     v = sub.add_parser("validate-landing")
     v.add_argument("landing")
+    c = sub.add_parser("copy-jdbc")
+    c.add_argument("work")
+    c.add_argument("url")
+    c.add_argument("--table", action="append", default=None,
+                   help="table to copy (repeatable); default: the fact and dimension tables")
+    c.add_argument("--prop", action="append", default=[], help="JDBC property key=value (repeatable)")
     a = ap.parse_args(argv)
     spark = _session()
 
@@ -72,6 +79,21 @@ def main(argv: list[str] | None = None) -> int:
         for row in validate_landing(landing_manifest(spark, a.landing)).orderBy("entity", "landing_date").collect():
             print(f"{row['entity']} {row['landing_date']}: {row['files']} files, {row['bytes']} bytes")
         return 0
+    if a.cmd == "copy-jdbc":
+        import os
+
+        from .sinks import copy_jdbc
+
+        props = dict(p.split("=", 1) for p in a.prop)
+        # The tables the original sync copies by default.
+        names = a.table or ["dim_customer", "dim_product", "fact_orders", "fact_sales", "fact_churn"]
+        for name in names:
+            path = f"{a.work}/models/{name}"
+            if "://" not in path and not os.path.exists(path):
+                print(f"{name}: missing")
+                continue
+            print(f"{name}: {copy_jdbc(spark.read.parquet(path), a.url, name, props)}")
+        return 0
     return 2
 
 
