@@ -246,3 +246,10 @@ def test_relationships_counts_orphan_rows(spark):
     parent = spark.createDataFrame([(1,)], "k long")
     assert quality.relationships(child, "c", "k", parent, "k").first()["failing_rows"] == 3
     assert quality.relationships(child.where("k = 1"), "c", "k", parent, "k").first()["failing_rows"] == 0
+
+
+def test_dashboard_reads_stored_churn_rate(spark):
+    stored = spark.createDataFrame([(0.1234,), (0.1234,)], "churn_rate double")
+    rows = kpis.dashboard({"customer_churn": stored}).collect()
+    assert [(r["metric"], r["value"]) for r in rows if r["section"] == "Customer Analytics"] == [
+        ("Churn Rate (calc)", "12.34%")]

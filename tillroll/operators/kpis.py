@@ -235,7 +235,8 @@ def dashboard(models: dict[str, DataFrame], as_of=None) -> DataFrame:
     metric, value)`` (3.3).  A section runs only when its model is present
     and has the needed column (P14, S17); the last row counts the present
     models.  The product section uses exploded order lines (quirk Q9), and
-    the churn rate uses the last order date when present, else the status."""
+    the churn rate uses the last order date when present, else a stored
+    ``churn_rate`` fraction (A24), else the status."""
     parts: list[DataFrame] = []
     mtd = models.get("mtd_revenue")
     if mtd is not None:
@@ -263,6 +264,8 @@ def dashboard(models: dict[str, DataFrame], as_of=None) -> DataFrame:
         cols = set(churn.columns)
         if "last_order_date" in cols:
             rate = churn_rate_by_date(churn, as_of)
+        elif "churn_rate" in cols:  # A24: a stored fraction, read back as a percent
+            rate = churn.select((F.col("churn_rate").cast("decimal(38,6)") * 100).alias("churn_rate_pct")).limit(1)
         elif "customer_status" in cols:
             rate = churn_rate_by_status(churn)
         else:
