@@ -89,6 +89,20 @@ def kpi_report_text(spark, sf_dir):
                                 w.revenue_daily, w.customer_metrics, _bronze_frames(w))
 
 
+def churn_report(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return marts.churn_report(w.dim_customer, w.fact_churn)
+
+
+def top_customers(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return kpis.top_customers(w.fact_orders, w.dim_customer, w.stg_customers)
+
+
+def top_customers_text(spark, sf_dir):
+    return kpis.top_customers_text(top_customers(spark, sf_dir))
+
+
 def dashboard(spark, sf_dir):
     w = _built(spark, sf_dir)
     models = {"mtd_revenue": w.mtd_revenue, "customer_churn": w.customer_churn,
@@ -114,11 +128,10 @@ QUERIES: dict[str, Query] = {
     "revenue_daily": lambda s, d: _wh(s, d).revenue_daily,
     "revenue_metrics": lambda s, d: _wh(s, d).revenue_metrics,
     "revenue_report": lambda s, d: marts.revenue_report(_wh(s, d).fact_sales),
-    "churn_report": lambda s, d: marts.churn_report(_wh(s, d).dim_customer, _wh(s, d).fact_churn),
+    "churn_report": churn_report,
     "top_products": lambda s, d: kpis.top_products(_wh(s, d).bronze.lines),
     "top_products_by_qty": lambda s, d: kpis.top_products_by_qty(_wh(s, d).bronze.lines),
-    "top_customers": lambda s, d: (lambda w: kpis.top_customers(w.fact_orders, w.dim_customer, w.stg_customers))(
-        _wh(s, d)),
+    "top_customers": top_customers,
     "kpi_row_counts": kpi_row_counts,
     "kpi_customer_status": lambda s, d: kpis.kpi_customer_status(_wh(s, d).customer_metrics),
     "kpi_total_revenue": lambda s, d: kpis.kpi_total_revenue(_wh(s, d).revenue_daily),
@@ -131,8 +144,7 @@ QUERIES: dict[str, Query] = {
     "cents_to_dollars": q_cents_to_dollars,
     "kpi_report_text": kpi_report_text,
     "top_products_text": lambda s, d: kpis.top_products_text(kpis.top_products(_wh(s, d).bronze.lines)),
-    "top_customers_text": lambda s, d: (lambda w: kpis.top_customers_text(
-        kpis.top_customers(w.fact_orders, w.dim_customer, w.stg_customers)))(_wh(s, d)),
+    "top_customers_text": top_customers_text,
     "dq_not_null": _data_tests({"not_null"}),
     "dq_unique": _data_tests({"unique"}),
     "dq_accepted_values": _data_tests({"accepted_values"}),
