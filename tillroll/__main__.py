@@ -1,6 +1,6 @@
 """Command line: ``python -m tillroll <command> ...``.
 
-  pipeline LANDING WORK [--as-of D] [--ndjson]   load, build, test and report
+  pipeline LANDING WORK [--as-of D] [--ndjson] [--incremental]   load, build, test and report
   dashboard WORK [--as-of D]                     dashboard over a built WORK folder
   validate-landing LANDING                       landed files per entity and day
   copy-jdbc WORK URL [--table T ...] [--prop k=v ...]  append built tables to a database
@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("work")
     p.add_argument("--as-of", default=DEFAULT_AS_OF)
     p.add_argument("--ndjson", action="store_true", help="landed files hold one envelope per line")
+    p.add_argument("--incremental", action="store_true", help="load only files not loaded before")
     d = sub.add_parser("dashboard")
     d.add_argument("work")
     d.add_argument("--as-of", default=DEFAULT_AS_OF)
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "pipeline":
         from .plans.pipeline import run_pipeline
 
-        out = run_pipeline(spark, a.landing, a.work, a.as_of, multi_line=not a.ndjson)
+        out = run_pipeline(spark, a.landing, a.work, a.as_of, multi_line=not a.ndjson, incremental=a.incremental)
         print("\n".join(out["report"]))
         failed = [t for t in out["tests"] if t["failing_rows"]]
         print(json.dumps({"loaded": out["loaded"], "models_built": len(out["models_built"]),
