@@ -64,3 +64,29 @@ def test_money_text_or_dash(spark):
     df = spark.createDataFrame([("12.5",), ("abc",), (None,), ("1234567.891",)], "v string")
     got = [r["t"] for r in df.select(money_text_or_dash("v").alias("t")).collect()]
     assert got == ["$12.50", "-", "-", "$1,234,567.89"]
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(0, 10**12), min_size=1, max_size=30))
+def test_money_sum_is_exact(spark, units):
+    """Sums of 4-decimal amounts equal the exact decimal sum, in any order."""
+    from decimal import Decimal
+
+    from tillroll.functions import money_sum
+
+    amounts = [u / 10000 for u in units]  # the doubles a source would carry
+    df = spark.createDataFrame([(a,) for a in amounts], "x double").repartition(3)
+    got = df.agg(money_sum("x").alias("s")).first()["s"]
+    assert got == sum(Decimal(u) / Decimal(10000) for u in units)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.integers(0, 10**14), st.integers(1, 10**6))
+def test_ratio2_rounds_the_exact_quotient(spark, units, n):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    s = Decimal(units) / Decimal(10000)
+    want = float((s / Decimal(n)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+    got = spark.createDataFrame([(s, n)], "s decimal(28,4), n long").select(
+        ratio2("s", "n").alias("r")).first()["r"]
+    assert got == want
