@@ -90,3 +90,21 @@ def test_ratio2_rounds_the_exact_quotient(spark, units, n):
     got = spark.createDataFrame([(s, n)], "s decimal(28,4), n long").select(
         ratio2("s", "n").alias("r")).first()["r"]
     assert got == want
+
+
+def test_money_sum_of_huge_totals_does_not_overflow(spark):
+    """KPIs re-sum mart totals; at 100 TB those pass 1e15 and their units
+    pass the bigint range."""
+    from tillroll.functions import money_sum
+
+    df = spark.createDataFrame([(2.3e16,), (4.6e16,), (1.25,)], "x double")
+    got = df.agg(money_sum("x").alias("s")).first()["s"]
+    assert float(got) == 6.9e16 + 1.25
+
+
+def test_ratio2_does_not_round_twice(spark):
+    """14.9999 / 3000 = 0.0049999...: exact rounding gives 0.00; a quotient
+    first rounded to 6 decimals would give 0.005 and then 0.01."""
+    df = spark.createDataFrame([("14.9999", 3000), ("15.0000", 3000)], "s string, n long").selectExpr(
+        "cast(s as decimal(38,4)) s", "n")
+    assert [r["r"] for r in df.select(ratio2("s", "n").alias("r")).collect()] == [0.0, 0.01]

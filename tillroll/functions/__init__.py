@@ -55,16 +55,33 @@ def money_units(c: Column | str) -> Column:
     return F.rint(col(c) * F.lit(float(MONEY_SCALE))).cast("bigint")
 
 
+# Below this size a double still carries an amount to four decimals, so
+# rint(x * 10^4) is its exact unscaled DECIMAL(18,4) value.
+EXACT_UNITS_BELOW = 4.5e11
+
+
+def money_units_wide(c: Column | str) -> Column:
+    """Units as DECIMAL(38,0) that never overflow: the fast exact path for
+    amounts below :data:`EXACT_UNITS_BELOW` (every row-level amount), a
+    decimal cast above it (large totals re-summed by KPIs, which no double
+    holds to four decimals anyway).  Only the taken branch is evaluated."""
+    x = col(c)
+    small = (F.abs(x) < F.lit(EXACT_UNITS_BELOW)) | x.isNull()
+    return F.when(small, money_units(x).cast("decimal(38,0)")).otherwise(
+        (x.cast("decimal(38,4)") * F.lit(MONEY_SCALE)).cast("decimal(38,0)"))
+
+
 def money_sum(c: Column | str, weight: Column | str | None = None) -> Column:
-    """Exact, order-independent sum of money as DECIMAL(28,4), each amount
+    """Exact, order-independent sum of money as DECIMAL(38,4), each amount
     counted ``weight`` times when a weight is given.
 
-    Units are added as DECIMAL(18,0), which Spark keeps in a 64-bit fast path
-    until the running total passes 10^18 units and then widens, so the sum
-    never overflows; it is scaled back once per group."""
-    units = money_units(c) if weight is None else money_units(c) * col(weight).cast("bigint")
-    total = F.sum(units.cast("decimal(18,0)"))
-    return (total / F.lit(MONEY_SCALE)).cast("decimal(28,4)")
+    Units are added as decimals built from longs, which Spark keeps on its
+    64-bit path until a running total passes 10^18 units and then widens, so
+    the sum never overflows; it is scaled back once per group."""
+    units = money_units_wide(c)
+    if weight is not None:
+        units = (units * col(weight).cast("decimal(18,0)")).cast("decimal(38,0)")
+    return (F.sum(units) / F.lit(MONEY_SCALE)).cast("decimal(38,4)")
 
 
 def units_to_double(units: Column | str) -> Column:
@@ -82,8 +99,14 @@ def round2(c: Column | str) -> Column:
 
 
 def ratio2(num: Column | str, den: Column | str) -> Column:
-    """round(num / den, 2) computed exactly in decimals; NULL when den is 0."""
-    n = col(num).cast("decimal(38,4)")
+    """round(num / den, 2) half away from zero, exact; NULL when den is 0.
+
+    ``num`` has at most four decimals.  A DECIMAL(28,4) / DECIMAL(20,0)
+    quotient keeps 14 decimals, and an exact quotient n/d lies at least
+    1/(10^4 * d) from any half-cent it does not equal, so rounding the
+    14-decimal quotient to cents is exact for d up to 2e10.  (With a wider
+    numerator Spark keeps only 6 decimals and can round twice.)"""
+    n = col(num).cast("decimal(28,4)")
     d = col(den).cast("decimal(20,0)")
     return F.round(F.try_divide(n, d), 2).cast("double")
 
