@@ -108,3 +108,11 @@ def test_ratio2_does_not_round_twice(spark):
     df = spark.createDataFrame([("14.9999", 3000), ("15.0000", 3000)], "s string, n long").selectExpr(
         "cast(s as decimal(38,4)) s", "n")
     assert [r["r"] for r in df.select(ratio2("s", "n").alias("r")).collect()] == [0.0, 0.01]
+
+
+def test_ratio2_signs_and_huge_divisors(spark):
+    rows = [("-1.005", 1), ("1.005", -1), ("-1.004", 1), ("0", 5), ("7", 0),
+            ("150000000000000000.0049", 150000000000)]
+    df = spark.createDataFrame(rows, "s string, n long").selectExpr("cast(s as decimal(38,4)) s", "n")
+    got = [r["r"] for r in df.select(ratio2("s", "n").alias("r")).collect()]
+    assert got == [-1.01, -1.01, -1.0, 0.0, None, 1000000.0]

@@ -99,16 +99,18 @@ def round2(c: Column | str) -> Column:
 
 
 def ratio2(num: Column | str, den: Column | str) -> Column:
-    """round(num / den, 2) half away from zero, exact; NULL when den is 0.
-
-    ``num`` has at most four decimals.  A DECIMAL(28,4) / DECIMAL(20,0)
-    quotient keeps 14 decimals, and an exact quotient n/d lies at least
-    1/(10^4 * d) from any half-cent it does not equal, so rounding the
-    14-decimal quotient to cents is exact for d up to 2e10.  (With a wider
-    numerator Spark keeps only 6 decimals and can round twice.)"""
-    n = col(num).cast("decimal(28,4)")
-    d = col(den).cast("decimal(20,0)")
-    return F.round(F.try_divide(n, d), 2).cast("double")
+    """round(num / den, 2) half away from zero, exactly; NULL when den is 0.
+
+    ``num`` has at most four decimals.  Computed in integers: with u the
+    numerator in 1/10000 units, cents = (|u| + 50|d|) div (100|d|), signed.
+    (A decimal quotient keeps only 6 to 14 decimals and can round twice when
+    the divisor is large, e.g. an average over 10^11 orders.)"""
+    units = (col(num).cast("decimal(38,4)") * F.lit(MONEY_SCALE)).cast("decimal(38,0)")
+    d = col(den).cast("decimal(38,0)")
+    d_abs = F.abs(F.when(d != 0, d))
+    cents = F.call_function("div", F.abs(units) + d_abs * F.lit(50), d_abs * F.lit(100))
+    negative = (units < 0) != (d < 0)
+    return F.when(negative, -cents).otherwise(cents).cast("double") / F.lit(100.0)
 
 
 def pct2(part: Column | str, whole: Column | str) -> Column:
