@@ -169,11 +169,11 @@ fact_churn AS (
          coalesce(customer_status = 'Churned', false) AS is_churn
   FROM customer_metrics),
 top_products AS (
-  SELECT title, CAST(sum(quantity) AS INTEGER) AS units,
+  SELECT title, CAST(sum(quantity) AS BIGINT) AS units,
          CAST(round({money_sum('discountedTotal')}, 2) AS DOUBLE) AS revenue
   FROM raw_lines GROUP BY title ORDER BY revenue DESC, title LIMIT 5),
 top_customers AS (
-  SELECT rc.name, CAST(count(DISTINCT fo.order_id) AS INTEGER) AS orders,
+  SELECT rc.name, CAST(count(DISTINCT fo.order_id) AS BIGINT) AS orders,
          CAST(round({money_sum('fo.discounted_total')}, 2) AS DOUBLE) AS spend
   FROM fact_orders fo
   JOIN dim_customer dc ON fo.customer_key = dc.customer_key

@@ -219,7 +219,7 @@ def test_mtd_month_filter(spark):
 
 
 ORIGINAL_TOP_CUSTOMERS_SQL = """
-select rc.name, cast(count(distinct fo.order_id) as int) as orders,
+select rc.name, count(distinct fo.order_id) as orders,
        cast(round(sum(cast(fo.discounted_total as decimal(18,4))), 2) as double) as spend
 from fo join dc on fo.customer_key = dc.customer_key join sc rc on dc.customer_id = rc.customer_id
 group by rc.name

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import (as_int, count_text, label_or_unknown, money_sum, money_text,
+from ..functions import (count_text, label_or_unknown, money_sum, money_text,
                          pad_label, pct2, pct_text, plural, ratio2, round2, to_double, day_diff)
 from .facts import customer_lookup
 from .marts import ACTIVE, CHURNED, CHURN_DAYS
@@ -105,7 +105,8 @@ def top_products(lines: DataFrame, k: int = 5) -> DataFrame:
     (quirk Q5)."""
     g = lines.groupBy(F.col("line.title").alias("title")).agg(
         F.sum("line.quantity").alias("_units"), money_sum("line.discountedTotal").alias("_rev"))
-    return (g.select("title", as_int("_units").alias("units"), round2("_rev").alias("revenue"))
+    # BIGINT, not the original's INT: a title's units pass 2^31 at large scale.
+    return (g.select("title", F.col("_units").cast("bigint").alias("units"), round2("_rev").alias("revenue"))
             .orderBy(F.col("revenue").desc_nulls_last(), F.col("title").asc_nulls_last()).limit(k))
 
 
@@ -135,7 +136,7 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, stg_customers: DataF
     g = j.groupBy(F.col("rc.name").alias("name")).agg(
         F.count_distinct(F.col("fo.order_id")).alias("_orders"),
         money_sum("fo.discounted_total", "dc._dims").alias("_spend"))
-    return (g.select("name", F.col("_orders").cast("int").alias("orders"), round2("_spend").alias("spend"))
+    return (g.select("name", F.col("_orders").cast("bigint").alias("orders"), round2("_spend").alias("spend"))
             .orderBy(F.col("spend").desc_nulls_last(), F.col("name").asc_nulls_last()).limit(k))
 
 
