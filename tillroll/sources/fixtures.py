@@ -19,7 +19,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import money_units, units_to_double
+from ..functions import MONEY_SCALE, money_units, units_to_double
 from ..schemas import TEST_TABLES
 
 # Records per landed page for entities without a natural landing date.
@@ -63,8 +63,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _page_source(entity: str, key: str) -> F.Column:
-    page = F.floor(F.col(key) / F.lit(PAGE_SIZE)).cast("bigint")
-    return F.concat(F.lit(f"{entity}/page-"), page.cast("string"))
+    return F.expr(f"concat('{entity}/page-', cast(cast(floor({key} / {PAGE_SIZE}) AS bigint) AS string))")
 
 
 def _entity_total(df: DataFrame) -> F.Column:
@@ -77,34 +76,24 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
-    user = F.struct(
-        F.col("c_custkey").alias("id"),
-        F.split_part(F.col("c_name"), F.lit("#"), F.lit(1)).alias("firstName"),
-        F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("lastName"),
-        F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
-        F.lit(None).cast("string").alias("phone"),
-        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("username"),
-        F.lower(F.col("c_mktsegment")).alias("gender"),
-        F.struct(F.col("n_name").alias("city")).alias("address"),
-    )
+    # One SQL expression per record: a single call to build, where a chain
+    # of column objects costs one round trip each.
+    user = F.expr(
+        "named_struct('id', c_custkey, 'firstName', split_part(c_name, '#', 1), "
+        "'lastName', split_part(c_name, '#', 2), 'email', concat('c', cast(c_custkey AS string), '@example.com'), "
+        "'phone', cast(NULL AS string), 'username', concat('c', cast(c_custkey AS string)), "
+        "'gender', lower(c_mktsegment), 'address', named_struct('city', n_name))")
     return j.select(_page_source("customers", "c_custkey").alias("_source"),
                     _entity_total(c).alias("_total"), user.alias("user"))
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
-    product = F.struct(
-        F.col("p_partkey").alias("id"),
-        F.col("p_name").alias("title"),
-        F.concat(F.col("p_type"), F.lit(" "), F.col("p_brand")).alias("description"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("price"),
-        (F.col("p_size").cast("double") / F.lit(2.0)).alias("discountPercentage"),
-        (F.col("p_size").cast("double") / F.lit(10.0)).alias("rating"),
-        (F.col("p_size") - 1).cast("bigint").alias("stock"),
-        F.col("p_brand").alias("brand"),
-        F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string")).alias("sku"),
-    )
+    product = F.expr(
+        "named_struct('id', p_partkey, 'title', p_name, 'description', concat(p_type, ' ', p_brand), "
+        "'category', p_type, 'price', p_retailprice, 'discountPercentage', cast(p_size AS double) / 2.0D, "
+        "'rating', cast(p_size AS double) / 10.0D, 'stock', cast(p_size - 1 AS bigint), 'brand', p_brand, "
+        "'sku', concat('SKU-', cast(p_partkey AS string)))")
     return p.select(_page_source("products", "p_partkey").alias("_source"),
                     _entity_total(p).alias("_total"), product.alias("product"))
 
@@ -128,17 +117,14 @@ def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.col("l_quantity")).alias("qty"),
     )
     j = o.join(agg, o.o_orderkey == agg.l_orderkey, "left")
-    zero = F.lit(0).cast("bigint")
-    cart = F.struct(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("userId"),
-        units_to_double(F.coalesce(F.col("gross"), zero)).alias("total"),
-        units_to_double(F.coalesce(F.col("net"), zero)).alias("discountedTotal"),
-        F.coalesce(F.col("n_lines"), F.lit(0)).cast("bigint").alias("totalProducts"),
-        F.coalesce(F.col("qty"), F.lit(0.0)).cast("bigint").alias("totalQuantity"),
-        F.col("o_orderdate").cast("date").alias("orderDate"),
-    )
-    src = F.concat(F.lit("orders/"), F.date_format(F.col("o_orderdate"), "yyyy/MM/dd"))
+    # gross/net are sums of 1/10000 units; back to the nearest double here.
+    cart = F.expr(
+        "named_struct('id', o_orderkey, 'userId', o_custkey, "
+        "'total', cast(coalesce(gross, 0L) AS double) / {s}D, "
+        "'discountedTotal', cast(coalesce(net, 0L) AS double) / {s}D, "
+        "'totalProducts', coalesce(n_lines, 0L), 'totalQuantity', cast(coalesce(qty, 0.0D) AS bigint), "
+        "'orderDate', cast(o_orderdate AS date))".format(s=float(MONEY_SCALE)))
+    src = F.expr("concat('orders/', date_format(o_orderdate, 'yyyy/MM/dd'))")
     return j.select(src.alias("_source"), _entity_total(o).alias("_total"), cart.alias("cart"))
 
 
