@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
-
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -40,11 +38,6 @@ def cents_to_dollars(cents: Column | str) -> Column:
 MONEY_SCALE = 10000
 
 
-def money(c: Column | str) -> Column:
-    """A money value as DECIMAL(18,4)."""
-    return col(c).cast(MONEY)
-
-
 def money_units(c: Column | str) -> Column:
     """A money amount as a whole number of 1/10000 units (bigint).
 

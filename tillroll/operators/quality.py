@@ -17,9 +17,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RESULT_COLUMNS = ["model", "column", "test", "failing_rows"]
-
-
 @dataclass(frozen=True)
 class DataTest:
     model: str

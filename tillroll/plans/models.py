@@ -40,12 +40,6 @@ MODELS = [
     ModelSpec("customer_churn", ("metrics",), "table"),
     ModelSpec("mtd_revenue", ("metrics",), "table"),
 ]
-MODEL_BY_NAME = {m.name: m for m in MODELS}
-
-
-def models_tagged(tag: str) -> list[ModelSpec]:
-    """Analytics models for the dashboard: tagged, or living under analytics."""
-    return [m for m in MODELS if tag in m.tags]
 
 
 STATUSES = tuple(marts.STATUSES)

@@ -58,9 +58,6 @@ def table_name(entity: str) -> str:
     )
 
 
-# Bronze: one row per record, envelope metadata kept as columns.
-BRONZE_META = _st(("_source", S), ("_total", L))
-
 
 # Columns of the driver's test tables that the adapter reads, declared so a
 # read lists the file but never infers its schema.  Parquet matches columns

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -84,10 +83,3 @@ def default_shuffle_partitions(input_bytes: int, target_bytes: int = 128 << 20)
     """Size shuffle partitions so each holds about ``target_bytes``."""
     return max(8, -(-input_bytes // target_bytes))
 
-
-def dir_bytes(path: str) -> int:
-    total = 0
-    for root, _, files in os.walk(path):
-        for f in files:
-            total += os.path.getsize(os.path.join(root, f))
-    return total
