@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import small_batches, table
+from tillroll.llm.common import fold, small_batches, table
 
 
 def _vocabulary(name: str) -> str:
@@ -40,9 +40,41 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillroll.llm.secrets import scan_secrets
+
+    small_batches(spark)
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[F.expr(f"CAST(size(filter(kinds, k -> k = '{k}')) AS BIGINT)").alias(f"n_{k}")
+          for k in ("assign", "access", "hex")],
+        "base_sha256", "spans")
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillroll.llm.langid import fit, identify
+
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    found = identify(docs, fit(docs, train=~held_out))
+    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillroll.llm.decontaminate import contaminated
+
+    small_batches(spark)
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op4_simhash": op4_simhash,
+    "op5_secrets": op5_secrets,
+    "op7_language": op7_language,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
