@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +28,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
     The folder is the one the session names in ``spark.checkpoint.dir``; only
     where none is set (tests on one machine) a temporary one is taken.
     """
-    sc = df.sparkSession.sparkContext
+    _set_checkpoint_dir(df.sparkSession.sparkContext)
+    return df.checkpoint()
+
+
+def _set_checkpoint_dir(sc) -> None:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir")
         if not named and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-checkpoints-"))
-    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder, below the shared checkpoint folder, for tables that a job writes."""
+    _set_checkpoint_dir(spark.sparkContext)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
+def map_batches(docs: DataFrame, change, *, text_col: str = "text") -> DataFrame:
+    """``docs`` with its own columns, each Arrow batch passed through a function that ``change()`` makes in the task.
+
+    The function gets (batch, list of texts) and returns a batch of the same columns.
+    """
+    def run(batches):
+        step = change()
+        for b in batches:
+            yield step(b, b.column(text_col).to_pylist())
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

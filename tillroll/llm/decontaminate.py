@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import text_docs
+from tillroll.llm.common import map_batches, text_docs
 
 WORD = re.compile(r"\w+")
 BLOCKS, WIDTH = 8, 8
@@ -154,25 +154,29 @@ class Index:
                     found[item] = (score, lo + i)
 
 
+def _indexes(benchmark: DataFrame, item_id_col: str, item_text_col: str, shingle: int, radius: int, items_at_once: int):
+    """Broadcast indexes over the whole benchmark, each of about ``items_at_once`` items, dealt by a hash."""
+    rows = benchmark.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
+    blocks = max(1, math.ceil(rows.count() / items_at_once))
+    for block in range(blocks):
+        part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        index = Index([(r["item_id"], r["text"]) for r in part.collect()], shingle, radius)
+        yield benchmark.sparkSession.sparkContext.broadcast(index)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text", shingle: int = 5, least: float = 0.8,
                  radius: int = 23, items_at_once: int = 20_000) -> DataFrame:
     """(doc_id, item_id, similarity, start_word, n_words): best window of each document and item.
 
-    The benchmark goes to the executors in blocks of about ``items_at_once``
-    items, by item id, one pass over the documents each; every item is used.
+    The benchmark goes to the executors in blocks of bounded size, one pass over
+    the documents each; every item is used.
     """
-    rows = benchmark.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
-    blocks = max(1, math.ceil(rows.count() / items_at_once))
     kept = text_docs(docs, id_col=id_col, text_col=text_col)
     fields = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()),
                         ("start_word", pa.int64()), ("n_words", pa.int64())])
     out = None
-    for block in range(blocks):
-        part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = Index([(r["item_id"], r["text"]) for r in part.collect()], shingle, radius)
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
+    for shared in _indexes(benchmark, item_id_col, item_text_col, shingle, radius, items_at_once):
         def run(batches, shared=shared):
             index = shared.value
             for b in batches:
@@ -186,3 +190,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
         found = kept.mapInArrow(run, "doc_id long, item_id long, similarity double, start_word long, n_words long")
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id_col: str = "item_id",
+                   item_text_col: str = "text", shingle: int = 5, least: float = 0.8, radius: int = 23,
+                   items_at_once: int = 20_000) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window similar to an item."""
+    for shared in _indexes(benchmark, item_id_col, item_text_col, shingle, radius, items_at_once):
+        def change(shared=shared):
+            index = shared.value
+            return lambda batch, texts: batch.filter(
+                pa.array([not index.matches(t or "", least) for t in texts], pa.bool_()))
+
+        docs = map_batches(docs, change, text_col=text_col)
+    return docs

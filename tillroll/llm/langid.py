@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import checkpointed
+from tillroll.llm.common import checkpointed, map_batches
 
 PIECE = 1 << 19  # code points scored at once
 SPACE = 32
@@ -257,6 +257,21 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     return model
 
 
+def _predict(model: Model, letters: Letters, texts: list[str | None]) -> list[list]:
+    """Columns (language number, score, entropy, rejected), a bounded number of characters at once."""
+    out: list[list] = [[], [], [], []]
+    lo = 0
+    while lo < len(texts):
+        hi, size = lo, 0
+        while hi < len(texts) and (hi == lo or size < 4 * PIECE):
+            size += len(texts[hi] or "")
+            hi += 1
+        for column, values in zip(out, model.predict([letters(t or "") for t in texts[lo:hi]])):
+            column.extend(values.tolist())
+        lo = hi
+    return out
+
+
 def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, entropy, rejected) for every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -266,21 +281,21 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
         model, letters = shared.value, Letters()
         names = np.array([*model.languages, UNDETERMINED], dtype=object)
         for b in batches:
-            texts = b.column("text").to_pylist()
-            best, score, entropy, rejected = [], [], [], []
-            lo = 0
-            while lo < len(texts):  # a bounded number of characters at once
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size < 4 * PIECE):
-                    size += len(texts[hi] or "")
-                    hi += 1
-                part = model.predict([letters(t or "") for t in texts[lo:hi]])
-                for column, values in zip((best, score, entropy, rejected), part):
-                    column.extend(values.tolist())
-                lo = hi
+            best, score, entropy, rejected = _predict(model, letters, b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(names[np.array(best, dtype=int)], pa.string()), pa.array(score, pa.float64()),
                  pa.array(entropy, pa.float64()), pa.array(rejected, pa.bool_())],
                 names=["doc_id", "lang_pred", "score", "entropy", "rejected"])
 
     return kept.mapInArrow(run, "doc_id long, lang_pred string, score double, entropy double, rejected boolean")
+
+
+def accepted(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the model does not reject."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def change():
+        model, letters = shared.value, Letters()
+        return lambda batch, texts: batch.filter(pa.array([not r for r in _predict(model, letters, texts)[3]], pa.bool_()))
+
+    return map_batches(docs, change, text_col=text_col)

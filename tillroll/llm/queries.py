@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import fold, small_batches, table
+from tillroll.llm.licenses import oracle_sql as licenses_sql
 
 
 def _vocabulary(name: str) -> str:
@@ -33,6 +34,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillroll.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillroll.llm.simhash import near_duplicates
 
@@ -69,12 +76,36 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillroll.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_topk": op3_topk,
     "op4_simhash": op4_simhash,
     "op5_secrets": op5_secrets,
     "op7_language": op7_language,
     "op9_decontamination": op9_decontamination,
+    "op10_licenses": op10_licenses,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_topk": TOPK_SQL,
+    "op10_licenses": licenses_sql(),
+}

@@ -18,7 +18,7 @@ from hashlib import sha256
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tillroll.llm.common import text_docs
+from tillroll.llm.common import map_batches, text_docs
 
 # The base patterns of the contract.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A | re.I)
@@ -124,33 +124,57 @@ def masked(text: str, spans, mask: str) -> str:
     return "".join([*out, text[at:]])
 
 
+def all_spans(text: str, novelty: Novelty, *, least_bytes: int = 9, least_share: float = 0.5):
+    """(base spans, base and novel spans), each in order of start, then kind as listed."""
+    base = base_spans(text)
+    more = novel_spans(text, base, novelty, least_bytes=least_bytes, least_share=least_share)
+    return base, sorted(base + more, key=lambda x: (x[1], KINDS.index(x[0]))) if more else base
+
+
 def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least_bytes: int = 9,
-                 least_share: float = 0.5, mask: str | None = None) -> DataFrame:
-    """(doc_id, kinds, starts, ends, base_sha256, spans[, text]) for every row of ``docs``.
+                 least_share: float = 0.5) -> DataFrame:
+    """(doc_id, kinds, starts, ends, base_sha256, spans) for every row of ``docs``.
 
     ``spans`` lists kind:start:end in code points, end exclusive; ``base_sha256``
-    digests those of the fixed patterns.  With ``mask``, ``text`` is the text
-    with every span masked.
+    digests those of the fixed patterns.
     """
-    schema = [("doc_id", pa.int64()), ("kinds", pa.list_(pa.string())), ("starts", pa.list_(pa.int64())),
-              ("ends", pa.list_(pa.int64())), ("base_sha256", pa.string()), ("spans", pa.string())]
-    ddl = ("doc_id long, kinds array<string>, starts array<long>, ends array<long>, base_sha256 string, spans string"
-           + ", text string" * (mask is not None))
-    fields = pa.schema([*schema, *([("text", pa.string())] if mask is not None else [])])
+    fields = pa.schema([
+        ("doc_id", pa.int64()), ("kinds", pa.list_(pa.string())), ("starts", pa.list_(pa.int64())),
+        ("ends", pa.list_(pa.int64())), ("base_sha256", pa.string()), ("spans", pa.string())])
 
     def run(batches):
         novelty = Novelty()
         for b in batches:
             rows = []
             for text in b.column("text").to_pylist():
-                base = base_spans(text)
-                more = novel_spans(text, base, novelty, least_bytes=least_bytes, least_share=least_share)
-                spans = sorted(base + more, key=lambda x: (x[1], KINDS.index(x[0]))) if more else base
-                row = ([s[0] for s in spans], [s[1] for s in spans], [s[2] for s in spans],
-                       sha256(joined(base).encode()).hexdigest(), joined(spans))
-                rows.append(row if mask is None else (*row, masked(text, spans, mask)))
-            columns = list(zip(*rows)) or [[] for _ in fields[1:]]
+                base, spans = all_spans(text, novelty, least_bytes=least_bytes, least_share=least_share)
+                rows.append(([s[0] for s in spans], [s[1] for s in spans], [s[2] for s in spans],
+                             sha256(joined(base).encode()).hexdigest(), joined(spans)))
+            columns = list(zip(*rows)) or [[]] * (len(fields) - 1)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(fields)[1:]))], schema=fields)
 
-    return text_docs(docs, id_col=id_col, text_col=text_col).mapInArrow(run, ddl)
+    return text_docs(docs, id_col=id_col, text_col=text_col).mapInArrow(
+        run, "doc_id long, kinds array<string>, starts array<long>, ends array<long>, base_sha256 string, spans string")
+
+
+def mask_secrets(docs: DataFrame, *, text_col: str = "text", length_col: str | None = None, mask: str = "[SECRET]",
+                 least_bytes: int = 9, least_share: float = 0.5) -> DataFrame:
+    """``docs`` with every span of its texts masked, and ``length_col``, if named, counting the new code points."""
+    def change():
+        novelty = Novelty()
+
+        def step(batch, texts):
+            new = [t if t is None else
+                   masked(t, all_spans(t, novelty, least_bytes=least_bytes, least_share=least_share)[1], mask) for t in texts]
+            columns = dict(zip(batch.schema.names, batch.columns))
+            columns[text_col] = pa.array(new, pa.string())
+            if length_col:
+                kind = columns[length_col].type
+                columns[length_col] = pa.array(
+                    [n if a is b or a == b else len(b) for n, a, b in zip(columns[length_col].to_pylist(), texts, new)], kind)
+            return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+        return step
+
+    return map_batches(docs, change, text_col=text_col)

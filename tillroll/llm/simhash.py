@@ -120,3 +120,28 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def one_per_component(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                      radius: int = 3, segments: int = 2) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose id is the smallest of its component.
+
+    Of rows that repeat an id, the smallest row stays; rows without an id stay.
+    """
+    found = checkpointed(
+        near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, radius=radius, segments=segments)
+        .where("doc_id IS NOT NULL").select("doc_id", "component_id"))
+    names = docs.columns
+
+    def joined(left, ids, how):
+        return left.join(ids, left[id_col].cast("long") == ids["_component_doc_id"], how)
+
+    leave = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_component_doc_id")).distinct()
+    out = joined(docs, leave, "left_anti")
+    again = (found.groupBy(F.col("doc_id").alias("_component_doc_id")).agg(F.count("*").alias("n"))
+             .where("n > 1").select("_component_doc_id"))
+    if again.isEmpty():
+        return out
+    first = (joined(out, again, "left_semi").groupBy(F.col(id_col).alias("_component_doc_id"))
+             .agg(F.min(F.struct(*names)).alias("row")).select("row.*"))
+    return joined(out, again, "left_anti").unionByName(first)
