@@ -137,13 +137,13 @@ def oracle_sql() -> str:
     line = _sql_canonical("x")
     return f"""
 WITH known AS (
-  SELECT sha256(array_to_string(list_filter(list_transform(string_split(t, chr(10)), x -> {line}), y -> y <> ''), ' ')) AS digest,
+  SELECT sha256(array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: {line}), lambda y: y <> ''), ' ')) AS digest,
          min(i) AS license_id
   FROM (VALUES {values}) AS k(i, t) GROUP BY 1),
 lines AS (
-  SELECT doc_id, list_transform(string_split(coalesce(text, ''), chr(10)), x -> {line}) AS l FROM documents),
+  SELECT doc_id, list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {line}) AS l FROM documents),
 units AS (
-  SELECT doc_id, 0 AS line_no, array_to_string(list_filter(l, y -> y <> ''), ' ') AS canonical FROM lines
+  SELECT doc_id, 0 AS line_no, array_to_string(list_filter(l, lambda y: y <> ''), ' ') AS canonical FROM lines
   UNION ALL
   SELECT doc_id, unnest(range(1, len(l) + 1)) AS line_no, unnest(l) AS canonical FROM lines)
 SELECT doc_id, CASE WHEN line_no = 0 THEN 'document' ELSE 'line' END AS unit, CAST(line_no AS BIGINT) AS line_no,

@@ -34,6 +34,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillroll.llm.lm import score_texts
+
+    small_batches(spark)
+    return score_texts(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) == 2)
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillroll.llm.topk import top_k
 
@@ -59,6 +66,13 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_sha256", "spans")
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillroll.llm.html import extract
+
+    small_batches(spark)
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillroll.llm.langid import fit, identify
 
@@ -69,6 +83,17 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillroll.llm.toxicity import fit, score_toxicity
+
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    scorer = fit(docs, table(spark, sf_dir, "labels"), train=fold(F.col("doc_id"), 4) != 2)
+    return score_toxicity(docs, scorer).select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillroll.llm.decontaminate import contaminated
 
@@ -84,22 +109,25 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_lm": op2_lm,
     "op3_topk": op3_topk,
     "op4_simhash": op4_simhash,
     "op5_secrets": op5_secrets,
+    "op6_html": op6_html,
     "op7_language": op7_language,
+    "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_licenses": op10_licenses,
 }
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
