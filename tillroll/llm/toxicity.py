@@ -43,7 +43,7 @@ EDGES = re.compile(r"^(?:([^\w])\1\1+|[.,;:'\"()\[\]{}<>¿¡/\\-])*(.*?)(?:([^\w
 PARTS = re.compile(r"[^\W_]+")
 REPEATS = re.compile(r"(\w)\1\1")
 MEMO = 300_000
-SUMMARY = 3  # strongest words of a document that count
+SUMMARY = 4  # strongest words of a document that count
 BOUNDARY = "\x02"
 
 
@@ -159,7 +159,7 @@ class Words:
 
 def features(word: str) -> list[str]:
     """The word as a whole, and its first letters."""
-    return ["=" + word, *(word[:n] for n in (4, 5, 6) if len(word) > n)]
+    return ["=" + word, *(word[:n] for n in (4, 5, 6, 7) if len(word) > n)]
 
 
 class Scorer:
@@ -174,10 +174,10 @@ class Scorer:
         return self
 
     def strongest(self, text: str) -> list[float]:
-        """The largest word weights of a text, falling; 0 where there is none."""
+        """The largest word weights of a text, falling, 0 where there is none; then the log of its distinct words."""
         memo, get = self.memo, self.weights.get
-        found = []
-        for word in self.words(text):
+        found, words = [], self.words(text)
+        for word in words:
             w = memo.get(word)
             if w is None:
                 if len(memo) >= MEMO:
@@ -185,7 +185,7 @@ class Scorer:
                 w = memo[word] = max([0.0, *(x for f in features(word) if (x := get(f)))])
             if w:
                 found.append(w)
-        return (heapq.nlargest(SUMMARY, found) + [0.0] * SUMMARY)[:SUMMARY]
+        return [*(heapq.nlargest(SUMMARY, found) + [0.0] * SUMMARY)[:SUMMARY], math.log(1 + len(words))]
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         """Logistic regression by Newton's steps, with a small penalty."""
@@ -274,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     def summarise(batches):
         ready = scorer.start()
         for b in batches:
-            x = np.array([ready.strongest(t) for t in b.column("text").to_pylist()]).reshape(-1, SUMMARY)
+            x = np.array([ready.strongest(t) for t in b.column("text").to_pylist()]).reshape(-1, SUMMARY + 1)
             yield pa.RecordBatch.from_arrays(
                 [b.column("toxic"), pa.array(list(x), pa.list_(pa.float64()))], names=["toxic", "x"])
 
