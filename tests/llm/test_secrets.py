@@ -1,0 +1,77 @@
+import re
+from hashlib import sha256
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tillroll.llm.queries import op5_secrets
+from tillroll.llm.secrets import Novelty, all_spans, base_spans, joined, mask_secrets, masked, scan_secrets
+
+PATTERNS = (
+    ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+     lambda m: len(m[2]) >= 6),
+    ("access", "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+    ("hex", "[0-9a-f]+", lambda m: len(m[0]) >= 24),
+)
+
+
+def slow_spans(text):
+    found = [(m.start(), k, kind, m.end()) for k, (kind, p, keep) in enumerate(PATTERNS)
+             for m in re.finditer(p, text or "") if keep(m)]
+    return [(kind, a, b) for a, _, kind, b in sorted(found)]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["password", "PassWD", "secret", "toKen", "api_key", "APIKEY", "ſecret", "toKen", "=", " = ", ":",
+                                 "\"", "'", " ", "abc123", "AKIA", "ABCDEFGH12345678", "deadbeef", "0123456789", "é", "\n"]),
+                max_size=14).map("".join))
+def test_base_spans(text):
+    assert base_spans(text) == slow_spans(text)
+
+
+def test_query_equals_brute_force(spark):
+    path = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    rows = op5_secrets(spark, path).collect()
+    assert len(rows) == len(docs)
+    assert any(r["n_assign"] for r in rows)
+    for r in rows:
+        base = slow_spans(docs[r["doc_id"]])
+        kinds = [k for k, _, _ in base]
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [kinds.count(k) for k in ("assign", "access", "hex")]
+        assert r["base_sha256"] == sha256(joined(base).encode()).hexdigest()
+        assert set(filter(None, joined(base).split(","))) <= set(r["spans"].split(","))
+
+
+def novel(text):
+    return [text[a:b] for k, a, b in all_spans(text, Novelty())[1] if k == "novel"]
+
+
+def test_incompressible_strings_in_sensitive_context_are_reported():
+    assert novel("the authorization header is Zx9Kq2LmPv8RtYw3BnHs and so on") == ["Zx9Kq2LmPv8RtYw3BnHs"]
+    assert novel("private key id 7Gh2Kd9Qw4Zp1Xv6Bn3Mt8Ls follows") == ["7Gh2Kd9Qw4Zp1Xv6Bn3Mt8Ls"]
+
+
+def test_words_identifiers_repeats_and_other_contexts_are_not():
+    assert novel("the authorization header is application_config_pass1 and so on") == []
+    assert novel("order Zx9Kq2LmPv8RtYw3BnHs was sent") == []
+    seen = "Zx9Kq2LmPv8RtYw3BnHs"
+    assert novel(f"{seen} is the bearer {seen} again") == []
+    assert novel("bearer aaaaaaaaaaaaaaaaaaaaaaaaaaaa1111111111") == []
+
+
+def test_masking_overlapping_spans():
+    assert masked("abcdefgh", [("x", 1, 4), ("y", 2, 6)], "#") == "a#gh"
+
+
+def test_edge_rows(spark, edge_docs, no_docs):
+    rows = scan_secrets(edge_docs).collect()
+    assert len(rows) == edge_docs.count() and all(r["spans"] == "" for r in rows)
+    assert scan_secrets(no_docs).count() == 0
+    kept = mask_secrets(edge_docs, length_col="n_chars")
+    assert kept.schema == edge_docs.schema and sorted(map(repr, kept.collect())) == sorted(map(repr, edge_docs.collect()))
+    docs = spark.createDataFrame([(1, "x password=abcdef123 y", 22)], "doc_id long, text string, n_chars int")
+    assert [tuple(r) for r in mask_secrets(docs, length_col="n_chars").collect()] == [(1, "x [SECRET] y", 12)]
+    many = "token=abcdefgh " * 20_000
+    long = spark.createDataFrame([(1, many)], "doc_id long, text string")
+    assert scan_secrets(long).first()["spans"].count("assign") == 20_000

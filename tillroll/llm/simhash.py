@@ -76,6 +76,9 @@ def near_pairs(classes: DataFrame, *, radius: int = 3, segments: int = 2) -> Dat
     on one side only: of two values that differ, only the one with the smaller
     segment value flips bits, so each flip set starts at a bit that is 0 there.
     """
+    if segments < 2:
+        raise ValueError("a segment must be shorter than a fingerprint")
+
     def value(start, width):
         return F.shiftrightunsigned("fp", start).bitwiseAND(F.lit((1 << width) - 1))
 
