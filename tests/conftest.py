@@ -7,7 +7,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from tillroll.session import build_session, checkpoint_dir  # noqa: E402
+from tillroll.session import build_session  # noqa: E402
 
 SF0001 = "/root/testdata/sf0.001"
 
@@ -17,7 +17,7 @@ def spark():
     wh = tempfile.mkdtemp(prefix="tillroll-wh-")
     s = build_session(master="local[4]", shuffle_partitions=4, driver_memory="4g",
                       extra={"spark.sql.warehouse.dir": wh})
-    checkpoint_dir(s)  # sets a scratch checkpoint folder only because none is configured
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-ckpt-"))
     yield s
     s.stop()
 

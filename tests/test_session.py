@@ -1,7 +1,10 @@
 """Session helpers: partition sizing and the checkpoint folder rule."""
 
-import pytest
+import os
+import subprocess
+import sys
 
+from conftest import ROOT
 from tillroll.session import checkpoint_dir, default_shuffle_partitions
 
 
@@ -43,11 +46,16 @@ def test_checkpoint_dir_from_cluster_setting():
     assert ctx.getCheckpointDir() == "hdfs:///shared/ckpt"
 
 
-def test_no_local_folder_on_a_cluster():
-    with pytest.raises(RuntimeError):
-        checkpoint_dir(_Session(_Ctx("spark://master:7077")))
+def test_no_local_folder_is_picked():
+    assert checkpoint_dir(_Session(_Ctx("spark://master:7077"))) is None
+    assert checkpoint_dir(_Session(_Ctx("local[2]"))) is None
 
 
-def test_local_folder_only_for_local_masters():
-    d = checkpoint_dir(_Session(_Ctx("local[2]")))
-    assert d and d.startswith("/")
+def test_submitted_settings_are_kept(scratch):
+    """A job started with a master and partitions of its own keeps them."""
+    code = ("from tillroll.session import job_session; s = job_session(); "
+            "print('KEPT', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'))")
+    env = {**os.environ, "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.sql.shuffle.partitions=333 "
+           "--conf spark.ui.enabled=false pyspark-shell", "PYTHONPATH": ROOT}
+    out = subprocess.run([sys.executable, "-c", code], env=env, cwd=scratch, capture_output=True, text=True, timeout=120)
+    assert "KEPT local[2] 333" in out.stdout, out.stderr[-500:]

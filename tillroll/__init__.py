@@ -4,5 +4,3 @@
 Every transform takes DataFrames and returns a DataFrame; actions only happen
 in sinks, the pipeline runner and the test helpers.
 """
-
-DEFAULT_AS_OF = "2001-08-02"

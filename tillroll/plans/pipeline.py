@@ -8,130 +8,84 @@ read back, so later models start from storage, not from the whole lineage
 from __future__ import annotations
 
 import time
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .. import DEFAULT_AS_OF
 from ..operators import kpis, quality
-from ..session import checkpoint_dir
-from ..sinks import save_view
+from ..session import default_shuffle_partitions
+from ..sinks import save_table, save_view
 from ..sources import envelopes
 from ..sources.fixtures import Bronze
+from ..streaming import QUARANTINED, generation, load_files, read_loaded
 from .models import DATA_TESTS, MODELS, Warehouse
 
 ENTITY_FILES = ("customers", "products", "orders")
 
 
-def load_bronze(spark: SparkSession, landing_root: str, bronze_root: str, multi_line: bool = True) -> dict:
-    """Batch load (S6-S8): every landed file is read once in one distributed
-    scan per entity, exploded and written to bronze; unreadable files go to
-    a quarantine folder.  Returns per-entity record totals (S7)."""
-    totals = {}
+def load_bronze(spark: SparkSession, landing_root: str, bronze_root: str, full: bool = True) -> dict:
+    """Load landed files (S6-S8): all of them into a new generation of tables,
+    or only those the latest generation has not read.  Returns its folder and
+    per-entity counts of loaded and quarantined records (S7)."""
+    folder = generation(spark, bronze_root, full)
+    out: dict = {"folder": folder, "loaded": {}, "quarantined": {}}
     for entity in ENTITY_FILES:
-        env = envelopes.read_envelopes(spark, landing_root, entity, multi_line)
-        good, bad = envelopes.quarantine(env)
-        bad.write.mode("overwrite").parquet(
-            f"{bronze_root}/_quarantine/{entity}")
-        envelopes.explode_records(good, entity).write.mode("overwrite").parquet(f"{bronze_root}/{entity}")
-        if entity == "orders":
-            envelopes.explode_lines(good).write.mode("overwrite").parquet(f"{bronze_root}/orders_lines")
-        totals[entity] = spark.read.parquet(f"{bronze_root}/{entity}").count()
-    return totals
+        load_files(spark, landing_root, entity, folder)
+        out["loaded"][entity] = read_loaded(spark, folder, entity).count()
+        out["quarantined"][entity] = read_loaded(spark, folder, entity, QUARANTINED).count()
+    return out
 
 
-def read_bronze(spark: SparkSession, bronze_root: str) -> Bronze:
-    r = lambda n: spark.read.parquet(f"{bronze_root}/{n}")
-    return Bronze.from_frames(r("customers"), r("products"), r("orders"), r("orders_lines"))
+def read_bronze(spark: SparkSession, folder: str) -> Bronze:
+    """The bronze frames of one generation."""
+    carts = read_loaded(spark, folder, "orders")
+    return Bronze.from_frames(read_loaded(spark, folder, "customers"), read_loaded(spark, folder, "products"),
+                              carts, envelopes.explode_lines(carts))
 
 
-# Tables written bucketed (and sorted) by their join key: every later join,
-# lookup and per-customer aggregate on ``customer_id`` reads them without a
-# shuffle.
-BUCKET_BY = {"dim_customer": "customer_id", "fact_orders": "customer_id"}
-
-
-def build_models(w: Warehouse, model_root: str, register_views: bool = True, buckets: int | None = None) -> list[str]:
+def build_models(w: Warehouse, model_root: str) -> list[str]:
     """Materialize every model in dependency order (K3, K4): tables are
-    written once and read back (later models start from storage), views
-    stay lazy and are registered under their alias.  With ``buckets``, the
-    tables in :data:`BUCKET_BY` are saved as bucketed catalog tables."""
+    written once, registered and read back (later models start from storage),
+    views stay lazy and are registered under their alias.
+
+    Tables are not bucketed: a bucket grows with the data and with its hottest
+    key, while a shuffle can be sized and split when it runs."""
     spark = w.stg_customers.sparkSession
     built = []
     for m in MODELS:
         df = w.model(m.name)
         if m.materialized == "table":
-            path = f"{model_root.rstrip('/')}/{m.name}"
-            key = BUCKET_BY.get(m.name)
-            if buckets and key:
-                (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
-                 .option("path", path).saveAsTable(m.name))
-                w.override(m.name, spark.table(m.name))
-            else:
-                df.write.mode("overwrite").parquet(path)
-                w.override(m.name, spark.read.parquet(path))
-        elif register_views:
+            save_table(df, m.name, f"{model_root.rstrip('/')}/{m.name}")
+            w.override(m.name, spark.table(m.name))
+        else:
             save_view(df, m.alias or m.name)
         built.append(m.name)
     return built
 
 
-# The one orders-sized model that every mart and several tests read.
-SHARED_MODELS = ("fact_orders",)
-
-
-def materialized(spark: SparkSession, w: Warehouse, names=SHARED_MODELS) -> Warehouse:
-    """``w`` with the models in ``names`` written once under the session's
-    shared checkpoint folder and read back, for jobs that read them many
-    times (the data-test suite, the report).  The smaller customer- and
-    product-sized models are recomputed where used; Spark reuses their
-    shuffles inside one plan."""
-    base = checkpoint_dir(spark)
-    if not base:  # nowhere shared to write: recompute instead (same results)
-        return w
-    root = f"{base.rstrip('/')}/tillroll-models-{uuid.uuid4().hex}"
-    for name in names:
-        path = f"{root}/{name}"
-        w.model(name).write.mode("overwrite").parquet(path)
-        w.override(name, spark.read.parquet(path))
-    return w
-
-
-def load_bronze_incremental(spark: SparkSession, landing_root: str, bronze_root: str, checkpoint_root: str,
-                            multi_line: bool = True) -> dict:
-    """Append only files not loaded before (Structured Streaming,
-    ``availableNow``); re-running over the same landing folder adds nothing.
-    Returns per-entity record totals in bronze."""
-    from ..streaming import load_incremental
-
-    totals = {}
-    for entity in ENTITY_FILES:
-        load_incremental(spark, landing_root, entity, f"{bronze_root}/{entity}", checkpoint_root, multi_line)
-        totals[entity] = spark.read.parquet(f"{bronze_root}/{entity}").count()
-    return totals
+def size_shuffles(spark: SparkSession, landing_root: str) -> None:
+    """Shuffle partitions for the landed bytes, unless the job was given a number."""
+    if spark.sparkContext.getConf().get("spark.sql.shuffle.partitions") is None:
+        size = envelopes.landing_manifest(spark, landing_root).agg(F.sum("length").alias("n")).first()["n"] or 0
+        spark.conf.set("spark.sql.shuffle.partitions", str(default_shuffle_partitions(size)))
 
 
-def run_pipeline(spark: SparkSession, landing_root: str, work_root: str, as_of=DEFAULT_AS_OF,
-                 multi_line: bool = True, incremental: bool = False) -> dict:
-    """Load, build, test and report.  ``incremental`` loads new files only
-    (checkpointed under ``work_root``) instead of reloading every file."""
+def run_pipeline(spark: SparkSession, landing_root: str, work_root: str, as_of=None, incremental: bool = False) -> dict:
+    """Load, build, test and report.  ``as_of`` is the build date, today by
+    default.  ``incremental`` loads new files only instead of reloading all."""
     t0 = time.time()
-    bronze_root, model_root = f"{work_root}/bronze", f"{work_root}/models"
-    if incremental:
-        loaded = load_bronze_incremental(spark, landing_root, bronze_root, f"{work_root}/_stream_checkpoints",
-                                         multi_line)
-    else:
-        loaded = load_bronze(spark, landing_root, bronze_root, multi_line)
-    w = Warehouse(read_bronze(spark, bronze_root), as_of)
-    built = build_models(w, model_root, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size_shuffles(spark, landing_root)
+    load = load_bronze(spark, landing_root, f"{work_root}/bronze", full=not incremental)
+    w = Warehouse(read_bronze(spark, load["folder"]), as_of)
+    built = build_models(w, f"{work_root}/models")
     results: DataFrame = quality.run_tests(w.models(), DATA_TESTS)
     tests = [r.asDict() for r in results.collect()]  # 35 rows
     raw = {"customers": w.bronze.customers, "products": w.bronze.products, "orders": w.bronze.carts}
     report = [r.line for r in kpis.kpi_report_text(
-        w.dim_customer, w.dim_product, w.fact_orders, w.mtd_revenue, w.revenue_daily,
+        w.dim_customer, w.fact_orders, w.mtd_revenue, w.revenue_daily,
         w.customer_metrics, raw).orderBy("line_no").collect()]  # 18 lines
     return {
-        "loaded": loaded,
+        **load,
         "models_built": built,
         "tests": tests,
         "tests_passed": sum(1 for t in tests if t["failing_rows"] == 0),

@@ -36,10 +36,6 @@ CART = _st(
 )
 
 
-def envelope(key: str, record: T.StructType) -> T.StructType:
-    return _st((key, T.ArrayType(record)), ("total", L), ("skip", L), ("limit", L))
-
-
 # Entity -> (envelope key, record schema, singular column name in bronze).
 # Fixed values of the source API: entity names and their JSON array keys.
 ENTITIES = {
@@ -48,15 +44,9 @@ ENTITIES = {
     "orders": ("carts", CART, "cart"),
 }
 
-ENVELOPES = {e: envelope(k, r) for e, (k, r, _) in ENTITIES.items()}
-
-
 def table_name(entity: str) -> str:
-    """Raw table of an entity; unknown entities get ``stg_<entity>``."""
-    return {"customers": "stg_customers", "products": "stg_products", "orders": "stg_orders"}.get(
-        entity, f"stg_{entity}"
-    )
-
+    """Raw table of an entity."""
+    return f"stg_{entity}"
 
 
 # Columns of the driver's test tables that the adapter reads, declared so a
@@ -69,6 +59,6 @@ TEST_TABLES = {
     "part": _st(("p_partkey", L), ("p_name", S), ("p_brand", S), ("p_type", S), ("p_size", _I),
                 ("p_retailprice", D)),
     "orders": _st(("o_orderkey", L), ("o_custkey", L), ("o_orderdate", _TS)),
-    "lineitem": _st(("l_orderkey", L), ("l_partkey", L), ("l_quantity", D), ("l_extendedprice", D),
+    "lineitem": _st(("l_orderkey", L), ("l_partkey", L), ("l_linenumber", _I), ("l_quantity", D), ("l_extendedprice", D),
                     ("l_discount", D)),
 }

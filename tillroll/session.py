@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where an aggregate on the same key follows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
@@ -40,7 +42,7 @@ def build_session(
     extra: dict | None = None,
 ) -> SparkSession:
     """Local/test session.  On a cluster, spark-submit supplies master and
-    memory; call :func:`apply_runtime_conf` on the session you get."""
+    memory; see :func:`job_session`."""
     b = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -58,28 +60,32 @@ def build_session(
     return spark
 
 
+def job_session() -> SparkSession:
+    """The session of a job: the active one, the one spark-submit describes
+    (its master, memory and partitions are left as they are), or, started by
+    plain Python, a local one."""
+    active = SparkSession.getActiveSession()
+    if active is None and ("PYSPARK_GATEWAY_PORT" in os.environ or "PYSPARK_SUBMIT_ARGS" in os.environ):
+        active = SparkSession.builder.getOrCreate()
+    return apply_runtime_conf(active) if active else build_session()
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, set on the context.
 
-    Only when it is unset and the master is local (tests) do we pick a
-    scratch folder; on a cluster the setting must point at shared storage.
-    Without a SparkContext (Spark Connect) the session setting is returned,
-    or None.
+    A local folder is never picked on a cluster.  Without a SparkContext
+    (Spark Connect) the session setting is returned, or None.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
         return spark.conf.get("spark.checkpoint.dir", None)
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
-        d = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-    sc.setCheckpointDir(d)
+    if d:
+        sc.setCheckpointDir(d)
     return d
 
 
 def default_shuffle_partitions(input_bytes: int, target_bytes: int = 128 << 20) -> int:
     """Size shuffle partitions so each holds about ``target_bytes``."""
     return max(8, -(-input_bytes // target_bytes))
-

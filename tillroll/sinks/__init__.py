@@ -53,30 +53,42 @@ def append_by_name(df: DataFrame, name: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(name)
 
 
+# Connections that a copy opens at once, at most.
+CONNECTIONS = 16
+
+
 def copy_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
-              batch_size: int = 10000, num_partitions: int | None = None) -> str:
+              batch_size: int = 10000, connections: int = CONNECTIONS) -> str:
     """Append ``df`` to an external database table (K7): skipped when empty,
-    never an upsert.  Each executor writes its own partitions.
-    ``num_partitions`` caps concurrent connections to the database."""
+    never an upsert.  Each executor writes its own partitions, over at most
+    ``connections`` connections."""
     if df.isEmpty():
         return "skipped"
-    out = df.coalesce(num_partitions) if num_partitions else df
-    opts = {"batchsize": str(batch_size), **(properties or {})}
-    out.write.mode("append").jdbc(url, table, properties=opts)
+    opts = {"batchsize": str(batch_size), "numPartitions": str(connections), **(properties or {})}
+    df.write.mode("append").jdbc(url, table, properties=opts)
     return "written"
 
 
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists, on any file system Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def copy_tables(spark: SparkSession, names: list[str], url: str, properties: dict | None = None,
-                writer=copy_jdbc) -> list[tuple[str, str]]:
-    """Copy a list of tables (K8).  Tables that do not exist are reported as
-    'missing' and the rest go on."""
+                writer=copy_jdbc, folder: str | None = None) -> list[tuple[str, str]]:
+    """Copy a list of tables (K8), from the catalog or from Parquet below
+    ``folder``.  Tables that do not exist are reported as 'missing' and the
+    rest go on, also when one fails."""
     report = []
     for name in names:
-        if not spark.catalog.tableExists(name):
+        path = f"{folder.rstrip('/')}/{name}" if folder else None
+        if not (stored(spark, path) if path else spark.catalog.tableExists(name)):
             report.append((name, "missing"))
             continue
         try:
-            report.append((name, writer(spark.table(name), url, name, properties)))
+            df = spark.read.parquet(path) if path else spark.table(name)
+            report.append((name, writer(df, url, name, properties)))
         except Exception as e:  # noqa: BLE001 - one failed table must not stop the others
             report.append((name, f"error: {type(e).__name__}"))
     return report

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..plans.models import MODELS
+from ..plans.models import analytics_models  # noqa: F401  (S16)
 
 
 def list_tables(spark: SparkSession, db: str | None = None) -> list[str]:
@@ -42,11 +42,6 @@ def inspect(spark: SparkSession, names: list[str]) -> list[dict]:
     return out
 
 
-def analytics_models(tag: str = "analytics") -> dict[str, str]:
-    """Alias -> catalog name of the models carrying ``tag``."""
-    return {m.name: (m.alias or m.name) for m in MODELS if tag in m.tags}
-
-
 def present_models(spark: SparkSession, models: dict[str, str], db: str | None = None) -> dict[str, str]:
     """The registered models that exist in the catalog; their number is
     the 'reports executed' count of the dashboard."""

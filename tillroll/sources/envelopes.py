@@ -1,85 +1,168 @@
-"""Landed JSON envelopes -> bronze records.
-
-An envelope is one JSON object holding an array of records under the
-entity's key plus counters (``total``, ``skip``, ``limit``).  Bronze keeps one
-row per record: the array is exploded right after the scan, and each row
-carries the file it came from (``_source``) and the source's ``total``.  So no
-later step ever handles a whole file as one value.
-
-``explode`` (not ``explode_outer``): envelopes whose array is NULL or empty
-yield no rows, i.e. a file without records is not loaded.
+"""Landed JSON files -> bronze records.
+
+A landed file holds one or more JSON values: an envelope (an object with the
+entity's records under its key, plus ``total``), or a bare list of records.  It
+may be pretty-printed (one value over many lines, as the API client lands it)
+or hold one value per line (as :func:`land` writes it).  Framing is found line
+by line, never declared: a line that is an envelope or a list of objects by
+itself is one; all other lines of a file are put together again as one value.
+
+Every value is split into the raw text of its records, and every record is
+parsed once, on its own: a record that does not fit the schema, or a value
+that is no JSON of a known shape, becomes a quarantined row that keeps its raw
+text.  So loaded plus quarantined rows account for all that was landed.
 """
 
 from __future__ import annotations
 
-import os
+import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CART, ENTITIES, ENVELOPES
+from ..schemas import CART, ENTITIES
 
 CORRUPT = "_corrupt_record"
 CART_HEADER = T.StructType([f for f in CART.fields if f.name != "products"])
+LANDING_COLUMNS = ("_source", "_landed", "_total")
+# ``<entity>_YYYYMMDD_HHMMSS``: the name of one fetch, a file or a folder of part files.
+FETCH = r"^(.*/[^/]*_\d{8}_\d{6})"
+
+
+def require_folder(spark: SparkSession, path: str) -> str:
+    """``path``, or FileNotFoundError when it is missing, whatever its URI scheme."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        raise FileNotFoundError(path)
+    return path
+
+
+def _line_columns() -> list[Column]:
+    return [F.col("value"), F.col("_metadata.file_path").alias("_source"),
+            F.col("_metadata.file_modification_time").alias("_landed"),
+            F.col("_metadata.file_block_start").alias("_block")]
+
+
+def read_lines(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """Lines of all ``*.json`` files below ``root/entity``, at any depth."""
+    path = require_folder(spark, f"{root.rstrip('/')}/{entity}")
+    return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+            .text(path).select(*_line_columns()))
 
 
-def envelope_schema(entity: str) -> T.StructType:
-    return T.StructType(ENVELOPES[entity].fields + [T.StructField(CORRUPT, T.StringType(), True)])
+def stream_lines(spark: SparkSession, root: str, entity: str, max_files: int | None = None) -> DataFrame:
+    """The same lines as a stream that yields each file once."""
+    path = require_folder(spark, f"{root.rstrip('/')}/{entity}")
+    r = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.text(path).select(*_line_columns())
 
 
-def read_envelopes(spark: SparkSession, root: str, entity: str, multi_line: bool = True) -> DataFrame:
-    """All ``*.json`` files below ``root/entity`` (any depth), one row per
-    envelope, with the file path as ``_source`` (S1, S2).
+def landed_values(lines: DataFrame, entity: str) -> DataFrame:
+    """One row per JSON value of a file: ``_source, _landed, text``.
 
-    Pretty-printed files (one envelope per file, as the API client lands
-    them) need ``multi_line``; the Spark landing writer emits one envelope
-    per line, which splits across tasks.  Malformed files surface in
-    ``_corrupt_record`` (PERMISSIVE), see :func:`quarantine`.  A missing
-    folder gives an empty frame of the schema.
+    Only lines that are no value by themselves are brought together by file;
+    such a file is one JSON value, which any reader has to hold at once.
     """
-    path = os.path.join(root, entity)
-    schema = envelope_schema(entity)
-    if not os.path.exists(path) and "://" not in root:
-        return spark.createDataFrame([], schema).withColumn("_source", F.lit(None).cast("string"))
-    df = (
-        spark.read.schema(schema)
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .json(path)
-    )
-    return df.withColumn("_source", F.col("_metadata.file_path"))
+    key = ENTITIES[entity][0]
+    whole = F.col("value").rlike(
+        rf'^\s*(\{{.*"{key}"\s*:\s*(\[|\{{|null).*\}}|\[\s*(\{{.*\}})?\s*\])\s*$')
+    alone = lines.where(whole).select("_source", "_landed", F.col("value").alias("text"))
+    # Ids rise with the line inside a block, blocks with their start in the file.
+    at = F.struct(F.col("_block"), F.monotonically_increasing_id().alias("line"), F.col("value"))
+    rest = (lines.withColumn("_at", at).where(~whole & (F.trim("value") != ""))
+            .groupBy("_source", "_landed").agg(F.sort_array(F.collect_list("_at")).alias("_lines"))
+            .select("_source", "_landed", F.array_join(F.col("_lines.value"), "\n").alias("text")))
+    return alone.unionByName(rest)
+
+
+def _texts(json: Column) -> Column:
+    """Raw texts of the elements of a JSON array; NULL when it is malformed."""
+    return F.from_json(json, "array<string>")
+
+
+def parse_records(values: DataFrame, entity: str) -> DataFrame:
+    """One row per landed record (U1): ``_source, _landed, _total, <record>, _bad``.
+
+    ``_bad`` is NULL, or the raw text of what could not be loaded: the whole
+    value when it is malformed or of an unknown shape, else one record.
+    Values without records (no key, NULL, an empty list) give no row.
+    """
+    key, record, single = ENTITIES[entity]
+    # Inside brackets a text parses as a list of its values, and anything
+    # after or between them that is no JSON makes the whole malformed.
+    roots = values.select("_source", "_landed", "text", F.explode_outer(
+        _texts(F.concat(F.lit("["), F.col("text"), F.lit("]")))).alias("root"))
+    env = F.from_json("root", T.StructType([T.StructField(key, T.StringType()), T.StructField("total", T.StringType())]))
+    roots = roots.withColumn("_env", F.when(F.col("root").startswith("{"), env))
+    held = F.ltrim(F.col("_env")[key])
+    texts = (F.when(F.col("root").startswith("["), _texts(F.col("root")))
+             .when(F.col("_env").isNull(), F.array(F.lit(None).cast("string")))  # malformed or a scalar
+             .when(held.isNull(), F.array().cast("array<string>"))
+             .when(held.startswith("["), _texts(held))
+             .otherwise(F.array(held)))  # a single record without its list
+    known = F.col("root").startswith("[") | F.col("_env").isNotNull()
+    rows = roots.select("_source", "_landed", F.col("_env.total").try_cast("bigint").alias("_total"),
+                        F.coalesce(known, F.lit(False)).alias("_known"), "text", F.explode(texts).alias("_raw"))
+    schema = T.StructType([*record.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = rows.withColumn("_rec", F.when(F.col("_known"), F.from_json("_raw", schema, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})))
+    bad = (F.when(~F.col("_known"), F.col("text"))
+           .when(F.col("_rec").isNull(), F.coalesce("_raw", F.lit("null")))
+           .otherwise(F.col("_rec")[CORRUPT]))
+    return parsed.select("_source", "_landed", "_total", bad.alias("_bad"),
+                         F.when(bad.isNull(), F.struct(*[F.col("_rec")[f.name].alias(f.name) for f in record.fields])).alias(single))
+
+
+def split(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(loaded, quarantined) rows of :func:`parse_records`."""
+    return records.where("_bad IS NULL").drop("_bad"), records.where("_bad IS NOT NULL").select(
+        "_source", "_landed", F.col("_bad").alias("text"))
+
+
+def load(spark: SparkSession, root: str, entity: str) -> tuple[DataFrame, DataFrame]:
+    """(loaded, quarantined) records of all landed files of an entity."""
+    return split(parse_records(landed_values(read_lines(spark, root, entity), entity), entity))
+
+
+def explode_lines(carts: DataFrame) -> DataFrame:
+    """The lines of bronze carts: ``cart_id, line``, one row per order line.
+
+    Carts without lines are dropped after the explode: a plain one would make
+    Spark check the array below it, and so parse a cart's JSON once more."""
+    return carts.select(F.col("cart.id").alias("cart_id"), F.explode_outer("cart.products").alias("line")).where(
+        "line IS NOT NULL")
 
 
 def landed_files(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    """Paths of all ``*.json`` files below ``root/entity``, any depth
-    (file metadata only)."""
-    path = os.path.join(root, entity)
-    if not os.path.exists(path) and "://" not in root:
-        return spark.createDataFrame([], "path string")
+    """Paths of all ``*.json`` files below ``root/entity``, any depth (file metadata only)."""
+    path = require_folder(spark, f"{root.rstrip('/')}/{entity}")
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.json").load(path).select("path"))
 
 
-def frozen_schema(spark: SparkSession, root: str, entity: str, multi_line: bool = True) -> T.StructType | None:
+def frozen_schema(spark: SparkSession, root: str, entity: str) -> T.StructType | None:
     """The schema inferred from the lexicographically first landed file,
     or None when nothing was landed.  Inference reads that one file only;
     the result is meant to be frozen (stored) and passed to later reads."""
-    first = landed_files(spark, root, entity).agg(F.min("path").alias("p")).first()["p"]
+    try:
+        first = landed_files(spark, root, entity).agg(F.min("path").alias("p")).first()["p"]
+    except FileNotFoundError:
+        return None
     if first is None:
         return None
-    return spark.read.option("multiLine", multi_line).json(first).schema
+    return spark.read.option("multiLine", True).json(first).schema
 
 
 def create_raw_table_if_needed(spark: SparkSession, table: str, root: str, entity: str,
                                path: str | None = None) -> bool:
-    """Create the empty raw table from the first file's schema.  No-op
-    (False) when the table exists; False when no file was landed."""
+    """True when the raw table exists or was created from the first file's
+    schema; False when no file was landed."""
     if spark.catalog.tableExists(table):
-        return False
+        return True
     schema = frozen_schema(spark, root, entity)
     if schema is None:
         return False
@@ -88,42 +171,6 @@ def create_raw_table_if_needed(spark: SparkSession, table: str, root: str, entit
     return create_empty(spark, table, schema, path)
 
 
-def quarantine(env: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split envelopes into (good, bad); bad rows are whole unreadable files.
-
-    ``bad`` keeps the ``total`` counter next to the raw text: Spark rejects a
-    scan of raw JSON whose only data column is the corrupt-record column, so
-    writing ``bad`` (one scan, no cache) needs a parsed column alongside."""
-    bad = env.where(F.col(CORRUPT).isNotNull()).select("_source", CORRUPT, "total")
-    good = env.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return good, bad
-
-
-def explode_records(env: DataFrame, entity: str) -> DataFrame:
-    """One bronze row per record: ``_source, _total, <record>``.
-
-    For orders the cart's line array is dropped here; :func:`explode_lines`
-    keeps it as its own table."""
-    key, _, single = ENTITIES[entity]
-    rec = F.explode(F.col(key)).alias(single)
-    # ``_total`` stays NULL when the source reports none; readers fall back
-    # to the landed count over all files (one file's size is not a total).
-    out = env.select("_source", F.col("total").alias("_total"), rec)
-    if entity == "orders":
-        out = out.select("_source", "_total",
-                         F.struct(*[F.col(f"{single}.{f.name}") for f in CART_HEADER.fields]).alias(single))
-    return out
-
-
-def explode_lines(env: DataFrame) -> DataFrame:
-    """Carts, then their products: one row per order line,
-    ``cart_id, line``.  Only the fields used downstream are projected before
-    the second explode."""
-    carts = env.select(F.explode(F.col("carts")).alias("cart")).select(
-        F.col("cart.id").alias("cart_id"), F.col("cart.products").alias("products"))
-    return carts.select("cart_id", F.explode("products").alias("line"))
-
-
 def batch_counts(bronze: DataFrame, entity: str) -> DataFrame:
     """Records per landed file.  Files without records never reach bronze."""
     return bronze.groupBy(F.col("_source").alias("source")).agg(F.count(F.lit(1)).alias("records")).select(
@@ -143,14 +190,21 @@ def load_totals(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def fetch_of(source: Column) -> Column:
+    """The fetch a file belongs to: its path up to ``<entity>_YYYYMMDD_HHMMSS``, else the file itself."""
+    named = F.regexp_extract(source, FETCH, 1)
+    return F.when(named != "", named).otherwise(source)
+
+
 def completeness(frames: dict[str, DataFrame]) -> DataFrame:
-    """Records landed against the total the source reports (the total
-    defaults to the landed count when the source gives none)."""
+    """Per fetch, records landed against the total that fetch reports
+    (the landed count when it reports none)."""
     parts = []
     for entity, df in frames.items():
-        g = df.agg(F.count(F.lit(1)).alias("landed"), F.max("_total").alias("_reported"))
+        g = df.groupBy(fetch_of(F.col("_source")).alias("batch")).agg(
+            F.count(F.lit(1)).alias("landed"), F.max("_total").alias("_reported"))
         parts.append(g.select(
-            F.lit(entity).alias("entity"), "landed",
+            F.lit(entity).alias("entity"), "batch", "landed",
             F.coalesce(F.col("_reported"), F.col("landed")).alias("reported_total"),
         ).withColumn("complete", F.col("landed") >= F.col("reported_total")))
     out = parts[0]
@@ -159,6 +213,12 @@ def completeness(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def page_of(page_size: int) -> Column:
+    """A page number that at most ``page_size`` rows share, whatever the data:
+    row ids are consecutive inside a partition and unique over all."""
+    return F.expr(f"monotonically_increasing_id() div {page_size}")
+
+
 def page_records(records: DataFrame, key: str, page_size: int = 100, total: int | None = None) -> DataFrame:
     """Pack record rows into envelopes of at most ``page_size`` records (K1).
 
@@ -168,7 +228,7 @@ def page_records(records: DataFrame, key: str, page_size: int = 100, total: int
     """
     rec_cols = [c for c in records.columns]
     with_id = records.withColumn("_rid", F.monotonically_increasing_id())
-    page = F.floor(F.col("_rid") / F.lit(page_size)).cast("bigint")
+    page = F.expr(f"_rid div {page_size}")
     g = with_id.groupBy(page.alias("_page")).agg(
         F.sort_array(F.collect_list(F.struct(F.col("_rid"), F.struct(*rec_cols).alias("r")))).alias("_rs"))
     arr = F.transform(F.col("_rs"), lambda x: x["r"])
@@ -177,15 +237,16 @@ def page_records(records: DataFrame, key: str, page_size: int = 100, total: int
                     F.lit(page_size).cast("bigint").alias("limit"))
 
 
-def land(records: DataFrame, root: str, entity: str, day: str, page_size: int = 100,
+def land(records: DataFrame, root: str, entity: str, at: str | _dt.datetime | None = None, page_size: int = 100,
          total: int | None = None) -> str:
-    """Write records as envelopes under ``root/entity/YYYY/MM/DD`` (K1, K2:
-    the URI scheme picks the file system, e.g. ``s3a://``).  Appends; returns
-    the folder written."""
-    key, _, _ = ENTITIES[entity]
-    y, m, d = day.split("-")
-    out = f"{root.rstrip('/')}/{entity}/{y}/{m}/{d}"
-    page_records(records, key, page_size, total).write.mode("append").json(out)
+    """Write records as envelopes, one per line, under
+    ``root/entity/YYYY/MM/DD/<entity>_YYYYMMDD_HHMMSS/`` (K1, K2: the URI
+    scheme picks the file system, e.g. ``s3a://``).  ``at`` is the time of the
+    fetch in UTC, now by default; paths of one entity sort by it.  Returns the
+    folder written."""
+    when = _dt.datetime.now(_dt.timezone.utc) if at is None else _dt.datetime.fromisoformat(str(at))
+    out = (f"{root.rstrip('/')}/{entity}/{when:%Y/%m/%d}/{entity}_{when:%Y%m%d_%H%M%S}")
+    page_records(records, ENTITIES[entity][0], page_size, total).write.mode("append").json(out)
     return out
 
 
@@ -194,7 +255,7 @@ def landing_manifest(spark: SparkSession, root: str) -> DataFrame:
     (the file content is never read)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", "*.json").load(root).select("path", "length"))
-    rx = r"/([^/]+)/(\d{4})/(\d{2})/(\d{2})/[^/]+$"
+    rx = r"/([^/]+)/(\d{4})/(\d{2})/(\d{2})/"
     return files.select(
         F.regexp_extract("path", rx, 1).alias("entity"),
         F.concat_ws("-", F.regexp_extract("path", rx, 2), F.regexp_extract("path", rx, 3),

@@ -1,47 +1,73 @@
-"""Incremental loading of landed files with Structured Streaming.
+"""Loading of landed files with Structured Streaming.
 
-The original loader re-appends every landed file on every run.  Here a file
-stream source with a checkpoint remembers which files were loaded, so each
-file reaches bronze exactly once; ``availableNow`` processes what is there
-and stops, so the job runs as a batch on a schedule.  Stateless: no
-watermark or state store is needed.
+One loader serves a full reload and an incremental load.  A file stream
+remembers, in its checkpoint, which files it has read, so each file reaches
+bronze once; ``availableNow`` processes what is there and stops, so the job
+runs as a batch on a schedule.  Every micro-batch is parsed by the functions
+of :mod:`tillroll.sources.envelopes` and written by one job: loaded and
+quarantined rows side by side, in a folder of its own that a retry overwrites,
+so files are loaded exactly once.
+
+A full reload starts a new generation: new checkpoint, new tables.  Later
+incremental loads go on with the latest generation.  Nothing is deleted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.envelopes import CORRUPT, envelope_schema, explode_lines, explode_records
-
-
-def _stream(spark: SparkSession, root: str, entity: str, multi_line: bool, max_files: int | None):
-    r = (spark.readStream.schema(envelope_schema(entity))
-         .option("multiLine", multi_line)
-         .option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", CORRUPT))
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    # Landing layout: <root>/<entity>/YYYY/MM/DD/<file>.json
-    env = r.json(f"{root.rstrip('/')}/{entity}/*/*/*/*.json")
-    return env.withColumn("_source", F.col("_metadata.file_path")).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-
-
-def _run(df, path: str, checkpoint: str) -> None:
-    q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-
-
-def load_incremental(spark: SparkSession, root: str, entity: str, bronze_path: str, checkpoint: str,
-                     multi_line: bool = True, max_files: int | None = None) -> None:
-    """Append records of files not yet loaded to ``bronze_path`` (and, for
-    orders, their lines to ``bronze_path + '_lines'``).  Each sink has its
-    own checkpoint, so each is exactly-once on its own."""
-    env = _stream(spark, root, entity, multi_line, max_files)
-    _run(explode_records(env, entity), bronze_path, f"{checkpoint.rstrip('/')}/{entity}")
-    if entity == "orders":
-        env2 = _stream(spark, root, entity, multi_line, max_files)
-        _run(explode_lines(env2), bronze_path + "_lines", f"{checkpoint.rstrip('/')}/{entity}_lines")
+from ..sources import envelopes
+
+LOADED, QUARANTINED = "loaded", "quarantined"
+
+
+def _generations(spark: SparkSession, root: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(int(n[4:]) for n in names if n.startswith("gen=") and n[4:].isdigit())
+
+
+def generation(spark: SparkSession, bronze_root: str, full: bool) -> str:
+    """Folder of the generation to load into: a new one for a full reload, else the latest."""
+    have = _generations(spark, bronze_root)
+    number = (have[-1] + 1 if have else 0) if full else (have[-1] if have else 0)
+    return f"{bronze_root.rstrip('/')}/gen={number}"
+
+
+def load_files(spark: SparkSession, root: str, entity: str, folder: str, max_files: int | None = None) -> None:
+    """Append the records of files not yet loaded to ``folder/<entity>``."""
+    path = f"{folder}/{entity}"
+
+    def write(lines: DataFrame, batch: int) -> None:
+        rows = envelopes.parse_records(envelopes.landed_values(lines, entity), entity)
+        status = F.when(F.col("_bad").isNull(), LOADED).otherwise(QUARANTINED)
+        rows.withColumn("_status", status).write.mode("overwrite").partitionBy("_status").parquet(f"{path}/_load={batch}")
+
+    query = (envelopes.stream_lines(spark, root, entity, max_files).writeStream.foreachBatch(write)
+             .option("checkpointLocation", f"{folder}/_checkpoints/{entity}").trigger(availableNow=True).start())
+    query.awaitTermination()
+
+
+def read_loaded(spark: SparkSession, folder: str, entity: str, status: str = LOADED) -> DataFrame:
+    """Rows of one status, by their declared schema (so an entity without rows is an empty table)."""
+    from pyspark.sql import types as T
+
+    from ..schemas import ENTITIES
+
+    _, record, single = ENTITIES[entity]
+    schema = T.StructType([
+        T.StructField("_source", T.StringType()), T.StructField("_landed", T.TimestampType()),
+        T.StructField("_total", T.LongType()), T.StructField("_bad", T.StringType()), T.StructField(single, record),
+        T.StructField("_load", T.IntegerType()), T.StructField("_status", T.StringType())])
+    try:
+        path = envelopes.require_folder(spark, f"{folder}/{entity}")
+    except FileNotFoundError:  # no file was ever landed for it
+        rows = spark.createDataFrame([], schema)
+    else:
+        rows = spark.read.schema(schema).option("basePath", path).parquet(path)
+    return rows.where(F.col("_status") == status).drop("_status", "_load")
