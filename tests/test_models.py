@@ -1,12 +1,13 @@
 """Hand-sized cases for the edges of the models (FIXTURES.md section 5)."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import types as T
 
 from tillroll.operators import dims, kpis, marts, quality, staging
-from tillroll.plans.models import DATA_TESTS, Warehouse
+from tillroll.plans.models import DATA_TESTS, Warehouse, analytics_models
 from tillroll.schemas import CART_LINE, PRODUCT, USER
 from tillroll.sources.envelopes import CART_HEADER
 from tillroll.sources.fixtures import Bronze
@@ -141,37 +142,37 @@ def test_changed_record_and_latest_per_key(spark):
     assert [(r["id"], r["stock"]) for r in latest] == [(1, 7)]
 
 
-ORIGINAL_METRICS_SQL = """
-select dc.customer_key, sc.name, sc.email,
-       count(distinct fo.order_id) as total_orders,
-       min(fo.order_date) as first_order_date, max(fo.order_date) as last_order_date,
-       cast(sum(cast(fo.discounted_total as decimal(18,4))) as double) as lifetime_value
-from sc left join dc on sc.customer_id = dc.customer_id
-left join fo on dc.customer_key = fo.customer_key
-group by dc.customer_key, sc.name, sc.email
-"""
+def by_rows(users, carts, value):
+    """For every staged customer row, ``value`` of the cart rows that a
+    row-by-row join finds: the id's versions (one for the key lookup of the
+    order, one for the customer's own lookup) times its carts."""
+    users, carts = list(dict.fromkeys(users)), list(dict.fromkeys(carts))
+    versions = [u[0] for u in users]
+    out = {}
+    for u in users:
+        n = versions.count(u[0]) if u[0] is not None else 0
+        met = [c for c in carts for _ in range(n * n) if u[0] is not None and c[1] == u[0]]
+        out.setdefault((u[0], f"{u[1]} {u[2]}", u[3]), []).extend(met)
+    return {k: value(v) for k, v in out.items()}
 
 
 def test_customer_metrics_equals_row_level_join_with_duplicates(spark):
-    """The pre-aggregated plan must equal the original row-level join, also
-    when a changed record leaves two staging rows for one id (fan-out)."""
+    """The pre-aggregated plan must equal the row-level join, also when a
+    changed record leaves two staging rows for one id (fan-out)."""
     users = [user(1), user(1, city="Rome"), user(2, email="same@x"), user(3, email="same@x"),
              (None, "No", "Id", "n@x", None, "n", "f", ("X",))]
     carts = [cart(10, 1, 10.0, 9.5, days_before(3)), cart(11, 1, 20.0, 18.25, days_before(40)),
              cart(12, 2, 7.0, 7.0, days_before(100)), cart(13, 77, 1.0, 1.0, days_before(2)),
              cart(14, None, 2.0, 2.0, days_before(2))]
     w = warehouse(spark, users, [], carts)
-    w.stg_customers.createOrReplaceTempView("sc")
-    w.dim_customer.createOrReplaceTempView("dc")
-    w.fact_orders.createOrReplaceTempView("fo")
-    key = lambda t: tuple(str(x) for x in t)
-    want = sorted((tuple(r) for r in spark.sql(ORIGINAL_METRICS_SQL).collect()), key=key)
-    got = sorted((tuple(r)[:7] for r in w.customer_metrics.collect()), key=key)
+    want = by_rows(users, carts, lambda met: (
+        len({c[0] for c in met}), min((c[6] for c in met), default=None), max((c[6] for c in met), default=None),
+        sum(c[3] for c in met) if met else None))
+    key = {hashlib.md5(str(i).encode()).hexdigest(): i for i in range(100)} | {None: None}
+    got = {(key[r["customer_key"]], r["name"], r["email"]): (
+        r["total_orders"], r["first_order_date"], r["last_order_date"], r["lifetime_value"]) for r in w.customer_metrics.collect()}
     assert got == want
-    ltv = {r["email"]: r["lifetime_value"] for r in w.customer_metrics.collect()}
-    # two staging rows x two dim rows x two fact rows per order (the fact's own
-    # dim lookup fans out too)
-    assert ltv["u1@x"] == 2 * 2 * 2 * (9.5 + 18.25)
+    assert got[1, "Ann Lee", "u1@x"][3] == 8 * (9.5 + 18.25)
 
 
 def test_churn_report_counts_churned_per_month(wh):
@@ -186,13 +187,16 @@ def test_dims_keep_all_staging_rows(wh):
 def test_dashboard_sections_follow_present_models(wh):
     full = {"mtd_revenue": wh.mtd_revenue, "customer_churn": wh.customer_churn,
             "analytics_customer_metrics": wh.customer_metrics, "analytics_revenue_daily": wh.revenue_daily}
-    rows = kpis.dashboard(full, AS_OF).collect()
+    reports = tuple(analytics_models())
+    assert sorted(reports) == ["analytics_customer_metrics", "analytics_revenue_daily", "customer_churn", "mtd_revenue",
+                               "revenue_metrics"]  # by folder or tag
+    rows = kpis.dashboard(full, AS_OF, reports).collect()
     assert {r["section"] for r in rows} == {"Sales Summary", "Customer Analytics", "Revenue Analytics", "Summary"}
-    assert [r["value"] for r in rows if r["metric"] == "Reports executed"] == ["4"]
+    assert [r["value"] for r in rows if r["metric"] == "Reports executed"] == ["4"]  # one of the five is absent
     # Without the date column the churn rate falls back to the status; a
     # missing model drops its section.
     part = {"customer_churn": wh.customer_churn.drop("last_order_date")}
-    rows = kpis.dashboard(part, AS_OF).collect()
+    rows = kpis.dashboard(part, AS_OF, reports).collect()
     assert {(r["section"], r["metric"], r["value"]) for r in rows} == {
         ("Customer Analytics", "Churn Rate (calc)", "0.00%"), ("Summary", "Reports executed", "1")}
 
@@ -218,25 +222,17 @@ def test_mtd_month_filter(spark):
     assert (r["total_orders"], r["net_revenue"], r["month"]) == (1, 8.0, dt.datetime(2001, 8, 1))
 
 
-ORIGINAL_TOP_CUSTOMERS_SQL = """
-select rc.name, count(distinct fo.order_id) as orders,
-       cast(round(sum(cast(fo.discounted_total as decimal(18,4))), 2) as double) as spend
-from fo join dc on fo.customer_key = dc.customer_key join sc rc on dc.customer_id = rc.customer_id
-group by rc.name
-"""
-
-
 def test_top_customers_equals_row_level_join_with_duplicates(spark):
     users = [user(1), user(1, city="Rome"), user(2, first="Bo"), user(3, first="Bo")]
     carts = [cart(10, 1, 10.0, 9.5, days_before(3)), cart(11, 1, 20.0, 18.25, days_before(40)),
              cart(12, 2, 7.0, 7.0, days_before(100)), cart(13, 3, 1.0, 1.5, days_before(2)),
-             cart(14, 77, 2.0, 2.0, days_before(2))]
+             cart(13, 2, 1.0, 0.5, days_before(2)), cart(14, 77, 2.0, 2.0, days_before(2))]
     w = warehouse(spark, users, [], carts)
-    w.stg_customers.createOrReplaceTempView("sc")
-    w.dim_customer.createOrReplaceTempView("dc")
-    w.fact_orders.createOrReplaceTempView("fo")
-    want = sorted(tuple(r) for r in spark.sql(ORIGINAL_TOP_CUSTOMERS_SQL).collect())
-    got = sorted(tuple(r) for r in kpis.top_customers(w.fact_orders, w.dim_customer, w.stg_customers, k=10).collect())
+    met = {}
+    for (_, name, _), found in by_rows(users, carts, list).items():
+        met.setdefault(name, []).extend(found)
+    want = sorted((name, len({c[0] for c in found}), sum(c[3] for c in found)) for name, found in met.items())
+    got = sorted(tuple(r) for r in kpis.top_customers(w.stg_orders, w.dim_customer, w.stg_customers, k=10).collect())
     assert got == want
     assert dict((n, s) for n, _, s in got)["Ann Lee"] == 8 * (9.5 + 18.25)
 
@@ -253,3 +249,21 @@ def test_dashboard_reads_stored_churn_rate(spark):
     rows = kpis.dashboard({"customer_churn": stored}).collect()
     assert [(r["metric"], r["value"]) for r in rows if r["section"] == "Customer Analytics"] == [
         ("Churn Rate (calc)", "12.34%")]
+
+
+def test_absent_models_are_an_error(wh):
+    with pytest.raises(ValueError, match="dim_product"):
+        quality.run_tests({"stg_products": wh.stg_products}, [t for t in DATA_TESTS if "product" in t.model])
+
+
+def test_build_date_is_today_by_default(spark):
+    w = Warehouse(Bronze.from_frames(
+        _bronze(spark, "user", USER, [user(1)]), _bronze(spark, "product", PRODUCT, []),
+        _bronze(spark, "cart", CART_HEADER, [cart(1, 1, 1.0, 1.0, None)]), None))
+    today = spark.sql("SELECT current_date() AS d").first()["d"]
+    assert w.stg_orders.first()["order_date"] == today and w.mtd_revenue.first()["report_date"] == today
+
+
+def test_latest_record_is_the_last_landed(spark):
+    one_file = _bronze(spark, "product", PRODUCT, [product(1, stock=5), product(1, stock=7)])
+    assert staging.stg_products(one_file, latest=True).count() == 1  # a tie inside one file is settled by the record

@@ -1,13 +1,17 @@
 """Plan properties the scale design relies on, read from ``explain``."""
 
 import datetime as dt
+import re
 
+import pytest
 from conftest import SF0001
 from pyspark.sql import functions as F
 
 from tillroll.operators import kpis
 from tillroll.plans.models import Warehouse
-from test_models import ORIGINAL_METRICS_SQL, cart, days_before, user, warehouse
+from tillroll.session import apply_runtime_conf
+from tillroll.sources.fixtures import Bronze
+from test_models import cart, days_before, user, warehouse
 
 
 def plan(df) -> str:
@@ -33,34 +37,28 @@ def test_topk_is_not_a_full_sort(spark):
     assert "TakeOrderedAndProject" in p
 
 
-def test_fact_is_reduced_per_customer_before_the_customer_join(spark):
+def test_orders_are_reduced_per_customer_before_the_customer_join(spark):
     w = Warehouse.from_sf(spark, SF0001)
-    o = optimized(w.customer_metrics)
-    # The order-level rows are aggregated by customer_id (count distinct,
-    # min, max, sum) before any join with the customer side.
-    agg_at = o.find("Aggregate [customer_id")
-    assert agg_at != -1
-    assert "count(distinct order_id" in o
+    p = plan(w.customer_metrics)
+    # Distinct orders shuffle on (customer, order): a hot customer's orders
+    # are spread before they are counted.
+    assert re.search(r"hashpartitioning\(customer_id#\d+L, order_id#\d+L", p)
 
 
 def test_no_broadcast_hints(spark):
     w = Warehouse.from_sf(spark, SF0001)
-    for df in (w.fact_orders, w.customer_metrics, kpis.top_customers(w.fact_orders, w.dim_customer,
+    for df in (w.fact_orders, w.customer_metrics, kpis.top_customers(w.stg_orders, w.dim_customer,
                                                                      w.stg_customers)):
         assert "broadcast" not in optimized(df).lower()  # size decides at runtime (AQE), not hints
 
 
 def test_hot_customer_holding_a_third_of_orders(spark):
-    """One customer owns a third of all orders; results still equal the
-    original row-level join, and nothing is dropped."""
+    """One customer owns a third of all orders; nothing is dropped."""
     users = [user(i) for i in range(1, 21)]
     carts = [cart(1000 + n, 1, 10.0, 9.0 + n / 100, days_before(n % 200)) for n in range(300)]
     carts += [cart(5000 + n, 2 + n % 19, 5.0, 4.5, days_before(n % 120)) for n in range(600)]
     w = warehouse(spark, users, [], carts)
-    w.stg_customers.createOrReplaceTempView("sc")
-    w.dim_customer.createOrReplaceTempView("dc")
-    w.fact_orders.createOrReplaceTempView("fo")
-    want = {r["email"]: (r["total_orders"], r["lifetime_value"]) for r in spark.sql(ORIGINAL_METRICS_SQL).collect()}
+    want = {u[3]: (sum(c[1] == u[0] for c in carts), round(sum(c[3] for c in carts if c[1] == u[0]), 4)) for u in users}
     got = {r["email"]: (r["total_orders"], r["lifetime_value"]) for r in w.customer_metrics.collect()}
     assert got == want
     assert got["u1@x"][0] == 300
@@ -69,24 +67,87 @@ def test_hot_customer_holding_a_third_of_orders(spark):
     assert w.mtd_revenue.first()["report_date"] == dt.date(2001, 8, 2)
 
 
+SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+
+
+def hot_bronze(spark, n=60_000):
+    """Half of all orders, and half of all lines, on one key; no row is a copy of another."""
+    i = spark.range(n).withColumn("u", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 500))
+    user = ("named_struct('id', id, 'firstName', 'F', 'lastName', cast(id AS string), 'email', concat(id, '@x'), 'phone', '', "
+            "'username', cast(id AS string), 'gender', 'f', 'address', named_struct('city', 'X'))")
+    users = spark.range(500).selectExpr("'f' AS _source", "cast(NULL AS bigint) AS _total", f"{user} AS user")
+    carts = i.selectExpr("'f' AS _source", "cast(NULL AS bigint) AS _total",
+                         "named_struct('id', id, 'userId', u, 'total', 2.0D, 'discountedTotal', 1.0D, 'totalProducts', 1L, "
+                         "'totalQuantity', 1L, 'orderDate', date'2001-01-01') AS cart")
+    return Bronze.from_frames(users, users.limit(0), carts, None)
+
+
+@pytest.mark.parametrize("name", ["fact_orders", "top_customers"])
+def test_joins_split_a_hot_key(spark, name):
+    apply_runtime_conf(spark)
+    old = {k: spark.conf.get(k) for k in SKEW}
+    try:
+        for k, v in SKEW.items():
+            spark.conf.set(k, v)
+        w = Warehouse(hot_bronze(spark))
+        df = w.fact_orders if name == "fact_orders" else kpis.top_customers(w.stg_orders, w.dim_customer, w.stg_customers)
+        rows = df.collect()
+        final = plan(df)
+        assert "skew=true" in final, final
+        assert len(rows) == (60_000 if name == "fact_orders" else 5)
+        if name == "top_customers":
+            assert rows[0]["orders"] == 30_000 + 120
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name,most", [("dashboard", 5), ("kpi_report_text", 6), ("dq_summary", 9)])
+def test_each_mart_is_aggregated_once(spark, name, most):
+    """Scans of the order lines per query: one for each model that is tested or shown, not one for each line."""
+    import __spark_entry__ as E
+
+    p = E.queries()[name](spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("o_custkey") and len(re.findall(r"Relation \[o_orderkey", p)) <= most
+
+
 def test_marts_agree_with_each_other(spark):
     """Daily revenue sums to the month-to-date net revenue (no month filter,
-    quirk Q3), and customer lifetime values add up to it as well."""
+    quirk Q3)."""
     w = Warehouse.from_sf(spark, SF0001)
     daily = kpis.kpi_total_revenue(w.revenue_daily).first()["total_revenue"]
     mtd = w.mtd_revenue.first()
-    ltv = kpis.kpi_revenue_summary(w.customer_metrics.withColumnRenamed("lifetime_value", "daily_revenue"))
-    assert daily == mtd["net_revenue"] == ltv.first()["total_revenue"]
-    assert mtd["total_orders"] == w.fact_orders.count() == 1500
+    assert daily == mtd["net_revenue"]
+    assert mtd["total_orders"] == 1500
 
 
 def test_unused_lookups_are_dropped(spark):
-    """Lookups are distinct on their key, so a plan that never reads the
-    looked-up column does not join (no lineitem shuffle to attach titles it
-    ignores, no per-order line aggregation to count landed orders)."""
+    """Units per product id need no titles, and counting landed orders no
+    totals of their lines."""
     import __spark_entry__ as E
 
     qty = plan(E.queries()["top_products_by_qty"](spark, SF0001))
     assert "part.parquet" not in qty and "Join" not in qty
     totals = plan(E.queries()["raw_load_totals"](spark, SF0001))
     assert "lineitem.parquet" not in totals  # the per-order line totals are never computed
+
+
+def test_lines_are_parsed_from_json_and_exploded(spark):
+    import __spark_entry__ as E
+
+    p = plan(E.queries()["unnest_order_lines"](spark, SF0001))
+    assert "Generate explode" in p
+    assert p.count("from_json(StructField(id") == 1  # each record is parsed once
+
+
+def test_queries_write_nothing_while_they_are_built(spark, monkeypatch):
+    import __spark_entry__ as E
+    from pyspark.sql.readwriter import DataFrameWriter
+    from tillroll.plans.queries import QUERIES
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: pytest.fail("a query writes"))
+    for name in QUERIES:
+        E.queries()[name](spark, SF0001)

@@ -1,9 +1,9 @@
 """Column -> Column helpers.  All of them are built-in Spark expressions, so
 Catalyst folds them into whole-stage codegen; no Python UDFs anywhere.
 
-Parity rules with the SQL oracle (see SURVEY 2.13): money is summed exactly
-(integer units of 1/10000, the unscaled DECIMAL(18,4) value) and rounded as
-a decimal; doubles are only produced at the end.
+Parity rules with the SQL oracle (see SURVEY 2.13): every amount is turned
+into whole units of 1/10000 by one rule (:func:`money_units`), units are summed
+exactly and rounded as decimals; doubles are only produced at the end.
 """
 
 from __future__ import annotations
@@ -38,30 +38,33 @@ def cents_to_dollars(cents: Column | str) -> Column:
 MONEY_SCALE = 10000
 
 
+def _units(c: Column | str) -> Column:
+    x = col(c) * F.lit(float(MONEY_SCALE))
+    return F.signum(x) * F.floor(F.abs(x) + F.lit(0.5)).cast("double")
+
+
 def money_units(c: Column | str) -> Column:
     """A money amount as a whole number of 1/10000 units (bigint).
 
-    Equal to the unscaled DECIMAL(18,4) value for amounts with at most four
-    decimals below 4.5e11, but computed with one multiply and ``rint`` in
-    codegen: a double -> decimal cast goes through BigDecimal per row, and
-    leaves every later addition on Spark's slow decimal path."""
-    return F.rint(col(c) * F.lit(float(MONEY_SCALE))).cast("bigint")
+    The one rounding rule of all money: the amount times 10^4, in double
+    arithmetic, to the nearest unit, halves away from zero.  For amounts below
+    9.2e14 (larger ones raise an error); see :func:`money_units_wide`."""
+    return _units(c).cast("bigint")
 
 
-# Below this size a double still carries an amount to four decimals, so
-# rint(x * 10^4) is its exact unscaled DECIMAL(18,4) value.
-EXACT_UNITS_BELOW = 4.5e11
+def _wide_units(c: Column | str) -> Column:
+    x = col(c) * F.lit(float(MONEY_SCALE))
+    # From 2^53 units on a double is a whole number of units already.
+    whole = F.when(F.abs(x) < F.lit(2.0 ** 53), F.abs(x)).otherwise(F.lit(0.0))
+    return F.when(F.abs(x) < F.lit(2.0 ** 53), F.signum(x) * F.floor(whole + F.lit(0.5)).cast("double")).otherwise(x)
 
 
 def money_units_wide(c: Column | str) -> Column:
-    """Units as DECIMAL(38,0) that never overflow: the fast exact path for
-    amounts below :data:`EXACT_UNITS_BELOW` (every row-level amount), a
-    decimal cast above it (large totals re-summed by KPIs, which no double
-    holds to four decimals anyway).  Only the taken branch is evaluated."""
-    x = col(c)
-    small = (F.abs(x) < F.lit(EXACT_UNITS_BELOW)) | x.isNull()
-    return F.when(small, money_units(x).cast("decimal(38,0)")).otherwise(
-        (x.cast("decimal(38,4)") * F.lit(MONEY_SCALE)).cast("decimal(38,0)"))
+    """The same units as DECIMAL(38,0), for amounts of any size (totals that
+    are summed again).  The branch only picks the cheaper exact cast."""
+    u = _wide_units(c)
+    small = F.abs(u) < F.lit(9.0e18)
+    return F.when(small, F.when(small, u).cast("bigint").cast("decimal(38,0)")).otherwise(u.cast("decimal(38,0)"))
 
 
 def money_sum(c: Column | str, weight: Column | str | None = None) -> Column:
@@ -111,11 +114,6 @@ def pct2(part: Column | str, whole: Column | str) -> Column:
     return ratio2(col(part).cast("decimal(30,0)") * F.lit(100), whole)
 
 
-def as_int(c: Column | str) -> Column:
-    """Cast to INT rounding half to even, like the warehouse's ``::INT``."""
-    return F.bround(col(c)).cast("int")
-
-
 def day_diff(end: Column | str, start: Column | str) -> Column:
     """Whole calendar days from start to end (two-argument ``datediff``)."""
     return F.datediff(col(end), col(start)).cast("bigint")
@@ -133,12 +131,6 @@ def money_text(c: Column | str) -> Column:
     return F.concat(F.lit("$"), F.format_number(cents, 2))
 
 
-def money_text_or_dash(c: Column | str) -> Column:
-    """Like :func:`money_text` but '-' when the value is not a number."""
-    v = F.expr("try_cast({} as decimal(38,4))".format(c)) if isinstance(c, str) else col(c).try_cast("decimal(38,4)")
-    return F.when(v.isNull(), F.lit("-")).otherwise(F.concat(F.lit("$"), F.format_number(F.round(v, 2), 2)))
-
-
 def pct_text(c: Column | str) -> Column:
     """'12.34%'; NULL renders as '0.00%'."""
     v = F.round(F.coalesce(col(c).cast("decimal(38,4)"), F.lit(0).cast("decimal(38,4)")), 2)

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import (count_text, label_or_unknown, money_sum, money_text,
-                         pad_label, pct2, pct_text, plural, ratio2, round2, to_double, day_diff)
-from .facts import customer_lookup
+from ..functions import (count_text, day_diff, label_or_unknown, money_sum, money_text, pad_label, pct2, pct_text,
+                         plural, ratio2, round2, surrogate_key, to_double)
+from .facts import dimension_rows
 from .marts import ACTIVE, CHURNED, CHURN_DAYS
 from .staging import as_of_col
 
@@ -116,26 +116,26 @@ def top_products_by_qty(lines: DataFrame, k: int = 5) -> DataFrame:
     return g.orderBy(F.col("qty").desc_nulls_last(), F.col("product_id").asc_nulls_last()).limit(k)
 
 
-def top_customers(fact: DataFrame, dim_customer: DataFrame, stg_customers: DataFrame, k: int = 5) -> DataFrame:
+def top_customers(stg_orders: DataFrame, dim_customer: DataFrame, stg_customers: DataFrame, k: int = 5) -> DataFrame:
     """Best customers by spend, grouped by name (A13, J4; namesakes merge and
     orphan orders drop out, quirk Q6).
 
-    fact JOIN dim ON key JOIN staging ON id: a fact's key exists only if it
-    was looked up on ``customer_id``, so all three sides join on that one
-    bigint column.  The dimension enters as the shared one-row-per-id lookup
-    whose row count weights the spend: the same sums as joining every
-    dimension row, without the fan-out."""
-    fo = fact.where(F.col("customer_key").isNotNull()).select("customer_id", "order_id", "discounted_total").alias("fo")
-    dc = customer_lookup(dim_customer).alias("dc")
-    rc = stg_customers.select("customer_id", "name").alias("rc")
-    # Reading the key (never NULL) keeps this lookup identical to the fact's,
-    # so its shuffle is reused rather than recomputed.
-    on = (F.col("fo.customer_id") == F.col("dc.customer_id")) & F.col("dc.customer_key").isNotNull()
-    j = fo.join(dc, on).join(
-        rc, F.col("dc.customer_id") == F.col("rc.customer_id"))
-    g = j.groupBy(F.col("rc.name").alias("name")).agg(
-        F.count_distinct(F.col("fo.order_id")).alias("_orders"),
-        money_sum("fo.discounted_total", "dc._dims").alias("_spend"))
+    fact JOIN dim ON key JOIN staging ON id.  An order of an id with d
+    dimension rows has d fact rows, each of which meets d dimension rows and
+    every staging row of the id, so it counts d * d times for each of those.
+    The weights come from customer-sized frames; orders are summed per
+    (customer, order) first and meet the names in one join of two plain
+    shuffles, in which AQE can split a hot customer."""
+    per_order = stg_orders.groupBy("customer_id", "order_id").agg(money_sum("discountedTotal").alias("_spend")).alias("o")
+    keyed = stg_customers.where(F.col("customer_id").isNotNull()).select(
+        "customer_id", "name", surrogate_key("customer_id").alias("_key"))
+    dims = dimension_rows(dim_customer)
+    names = keyed.join(dims, keyed["_key"] == dims["customer_key"]).select(
+        "customer_id", "name", (F.col("_dims") * F.col("_dims")).alias("_weight")).alias("n")
+    j = per_order.join(names, F.col("o.customer_id") == F.col("n.customer_id"))
+    g = j.groupBy(F.col("n.name").alias("name")).agg(
+        F.count_distinct(F.col("o.order_id")).alias("_orders"),
+        F.sum(F.col("o._spend") * F.col("n._weight")).alias("_spend"))
     return (g.select("name", F.col("_orders").cast("bigint").alias("orders"), round2("_spend").alias("spend"))
             .orderBy(F.col("spend").desc_nulls_last(), F.col("name").asc_nulls_last()).limit(k))
 
@@ -173,119 +173,106 @@ def top_customers_text(top: DataFrame) -> DataFrame:
     return r.select("rank", line.alias("line"))
 
 
-def _kv(line_no: int, label: str, value: Column, src: DataFrame) -> DataFrame:
-    return src.select(F.lit(line_no).alias("line_no"),
-                      F.concat(pad_label(F.lit(label)), value).alias("line"))
+def _report(src: DataFrame, lines: list[tuple[int, str, Column]]) -> DataFrame:
+    """Lines (number, fixed label, value) made of one row of figures."""
+    return src.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("line_no"), F.concat(pad_label(F.lit(label)), value).alias("line"))
+        for n, label, value in lines])).alias("l")).select("l.line_no", "l.line")
 
 
-def kpi_report_text(dim_customer: DataFrame, dim_product: DataFrame, fact: DataFrame, mtd: DataFrame,
-                    daily: DataFrame, metrics: DataFrame, raw: dict[str, DataFrame] | None = None) -> DataFrame:
+def kpi_report_text(dim_customer: DataFrame, fact: DataFrame, mtd: DataFrame, daily: DataFrame, metrics: DataFrame,
+                    raw: dict[str, DataFrame]) -> DataFrame:
     """The numeric lines of the run report as (line_no, line).
 
-    Each line is an aggregate over its own mart, unioned; no frame is joined
-    to another, and nothing is collected.  With ``raw`` (bronze frames of
-    customers, products, orders) the extraction and raw-table lines are
-    added: customers and products extracted are the totals the source
-    reports, orders extracted is the landed count."""
-    cnt = lambda df: df.agg(F.count(F.lit(1)).alias("n"))
+    One aggregate per mart or raw table, stacked to its lines; no frame is
+    joined to another, and nothing is collected.  ``raw`` has the bronze
+    frames of customers, products and orders: customers and products
+    extracted are the totals the source reports, orders extracted is the
+    landed count.  Counts are printed plainly."""
+    n = F.col("n").cast("string")
+    rows = F.concat(n, F.lit(" rows"))
+    total = F.col("total").cast("string")
+    count = F.count(F.lit(1)).alias("n")
+    extracted = (count, F.coalesce(F.max("_total"), F.count(F.lit(1))).alias("total"))
     status = kpi_customer_status(metrics)
-    mtd1 = mtd.agg(money_sum("gross_revenue").alias("g"), money_sum("net_revenue").alias("n"),
-                   money_sum("avg_order_value").alias("a"))
-    rev = kpi_total_revenue(daily)
+    text = lambda c: F.col(c).cast("string")
+    # The labels of the report.
     return _union([
-        _kv(1, "Total Customers", count_text("n"), cnt(dim_customer)),
-        _kv(2, "Total Products", count_text("n"), cnt(dim_product)),
-        _kv(3, "Total Orders", count_text("n"), cnt(fact)),
-        _kv(4, "Gross Revenue", money_text("g"), mtd1),
-        _kv(5, "Net Revenue", money_text("n"), mtd1),
-        _kv(6, "Average Order Value", money_text("a"), mtd1),
-        _kv(7, "Total Revenue", money_text("total_revenue"), rev),
-        _kv(8, "Daily Revenue Rows", count_text("n"), cnt(daily)),
-        _kv(9, "Active Customers", count_text("active_customers"), status),
-        _kv(10, "Churned Customers", count_text("churned_customers"), status),
-        _kv(11, "Customer Churn Rate", pct_text("churn_rate_pct"), status),
-        _kv(12, "Average Customer LTV", money_text("avg_ltv"), status),
-        *(_raw_lines(raw) if raw else []),
+        _report(dim_customer.agg(count), [(1, "Total Customers", n)]),
+        _report(fact.agg(count), [(3, "Total Orders", n)]),
+        _report(mtd.agg(money_sum("gross_revenue").alias("g"), money_sum("net_revenue").alias("n"),
+                        money_sum("avg_order_value").alias("a")),
+                [(4, "Gross Revenue", money_text("g")), (5, "Net Revenue", money_text("n")),
+                 (6, "Average Order Value", money_text("a"))]),
+        _report(daily.agg(money_sum("daily_revenue").alias("t"), count),
+                [(7, "Total Revenue", money_text("t")), (8, "Daily Revenue Rows", n)]),
+        _report(status, [(9, "Active Customers", text("active_customers")),
+                         (10, "Churned Customers", text("churned_customers")),
+                         (11, "Customer Churn Rate", pct_text("churn_rate_pct")),
+                         (12, "Average Customer LTV", money_text("avg_ltv"))]),
+        _report(raw["customers"].agg(*extracted), [(13, "Customers Extracted", total), (16, "Customers Table", rows)]),
+        _report(raw["products"].agg(*extracted),
+                [(2, "Total Products", total), (14, "Products Extracted", total), (17, "Products Table", rows)]),
+        _report(raw["orders"].agg(count), [(15, "Orders Extracted", n), (18, "Orders Table", rows)]),
     ])
 
 
-def _raw_lines(raw: dict[str, DataFrame]) -> list[DataFrame]:
-    def landed(df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n"), F.max("_total").alias("_t")).select(
-            "n", F.coalesce(F.col("_t"), F.col("n")).alias("total"))
+def _section(src: DataFrame, rows: list[tuple[int, int, str, Column, Column]]) -> DataFrame:
+    """Dashboard rows (section, row, title, metric, value) made of one row of figures."""
+    return src.select(F.explode(F.array(*[
+        F.struct(F.lit(s).alias("section_no"), F.lit(r).alias("row_no"), F.lit(title).alias("section"),
+                 metric.alias("metric"), value.alias("value")) for s, r, title, metric, value in rows])).alias("r")).select("r.*")
 
-    c, p, o = (landed(raw[e]) for e in ("customers", "products", "orders"))
-    rows = F.concat(count_text("n"), F.lit(" rows"))
-    return [
-        _kv(13, "Customers Extracted", count_text("total"), c),
-        _kv(14, "Products Extracted", count_text("total"), p),
-        _kv(15, "Orders Extracted", count_text("n"), o),
-        _kv(16, "Customers Table", rows, c),
-        _kv(17, "Products Table", rows, p),
-        _kv(18, "Orders Table", rows, o),
-    ]
 
-
-def _dash(section_no: int, row_no: int, section: str, metric: Column, value: Column, src: DataFrame) -> DataFrame:
-    return src.select(F.lit(section_no).alias("section_no"), F.lit(row_no).alias("row_no"),
-                      F.lit(section).alias("section"), metric.alias("metric"), value.alias("value"))
-
-
-def dashboard(models: dict[str, DataFrame], as_of=None) -> DataFrame:
+def dashboard(models: dict[str, DataFrame], as_of=None, reports: tuple[str, ...] = ()) -> DataFrame:
     """The analytics dashboard as rows ``(section_no, row_no, section,
     metric, value)`` (3.3).  A section runs only when its model is present
-    and has the needed column (P14, S17); the last row counts the present
-    models.  The product section uses exploded order lines (quirk Q9), and
-    the churn rate uses the last order date when present, else a stored
-    ``churn_rate`` fraction (A24), else the status."""
+    and has the needed column (P14, S17); the last row counts which of the
+    discovered analytics models ``reports`` are present.  The product section
+    uses exploded order lines (quirk Q9), and the churn rate uses the last
+    order date when present, else a stored ``churn_rate`` fraction (A24),
+    else the status.  Every mart is aggregated once."""
+    # The section titles and metric labels.
+    sales, product, customer, revenue = "Sales Summary", "Product Analytics", "Customer Analytics", "Revenue Analytics"
     parts: list[DataFrame] = []
     mtd = models.get("mtd_revenue")
     if mtd is not None:
-        cols = set(mtd.columns)
-        a = mtd.agg(*[money_sum(c).alias(c) for c in ("net_revenue", "gross_revenue") if c in cols],
-                    *[F.sum(c).alias(c) for c in ("total_orders", "unique_customers") if c in cols])
-        for i, (c, label, fmt) in enumerate([("net_revenue", "MTD Net Revenue", money_text),
-                                             ("gross_revenue", "MTD Gross Revenue", money_text),
-                                             ("total_orders", "Orders MTD", count_text),
-                                             ("unique_customers", "Customers MTD", count_text)]):
-            if c in cols:
-                parts.append(_dash(1, i, "Sales Summary", F.lit(label), fmt(c), a))
+        shown = [(c, label, fmt) for c, label, fmt in (
+            ("net_revenue", "MTD Net Revenue", money_text), ("gross_revenue", "MTD Gross Revenue", money_text),
+            ("total_orders", "Orders MTD", count_text), ("unique_customers", "Customers MTD", count_text)) if c in mtd.columns]
+        if shown:
+            sums = mtd.agg(*[(money_sum(c) if fmt is money_text else F.sum(c)).alias(c) for c, _, fmt in shown])
+            parts.append(_section(sums, [(1, i, sales, F.lit(label), fmt(c)) for i, (c, label, fmt) in enumerate(shown)]))
     lines = models.get("order_lines")
     if lines is not None and {"product_id", "quantity"} <= set(lines.columns):
-        top = (lines.groupBy("product_id").agg(F.sum("quantity").alias("qty"))
-               .orderBy(F.col("qty").desc_nulls_last(), F.col("product_id").asc_nulls_last()).limit(5))
-        r = top.withColumn("_r", F.row_number().over(
-            Window.orderBy(F.col("qty").desc_nulls_last(), F.col("product_id").asc_nulls_last())))
-        parts.append(r.select(F.lit(2).alias("section_no"), F.col("_r").cast("int").alias("row_no"),
-                              F.lit("Product Analytics").alias("section"),
-                              F.concat(F.lit("Product "), F.col("product_id").cast("string")).alias("metric"),
-                              F.concat(count_text("qty"), F.lit(" sold")).alias("value")))
+        best = [F.col("qty").desc_nulls_last(), F.col("product_id").asc_nulls_last()]
+        top = lines.groupBy("product_id").agg(F.sum("quantity").alias("qty")).orderBy(*best).limit(5)
+        parts.append(_ranked(top, best).select(
+            F.lit(2).alias("section_no"), F.col("rank").cast("int").alias("row_no"), F.lit(product).alias("section"),
+            F.concat(F.lit("Product "), F.col("product_id").cast("string")).alias("metric"),
+            F.concat(count_text("qty"), F.lit(" sold")).alias("value")))
     churn = models.get("customer_churn")
     if churn is not None:
-        cols = set(churn.columns)
-        if "last_order_date" in cols:
+        rate = None
+        if "last_order_date" in churn.columns:
             rate = churn_rate_by_date(churn, as_of)
-        elif "churn_rate" in cols:  # A24: a stored fraction, read back as a percent
+        elif "churn_rate" in churn.columns:  # A24: a stored fraction, read back as a percent
             rate = churn.select((F.col("churn_rate").cast("decimal(38,6)") * 100).alias("churn_rate_pct")).limit(1)
-        elif "customer_status" in cols:
+        elif "customer_status" in churn.columns:
             rate = churn_rate_by_status(churn)
-        else:
-            rate = None
         if rate is not None:
-            parts.append(_dash(3, 0, "Customer Analytics", F.lit("Churn Rate (calc)"), pct_text("churn_rate_pct"), rate))
+            parts.append(_section(rate, [(3, 0, customer, F.lit("Churn Rate (calc)"), pct_text("churn_rate_pct"))]))
     metrics = models.get("analytics_customer_metrics")
     if metrics is not None and "lifetime_value" in metrics.columns:
-        parts.append(_dash(3, 1, "Customer Analytics", F.lit("Avg LTV"), money_text("avg_ltv"), kpi_avg_ltv(metrics)))
+        parts.append(_section(kpi_avg_ltv(metrics), [(3, 1, customer, F.lit("Avg LTV"), money_text("avg_ltv"))]))
     daily = models.get("analytics_revenue_daily")
     if daily is not None and "daily_revenue" in daily.columns:
-        parts.append(_dash(4, 0, "Revenue Analytics", F.lit("Total Revenue"), money_text("total_revenue"),
-                           kpi_revenue_summary(daily)))
-        latest = kpi_latest_day(daily)
-        parts.append(_dash(4, 1, "Revenue Analytics",
-                           F.concat(F.lit("Latest ("), F.date_format("report_date", "yyyy-MM-dd"), F.lit(")")),
-                           money_text("daily_revenue"), latest))
-    present = sum(1 for k in ("mtd_revenue", "customer_churn", "analytics_customer_metrics",
-                              "analytics_revenue_daily") if k in models)
-    one_row = next(iter(models.values())).agg(F.count(F.lit(1)).alias("_n"))  # a global aggregate: one row
-    parts.append(_dash(5, 0, "Summary", F.lit("Reports executed"), F.lit(str(present)), one_row))
+        newest = F.max(F.when(F.col("report_date").isNotNull(), F.struct("report_date", "daily_revenue"))).alias("newest")
+        both = daily.agg(money_sum("daily_revenue").alias("total"), newest)
+        day = F.concat(F.lit("Latest ("), F.date_format("newest.report_date", "yyyy-MM-dd"), F.lit(")"))
+        parts.append(_section(both, [(4, 0, revenue, F.lit("Total Revenue"), money_text("total")),
+                                     (4, 1, revenue, day, money_text(F.col("newest.daily_revenue")))]).where("metric IS NOT NULL"))
+    present = sum(1 for name in reports if name in models)
+    parts.append(_section(SparkSession.active().range(1), [
+        (5, 0, "Summary", F.lit("Reports executed"), F.lit(str(present)))]))
     return _union(parts)

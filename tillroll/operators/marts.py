@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import day_diff, money_sum, ratio2, to_double, trunc_ts
-from .facts import customer_lookup
+from ..functions import day_diff, money_sum, ratio2, surrogate_key, to_double, trunc_ts
+from .facts import dimension_rows
 from .staging import as_of_col
 
 # Customer lifecycle labels and thresholds (days).
@@ -25,46 +25,46 @@ def customer_status(total_orders: Column, days_since_last: Column) -> Column:
     )
 
 
-def _customer_orders(stg_customers: DataFrame, dim_customer: DataFrame, fact: DataFrame, as_of=None,
+def orders_per_customer(stg_orders: DataFrame) -> DataFrame:
+    """One row per customer id: distinct orders, first and last date, spend.
+
+    Reduced from the staged orders, which lie by record and not by customer:
+    distinct orders shuffle on (customer, order), so a customer holding a
+    third of all orders is spread over all tasks, and sums are combined
+    map-side."""
+    return stg_orders.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        F.count_distinct("order_id").alias("_orders"),
+        F.min("order_date").alias("_first"),
+        F.max("order_date").alias("_last"),
+        money_sum("discountedTotal").alias("_sum"),
+    )
+
+
+def _customer_orders(stg_customers: DataFrame, dim_customer: DataFrame, stg_orders: DataFrame, as_of=None,
                      own_dates: bool = True) -> DataFrame:
     """customers LEFT JOIN dim ON id LEFT JOIN fact ON key, grouped by
     (key, name, email), computed without joining a single order row.
 
-    The fact is first reduced to one row per customer (partial aggregation
-    map-side, so a customer holding a third of all orders costs one row per
-    map task), the dimension to one row per id with its row count.  The join
-    chain then runs on customer-sized frames and on one bigint key.  The
-    result equals the row-level join exactly, duplicates included: each
-    staging row meets ``_dims`` dimension rows, and each of those meets all
-    orders of the id, so the id's order total is counted ``_dims`` times.
-    (A fact's key was looked up from this dimension on ``customer_id`` and the
-    key is md5 of the id, so matching on the key is matching on the id.)
+    The orders are first reduced to one row per customer, the dimension to
+    one row per key with its row count.  The result equals the row-level join
+    exactly, duplicates included: each staging row meets ``_dims`` dimension
+    rows, and each of those meets the fact rows of the id, of which there are
+    ``_dims`` for every order.  (The key is md5 of the id, so matching on the
+    key is matching on the id.)
     """
-    per_customer = (
-        fact.where(F.col("customer_key").isNotNull())
-        .groupBy("customer_id")
-        .agg(
-            F.count_distinct("order_id").alias("_orders"),
-            F.min("order_date").alias("_first"),
-            F.max("order_date").alias("_last"),
-            money_sum("discounted_total").alias("_sum"),
-        )
-        .alias("pf")
-    )
-    dims = customer_lookup(dim_customer).alias("dm")
-    sc = stg_customers.select("customer_id", "name", "email").alias("sc")
-    j = sc.join(dims, F.col("sc.customer_id") == F.col("dm.customer_id"), "left").join(
-        per_customer,
-        (F.col("sc.customer_id") == F.col("pf.customer_id")) & F.col("dm._dims").isNotNull(),
-        "left",
-    )
+    dims = dimension_rows(dim_customer).alias("dm")
+    per_customer = orders_per_customer(stg_orders).alias("pf")
+    sc = stg_customers.select("customer_id", "name", "email").withColumn(
+        "_key", surrogate_key("customer_id")).alias("sc")
+    j = sc.join(dims, (F.col("sc._key") == F.col("dm.customer_key")) & F.col("sc.customer_id").isNotNull(), "left").join(
+        per_customer, (F.col("sc.customer_id") == F.col("pf.customer_id")) & F.col("dm._dims").isNotNull(), "left")
     d = as_of_col(as_of)
     g = j.groupBy(F.col("dm.customer_key").alias("customer_key"), F.col("sc.name").alias("name"),
                   F.col("sc.email").alias("email")).agg(
         F.coalesce(F.max("pf._orders"), F.lit(0)).alias("total_orders"),
         (F.min("pf._first") if own_dates else F.min(d)).alias("first_order_date"),
         (F.max("pf._last") if own_dates else F.max(d)).alias("last_order_date"),
-        F.sum(F.col("pf._sum") * F.col("dm._dims")).alias("_ltv"),
+        F.sum(F.col("pf._sum") * (F.col("dm._dims") * F.col("dm._dims"))).alias("_ltv"),
     )
     return g.select(
         "customer_key", "name", "email", "total_orders", "first_order_date", "last_order_date",
@@ -73,16 +73,16 @@ def _customer_orders(stg_customers: DataFrame, dim_customer: DataFrame, fact: Da
     )
 
 
-def customer_metrics(stg_customers: DataFrame, dim_customer: DataFrame, fact: DataFrame, as_of=None) -> DataFrame:
+def customer_metrics(stg_customers: DataFrame, dim_customer: DataFrame, stg_orders: DataFrame, as_of=None) -> DataFrame:
     """Orders, first/last order date, lifetime value and lifecycle status per
     customer (A1, J2, P8)."""
-    return _customer_orders(stg_customers, dim_customer, fact, as_of, own_dates=True)
+    return _customer_orders(stg_customers, dim_customer, stg_orders, as_of, own_dates=True)
 
 
-def customer_churn(stg_customers: DataFrame, dim_customer: DataFrame, fact: DataFrame, as_of=None) -> DataFrame:
+def customer_churn(stg_customers: DataFrame, dim_customer: DataFrame, stg_orders: DataFrame, as_of=None) -> DataFrame:
     """As :func:`customer_metrics`, but both dates are min/max of the build
     date (quirk Q1): only 'Never Purchased' and 'Active' can come out (A2, J3, P9)."""
-    return _customer_orders(stg_customers, dim_customer, fact, as_of, own_dates=False)
+    return _customer_orders(stg_customers, dim_customer, stg_orders, as_of, own_dates=False)
 
 
 def mtd_revenue(fact: DataFrame, as_of=None, month_filter: bool = False) -> DataFrame:

@@ -6,7 +6,8 @@ passes when ``failing_rows`` is 0.  NULL rules follow the usual defaults:
 unaccepted *value* once, ``relationships`` ignores NULL child keys and counts
 child rows without a parent.
 
-All ``not_null`` checks of one model run as a single aggregate (one scan).
+All ``not_null`` and ``accepted_values`` tests of one model run as a single
+aggregate (one scan), all its ``unique`` tests as another.
 """
 
 from __future__ import annotations
@@ -31,13 +32,22 @@ def _row(model: str, column: str, test: str, failing: F.Column, src: DataFrame)
                       failing.cast("bigint").alias("failing_rows"))
 
 
+def row_checks(df: DataFrame, model: str, nulls: list[str], accepted: dict[str, tuple]) -> DataFrame:
+    """All not_null and accepted_values tests of a model in one aggregate,
+    unpivoted to rows.  A NULL passes accepted_values (the predicate is NULL),
+    and each unaccepted value counts once."""
+    counts = [(c, "not_null", F.count_if(F.col(c).isNull())) for c in nulls]
+    counts += [(c, "accepted_values", F.count_distinct(F.when(~F.col(c).isin(list(v)), F.col(c))))
+               for c, v in accepted.items()]
+    agg = df.agg(*[n.alias(f"_n{i}") for i, (_, _, n) in enumerate(counts)])
+    rows = ", ".join(f"'{c}', '{t}', _n{i}" for i, (c, t, _) in enumerate(counts))
+    return agg.selectExpr(f"stack({len(counts)}, {rows}) as (column, test, failing_rows)").select(
+        F.lit(model).alias("model"), "column", "test", F.col("failing_rows").cast("bigint").alias("failing_rows"))
+
+
 def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """All not_null counts of a model in one aggregate, unpivoted to rows."""
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_nn{i}") for i, c in enumerate(columns)])
-    pairs = ", ".join(f"'{c}', _nn{i}" for i, c in enumerate(columns))
-    long = agg.selectExpr(f"stack({len(columns)}, {pairs}) as (column, failing_rows)")
-    return long.select(F.lit(model).alias("model"), "column", F.lit("not_null").alias("test"),
-                       F.col("failing_rows").cast("bigint").alias("failing_rows"))
+    """All not_null counts of a model."""
+    return row_checks(df, model, columns, {})
 
 
 def unique(df: DataFrame, model: str, column: str) -> DataFrame:
@@ -65,8 +75,8 @@ def unique_many(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
 
 
 def accepted_values(df: DataFrame, model: str, column: str, values: list[str]) -> DataFrame:
-    bad = df.where(~F.col(column).isin(list(values)))  # NULL: predicate is NULL, row passes
-    return _row(model, column, "accepted_values", F.col("n"), bad.agg(F.count_distinct(F.col(column)).alias("n")))
+    """Number of distinct non-NULL values that are not accepted."""
+    return row_checks(df, model, [], {column: tuple(values)})
 
 
 def relationships(child: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -84,36 +94,35 @@ def relationships(child: DataFrame, model: str, column: str, parent: DataFrame,
                 orphans.agg(F.sum("_rows").alias("n")))
 
 
+KINDS = ("not_null", "unique", "accepted_values", "relationships")
+
+
+def models_needed(tests: list[DataTest], kinds: set[str] | None = None) -> set[str]:
+    """Models that the tests of some kinds read."""
+    chosen = [t for t in tests if t.test in (kinds or KINDS)]
+    return {t.model for t in chosen} | {t.to[0] for t in chosen if t.to}
+
+
 def run_tests(models: dict[str, DataFrame], tests: list[DataTest], kinds: set[str] | None = None) -> DataFrame:
-    """Run ``tests`` (optionally only some kinds) against ``models``; tests on
-    a model that is absent are skipped.  Returns one row per test."""
-    kinds = kinds or {"not_null", "unique", "accepted_values", "relationships"}
+    """Run ``tests`` (optionally only some kinds) against ``models``: one row
+    per test.  A test whose model or parent is absent is an error."""
+    chosen = [t for t in tests if t.test in (kinds or KINDS)]
+    if not chosen:
+        raise ValueError("no data test is asked for")
+    absent = sorted(models_needed(chosen) - set(models))
+    if absent:
+        raise ValueError(f"models under test are absent: {', '.join(absent)}")
     frames: list[DataFrame] = []
-    nn: dict[str, list[str]] = {}
-    uq: dict[str, list[str]] = {}
-    for t in tests:
-        if t.test not in kinds or t.model not in models:
-            continue
-        if t.test == "not_null":
-            nn.setdefault(t.model, []).append(t.column)
-        elif t.test == "unique":
-            uq.setdefault(t.model, []).append(t.column)
-    for m, cols in nn.items():
-        frames.append(not_null(models[m], m, cols))
-    for m, cols in uq.items():
-        frames.append(unique_many(models[m], m, cols))
-    for t in tests:
-        if t.test not in kinds or t.model not in models or t.test in ("not_null", "unique"):
-            continue
-        df = models[t.model]
-        if t.test == "accepted_values":
-            frames.append(accepted_values(df, t.model, t.column, list(t.values)))
-        elif t.test == "relationships":
-            pm, pc = t.to
-            if pm in models:
-                frames.append(relationships(df, t.model, t.column, models[pm], pc))
-    if not frames:
-        raise ValueError("no data test applies to the given models")
+    for m in dict.fromkeys(t.model for t in chosen):
+        own = [t for t in chosen if t.model == m]
+        nulls = [t.column for t in own if t.test == "not_null"]
+        accepted = {t.column: t.values for t in own if t.test == "accepted_values"}
+        if nulls or accepted:
+            frames.append(row_checks(models[m], m, nulls, accepted))
+        unique_columns = [t.column for t in own if t.test == "unique"]
+        if unique_columns:
+            frames.append(unique_many(models[m], m, unique_columns))
+        frames += [relationships(models[m], m, t.column, models[t.to[0]], t.to[1]) for t in own if t.test == "relationships"]
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 

@@ -15,44 +15,43 @@ from pyspark.sql import functions as F
 
 
 def latest_records(bronze: DataFrame, record: str) -> DataFrame:
-    """Quirk Q4 option: keep one version of each record id, the one from the
-    latest landed file (``_source`` paths sort by landing day, then by the
-    time-stamped file name)."""
-    keyed = bronze.select(F.col(f"{record}.id").alias("_id"), "_source", record)
-    return latest_per_key(keyed, ["_id"], "_source").drop("_id")
+    """Quirk Q4 option: keep one version of each record id, the one landed
+    last.  Paths sort by landing day and by the time in the file's name; where
+    one file holds several versions, the larger record stays."""
+    order = F.struct(*[F.col(c) for c in ("_landed", "_source") if c in bronze.columns], F.col(record))
+    keyed = bronze.select(F.col(f"{record}.id").alias("_id"), order.alias("_order"), record)
+    return latest_per_key(keyed, ["_id"], "_order").drop("_id", "_order")
 
 
 def stg_customers(customers: DataFrame, latest: bool = False) -> DataFrame:
-    u = "user"
     if latest:
-        customers = latest_records(customers, u)
+        customers = latest_records(customers, "user")
     return customers.select(
-        F.col(f"{u}.id").alias("customer_id"),
+        F.col("user.id").alias("customer_id"),
         # '||' semantics: NULL when any part is NULL.
-        F.concat(F.col(f"{u}.firstName"), F.lit(" "), F.col(f"{u}.lastName")).alias("name"),
-        F.col(f"{u}.email").alias("email"),
-        F.col(f"{u}.phone").alias("phone"),
-        F.col(f"{u}.username").alias("username"),
-        F.col(f"{u}.gender").alias("gender"),
-        F.col(f"{u}.address.city").alias("city"),
+        F.concat(F.col("user.firstName"), F.lit(" "), F.col("user.lastName")).alias("name"),
+        F.col("user.email").alias("email"),
+        F.col("user.phone").alias("phone"),
+        F.col("user.username").alias("username"),
+        F.col("user.gender").alias("gender"),
+        F.col("user.address.city").alias("city"),
     ).distinct()
 
 
 def stg_products(products: DataFrame, latest: bool = False) -> DataFrame:
-    p = "product"
     if latest:
-        products = latest_records(products, p)
+        products = latest_records(products, "product")
     return products.select(
-        F.col(f"{p}.id").alias("product_id"),
-        F.col(f"{p}.title").alias("title"),
-        F.col(f"{p}.description").alias("description"),
-        F.col(f"{p}.category").alias("category"),
-        F.col(f"{p}.price").alias("price"),
-        F.col(f"{p}.discountPercentage").alias("discount_percentage"),
-        F.col(f"{p}.rating").alias("rating"),
-        F.col(f"{p}.stock").alias("stock"),
-        F.col(f"{p}.brand").alias("brand"),
-        F.col(f"{p}.sku").alias("sku"),
+        F.col("product.id").alias("product_id"),
+        F.col("product.title").alias("title"),
+        F.col("product.description").alias("description"),
+        F.col("product.category").alias("category"),
+        F.col("product.price").alias("price"),
+        F.col("product.discountPercentage").alias("discount_percentage"),
+        F.col("product.rating").alias("rating"),
+        F.col("product.stock").alias("stock"),
+        F.col("product.brand").alias("brand"),
+        F.col("product.sku").alias("sku"),
     ).distinct()
 
 
@@ -68,31 +67,28 @@ def as_of_col(as_of: str | _dt.date | Column | None) -> Column:
 def stg_orders(carts: DataFrame, as_of=None, latest: bool = False) -> DataFrame:
     """``order_date`` is the cart's own date when the source has one, else the
     build date (the original stamps every order with ``current_date``)."""
-    c = "cart"
     if latest:
-        carts = latest_records(carts, c)
-    has_date = "orderDate" in carts.select(f"{c}.*").columns
-    order_date = F.coalesce(F.col(f"{c}.orderDate"), as_of_col(as_of)) if has_date else as_of_col(as_of)
+        carts = latest_records(carts, "cart")
+    has_date = "orderDate" in carts.select("cart.*").columns
+    order_date = F.coalesce(F.col("cart.orderDate"), as_of_col(as_of)) if has_date else as_of_col(as_of)
     return carts.select(
-        F.col(f"{c}.id").alias("order_id"),
-        F.col(f"{c}.userId").alias("customer_id"),
-        F.col(f"{c}.total").alias("total"),
-        F.col(f"{c}.discountedTotal").alias("discountedTotal"),
-        F.col(f"{c}.totalProducts").alias("totalProducts"),
-        F.col(f"{c}.totalQuantity").alias("totalQuantity"),
+        F.col("cart.id").alias("order_id"),
+        F.col("cart.userId").alias("customer_id"),
+        F.col("cart.total").alias("total"),
+        F.col("cart.discountedTotal").alias("discountedTotal"),
+        F.col("cart.totalProducts").alias("totalProducts"),
+        F.col("cart.totalQuantity").alias("totalQuantity"),
         order_date.alias("order_date"),
     ).distinct()
 
 
 def order_lines(lines: DataFrame) -> DataFrame:
-    """Flat order lines (``carts[].products`` after both unnests, U2)."""
-    return lines.select(
-        F.col("cart_id").alias("order_id"),
-        F.col("line.id").alias("product_id"),
-        F.col("line.title").alias("title"),
-        F.col("line.quantity").alias("quantity"),
-        F.col("line.discountedTotal").alias("discounted_total"),
-    )
+    """Flat order lines (``carts[].products`` after both unnests, U2), with the fields that the lines carry."""
+    # Fields of a line and their columns.
+    names = {"id": "product_id", "title": "title", "quantity": "quantity", "discountedTotal": "discounted_total"}
+    have = lines.schema["line"].dataType.names
+    return lines.select(F.col("cart_id").alias("order_id"),
+                        *[F.col(f"line.{f}").alias(c) for f, c in names.items() if f in have])
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:

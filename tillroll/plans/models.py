@@ -12,7 +12,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .. import DEFAULT_AS_OF
 from ..operators import dims, facts, marts, staging
 from ..operators.quality import DataTest
 from ..sources.fixtures import Bronze, bronze
@@ -23,25 +22,31 @@ class ModelSpec:
     name: str
     tags: tuple[str, ...]
     materialized: str  # "table" | "view"
+    folder: str
     alias: str | None = None  # catalog name when it differs from the model name
 
 
-# Model names, tags and materializations of the original project.
+# Model names, tags, materializations and folders of the original project.
 MODELS = [
-    ModelSpec("stg_customers", ("staging",), "view", "raw_customers"),
-    ModelSpec("stg_products", ("staging",), "view", "raw_products"),
-    ModelSpec("stg_orders", ("staging",), "view", "raw_orders"),
-    ModelSpec("dim_customer", ("dimension",), "table"),
-    ModelSpec("dim_product", ("dimension",), "table"),
-    ModelSpec("fact_orders", ("fact",), "table"),
-    ModelSpec("analytics_customer_metrics", ("analytics",), "table"),
-    ModelSpec("analytics_revenue_daily", ("analytics",), "table"),
-    ModelSpec("revenue_metrics", ("analytics",), "table"),
-    ModelSpec("customer_churn", ("metrics",), "table"),
-    ModelSpec("mtd_revenue", ("metrics",), "table"),
+    ModelSpec("stg_customers", ("staging",), "view", "staging", "raw_customers"),
+    ModelSpec("stg_products", ("staging",), "view", "staging", "raw_products"),
+    ModelSpec("stg_orders", ("staging",), "view", "staging", "raw_orders"),
+    ModelSpec("dim_customer", ("dimension",), "table", "dim"),
+    ModelSpec("dim_product", ("dimension",), "table", "dim"),
+    ModelSpec("fact_orders", ("fact",), "table", "fact"),
+    ModelSpec("analytics_customer_metrics", ("analytics",), "table", "analytics"),
+    ModelSpec("analytics_revenue_daily", ("analytics",), "table", "analytics"),
+    ModelSpec("revenue_metrics", ("analytics",), "table", "analytics"),
+    ModelSpec("customer_churn", ("metrics",), "table", "analytics"),
+    ModelSpec("mtd_revenue", ("metrics",), "table", "analytics"),
 ]
 
 
+def analytics_models(word: str = "analytics") -> dict[str, str]:
+    """Alias -> catalog name of the models whose folder or tags name ``word``."""
+    return {m.name: (m.alias or m.name) for m in MODELS if word in m.folder or word in m.tags}
+
+
 STATUSES = tuple(marts.STATUSES)
 
 # The 35 declared data tests.
@@ -87,7 +92,7 @@ DATA_TESTS: list[DataTest] = [
 class Warehouse:
     """All models over one set of bronze frames, built lazily and once."""
 
-    def __init__(self, bronze_frames: Bronze, as_of=DEFAULT_AS_OF, latest: bool = False):
+    def __init__(self, bronze_frames: Bronze, as_of=None, latest: bool = False):
         """``latest`` keeps only the latest landed version of each record
         (quirk Q4 option); the default is the original ``SELECT DISTINCT``."""
         self.bronze = bronze_frames
@@ -95,7 +100,7 @@ class Warehouse:
         self.latest = latest
 
     @classmethod
-    def from_sf(cls, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF) -> "Warehouse":
+    def from_sf(cls, spark: SparkSession, sf_dir: str, as_of=None) -> "Warehouse":
         return cls(bronze(spark, sf_dir), as_of)
 
     @cached_property
@@ -128,11 +133,11 @@ class Warehouse:
 
     @cached_property
     def customer_metrics(self) -> DataFrame:
-        return marts.customer_metrics(self.stg_customers, self.dim_customer, self.fact_orders, self.as_of)
+        return marts.customer_metrics(self.stg_customers, self.dim_customer, self.stg_orders, self.as_of)
 
     @cached_property
     def customer_churn(self) -> DataFrame:
-        return marts.customer_churn(self.stg_customers, self.dim_customer, self.fact_orders, self.as_of)
+        return marts.customer_churn(self.stg_customers, self.dim_customer, self.stg_orders, self.as_of)
 
     @cached_property
     def mtd_revenue(self) -> DataFrame:
