@@ -57,6 +57,16 @@ def test_day_diff_and_trunc(spark):
     assert r["m"] == dt.datetime(2001, 1, 1)
 
 
+def test_money_text_or_dash_and_whole_numbers(spark):
+    from tillroll.functions import money_text_or_dash, whole
+
+    df = spark.createDataFrame([("12.5",), ("abc",), (None,), ("1234567.891",)], "v string")
+    got = [r["t"] for r in df.select(money_text_or_dash("v").alias("t")).collect()]
+    assert got == ["$12.50", "-", "-", "$1,234,567.89"]
+    assert one(spark, whole(F.lit(2.5))) == 2 and one(spark, whole(F.lit(1.5))) == 2
+    assert one(spark, whole(F.lit(5000000000))) == 5000000000
+
+
 @settings(max_examples=20, deadline=None)
 @given(st.lists(st.integers(0, 10**12), min_size=1, max_size=30))
 def test_money_sum_is_exact(spark, units):

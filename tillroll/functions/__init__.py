@@ -114,6 +114,12 @@ def pct2(part: Column | str, whole: Column | str) -> Column:
     return ratio2(col(part).cast("decimal(30,0)") * F.lit(100), whole)
 
 
+def whole(c: Column | str) -> Column:
+    """Cast to a whole number, halves to even, like the warehouse's ``::INT``,
+    but BIGINT: counts pass 2^31 at large scale (F5)."""
+    return F.bround(col(c)).cast("bigint")
+
+
 def day_diff(end: Column | str, start: Column | str) -> Column:
     """Whole calendar days from start to end (two-argument ``datediff``)."""
     return F.datediff(col(end), col(start)).cast("bigint")
@@ -131,6 +137,12 @@ def money_text(c: Column | str) -> Column:
     return F.concat(F.lit("$"), F.format_number(cents, 2))
 
 
+def money_text_or_dash(c: Column | str) -> Column:
+    """Like :func:`money_text`, but '-' for a value that is NULL or no number (F16)."""
+    v = F.round(col(c).try_cast("decimal(38,4)"), 2)
+    return F.when(v.isNull(), F.lit("-")).otherwise(F.concat(F.lit("$"), F.format_number(v, 2)))
+
+
 def pct_text(c: Column | str) -> Column:
     """'12.34%'; NULL renders as '0.00%'."""
     v = F.round(F.coalesce(col(c).cast("decimal(38,4)"), F.lit(0).cast("decimal(38,4)")), 2)

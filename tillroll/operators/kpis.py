@@ -13,8 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import (count_text, day_diff, label_or_unknown, money_sum, money_text, pad_label, pct2, pct_text,
-                         plural, ratio2, round2, surrogate_key, to_double)
+from ..functions import (count_text, day_diff, label_or_unknown, money_sum, money_text,
+                         money_text_or_dash, pad_label, pct2, pct_text, plural, ratio2, round2, surrogate_key,
+                         to_double, whole)
 from .facts import dimension_rows
 from .marts import ACTIVE, CHURNED, CHURN_DAYS
 from .staging import as_of_col
@@ -105,8 +106,7 @@ def top_products(lines: DataFrame, k: int = 5) -> DataFrame:
     (quirk Q5)."""
     g = lines.groupBy(F.col("line.title").alias("title")).agg(
         F.sum("line.quantity").alias("_units"), money_sum("line.discountedTotal").alias("_rev"))
-    # BIGINT, not the original's INT: a title's units pass 2^31 at large scale.
-    return (g.select("title", F.col("_units").cast("bigint").alias("units"), round2("_rev").alias("revenue"))
+    return (g.select("title", whole("_units").alias("units"), round2("_rev").alias("revenue"))
             .orderBy(F.col("revenue").desc_nulls_last(), F.col("title").asc_nulls_last()).limit(k))
 
 
@@ -136,7 +136,7 @@ def top_customers(stg_orders: DataFrame, dim_customer: DataFrame, stg_customers:
     g = j.groupBy(F.col("n.name").alias("name")).agg(
         F.count_distinct(F.col("o.order_id")).alias("_orders"),
         F.sum(F.col("o._spend") * F.col("n._weight")).alias("_spend"))
-    return (g.select("name", F.col("_orders").cast("bigint").alias("orders"), round2("_spend").alias("spend"))
+    return (g.select("name", whole("_orders").alias("orders"), round2("_spend").alias("spend"))
             .orderBy(F.col("spend").desc_nulls_last(), F.col("name").asc_nulls_last()).limit(k))
 
 
@@ -238,10 +238,10 @@ def dashboard(models: dict[str, DataFrame], as_of=None, reports: tuple[str, ...]
     mtd = models.get("mtd_revenue")
     if mtd is not None:
         shown = [(c, label, fmt) for c, label, fmt in (
-            ("net_revenue", "MTD Net Revenue", money_text), ("gross_revenue", "MTD Gross Revenue", money_text),
+            ("net_revenue", "MTD Net Revenue", money_text_or_dash), ("gross_revenue", "MTD Gross Revenue", money_text_or_dash),
             ("total_orders", "Orders MTD", count_text), ("unique_customers", "Customers MTD", count_text)) if c in mtd.columns]
         if shown:
-            sums = mtd.agg(*[(money_sum(c) if fmt is money_text else F.sum(c)).alias(c) for c, _, fmt in shown])
+            sums = mtd.agg(*[(money_sum(c) if fmt is money_text_or_dash else F.sum(c)).alias(c) for c, _, fmt in shown])
             parts.append(_section(sums, [(1, i, sales, F.lit(label), fmt(c)) for i, (c, label, fmt) in enumerate(shown)]))
     lines = models.get("order_lines")
     if lines is not None and {"product_id", "quantity"} <= set(lines.columns):
@@ -264,14 +264,14 @@ def dashboard(models: dict[str, DataFrame], as_of=None, reports: tuple[str, ...]
             parts.append(_section(rate, [(3, 0, customer, F.lit("Churn Rate (calc)"), pct_text("churn_rate_pct"))]))
     metrics = models.get("analytics_customer_metrics")
     if metrics is not None and "lifetime_value" in metrics.columns:
-        parts.append(_section(kpi_avg_ltv(metrics), [(3, 1, customer, F.lit("Avg LTV"), money_text("avg_ltv"))]))
+        parts.append(_section(kpi_avg_ltv(metrics), [(3, 1, customer, F.lit("Avg LTV"), money_text_or_dash("avg_ltv"))]))
     daily = models.get("analytics_revenue_daily")
     if daily is not None and "daily_revenue" in daily.columns:
         newest = F.max(F.when(F.col("report_date").isNotNull(), F.struct("report_date", "daily_revenue"))).alias("newest")
         both = daily.agg(money_sum("daily_revenue").alias("total"), newest)
         day = F.concat(F.lit("Latest ("), F.date_format("newest.report_date", "yyyy-MM-dd"), F.lit(")"))
-        parts.append(_section(both, [(4, 0, revenue, F.lit("Total Revenue"), money_text("total")),
-                                     (4, 1, revenue, day, money_text(F.col("newest.daily_revenue")))]).where("metric IS NOT NULL"))
+        parts.append(_section(both, [(4, 0, revenue, F.lit("Total Revenue"), money_text_or_dash("total")),
+                                     (4, 1, revenue, day, money_text_or_dash(F.col("newest.daily_revenue")))]).where("metric IS NOT NULL"))
     present = sum(1 for name in reports if name in models)
     parts.append(_section(SparkSession.active().range(1), [
         (5, 0, "Summary", F.lit("Reports executed"), F.lit(str(present)))]))
