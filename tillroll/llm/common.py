@@ -28,13 +28,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     The folder is the one the session names in ``spark.checkpoint.dir``; only
     where none is set (tests on one machine) a temporary one is taken.
     """
-    _set_checkpoint_dir(df.sparkSession.sparkContext)
+    _set_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
-def _set_checkpoint_dir(sc) -> None:
+def _set_checkpoint_dir(spark: SparkSession) -> None:
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = sc.getConf().get("spark.checkpoint.dir")
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-checkpoints-"))
@@ -42,7 +43,7 @@ def _set_checkpoint_dir(sc) -> None:
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder, below the shared checkpoint folder, for tables that a job writes."""
-    _set_checkpoint_dir(spark.sparkContext)
+    _set_checkpoint_dir(spark)
     return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 

@@ -17,6 +17,8 @@ rows; whole texts are read, in pieces of bounded size.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,6 +32,7 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 UNDETERMINED = "und"
 
 
+@lru_cache(maxsize=1)
 def _letter_table() -> np.ndarray:
     return np.frombuffer(bytes(chr(c).isalpha() for c in range(0x110000)), dtype=np.uint8).astype(bool)
 

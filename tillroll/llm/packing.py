@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, insort
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -41,11 +42,7 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str, ranks: str | None, pattern: str | None):
-        from tokenizers import Tokenizer
-
-        self.slow = Tokenizer.from_file(vocabulary)
-        self.slow.encode_special_tokens = True
-        self.fast = None
+        self.vocabulary, self.fast, self._slow = vocabulary, None, None
         if ranks:
             import base64
 
@@ -55,12 +52,27 @@ class Encoder:
                 table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
             self.fast = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
+    @property
+    def slow(self):
+        if self._slow is None:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self.vocabulary)
+            self._slow.encode_special_tokens = True  # their strings in a text are ordinary text
+        return self._slow
+
     def __call__(self, text: str) -> list[int]:
         if self.fast and not OTHER_LETTERS.search(text):
             return self.fast.encode_ordinary(text)
         return self.slow.encode(text, add_special_tokens=False).ids
 
 
+@lru_cache(maxsize=2)
+def encoder(vocabulary: str, ranks: str | None, pattern: str | None) -> Encoder:
+    """One encoder a worker process, not one a task."""
+    return Encoder(vocabulary, ranks, pattern)
+
+
 class Rows:
     """Piece rows on their way into an Arrow batch."""
 
@@ -169,7 +181,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, *, ranks: str | None = None
     def pack(batches):
         from pyspark import TaskContext
 
-        encode = Encoder(vocabulary, ranks, pattern)
+        encode = encoder(vocabulary, ranks, pattern)
         documents = ((d, t) for b in batches
                      for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()))
         rows = Rows(schema)
