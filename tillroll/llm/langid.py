@@ -88,6 +88,10 @@ class Model:
     def __init__(self, grams: dict[str, dict[str, int]], order: int):
         self.order, self.languages = order, sorted(grams)
         self.keys, self.logp, self.contexts, self.weights = [], [], [], []
+        self.centre = np.zeros(len(self.languages))
+        self.spread = np.full(len(self.languages), np.inf)
+        if not self.languages:
+            return
         raw = {}  # (order, language) -> (code rows, counts)
         for lang in self.languages:
             items = sorted(grams[lang].items())
@@ -127,8 +131,6 @@ class Model:
             self.contexts.append(heads)
             self.weights.append(np.log(weights).astype(np.float32))
         self.unseen = (self.weights[0][0] - np.log(len(letters) + 1)).astype(np.float32)
-        self.centre = np.zeros(len(self.languages))
-        self.spread = np.full(len(self.languages), np.inf)
 
     def _logp(self, codes: np.ndarray, skip: int) -> np.ndarray:
         """Log probability of each position from ``skip`` on, a column a language."""
@@ -192,10 +194,10 @@ class Model:
 
     def predict(self, texts: list[np.ndarray]):
         """(language number or -1, score, entropy, rejected) of each text's codes."""
+        if not texts or not self.languages:
+            return np.full(len(texts), -1), np.zeros(len(texts)), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
         xent, counts = self.entropies(texts)
         some = np.array([bool((c != SPACE).any()) for c in texts], dtype=bool)
-        if not len(texts) or not self.languages:
-            return np.full(len(texts), -1), np.zeros(len(texts)), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
         best = xent.argmin(axis=1)
         low = xent.min(axis=1)
         odds = np.exp(-(xent - low[:, None]) * np.clip(counts, 1, 64)[:, None])
@@ -205,7 +207,7 @@ class Model:
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         train: Column | None = None, order: int = 4, docs_per_language: int = 1500,
-        grams_per_language: int = 300_000, quantile: float = 0.9995, slack: float = 0.6) -> Model:
+        grams_per_language: int = 300_000, quantile: float = 0.9995, slack: float = 1.0) -> Model:
     """Fit the models on about ``docs_per_language`` labelled documents of each language.
 
     ``train`` says which rows may be learned from.  A fifth of the sample only
