@@ -85,7 +85,9 @@ def connected_components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame
     node.  Alternates the two star contractions (every larger neighbour is hung
     on the smallest neighbour, then every smaller one) until nothing changes:
     a logarithmic number of rounds in practice.  Neighbour minima are partial
-    aggregates, and each round is written to the checkpoint folder.
+    aggregates.  They are written to the checkpoint folder, as each round's
+    edges are, and so meet the edges of a hub as plain rows, whose join AQE can
+    split.
     """
     pairs = checkpointed(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -95,10 +97,10 @@ def connected_components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame
         if state[0] == 0:
             break
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(least, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = checkpointed(both.where("v > u").join(least, "u")
+                             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        smallest = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(smallest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = checkpointed(
             small.union(smallest.select("u", F.col("m").alias("v"))).where("u <> v").distinct())

@@ -207,9 +207,10 @@ class Model:
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         train: Column | None = None, order: int = 4, docs_per_language: int = 1500,
-        grams_per_language: int = 300_000, quantile: float = 0.9995, slack: float = 1.0) -> Model:
+        grams_per_language: int = 300_000, most_languages: int = 256, quantile: float = 0.9995, slack: float = 1.0) -> Model:
     """Fit the models on about ``docs_per_language`` labelled documents of each language.
 
+    Of more than ``most_languages`` languages the most frequent ones are learned.
     ``train`` says which rows may be learned from.  A fifth of the sample only
     calibrates the rejection.  Gram counts are summed in Spark; each language
     keeps its most frequent ones, at most ``grams_per_language``.
@@ -217,7 +218,8 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = (rows.where(train) if train is not None else rows).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
+             .orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
     if not sizes:
         return Model({}, order)
     share = F.lit(0)
