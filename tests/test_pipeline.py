@@ -47,6 +47,9 @@ def test_pipeline_round_trip(spark, scratch, capsys):
     again = run_pipeline(spark, landing, work, AS_OF, incremental=True)  # nothing new
     assert again["loaded"] == counts and again["report"] == direct
 
+    history = spark.table("data_test_results")  # appended by every run
+    assert history.count() == 70 and history.select("run_at").distinct().count() == 2
+
     from tillroll.__main__ import main
 
     capsys.readouterr()

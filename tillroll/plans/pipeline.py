@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from ..operators import kpis, quality
 from ..session import default_shuffle_partitions
-from ..sinks import save_table, save_view
+from ..sinks import append_by_name, save_table, save_view
 from ..sources import envelopes
 from ..sources.fixtures import Bronze
 from ..streaming import QUARANTINED, generation, load_files, read_loaded
 from .models import DATA_TESTS, MODELS, Warehouse
 
+# Catalog table that keeps the data-test results of every run.
+TEST_RESULTS = "data_test_results"
 ENTITY_FILES = ("customers", "products", "orders")
 
 
@@ -80,6 +82,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, work_root: str, as_of=N
     built = build_models(w, f"{work_root}/models")
     results: DataFrame = quality.run_tests(w.models(), DATA_TESTS)
     tests = [r.asDict() for r in results.collect()]  # 35 rows
+    append_by_name(spark.createDataFrame(tests, results.schema).withColumn("run_at", F.current_timestamp()), TEST_RESULTS)
     raw = {"customers": w.bronze.customers, "products": w.bronze.products, "orders": w.bronze.carts}
     report = [r.line for r in kpis.kpi_report_text(
         w.dim_customer, w.fact_orders, w.mtd_revenue, w.revenue_daily,
