@@ -24,12 +24,23 @@ def test_page_without_an_article_element():
     assert main_text(html) == " ".join(["Title", (PARAGRAPH * 3).strip(), (PARAGRAPH * 2).strip()])
 
 
+def test_names_of_layouts_and_of_elements():
+    body = f"<h1>Title</h1><p>{PARAGRAPH * 3}</p>"
+    want = f"Title {(PARAGRAPH * 3).strip()}"
+    assert main_text(page(f'<div class="page has-sidebar"><div class="entry-content">{body}</div>'
+                          f'<div class="left-sidebar"><p>{PARAGRAPH * 3}</p></div></div>')) == want
+    assert main_text(page(f'<div id="popup">{body}</div>')) == want  # nothing else is there
+    assert main_text(page(f'<main>{body}<div class="comments-area"><p>{PARAGRAPH}</p></div></main>')) == want
+
+
 def test_broken_markup():
     assert main_text("<p>open <b>and <i>never closed") == "open and never closed"
     assert main_text("text only") == "text only"
     assert main_text("<article><p>a</article><script>if (a < b) { x('") == "a"
     assert main_text("1 < 2 and <b>3</b> > 2") == "1 < 2 and 3 > 2"
     assert main_text("<article>x<!-- never closed <p>y</p>") == "x"
+    assert main_text("<article><p title=\"a > 'b\">x</p><p title='open>y</p></article>") == "x y"
+    assert main_text("<p>a</p><script src=x>var p = '<p>b</p>'</script\n><p>c<style>d") == "a c"
     assert main_text(None) == main_text("") == main_text("<div></div>") == ""
 
 

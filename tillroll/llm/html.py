@@ -43,31 +43,39 @@ consent contentinfo cookie cookies copyright disqus footer gdpr login menu modal
 notices outbrain pager pagination popup promo promotion related search share sharing sidebar signup skip social sponsor
 sponsored subscribe subscription taboola toolbar widget""".split())
 PAGE_MARKS = frozenset({"header", "masthead", "topbar"})  # of no article only outside one
+# First parts of names that tell of a page's layout ("has-sidebar"), not of an element.
+LAYOUT = frozenset("has have is layout no not page single theme with without".split())
 
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|$)"
-    r"|<(script|style)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|$)"
-    r"|<!\[CDATA\[.*?(?:\]\]>|$)"
-    r"|<[!?][^>]*(?:>|$)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|$)", re.I | re.S)
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?>.*?(?:</\1\s*>|\Z)"
+    r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    r"|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.I | re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-WORDS = re.compile(r"[a-z0-9]+")
+PARTS = re.compile(r"[a-z0-9]+")
 WINDOW = 3
 GAP = ("", False)  # a line of stripped markup
 
 
 def _marked(attributes: str, inside: bool) -> bool:
-    """Whether a class, id or role says that an element is no article."""
+    """Whether a class, id or role says, by its first or last part, that an element is no article."""
     for m in NAMES.finditer(attributes):
-        words = WORDS.findall((m[1] or m[2] or m[3] or "").lower())
-        if not MARKS.isdisjoint(words) or not inside and not PAGE_MARKS.isdisjoint(words):
-            return True
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = PARTS.findall(name)
+            if not parts or parts[0] in LAYOUT:
+                continue
+            ends = {parts[0], parts[-1]}
+            if not MARKS.isdisjoint(ends) or not inside and not PAGE_MARKS.isdisjoint(ends):
+                return True
     return False
 
 
-def lines_of(html: str) -> list[tuple[str, bool]]:
-    """(text, whether inside an article or main element) of each block; gaps where markup is stripped."""
+def lines_of(html: str, by_name: bool = True) -> list[tuple[str, bool]]:
+    """(text, whether inside an article or main element) of each block; gaps where markup is stripped.
+
+    Without ``by_name``, classes, ids and roles are not looked at."""
     lines: list[tuple[str, bool]] = []
     text: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # (element, dropped, inside) of open elements
@@ -108,7 +116,7 @@ def lines_of(html: str) -> list[tuple[str, bool]]:
         into = inside or name in ("article", "main")
         # Of loose elements only those matter that say something by a name.
         drop = dropped or name in NO_TEXT or name == "header" and not inside or bool(m[4]) and (
-            _marked(m[4], into) or bool(HIDDEN.search(m[4])))
+            by_name and _marked(m[4], into) or bool(HIDDEN.search(m[4])))
         if name in ("html", "body", "article", "main"):
             drop = dropped
         if name in LOOSE and not drop:
@@ -143,8 +151,12 @@ def surges(sizes: list[int], floor: int) -> list[tuple[int, int, int]]:
 
 
 def main_text(html: str | None, *, floor: int = 40, share: float = 0.2) -> str:
-    """The article's text of one page."""
+    """The article's text of one page.
+
+    A page on which names mark all text as no article is read without them."""
     lines = lines_of(html or "")
+    if not any(t for t, _ in lines):
+        lines = lines_of(html or "", by_name=False)
     if any(inside and t for t, inside in lines):
         kept = [(t if inside else "") for t, inside in lines]
         runs = surges([len(t) for t in kept], 1)
