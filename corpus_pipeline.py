@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import decontaminate, langid, secrets, simhash
-from tillroll.llm.common import fold, shared_folder, small_batches, table
+from tillroll.llm.common import delete_folder, fold, shared_folder, small_batches, table
 from tillroll.llm.queries import pack
 
 
@@ -60,10 +60,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result but the last is written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each result but the last is written as Parquet and read again.
+
+    A stage's table goes once the next one is written; the last is read by the result."""
+    docs, before = table(spark, sf_dir, "documents"), None
     folder = shared_folder(spark, "pipeline")
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        path = f"{folder}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            delete_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

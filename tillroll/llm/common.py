@@ -47,6 +47,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a table that this job wrote, on whatever file system it lies."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def map_batches(docs: DataFrame, change, *, text_col: str = "text") -> DataFrame:
     """``docs`` with its own columns, each Arrow batch passed through a function that ``change()`` makes in the task.
 
