@@ -44,6 +44,11 @@ def test_broken_markup():
     assert main_text(None) == main_text("") == main_text("<div></div>") == ""
 
 
+def test_odd_long_pages_end_soon():
+    for odd in ("<script " + "\"a'" * 3000, "<p " + "\"a'" * 3000, "<" * 20_000, "<a" * 20_000, "<!--" * 20_000, "<div>" * 5_000):
+        assert main_text("<p>kept</p>" + odd).startswith("kept")
+
+
 def test_surges_and_dives():
     assert surges([0, 0, 5, 0, 0, 0, 0, 50, 50, 0], 10) == [(7, 10, 100)]
     assert surges([], 1) == [] and surges([0], 1) == []

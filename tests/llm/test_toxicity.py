@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import fold
 from tillroll.llm.queries import op8_toxicity
-from tillroll.llm.toxicity import BOUNDARY, Spelling, clean_words, fit, lattice, restore, score_toxicity, spelled_out
+from tillroll.llm.toxicity import BOUNDARY, Spelling, clean_words, core_of, fit, lattice, restore, score_toxicity, spelled_out
 
 
 def spelling(words):
@@ -49,6 +49,17 @@ def test_clean_tokens_stay():
     assert "stupid" in spelled_out("he is s t u p i d now".split())
 
 
+def test_edges_of_tokens():
+    for token, core in (("(word),", "word"), ("word$$$", "word"), ("###word%%%", "word"), ("$tupid!!", "$tupid"), ("---", ""),
+                        ("a" + "-" * 5000 + "b", "a" + "-" * 5000 + "b"), ("", ""), ("_x_", "_x_")):
+        assert core_of(token) == core
+
+
+def test_odd_long_tokens_end_soon():
+    for token in ("x" + "-" * 20_000 + "y", "a*" * 5_000 + "b", "a**" * 2_000 + "b", ".,;" * 20_000, "1" * 20_000 + "a"):
+        assert isinstance(clean_words(token, MODEL), tuple)
+
+
 def measure(rows):
     y = np.array([r["toxic"] for r in rows])
     s, p = np.array([r["score"] for r in rows]), np.array([r["predicted"] for r in rows])

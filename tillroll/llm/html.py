@@ -48,7 +48,7 @@ LAYOUT = frozenset("has have is layout no not page single theme with without".sp
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?(?:>|\Z).*?(?:</\1\s*>|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.I | re.S)
@@ -98,7 +98,7 @@ def lines_of(html: str, by_name: bool = True) -> list[tuple[str, bool]]:
         if name in BLOCKS:
             settle()
         if m[2]:
-            if any(e[0] == name for e in stack):
+            if any(e[0] == name for e in reversed(stack)):
                 while True:
                     last = stack.pop()
                     if last[0] == name:

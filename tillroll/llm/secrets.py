@@ -33,7 +33,8 @@ SENSITIVE_WORDS = ("password", "passwd", "passphrase", "pwd", "secret", "token",
                    "credential", "authorization", "bearer", "signature", "client_id", "session_id", "encryption_key")
 SENSITIVE = re.compile("|".join(map(re.escape, SENSITIVE_WORDS)), re.A | re.I)
 REACH = 48  # characters after a sensitive word in which a candidate may begin
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{16,}")
+LEAST = 16  # characters of a candidate
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{%d,}" % LEAST)
 
 # Identifiers that code repeats.
 IDENTIFIERS = """access_key_id account_name algorithm application_config argument attribute authentication
@@ -96,7 +97,8 @@ def novel_spans(text: str, taken, novelty: Novelty, *, least_bytes: int, least_s
         return found
     for near in SENSITIVE.finditer(text):
         at = near.end()
-        while (m := CANDIDATE.search(text, at)) and m.start() <= near.end() + REACH:
+        while m := CANDIDATE.search(text, at, near.end() + REACH + LEAST):
+            m = CANDIDATE.match(text, m.start())  # to its end, which may lie beyond
             (start, end), word = m.span(), m[0]
             at = end
             if start in done or not (re.search("[0-9]", word) and re.search("[A-Za-z]", word)):

@@ -39,7 +39,10 @@ STANDS_FOR = {
 SUBSTITUTED, WILDCARD = -1.0, -2.5
 DROPPED_SEPARATOR, DROPPED_SYMBOL, DROPPED_DIGIT, DROPPED_REPEAT = -0.7, -4.0, -9.0, -0.5
 WILD = "*#%?"
-EDGES = re.compile(r"^(?:([^\w])\1\1+|[.,;:'\"()\[\]{}<>¿¡/\\-])*(.*?)(?:([^\w])\3\3+|[.,;:'\"()\[\]{}<>?!/\\|-])*$", re.S)
+# Punctuation at the edges of a token that stands for no letter.
+OPENING, CLOSING = frozenset(".,;:'\"()[]{}<>¿¡/\\-"), frozenset(".,;:'\"()[]{}<>?!/\\|-")
+RUN = 3  # a run of one symbol this long at an edge is decoration
+STATES = 64  # most lattice states kept at a character; words with few wildcards have fewer
 PARTS = re.compile(r"[^\W_]+")
 REPEATS = re.compile(r"(\w)\1\1")
 MEMO = 300_000
@@ -99,6 +102,8 @@ def restore(word: str, spelling: Spelling) -> str:
                     to, now, way = state, score + cost, path
                 if to not in new or now > new[to][0]:
                     new[to] = (now, way)
+        if len(new) > STATES:
+            new = dict(heapq.nlargest(STATES, new.items(), key=lambda x: x[1][0]))
         best = new
     _, path = max(((s + spelling.logp(state, BOUNDARY), p) for state, (s, p) in best.items()), key=lambda x: x[0])
     out = []
@@ -108,13 +113,34 @@ def restore(word: str, spelling: Spelling) -> str:
     return "".join(reversed(out))
 
 
+def edge(token: str, marks: frozenset) -> int:
+    """How many characters at the start of a token are punctuation or runs of a symbol."""
+    at = 0
+    while at < len(token):
+        c = token[at]
+        end = at + 1
+        while end < len(token) and token[end] == c:
+            end += 1
+        if c in marks or end - at >= RUN and not c.isalnum() and c != "_":
+            at = end
+        else:
+            break
+    return at
+
+
+def core_of(token: str) -> str:
+    """A token without punctuation and decoration at its edges."""
+    token = token[edge(token, OPENING):]
+    return token[:len(token) - edge(token[::-1], CLOSING)]
+
+
 def clean_words(token: str, spelling: Spelling | None) -> tuple[str, ...]:
     """The clean words of one lower-cased token; distorted ones restored where a spelling model is given."""
     if token.isalpha():
         if spelling and REPEATS.search(token):
             return token, restore(token, spelling)
         return (token,)
-    core = EDGES.match(token)[2]
+    core = core_of(token)
     if core.isalpha():
         return clean_words(core, spelling)
     parts = PARTS.findall(core)
