@@ -48,6 +48,17 @@ def test_short_and_repetitive_texts(words, items):
     assert {index.items[i][0] for i in got} == {i for i, t in pairs if slow_best(" ".join(words), t) >= 0.8}
 
 
+def test_a_passage_repeated_many_times(monkeypatch):
+    import tillroll.llm.decontaminate as module
+
+    rng = random.Random(3)
+    item = " ".join(rng.choices([f"w{i}" for i in range(90)], k=30))
+    index = Index([(7, item)], 5, 23)
+    assert index.matches("x y z " + (item + " ") * 3000, 0.8) == {0: (1.0, 3)}
+    monkeypatch.setattr(module, "WINDOWS_AT_ONCE", 8)
+    assert index.matches("x y z " * 20 + item + " end" * 50, 0.8) == {0: (1.0, 60)}
+
+
 def test_query_finds_every_passage(spark):
     path = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{path}/documents.parquet").collect()

@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import map_batches, text_docs
 
 WORD = re.compile(r"\w+")
-BLOCKS, WIDTH = 8, 8
+BLOCKS = 8  # of 8 bits each
+WINDOWS_AT_ONCE = 1 << 14
 BITS = np.array([bin(x).count("1") for x in range(256)], dtype=np.uint8)
 
 
@@ -136,7 +137,8 @@ class Index:
         np.add.at(reach, np.clip(anchors - (size - k), 0, last), 1)
         np.add.at(reach, np.minimum(anchors, last) + 1, -1)
         at = np.flatnonzero(np.cumsum(reach[:-1]) > 0)
-        for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
+        gaps = np.flatnonzero(np.diff(at) > 1) + 1
+        for run in np.split(at, np.unique(np.concatenate([gaps, np.arange(WINDOWS_AT_ONCE, len(at), WINDOWS_AT_ONCE)]))):
             lo, hi = int(run[0]), int(run[-1]) + size
             grams = shingles_of(words[lo:hi], k)
             wide = size - k + 1  # shingles a window holds
@@ -147,8 +149,11 @@ class Index:
                 hit |= near[b][seen[:, b]]
             w, m = np.nonzero(hit)
             apart = BITS[seen[w] ^ prints[m]].sum(axis=1)
-            for i, j in zip(w[apart <= self.radius].tolist(), m[apart <= self.radius].tolist()):
+            near_by = np.argsort(apart, kind="stable")[:int((apart <= self.radius).sum())]  # nearest first
+            for i, j in zip(w[near_by].tolist(), m[near_by].tolist()):
                 item = int(members[j])
+                if found.get(item, (0.0, 0))[0] == 1.0:  # no window can be more similar
+                    continue
                 score = similarity(Counter(grams[i:i + wide]), self.items[item][2])
                 if score >= least and score > found.get(item, (0.0, 0))[0]:
                     found[item] = (score, lo + i)
