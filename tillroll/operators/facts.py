@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import surrogate_key
 
 
-def dimension_rows(dim_customer: DataFrame) -> DataFrame:
-    """How many dimension rows carry each customer key (more than one only
-    when a changed record survived staging, quirk Q4)."""
-    return dim_customer.groupBy("customer_key").agg(F.count(F.lit(1)).alias("_dims"))
+def dimension_rows(dim_customer: DataFrame, by: str = "customer_id") -> DataFrame:
+    """How many dimension rows carry each customer id or key (more than one
+    only when a changed record survived staging, quirk Q4)."""
+    return dim_customer.groupBy(by).agg(F.count(F.lit(1)).alias("_dims"))
 
 
 def fact_orders(stg_orders: DataFrame, dim_customer: DataFrame) -> DataFrame:

@@ -123,13 +123,14 @@ def top_customers(stg_orders: DataFrame, dim_customer: DataFrame, stg_customers:
     fact JOIN dim ON key JOIN staging ON id.  An order of an id with d
     dimension rows has d fact rows, each of which meets d dimension rows and
     every staging row of the id, so it counts d * d times for each of those.
-    The weights come from customer-sized frames; orders are summed per
-    (customer, order) first and meet the names in one join of two plain
-    shuffles, in which AQE can split a hot customer."""
+    The weights come from customer-sized frames, joined on the key so that the
+    join on the id that follows shuffles them anew; orders are summed per
+    (customer, order) first and meet them in one join of two plain shuffles,
+    in which AQE can split a hot customer."""
     per_order = stg_orders.groupBy("customer_id", "order_id").agg(money_sum("discountedTotal").alias("_spend")).alias("o")
     keyed = stg_customers.where(F.col("customer_id").isNotNull()).select(
         "customer_id", "name", surrogate_key("customer_id").alias("_key"))
-    dims = dimension_rows(dim_customer)
+    dims = dimension_rows(dim_customer, "customer_key")
     names = keyed.join(dims, keyed["_key"] == dims["customer_key"]).select(
         "customer_id", "name", (F.col("_dims") * F.col("_dims")).alias("_weight")).alias("n")
     j = per_order.join(names, F.col("o.customer_id") == F.col("n.customer_id"))

@@ -49,25 +49,25 @@ def _customer_orders(stg_customers: DataFrame, dim_customer: DataFrame, stg_orde
     one row per key with its row count.  The result equals the row-level join
     exactly, duplicates included: each staging row meets ``_dims`` dimension
     rows, and each of those meets the fact rows of the id, of which there are
-    ``_dims`` for every order.  (The key is md5 of the id, so matching on the
-    key is matching on the id.)
+    ``_dims`` for every order.  All sides are customer-sized and join on the
+    id.  (The key is md5 of the id, so matching on the key is matching on it.)
     """
     dims = dimension_rows(dim_customer).alias("dm")
     per_customer = orders_per_customer(stg_orders).alias("pf")
-    sc = stg_customers.select("customer_id", "name", "email").withColumn(
-        "_key", surrogate_key("customer_id")).alias("sc")
-    j = sc.join(dims, (F.col("sc._key") == F.col("dm.customer_key")) & F.col("sc.customer_id").isNotNull(), "left").join(
+    sc = stg_customers.select("customer_id", "name", "email").alias("sc")
+    j = sc.join(dims, F.col("sc.customer_id") == F.col("dm.customer_id"), "left").join(
         per_customer, (F.col("sc.customer_id") == F.col("pf.customer_id")) & F.col("dm._dims").isNotNull(), "left")
     d = as_of_col(as_of)
-    g = j.groupBy(F.col("dm.customer_key").alias("customer_key"), F.col("sc.name").alias("name"),
+    g = j.groupBy(F.col("dm.customer_id").alias("_id"), F.col("sc.name").alias("name"),
                   F.col("sc.email").alias("email")).agg(
         F.coalesce(F.max("pf._orders"), F.lit(0)).alias("total_orders"),
         (F.min("pf._first") if own_dates else F.min(d)).alias("first_order_date"),
         (F.max("pf._last") if own_dates else F.max(d)).alias("last_order_date"),
         F.sum(F.col("pf._sum") * (F.col("dm._dims") * F.col("dm._dims"))).alias("_ltv"),
     )
+    key = F.when(F.col("_id").isNotNull(), surrogate_key("_id"))
     return g.select(
-        "customer_key", "name", "email", "total_orders", "first_order_date", "last_order_date",
+        key.alias("customer_key"), "name", "email", "total_orders", "first_order_date", "last_order_date",
         to_double("_ltv").alias("lifetime_value"),
         customer_status(F.col("total_orders"), day_diff(d, F.col("last_order_date"))).alias("customer_status"),
     )
