@@ -181,14 +181,14 @@ class Model:
         settle()
         return sums / np.maximum(counts, 1)[:, None], counts
 
-    def calibrate(self, texts: list[np.ndarray], labels: list[str], quantile: float, slack: float) -> None:
-        """Where documents of each language lie: centre, and spread by 1 / sqrt(characters)."""
-        xent, counts = self.entropies(texts)
-        labels = np.array(labels)
+    def calibrate(self, measured: list[tuple[str, float, int]], quantile: float, slack: float) -> None:
+        """Where documents of each language lie: centre, and spread by 1 / sqrt(characters).
+
+        ``measured`` has (language, its cross-entropy, characters) of documents that were not learned from."""
         for j, lang in enumerate(self.languages):
-            own = (labels == lang) & (counts > 0)
-            if own.any():
-                x, n = xent[own, j], counts[own]
+            own = np.array([(x, n) for label, x, n in measured if label == lang and n]).reshape(-1, 2)
+            if len(own):
+                x, n = own.T
                 self.centre[j] = np.average(x, weights=n) + slack
                 self.spread[j] = max(1.0, np.quantile((x - self.centre[j]) * np.sqrt(n), quantile))
 
@@ -207,10 +207,13 @@ class Model:
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         train: Column | None = None, order: int = 4, docs_per_language: int = 1500,
-        grams_per_language: int = 300_000, most_languages: int = 256, quantile: float = 0.9995, slack: float = 1.0) -> Model:
+        grams_per_language: int = 300_000, most_languages: int = 256,
+        most_cells: int = 50_000_000, quantile: float = 0.9995, slack: float = 1.0) -> Model:
     """Fit the models on about ``docs_per_language`` labelled documents of each language.
 
-    Of more than ``most_languages`` languages the most frequent ones are learned.
+    Of more than ``most_languages`` languages the most frequent ones are learned,
+    and with many languages each keeps fewer grams, so that the table of grams by
+    languages has at most about ``most_cells`` cells.
     ``train`` says which rows may be learned from.  A fifth of the sample only
     calibrates the rejection.  Gram counts are summed in Spark; each language
     keeps its most frequent ones, at most ``grams_per_language``.
@@ -222,6 +225,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
              .orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
     if not sizes:
         return Model({}, order)
+    grams_per_language = min(grams_per_language, most_cells // len(sizes) ** 2)
     share = F.lit(0)
     for lang, n in sorted(sizes.items()):
         share = F.when(F.col("lang") == lang, F.lit(min(1_000_000, round(1e6 * docs_per_language / n)))).otherwise(share)
@@ -257,10 +261,24 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     top = counts.where(F.col("n") >= few).toPandas()
     grams = {lang: dict(zip(part["gram"], part["n"])) for lang, part in top.groupby("lang")}
     model = Model(grams, order)
-    held = rows.where(apart).select("text", "lang").toPandas() if len(grams) else None
-    if held is not None and len(held):
-        letters = Letters()
-        model.calibrate([letters(t) for t in held["text"]], list(held["lang"]), quantile, slack)
+    if not grams:
+        return model
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def measure(batches):
+        model, letters = shared.value, Letters()
+        place = {lang: j for j, lang in enumerate(model.languages)}
+        for b in batches:
+            kept = [(lang, letters(t)) for lang, t in zip(b.column("lang").to_pylist(), b.column("text").to_pylist())
+                    if lang in place]
+            xent, counts = model.entropies([codes for _, codes in kept])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang for lang, _ in kept], pa.string()),
+                 pa.array([float(xent[i, place[lang]]) for i, (lang, _) in enumerate(kept)], pa.float64()),
+                 pa.array(counts, pa.int64())], names=["lang", "entropy", "n"])
+
+    measured = rows.where(apart).mapInArrow(measure, "lang string, entropy double, n long").collect()
+    model.calibrate([(r["lang"], r["entropy"], r["n"]) for r in measured], quantile, slack)
     return model
 
 
