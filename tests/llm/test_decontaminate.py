@@ -15,6 +15,8 @@ def slow_best(text, item, shingle=5):
         return 0.0
     k, size = min(shingle, len(wanted)), min(len(wanted), len(words))
     target = Counter(shingles_of(wanted, shingle))
+    if target.keys().isdisjoint(shingles_of(words, k)):
+        return 0.0
     return max(similarity(Counter(shingles_of(words[i:i + size], k)), target) for i in range(len(words) - size + 1))
 
 
