@@ -1,10 +1,13 @@
 """Secret scan: fixed patterns, and strings that compression can't explain.
 
-The patterns give the base spans.  Beyond them, every long mixed string that
-follows a sensitive word is a candidate.  Its novelty is the number of bytes it
+The patterns give the base spans.  Beyond them, every string that follows a
+sensitive word and is no plain word or number is a candidate, and so is every
+string that follows a candidate over a newline, dot, quote or other separator,
+and all of a PEM block of a private key.  Its novelty is the number of bytes it
 adds to a zstandard frame primed with two dictionaries: common identifiers, and
 the text around it.  Words, identifiers and repeats of the context cost few
-bytes; a random string costs about its entropy, and is reported.
+bytes; a random string costs about its entropy, and is reported.  Of one that
+overlaps a base span, the rest is.
 
 Defined results: a null or empty text has no span; repeated rows are scanned
 one by one; an empty table gives no rows; whole texts are read at any length.
@@ -13,6 +16,7 @@ one by one; an empty table gives no rows; whole texts are read at any length.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from hashlib import sha256
 
 import pyarrow as pa
@@ -33,8 +37,13 @@ SENSITIVE_WORDS = ("password", "passwd", "passphrase", "pwd", "secret", "token",
                    "credential", "authorization", "bearer", "signature", "client_id", "session_id", "encryption_key")
 SENSITIVE = re.compile("|".join(map(re.escape, SENSITIVE_WORDS)), re.A | re.I)
 REACH = 48  # characters after a sensitive word in which a candidate may begin
-LEAST = 16  # characters of a candidate
+LEAST = 9  # characters of a candidate: a shorter one can't hold the least bytes of ``all_spans``
+LONG = 16  # characters from which a string without a digit or without a letter may be a candidate
+RUN = re.compile(r"[A-Za-z0-9+/_=~-]+")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{%d,}" % LEAST)
+# Between two strings of a chain: separators, line ends as such or escaped; not blanks alone.
+LINK = re.compile(r"(?=[^\n]*\n|[ \t]*[^\w\s])(?:\\[nrt]|(?<=\s)\+(?=\s)|[^\w+/=~-]){1,32}", re.A)
+KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----(.*?)(?:-----END|\Z)", re.S)
 
 # Identifiers that code repeats.
 IDENTIFIERS = """access_key_id account_name algorithm application_config argument attribute authentication
@@ -89,26 +98,92 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
+def mixed(word: str) -> bool:
+    """Whether a string is none that prose is made of: letters with digits, long digits, or cases in disorder."""
+    letters, digits = re.search("[A-Za-z]", word), re.search("[0-9]", word)
+    if letters and digits:
+        return True
+    return len(word) >= LONG and bool(digits or len(re.findall("[a-z][A-Z]", word)) * 6 >= len(word))
+
+
+class Taken:
+    """The base spans, overlapping ones as one."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for _, a, b in spans:  # in order of start
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def rest(self, start: int, end: int) -> list[tuple[int, int]]:
+        """What of a string no base span covers."""
+        out, at = [], start
+        for i in range(bisect_right(self.ends, start), bisect_left(self.starts, end)):
+            if self.starts[i] > at:
+                out.append((at, self.starts[i]))
+            at = self.ends[i]
+        return [*out, (at, end)] if at < end else out
+
+
 def novel_spans(text: str, taken, novelty: Novelty, *, least_bytes: int, least_share: float):
-    """Spans of candidates after a sensitive word that cost too many bytes to be words."""
+    """Spans of candidates in a sensitive context that cost too many bytes to be words."""
     found, done = [], set()
     low = text.lower()
     if not any(w in low for w in SENSITIVE_WORDS):
         return found
+    base = Taken(taken)
+
+    def novel(start, end):
+        cost = novelty(text, start, end)
+        return cost >= least_bytes and cost >= least_share * (end - start)
+
+    def measure(start, end) -> bool:
+        """Report what of a candidate is novel; whether it is a secret, as a base span or so."""
+        rest = base.rest(start, end)
+        if rest == [(start, end)]:
+            if novel(start, end):
+                found.append(("novel", start, end))
+                return True
+            return False
+        for a, b in rest:
+            # Before a base span may stand a name; what follows one belongs to the same string.
+            if novel(start if a > start else a, b):
+                found.append(("novel", a, b))
+        return True
+
+    def follow(start, end):
+        """Measure a candidate and those that follow it."""
+        secret = measure(start, end)
+        while (gap := LINK.match(text, end)) and (m := RUN.match(text, gap.end())) and m.start() not in done:
+            word = m[0]
+            part = gap[0] == "." and secret and (mixed(word) or len(word) >= LEAST)  # of a dotted token
+            if not part and (len(word) < LONG or not (secret or mixed(word))) and not (len(word) >= LEAST and mixed(word)):
+                return
+            done.add(m.start())
+            end = m.end()
+            secret = measure(m.start(), end)
+
     for near in SENSITIVE.finditer(text):
         at = near.end()
         while m := CANDIDATE.search(text, at, near.end() + REACH + LEAST):
             m = CANDIDATE.match(text, m.start())  # to its end, which may lie beyond
-            (start, end), word = m.span(), m[0]
-            at = end
-            if start in done or not (re.search("[0-9]", word) and re.search("[A-Za-z]", word)):
-                continue
-            done.add(start)
-            if any(a < end and start < b for _, a, b in taken):
-                continue
-            cost = novelty(text, start, end)
-            if cost >= least_bytes and cost >= least_share * (end - start):
-                found.append(("novel", start, end))
+            at = m.end()
+            if m.start() not in done and mixed(m[0]):
+                done.add(m.start())
+                follow(m.start(), at)
+    for block in KEY_BLOCK.finditer(text) if "PRIVATE KEY" in text else ():
+        after = False  # of a secret line, the shorter last ones are part of the key
+        for m in RUN.finditer(text, *block.span(1)):
+            if m.start() in done:
+                after = after or ("novel", *m.span()) in found[-1:] or len(m[0]) >= LONG
+            elif len(m[0]) >= LONG:
+                after = measure(*m.span())
+            elif after and text[:m.start()].endswith("\n"):
+                found += [("novel", a, b) for a, b in base.rest(*m.span())]
+            done.add(m.start())
     return found
 
 
