@@ -97,3 +97,13 @@ def test_online_packing_keeps_few_windows_open(sizes, open_windows):
         fills[r[5]] += r[2]
     assert sum(f < 16 for f in fills.values()) <= 1
     assert sum(r[2] for r in rows if r[7] < 0) + sum(fills.values()) == sum(n + 1 for n in sizes)
+
+
+def test_added_tokens_have_their_own_ids(spark):
+    untouched = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "a <|endoftext|> b", "<|endoftext|>" * 3, "x<|endoftext|>你", "<|endoftext|", "a < b | c", "你"]
+    want = [untouched.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [FAST(t) for t in texts] == want and want[0] == [64, 50256, 65]
+    rows = pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["doc_tokens"], r["ids_crc32"]) for r in rows} == {
+        (i, len(ids) + 1, crc32(np.array([*ids, 0], dtype="<u4").tobytes())) for i, ids in enumerate(want)}
