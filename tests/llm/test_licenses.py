@@ -63,3 +63,35 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert scan_licenses(edge_docs).count() == 0 and scan_licenses(no_docs).count() == 0
     many = spark.createDataFrame([(None, "All rights reserved.\n" * 5000, 1)], "doc_id long, text string, digest int")
     assert scan_licenses(many).where("unit = 'line'").count() == 5000
+
+
+def wrapped(text, width):
+    """Each paragraph of a text on lines of at most ``width`` characters, or on one line."""
+    import textwrap
+
+    parts = [" ".join(p.split()) for p in re.split(r"\n\s*\n", text)]
+    return "\n\n".join(textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) if width else p for p in parts)
+
+
+def test_entire_texts_are_found_at_any_width(spark):
+    from tillroll.llm.licenses import known_texts
+
+    texts = [(i, t) for i, t in known_texts() if len(t) > 500]
+    assert {i for i, _ in texts} == {"MIT", "ISC", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "BSD-2-Clause",
+                                     "BSD-3-Clause", "CC0-1.0", "Unlicense"}
+    # The GNU texts begin with a notice inside a paragraph; their own wrap is looked up.
+    cases = [(i, t) for i, t in texts] + [
+        (i, "Copyright (c) 2020 A. Author\n\n" + wrapped(t, n)) for i, t in texts if "GPL" not in i for n in (0, 60, 72, 80, 100, 120)]
+    df = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(cases)], "doc_id long, text string")
+    found = {r["doc_id"]: r["license_id"] for r in scan_licenses(df).where("unit = 'document'").collect()}
+    assert [(i, found.get(n)) for n, (i, _) in enumerate(cases)] == [(i, i) for i, _ in cases]
+
+
+def test_notices_and_words_of_licences(spark):
+    mit = next(t for i, t in KNOWN if i == "MIT" and "Permission" in t)
+    notices = ["Copyright (c) 2020 A", "Copyright 2020 A", "COPYRIGHT: 2020", "(C) 2020 A", "© Acme", "Copyright Google LLC",
+               "Copyright The Linux Foundation and its contributors", "Copyright by A", "Copyright [yyyy] [name]", "(c) A. Author"]
+    words = ["COPYRIGHT HOLDERS BE LIABLE", "copyright notice", "(c) You must retain", "copyright", "Copyright law"]
+    df = spark.createDataFrame([(n, f"{x}\n{mit}") for n, x in enumerate(notices + words)], "doc_id long, text string")
+    found = {r["doc_id"] for r in scan_licenses(df).where("unit = 'document'").collect()}
+    assert found == set(range(len(notices)))

@@ -1,7 +1,9 @@
 """Licence scan by canonical digest, in DataFrame functions only.
 
-A text is brought to a canonical form: lower case, copyright lines dropped, runs
+A text is brought to a canonical form: lower case, copyright notices dropped, runs
 of anything but letters a-z and digits one space, equivalent spellings alike.
+A line of a licence's own words that begins with "copyright" is no notice, so
+where a text is wrapped does not change its form.
 The SHA-256 of that form is joined with the digests of known licences.  Two
 kinds of text are looked up as a whole: each document, and each of its lines (a
 notice such as a header is a text of its own).  The known side is a constant
@@ -16,6 +18,7 @@ tables give no rows; texts of any length are digested whole.
 from __future__ import annotations
 
 from functools import reduce
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,25 +82,61 @@ SPELLINGS = (
     ("gnu gpl", "gnu general public license"), ("merchantibility", "merchantability"),
     ("non infringement", "noninfringement"),
 )
-COPYRIGHT_LINE = r"^[ \t]*(copyright|\(c\)|©).*$"
+COPYRIGHT_LINE = r"^[ \t]*(copyright|\(c\)|©).*$"  # of the registered SQL
+
+# Entire texts beside the module, and the titles that they stand with or without.
+ENTIRE = ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "Unlicense")
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License"),
+}
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"  # what follows tells how to apply them, and may be left out
+# Words after "copyright", or after "(c)" as the mark of a paragraph, in licences themselves.
+IN_TEXT = r"""a(?!\.) all and any are as at be by-laws disclaim\w* doctrines? for from have holders? if in include interests? is
+it its law laws licen[cs]e\w* may must nor not notices? of on or owner\w* permissions? protection rights? shall
+statements? subject such that the this to treat(?:y|ies) under with you your""".split()
+NOTICE = (
+    r"^[ \t]*(?:copyright[ \t:,]*(?:\(c\)|©|&copy;|[\[<{(]?(?:(?:19|20)\d\d|yyyy|year)\b|by[ \t])"
+    r"|copyright[ \t:]+the\b.*\b(?:authors?|contributors?|developers?|foundation|project|regents|team)\b"
+    r"|(?:©|\(c\))[ \t]*(?:copyright\b|[\[<{(]?(?:19|20)\d\d\b)"
+    rf"|(?:copyright[ \t:]+|(?:©|\(c\))[ \t]*)(?!(?:{'|'.join(IN_TEXT)})\b)[^\W\d_])")
 
 
 def canonical_line(line: Column) -> Column:
-    """Canonical form of one line: words by single spaces; empty for a copyright line."""
+    """Canonical form of one line: words by single spaces; empty for a copyright notice."""
     low = F.lower(line)
-    words = F.regexp_replace(F.when(low.rlike(COPYRIGHT_LINE), F.lit("")).otherwise(low), "[^a-z0-9]+", " ")
-    padded = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
-    alike = reduce(lambda s, pair: F.replace(s, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")), SPELLINGS, padded)
-    return F.trim(alike)
+    words = F.regexp_replace(F.when(low.rlike(NOTICE), F.lit("")).otherwise(low), "[^a-z0-9]+", " ")
+    return _alike(F.trim(words))
+
+
+def _alike(words: Column) -> Column:
+    padded = F.concat(F.lit(" "), words, F.lit(" "))
+    return F.trim(reduce(lambda s, pair: F.replace(s, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")), SPELLINGS, padded))
 
 
 def _whole(lines: Column) -> Column:
-    return F.array_join(F.filter(lines, lambda x: x != ""), " ")
+    """Canonical form of all lines; spellings may reach over a line's end."""
+    return _alike(F.array_join(F.filter(lines, lambda x: x != ""), " "))
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the known notices, and of entire texts with each title, without one, and without instructions."""
+    texts = [(i, (files(__package__) / "license_texts" / f"{i}.txt").read_text(encoding="utf-8")) for i in ENTIRE]
+    texts += [(i, t.removeprefix("MIT License\n\n")) for i, t in KNOWN if "Permission" in t]
+    out = [*KNOWN, *texts]
+    for i, t in texts:
+        out += [(i, f"{title}\n\n{t}") for title in TITLES.get(i, ())]
+        terms, end, _ = t.partition(END_OF_TERMS)
+        if end:
+            out += [(i, terms), (i, terms + end)]
+    return out
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
     """(digest, license_id) of the known texts, one row a digest."""
-    rows = F.explode(F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in KNOWN]))
+    rows = F.explode(F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in known_texts()]))
     texts = spark.range(1).select(rows.alias("k")).select("k.license_id", "k.text")
     lines = texts.select("license_id", F.transform(F.split("text", "\n", -1), canonical_line).alias("lines"))
     return (lines.select(F.sha2(_whole(F.col("lines")), 256).alias("digest"), "license_id")
