@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm.centroids import oracle_sql as centroids_sql
+from tillroll.llm.chat import oracle_sql as chat_sql
 from tillroll.llm.common import fold, small_batches, table
+from tillroll.llm.lexical import oracle_sql as lexical_sql
 from tillroll.llm.licenses import oracle_sql as licenses_sql
 
 
@@ -107,6 +110,31 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillroll.llm.lexical import ranked_search
+
+    small_batches(spark)
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+# The conversation that the contract adds, whose texts hold control strings.
+ADDED_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillroll.llm.chat import digests, format_chats
+
+    added = spark.createDataFrame(ADDED_TURNS, "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return digests(format_chats(turns, _vocabulary("byte_bpe_50k.json")))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillroll.llm.centroids import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024, seed=3)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_lm": op2_lm,
@@ -118,6 +146,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_licenses": op10_licenses,
+    "op11_lexical": op11_lexical,
+    "op12_chat": op12_chat,
+    "op13_centroids": op13_centroids,
 }
 
 TOPK_SQL = """
@@ -136,4 +167,7 @@ WHERE rank <= 20"""
 ORACLE_SQL: dict[str, str] = {
     "op3_topk": TOPK_SQL,
     "op10_licenses": licenses_sql(),
+    "op11_lexical": lexical_sql(k=20),
+    "op12_chat": chat_sql(", ".join(f"({c}, {t}, '{r}', '{x}')" for c, t, r, x in ADDED_TURNS)),
+    "op13_centroids": centroids_sql(k=8, rounds=10, dims=64, scale=1024, seed=3),
 }
