@@ -5,12 +5,15 @@ entity's records under its key, plus ``total``), or a bare list of records.  It
 may be pretty-printed (one value over many lines, as the API client lands it)
 or hold one value per line (as :func:`land` writes it).  Framing is found line
 by line, never declared: a line that is an envelope or a list of objects by
-itself is one; all other lines of a file are put together again as one value.
-
-Every value is split into the raw text of its records, and every record is
-parsed once, on its own: a record that does not fit the schema, or a value
-that is no JSON of a known shape, becomes a quarantined row that keeps its raw
-text.  So loaded plus quarantined rows account for all that was landed.
+itself is one; all other lines of a file are one value together.  Files of up to
+``WHOLE_BYTES`` are put together for that; of larger ones
+:mod:`tillroll.sources.framing` finds the records block by block.
+
+A value is parsed once, records and all, with the declared schema.  Only a value
+in which something does not fit is taken apart again: into the raw text of its
+records, each parsed on its own, so that a record that does not fit the schema,
+or a value that is no JSON of a known shape, becomes a quarantined row that keeps
+its raw text.  So loaded plus quarantined rows account for all that was landed.
 """
 
 from __future__ import annotations
@@ -22,8 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CART, ENTITIES
+from .framing import framed_values
 
 CORRUPT = "_corrupt_record"
+# Lines of files up to this size are brought together where a value has many lines.
+WHOLE_BYTES = 32 << 20
 CART_HEADER = T.StructType([f for f in CART.fields if f.name != "products"])
 LANDING_COLUMNS = ("_source", "_landed", "_total")
 # ``<entity>_YYYYMMDD_HHMMSS``: the name of one fetch, a file or a folder of part files.
@@ -42,7 +48,7 @@ def require_folder(spark: SparkSession, path: str) -> str:
 def _line_columns() -> list[Column]:
     return [F.col("value"), F.col("_metadata.file_path").alias("_source"),
             F.col("_metadata.file_modification_time").alias("_landed"),
-            F.col("_metadata.file_block_start").alias("_block")]
+            F.col("_metadata.file_block_start").alias("_block"), F.col("_metadata.file_size").alias("_size")]
 
 
 def read_lines(spark: SparkSession, root: str, entity: str) -> DataFrame:
@@ -61,27 +67,52 @@ def stream_lines(spark: SparkSession, root: str, entity: str, max_files: int | N
     return r.text(path).select(*_line_columns())
 
 
-def landed_values(lines: DataFrame, entity: str) -> DataFrame:
-    """One row per JSON value of a file: ``_source, _landed, text``.
+def landed_values(lines: DataFrame, entity: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """One row per JSON value of a file: ``_source, _landed, text, _fault``.
 
-    Only lines that are no value by themselves are brought together by file;
-    such a file is one JSON value, which any reader has to hold at once.
+    Only lines that are no value by themselves are brought together, and only
+    those of files up to ``whole_bytes``; a larger file gives a value per record.
+    ``_fault`` marks text that can't be taken as a value.
     """
     key = ENTITIES[entity][0]
     whole = F.col("value").rlike(
         rf'^\s*(\{{.*"{key}"\s*:\s*(\[|\{{|null).*\}}|\[\s*(\{{.*\}})?\s*\])\s*$')
     alone = lines.where(whole).select("_source", "_landed", F.col("value").alias("text"))
+    rest = lines.where(~whole & (F.trim("value") != ""))
     # Ids rise with the line inside a block, blocks with their start in the file.
     at = F.struct(F.col("_block"), F.monotonically_increasing_id().alias("line"), F.col("value"))
-    rest = (lines.withColumn("_at", at).where(~whole & (F.trim("value") != ""))
-            .groupBy("_source", "_landed").agg(F.sort_array(F.collect_list("_at")).alias("_lines"))
-            .select("_source", "_landed", F.array_join(F.col("_lines.value"), "\n").alias("text")))
-    return alone.unionByName(rest)
+    together = (rest.where(F.col("_size") <= whole_bytes).withColumn("_at", at)
+                .groupBy("_source", "_landed").agg(F.sort_array(F.collect_list("_at")).alias("_lines"))
+                .select("_source", "_landed", F.array_join(F.col("_lines.value"), "\n").alias("text")))
+    values = alone.unionByName(together).withColumn("_fault", F.lit(False))
+    return values.unionByName(framed_values(rest.where(F.col("_size") > whole_bytes), key))
+
 
+def _ddl(record: T.StructType, *more: str) -> str:
+    return f"struct<{','.join([*(f'`{f.name}`:{f.dataType.simpleString()}' for f in record.fields), *more])}>"
 
-def _texts(json: Column) -> Column:
-    """Raw texts of the elements of a JSON array; NULL when it is malformed."""
-    return F.from_json(json, "array<string>")
+
+def _taken_apart(key: str, record: T.StructType) -> str:
+    """What a value ``text`` holds in which something does not fit, as an array of
+    (_total, raw text of what is bad, record); a malformed value, or one of an unknown shape, is one bad row."""
+    plain, checked = _ddl(record), _ddl(record, f"{CORRUPT}:string")
+    bad = f"array(named_struct('_total', CAST(NULL AS BIGINT), '_bad', text, 'rec', CAST(NULL AS {plain})))"
+    # Inside brackets a text parses as a list of its values, and anything
+    # after or between them that is no JSON makes the whole malformed.
+    roots = (f"transform(from_json(concat('[', text, ']'), 'array<string>'), root -> named_struct('root', root, 'env', "
+             f"CASE WHEN startswith(root, '{{') THEN from_json(root, 'struct<`{key}`:string,total:string>') END))")
+    texts = (f"CASE WHEN startswith(x.root, '[') THEN from_json(x.root, 'array<string>') WHEN x.env.`{key}` IS NULL THEN array() "
+             f"WHEN startswith(ltrim(x.env.`{key}`), '[') THEN from_json(x.env.`{key}`, 'array<string>') "
+             f"ELSE array(x.env.`{key}`) END")  # a single record without its list
+    parsed = (f"transform({texts}, raw -> named_struct('raw', raw, 'rec', from_json(raw, '{checked}', "
+              f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT}'))))")
+    fields = ", ".join(f"'{f.name}', y.rec.`{f.name}`" for f in record.fields)
+    records = (f"transform({parsed}, y -> named_struct('_total', try_cast(x.env.total AS BIGINT), "
+               f"'_bad', CASE WHEN y.rec IS NULL THEN coalesce(y.raw, 'null') ELSE y.rec.{CORRUPT} END, "
+               f"'rec', CASE WHEN y.rec.{CORRUPT} IS NULL AND y.rec IS NOT NULL THEN named_struct({fields}) END))")
+    known = "startswith(x.root, '[') OR x.env IS NOT NULL"  # neither malformed nor a scalar
+    return (f"CASE WHEN size({roots}) > 0 THEN flatten(transform({roots}, x -> CASE WHEN {known} THEN {records} ELSE {bad} END)) "
+            f"ELSE {bad} END")
 
 
 def parse_records(values: DataFrame, entity: str) -> DataFrame:
@@ -92,29 +123,24 @@ def parse_records(values: DataFrame, entity: str) -> DataFrame:
     Values without records (no key, NULL, an empty list) give no row.
     """
     key, record, single = ENTITIES[entity]
-    # Inside brackets a text parses as a list of its values, and anything
-    # after or between them that is no JSON makes the whole malformed.
-    roots = values.select("_source", "_landed", "text", F.explode_outer(
-        _texts(F.concat(F.lit("["), F.col("text"), F.lit("]")))).alias("root"))
-    env = F.from_json("root", T.StructType([T.StructField(key, T.StringType()), T.StructField("total", T.StringType())]))
-    roots = roots.withColumn("_env", F.when(F.col("root").startswith("{"), env))
-    held = F.ltrim(F.col("_env")[key])
-    texts = (F.when(F.col("root").startswith("["), _texts(F.col("root")))
-             .when(F.col("_env").isNull(), F.array(F.lit(None).cast("string")))  # malformed or a scalar
-             .when(held.isNull(), F.array().cast("array<string>"))
-             .when(held.startswith("["), _texts(held))
-             .otherwise(F.array(held)))  # a single record without its list
-    known = F.col("root").startswith("[") | F.col("_env").isNotNull()
-    rows = roots.select("_source", "_landed", F.col("_env.total").try_cast("bigint").alias("_total"),
-                        F.coalesce(known, F.lit(False)).alias("_known"), "text", F.explode(texts).alias("_raw"))
-    schema = T.StructType([*record.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = rows.withColumn("_rec", F.when(F.col("_known"), F.from_json("_raw", schema, {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})))
-    bad = (F.when(~F.col("_known"), F.col("text"))
-           .when(F.col("_rec").isNull(), F.coalesce("_raw", F.lit("null")))
-           .otherwise(F.col("_rec")[CORRUPT]))
-    return parsed.select("_source", "_landed", "_total", bad.alias("_bad"),
-                         F.when(bad.isNull(), F.struct(*[F.col("_rec")[f.name].alias(f.name) for f in record.fields])).alias(single))
+    plain = _ddl(record)
+    # A bare list is the list of an envelope.  Parsing ends with the first value of a text; the number behind
+    # it, which no text holds by chance, shows that this value ended where the text does.
+    enveloped = f"""CASE WHEN startswith(ltrim(text), '[') THEN concat('{{"{key}":', text, '}}') ELSE text END"""
+    schema = f"struct<_:array<struct<`{key}`:array<{plain}>,total:string>>,end:bigint,{CORRUPT}:string>"
+    parsed = values.withColumn("_env", F.expr(
+        f"""from_json(concat('{{"_":[', {enveloped}, '],"end":', CAST(xxhash64(text) AS STRING), '}}'), '{schema}',
+            map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT}'))"""))
+    held = f"_env._[0].`{key}`"
+    fits = (f"coalesce(_env.{CORRUPT} IS NULL AND _env.end = xxhash64(text) AND size(_env._) = 1 "
+            f"AND coalesce(NOT exists({held}, r -> r IS NULL), true), false)")
+    good = (f"transform({held}, r -> named_struct('_total', try_cast(_env._[0].total AS BIGINT), '_bad', CAST(NULL AS STRING), "
+            f"'rec', r))")
+    fault = f"array(named_struct('_total', CAST(NULL AS BIGINT), '_bad', text, 'rec', CAST(NULL AS {plain})))"
+    fault = f"WHEN _fault THEN {fault}" if "_fault" in values.columns else ""
+    rows = F.expr(f"CASE {fault} WHEN {fits} THEN {good} ELSE {_taken_apart(key, record)} END")
+    return parsed.select("_source", "_landed", F.explode(rows).alias("_r")).select(
+        "_source", "_landed", "_r._total", "_r._bad", F.col("_r.rec").alias(single))
 
 
 def split(records: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -12,8 +12,7 @@ missing name parts and mails, orders of unknown or missing customers, and
 customers without orders.
 
 Nothing here nests all records of a key into an array: a hot order would become
-one huge row.  :func:`line_values` builds JSON carts of a bounded number of
-lines each.
+one huge row.
 """
 
 from __future__ import annotations
@@ -26,9 +25,7 @@ from pyspark.sql import functions as F
 from ..functions import MONEY_SCALE, money_units, units_to_double
 from ..schemas import TEST_TABLES
 
-# Records per landed page, and lines per JSON cart.
-PAGE_SIZE = 100
-LINES_PER_CART = 50
+PAGE_SIZE = 100  # records per landed page
 
 
 class Bronze:
@@ -171,15 +168,14 @@ def lines(spark: SparkSession, sf_dir: str, titles: bool = True) -> DataFrame:
 
 
 def line_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order lines as landed JSON: envelopes of one cart with a bounded
-    number of its lines, in the shape of :func:`envelopes.landed_values`."""
-    from .envelopes import page_of
-
-    paged = lines(spark, sf_dir).withColumn("_page", page_of(LINES_PER_CART))
-    carts = paged.groupBy("cart_id", "_page").agg(F.collect_list("line").alias("products"))
-    envelope = F.struct(F.array(F.struct(F.col("cart_id").alias("id"), "products")).alias("carts"))
-    return carts.select(F.lit("orders/lines.json").alias("_source"), F.lit(None).cast("timestamp").alias("_landed"),
-                        F.to_json(envelope).alias("text"))
+    """The order lines as landed JSON: envelopes of one cart with one line, in
+    the shape of :func:`envelopes.landed_values`.  No lines are brought together,
+    so a hot order makes no large value.  Parsing costs far more than reading, so
+    rows are dealt out evenly before (AQE picks the number of partitions)."""
+    cart = F.struct(F.col("cart_id").alias("id"), F.array("line").alias("products"))
+    envelope = F.struct(F.array(cart).alias("carts"))
+    return lines(spark, sf_dir).hint("rebalance").select(F.lit("orders/lines.json").alias("_source"),
+                                       F.lit(None).cast("timestamp").alias("_landed"), F.to_json(envelope).alias("text"))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
