@@ -339,4 +339,22 @@ QUERIES = {
                   + _union(t for tests in TESTS.values() for t in tests) + ")",
 }
 
+WRONG = "id % 37 = 0"  # customers whose id is landed as text
+FETCH_OF = "'customers_2001080' || CASE WHEN id % 3 = 0 THEN '2' ELSE '1' END || '_000000'"
+QUERIES |= {
+    "landed_records": _union([
+        f"SELECT 'customer' AS kind, id, concat_ws('|', first, last, email, city) AS detail FROM people WHERE NOT ({WRONG})",
+        f"SELECT 'quarantined', id, username FROM people WHERE {WRONG}",
+        "SELECT 'product', product_id, concat_ws('|', title, brand, stock) FROM goods",
+        f"SELECT 'line', order_id, concat_ws('|', product_id, title, quantity, CAST({units(NET)} // 10000 AS BIGINT)) FROM lineitem "
+        "LEFT JOIN part ON p_partkey = l_partkey JOIN twice ON n = 1 OR l_orderkey % 64 = 0, "
+        "LATERAL (SELECT l_orderkey AS order_id, l_partkey AS product_id, p_name AS title, CAST(l_quantity AS BIGINT) AS quantity)"]),
+    "landed_completeness": _union([
+        f"SELECT 'customers' AS entity, {FETCH_OF} AS batch, count(*) FILTER (NOT ({WRONG})) AS landed, "
+        f"CAST(max(CASE WHEN id % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS reported_total, "
+        f"count(*) FILTER (NOT ({WRONG})) >= max(CASE WHEN id % 3 = 0 THEN 2 ELSE 1 END) AS complete, "
+        f"count(*) FILTER ({WRONG}) AS quarantined FROM people GROUP BY 2",
+        "SELECT 'products', 'products_20010801_000000', count(*), count(*), true, CAST(0 AS BIGINT) FROM goods"]),
+}
+
 ORACLE_SQL: dict[str, str] = {name: BASE + body for name, body in QUERIES.items()}

@@ -45,3 +45,35 @@ def test_present_models_and_copy_report(spark):
 
     rep = sinks.copy_tables(spark, ["mtd_revenue", "fact_sales", "empty_t"], "jdbc:none", writer=fake_writer)
     assert rep == [("mtd_revenue", "written"), ("fact_sales", "missing"), ("empty_t", "skipped")]
+
+
+def test_killed_rebuild_leaves_the_table(spark, scratch):
+    """A build that dies half-way is never seen; the next one takes its place."""
+    import os
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    path = f"{scratch}/t_atomic"
+    sinks.save_table(spark.range(5), "t_atomic", path)
+    broken = spark.range(0, 100, 1, 4).withColumn("id", F.when(F.col("id") == 99, F.raise_error(F.lit("killed")).cast("long"))
+                                                  .otherwise(F.col("id")))
+    with pytest.raises(Exception, match="killed"):
+        sinks.save_table(broken, "t_atomic", path)
+    os.makedirs(f"{path}/version=1", exist_ok=True)
+    with open(f"{path}/version=1/part-0.parquet", "wb") as f:  # what a killed driver leaves behind
+        f.write(b"half a file")
+    assert spark.table("t_atomic").count() == 5
+    assert sinks.current(spark, path).endswith("version=0") and sinks.current(spark, f"{scratch}/none") is None
+    sinks.save_table(spark.range(7), "t_atomic", path)
+    assert spark.table("t_atomic").count() == 7 and sinks.current(spark, path).endswith("version=2")
+    assert sorted(os.listdir(path)) == ["version=0", "version=2"]
+    sinks.save_table(spark.range(3).withColumn("more", F.lit("x")), "t_atomic", path)  # other columns
+    assert spark.table("t_atomic").columns == ["id", "more"] and spark.table("t_atomic").count() == 3
+    assert sorted(os.listdir(path)) == ["version=2", "version=3"]
+
+
+def test_a_partitioned_table_is_rebuilt(spark, scratch):
+    for n in (4, 6):
+        sinks.save_table(spark.range(n).selectExpr("id", "id % 2 AS p"), "t_parts", f"{scratch}/t_parts", partition_by=["p"])
+        assert spark.table("t_parts").count() == n and spark.table("t_parts").where("p = 1").count() == n // 2

@@ -98,6 +98,21 @@ def test_landed_pages_are_read_back_whole(spark, scratch):
     assert {(r["entity"], r["landing_date"]) for r in summary} == {("products", "2020-02-03")}
 
 
+def test_a_fetch_lands_once(spark, scratch):
+    """A call that is repeated adds nothing; what a killed one left is written anew."""
+    recs = spark.range(30).select("id")
+    out = envelopes.land(recs, scratch, "products", "2020-02-03T04:05:06", page_size=10)
+    assert envelopes.land(recs, scratch, "products", "2020-02-03T04:05:06", page_size=10) == out
+    assert envelopes.load(spark, scratch, "products")[0].count() == 30
+    os.remove(os.path.join(out, "_SUCCESS"))
+    put(out, "", "part-left.json", '{"products": [{"id": 99}]}')
+    envelopes.land(recs, scratch, "products", "2020-02-03T04:05:06", page_size=10, pretty=True)
+    good, bad = envelopes.load(spark, scratch, "products")
+    assert sorted(r["product"]["id"] for r in good.collect()) == list(range(30)) and bad.count() == 0
+    with open(next(os.path.join(out, f) for f in os.listdir(out) if f.endswith(".json"))) as f:
+        assert len(f.readlines()) > 10  # one envelope over many lines
+
+
 def test_completeness_is_judged_per_fetch(spark, scratch):
     half = [person(1), person(2)]
     for day in (1, 2, 3):  # the same half of four records, landed three times

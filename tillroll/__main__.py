@@ -66,8 +66,8 @@ def main(argv: list[str] | None = None) -> int:
         from .streaming import generation
 
         reports = tuple(analytics_models())
-        have = {t for t in reports if sinks.stored(spark, f"{a.work}/models/{t}")}
-        models = {t: spark.read.parquet(f"{a.work}/models/{t}") for t in reports if t in have}
+        have = {t: folder for t in reports if (folder := sinks.current(spark, f"{a.work}/models/{t}"))}
+        models = {t: spark.read.parquet(folder) for t, folder in have.items()}
         models["order_lines"] = order_lines(read_bronze(spark, generation(spark, f"{a.work}/bronze", full=False)).lines)
         section = None
         for row in kpis.dashboard(models, a.as_of, reports).orderBy("section_no", "row_no").collect():
@@ -81,10 +81,10 @@ def main(argv: list[str] | None = None) -> int:
         from .sources import catalog
 
         names = a.table or [m.name for m in MODELS if m.materialized == "table"]
-        for name in names:
-            if sinks.stored(spark, f"{a.work}/models/{name}"):
-                sinks.save_view(spark.read.parquet(f"{a.work}/models/{name}"), name)
-        for row in catalog.inspect(spark, names):
+        folders = {name: folder for name in names if (folder := sinks.current(spark, f"{a.work}/models/{name}"))}
+        for name, folder in folders.items():
+            sinks.save_view(spark.read.parquet(folder), name)
+        for row in catalog.inspect(spark, names, folders):
             print(f"{row['table']}: {row['error'] or str(row['rows']) + ' rows'}")
             for column, kind in catalog.describe(spark, row["table"]):
                 print(f"  {column} {kind}")

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from ..operators import kpis, quality
 from ..session import default_shuffle_partitions
-from ..sinks import append_by_name, save_table, save_view
+from ..sinks import append_by_name, current, save_table, save_view
 from ..sources import envelopes
 from ..sources.fixtures import Bronze
-from ..streaming import QUARANTINED, generation, load_files, read_loaded
+from ..streaming import generation, load_files, read_ledger, read_loaded
 from .models import DATA_TESTS, MODELS, Warehouse
 
 # Catalog table that keeps the data-test results of every run.
@@ -33,8 +33,8 @@ def load_bronze(spark: SparkSession, landing_root: str, bronze_root: str, full:
     out: dict = {"folder": folder, "loaded": {}, "quarantined": {}}
     for entity in ENTITY_FILES:
         load_files(spark, landing_root, entity, folder)
-        out["loaded"][entity] = read_loaded(spark, folder, entity).count()
-        out["quarantined"][entity] = read_loaded(spark, folder, entity, QUARANTINED).count()
+        counts = read_ledger(spark, folder, entity).agg(F.sum("_landed_n").alias("n"), F.sum("_quarantined").alias("bad")).first()
+        out["loaded"][entity], out["quarantined"][entity] = counts["n"] or 0, counts["bad"] or 0
     return out
 
 
@@ -57,8 +57,9 @@ def build_models(w: Warehouse, model_root: str) -> list[str]:
     for m in MODELS:
         df = w.model(m.name)
         if m.materialized == "table":
-            save_table(df, m.name, f"{model_root.rstrip('/')}/{m.name}")
-            w.override(m.name, spark.table(m.name))
+            path = f"{model_root.rstrip('/')}/{m.name}"
+            save_table(df, m.name, path)
+            w.override(m.name, spark.read.parquet(current(spark, path)))
         else:
             save_view(df, m.alias or m.name)
         built.append(m.name)

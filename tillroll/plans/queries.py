@@ -13,7 +13,9 @@ from ..operators import kpis, marts, quality
 from ..operators.quality import DataTest
 from ..operators.staging import order_lines
 from ..sources import envelopes
-from ..sources.fixtures import line_values
+from ..session import scratch_folder
+from ..sources.fixtures import land_files, line_values
+from ..streaming import QUARANTINED, load_files, read_ledger, read_loaded
 from .models import DATA_TESTS, MODELS, Warehouse, analytics_models
 
 AS_OF = "2001-08-02"  # the build date of the test tables: the day after the last order
@@ -60,6 +62,41 @@ def unnest_order_lines(spark, sf_dir):
     return order_lines(envelopes.explode_lines(envelopes.parse_records(line_values(spark, sf_dir), "orders")))
 
 
+def _loaded_from_files(spark, sf_dir) -> str:
+    """Land the tables as files, load them in two rounds (the second incremental); returns the loaded folder."""
+    root = scratch_folder(spark, "landing")
+    for fetch, entities in ((1, ("customers", "products")), (2, ("customers", "orders"))):
+        land_files(spark, sf_dir, f"{root}/files", fetch)
+        for entity in entities:
+            load_files(spark, f"{root}/files", entity, f"{root}/bronze")
+    return f"{root}/bronze"
+
+
+def landed_records(spark, sf_dir):
+    """Every record that was landed as JSON and read back, loaded or quarantined."""
+    folder = _loaded_from_files(spark, sf_dir)
+    people, goods = read_loaded(spark, folder, "customers"), read_loaded(spark, folder, "products")
+    carts, bad = read_loaded(spark, folder, "orders"), read_loaded(spark, folder, "customers", QUARANTINED)
+    row = lambda df, kind, key, detail: df.select(F.lit(kind).alias("kind"), F.expr(key).alias("id"), F.expr(detail).alias("detail"))
+    return (row(people, "customer", "user.id", "concat_ws('|', user.firstName, user.lastName, user.email, user.address.city)")
+            .unionByName(row(bad, "quarantined", "CAST(substring(get_json_object(_bad, '$.id'), 2) AS BIGINT)",
+                             "get_json_object(_bad, '$.username')"))
+            .unionByName(row(goods, "product", "product.id", "concat_ws('|', product.title, product.brand, product.stock)"))
+            .unionByName(row(envelopes.explode_lines(carts), "line", "cart_id",
+                             "concat_ws('|', line.id, line.title, line.quantity, CAST(line.discountedTotal * 10000 AS BIGINT) DIV 10000)")))
+
+
+def landed_completeness(spark, sf_dir):
+    """A21 over the ledger of a load: one row a file is read, no record."""
+    folder = _loaded_from_files(spark, sf_dir)
+    ledgers = {e: read_ledger(spark, folder, e) for e in ("customers", "products", "orders")}
+    found = envelopes.fetch_completeness({e: ledgers[e] for e in ("customers", "products")})
+    bad = ledgers["customers"].groupBy(envelopes.fetch_of(F.col("_source")).alias("batch")).agg(F.sum("_quarantined").alias("quarantined"))
+    return found.join(bad, "batch", "left").select(
+        "entity", F.regexp_extract("batch", r"([^/]+)$", 1).alias("batch"), "landed", "reported_total", "complete",
+        F.coalesce("quarantined", F.lit(0)).alias("quarantined"))
+
+
 # Tests beyond the declared ones, on columns that real landings break.
 MORE_TESTS = [
     DataTest("stg_customers", "gender", "accepted_values", values=("automobile", "building", "furniture", "machinery")),
@@ -169,4 +206,9 @@ QUERIES: dict[str, Query] = {
     "dq_summary": dq_summary,
     "metrics_churn_rates": metrics_churn_rates,
     "dashboard": dashboard,
+    "landed_records": landed_records,
+    "landed_completeness": landed_completeness,
 }
+
+# These write files and read them back, which is what they show.
+WRITING = ("landed_records", "landed_completeness")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -89,3 +91,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def default_shuffle_partitions(input_bytes: int, target_bytes: int = 128 << 20) -> int:
     """Size shuffle partitions so each holds about ``target_bytes``."""
     return max(8, -(-input_bytes // target_bytes))
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for files of a job, in the shared folder of :func:`checkpoint_dir`;
+    only a session of one machine that names none gets a temporary one."""
+    root = checkpoint_dir(spark)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="tillroll-scratch-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CART, ENTITIES
+from ..sinks import stored
 from .framing import framed_values
 
 CORRUPT = "_corrupt_record"
@@ -67,12 +68,20 @@ def stream_lines(spark: SparkSession, root: str, entity: str, max_files: int | N
     return r.text(path).select(*_line_columns())
 
 
-def landed_values(lines: DataFrame, entity: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+def largest_file(spark: SparkSession, root: str, entity: str) -> int:
+    """Bytes of the largest landed file, from file metadata alone; 0 when there is none."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+             .load(require_folder(spark, f"{root.rstrip('/')}/{entity}")))
+    return files.agg(F.max("length").alias("n")).first()["n"] or 0
+
+
+def landed_values(lines: DataFrame, entity: str, whole_bytes: int = WHOLE_BYTES, largest: int | None = None) -> DataFrame:
     """One row per JSON value of a file: ``_source, _landed, text, _fault``.
 
     Only lines that are no value by themselves are brought together, and only
     those of files up to ``whole_bytes``; a larger file gives a value per record.
-    ``_fault`` marks text that can't be taken as a value.
+    ``_fault`` marks text that can't be taken as a value.  ``largest``, where the
+    caller knows it, is the size of the largest file.
     """
     key = ENTITIES[entity][0]
     whole = F.col("value").rlike(
@@ -85,6 +94,8 @@ def landed_values(lines: DataFrame, entity: str, whole_bytes: int = WHOLE_BYTES)
                 .groupBy("_source", "_landed").agg(F.sort_array(F.collect_list("_at")).alias("_lines"))
                 .select("_source", "_landed", F.array_join(F.col("_lines.value"), "\n").alias("text")))
     values = alone.unionByName(together).withColumn("_fault", F.lit(False))
+    if largest is not None and largest <= whole_bytes:
+        return values
     return values.unionByName(framed_values(rest.where(F.col("_size") > whole_bytes), key))
 
 
@@ -222,16 +233,27 @@ def fetch_of(source: Column) -> Column:
     return F.when(named != "", named).otherwise(source)
 
 
+def file_counts(records: DataFrame, total: str = "_total") -> DataFrame:
+    """One row a landed file, combined map-side: ``_source, _landed_n, _reported``."""
+    return records.groupBy("_source").agg(F.count(F.lit(1)).alias("_landed_n"), F.max(total).alias("_reported"))
+
+
 def completeness(frames: dict[str, DataFrame]) -> DataFrame:
     """Per fetch, records landed against the total that fetch reports
-    (the landed count when it reports none)."""
+    (the landed count when it reports none).  Records are counted per file
+    first, so a file's name is taken apart once."""
+    return fetch_completeness({entity: file_counts(df) for entity, df in frames.items()})
+
+
+def fetch_completeness(files: dict[str, DataFrame]) -> DataFrame:
+    """A21 from one row a file (:func:`file_counts`, or a load's ledger): no record is read."""
     parts = []
-    for entity, df in frames.items():
+    for entity, df in files.items():
         g = df.groupBy(fetch_of(F.col("_source")).alias("batch")).agg(
-            F.count(F.lit(1)).alias("landed"), F.max("_total").alias("_reported"))
+            F.sum("_landed_n").alias("landed"), F.max("_reported").alias("_said"))
         parts.append(g.select(
             F.lit(entity).alias("entity"), "batch", "landed",
-            F.coalesce(F.col("_reported"), F.col("landed")).alias("reported_total"),
+            F.coalesce(F.col("_said"), F.col("landed")).alias("reported_total"),
         ).withColumn("complete", F.col("landed") >= F.col("reported_total")))
     out = parts[0]
     for p in parts[1:]:
@@ -256,23 +278,33 @@ def page_records(records: DataFrame, key: str, page_size: int = 100, total: int
     with_id = records.withColumn("_rid", F.monotonically_increasing_id())
     page = F.expr(f"_rid div {page_size}")
     g = with_id.groupBy(page.alias("_page")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_rid"), F.struct(*rec_cols).alias("r")))).alias("_rs"))
-    arr = F.transform(F.col("_rs"), lambda x: x["r"])
+        F.collect_list(F.struct(F.col("_rid"), F.struct(*rec_cols).alias("r"))).alias("_rs"))
+    # By the id alone, since not all records can be ordered.
+    arr = F.transform(F.array_sort("_rs", lambda a, b: (a["_rid"] - b["_rid"]).cast("int")), lambda x: x["r"])
     tot = F.lit(total).cast("bigint") if total is not None else F.lit(None).cast("bigint")
     return g.select(arr.alias(key), tot.alias("total"), (F.col("_page") * page_size).alias("skip"),
                     F.lit(page_size).cast("bigint").alias("limit"))
 
 
 def land(records: DataFrame, root: str, entity: str, at: str | _dt.datetime | None = None, page_size: int = 100,
-         total: int | None = None) -> str:
+         total: int | None = None, pretty: bool = False) -> str:
     """Write records as envelopes, one per line, under
     ``root/entity/YYYY/MM/DD/<entity>_YYYYMMDD_HHMMSS/`` (K1, K2: the URI
-    scheme picks the file system, e.g. ``s3a://``).  ``at`` is the time of the
-    fetch in UTC, now by default; paths of one entity sort by it.  Returns the
-    folder written."""
+    scheme picks the file system, e.g. ``s3a://``).  ``pretty`` writes a file of
+    many lines for each envelope.  ``at`` is the time of the fetch in UTC, now by
+    default; paths of one entity sort by it.  Returns the folder written.
+
+    A fetch lands once: its folder has a marker file when all of it is there.  A
+    call for a fetch that has landed writes nothing; one that finds part of a
+    fetch without the marker writes the whole anew."""
+    spark = records.sparkSession
     when = _dt.datetime.now(_dt.timezone.utc) if at is None else _dt.datetime.fromisoformat(str(at))
     out = (f"{root.rstrip('/')}/{entity}/{when:%Y/%m/%d}/{entity}_{when:%Y%m%d_%H%M%S}")
-    page_records(records, ENTITIES[entity][0], page_size, total).write.mode("append").json(out)
+    if not stored(spark, f"{out}/_SUCCESS"):
+        w = page_records(records, ENTITIES[entity][0], page_size, total).write.mode("overwrite")
+        if pretty:
+            w = w.option("pretty", True).option("maxRecordsPerFile", 1)
+        w.json(out)
     return out
 
 

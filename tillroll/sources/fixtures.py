@@ -178,5 +178,24 @@ def line_values(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.lit(None).cast("timestamp").alias("_landed"), F.to_json(envelope).alias("text"))
 
 
+def land_files(spark: SparkSession, sf_dir: str, root: str, fetch: int) -> None:
+    """Land the tables as JSON files: customers as a value a line, in two fetches,
+    products as pretty-printed files, carts as a value a line in the second fetch.
+
+    Ids of some customers are text, which no loader may take for a number."""
+    from .envelopes import land, page_of
+
+    at = f"2001-08-0{fetch}T00:00:00"
+    people = customers(spark, sf_dir).where((F.col("user.id") % 3 == 0) == (fetch == 2)).select("user.*")
+    wrong = F.expr("CASE WHEN id % 37 = 0 THEN CAST(concat('x', id) AS VARIANT) ELSE CAST(id AS VARIANT) END")
+    land(people.withColumn("id", wrong), root, "customers", at, PAGE_SIZE, fetch)
+    if fetch == 1:
+        land(products(spark, sf_dir).select("product.*"), root, "products", at, 50 * PAGE_SIZE, pretty=True)
+    else:
+        paged = lines(spark, sf_dir).withColumn("_page", page_of(PAGE_SIZE // 2))
+        baskets = paged.groupBy("cart_id", "_page").agg(F.collect_list("line").alias("products"))
+        land(baskets.select(F.col("cart_id").alias("id"), "products"), root, "orders", at, PAGE_SIZE)
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
     return Bronze(spark, sf_dir)
