@@ -11,7 +11,6 @@ from tillroll.llm.packing import Encoder, merge_leftovers, pack_documents, pack_
 from tillroll.llm.queries import op1_packing, pack
 
 PLAIN = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-PLAIN.encode_special_tokens = True
 FAST = Encoder(P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
 
 
