@@ -75,6 +75,21 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def sampled(share: float, *columns: str, seed: int) -> Column:
+    """Whether a row falls into a sample of ``share`` of all rows, by a 64-bit hash of ``columns`` and the row's place.
+
+    The place parts repeated rows and null ids, so a group of copies is sampled row by row."""
+    if share >= 1:
+        return F.lit(True)
+    at = F.xxhash64(*columns, F.monotonically_increasing_id(), F.lit(seed))
+    return at < F.lit(threshold(share))
+
+
+def threshold(share: float) -> int:
+    """The signed 64-bit number below which ``share`` of all hashes lie."""
+    return max(-2 ** 63, min(2 ** 63 - 1, round(share * 2 ** 64) - 2 ** 63))
+
+
 def text_docs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
     """(doc_id, text) of ``docs`` and nothing else but ``more``; a null text becomes empty."""
     return docs.select(
