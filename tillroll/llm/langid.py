@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import checkpointed, map_batches
+from tillroll.llm.common import checkpointed, map_batches, threshold
 
 PIECE = 1 << 19  # code points scored at once
 SPACE = 32
 STEP = np.uint64(0x9E3779B97F4A7C15)
 UNDETERMINED = "und"
+LEAST_APART = 20  # documents of a language from which on some only calibrate
 
 
 @lru_cache(maxsize=1)
@@ -215,7 +216,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     and with many languages each keeps fewer grams, so that the table of grams by
     languages has at most about ``most_cells`` cells.
     ``train`` says which rows may be learned from.  A fifth of the sample only
-    calibrates the rejection.  Gram counts are summed in Spark; each language
+    calibrates the rejection (of languages with ``LEAST_APART`` documents; the others reject nothing).  Gram counts are summed in Spark; each language
     keeps its most frequent ones, at most ``grams_per_language``.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
@@ -226,11 +227,13 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     if not sizes:
         return Model({}, order)
     grams_per_language = min(grams_per_language, most_cells // len(sizes) ** 2)
-    share = F.lit(0)
+    below, many = F.lit(None).cast("long"), F.lit(False)
     for lang, n in sorted(sizes.items()):
-        share = F.when(F.col("lang") == lang, F.lit(min(1_000_000, round(1e6 * docs_per_language / n)))).otherwise(share)
-    rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < share)
-    apart = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5)) == 0
+        below = F.when(F.col("lang") == lang, F.lit(threshold(docs_per_language / n))).otherwise(below)
+        many = F.when(F.col("lang") == lang, F.lit(n >= LEAST_APART)).otherwise(many)
+    # By the row's place too, so that copies and null ids are sampled row by row; of a language of few rows, all are learned.
+    rows = rows.where(F.xxhash64("doc_id", "text", F.monotonically_increasing_id(), F.lit(7)) <= below)
+    apart = many & (F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(5)) == 0)
 
     def count(batches):
         from collections import Counter, defaultdict
