@@ -86,3 +86,24 @@ def test_edge_rows(spark, edge_docs, no_docs, sample_docs):
     nulls = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     assert {r["score"] for r in score_toxicity(edge_docs, fit(sample_docs, nulls)).collect()} == {0.0}
     assert score_toxicity(edge_docs, fit(edge_docs, nulls.limit(0))).count() == edge_docs.count()
+
+
+@pytest.mark.parametrize("word", ["st**id", "s***id", "**iot", "i**0t", "tr**h", "m*r*n", "h**se", "#t?p", "é**t", "ab*cé*"])
+def test_wildcards_are_decoded_exactly(word):
+    """Every path of the lattice, whatever number of states the wildcards reach."""
+    columns = lattice(word)
+    best, got = {"": 0.0}, restore(word, MODEL)
+    for column in columns:  # all distinct strings, none dropped
+        new = {}
+        for letters, score in best.items():
+            padded = BOUNDARY * 2 + letters
+            for x, cost in column:
+                now = score + cost + (MODEL.logp(padded[-2:], x) if x else 0.0)
+                new[letters + x] = max(now, new.get(letters + x, -1e9))
+        best = new
+    ends = {w: s + MODEL.logp((BOUNDARY * 2 + w)[-2:], BOUNDARY) for w, s in best.items()}
+    assert ends[got] == pytest.approx(max(ends.values()), abs=1e-9)
+
+
+def test_long_runs_of_wildcards_end_soon():
+    assert isinstance(restore("a" + "*" * 5000 + "é", MODEL), str)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import checkpointed, text_docs
+from tillroll.llm.common import checkpointed, text_docs, threshold
 
 # The letters a character may stand for.
 STANDS_FOR = {
@@ -42,12 +42,13 @@ WILD = "*#%?"
 # Punctuation at the edges of a token that stands for no letter.
 OPENING, CLOSING = frozenset(".,;:'\"()[]{}<>¿¡/\\-"), frozenset(".,;:'\"()[]{}<>?!/\\|-")
 RUN = 3  # a run of one symbol this long at an edge is decoration
-STATES = 64  # most lattice states kept at a character; words with few wildcards have fewer
+BOUNDARY = "\x02"
+ALPHABET = BOUNDARY + "abcdefghijklmnopqrstuvwxyz"
+MORE_LETTERS = 8  # other letters of a word up to which its wildcards are decoded with tables of all states
 PARTS = re.compile(r"[^\W_]+")
 REPEATS = re.compile(r"(\w)\1\1")
 MEMO = 300_000
 SUMMARY = 4  # strongest words of a document that count
-BOUNDARY = "\x02"
 
 
 class Spelling:
@@ -62,6 +63,7 @@ class Spelling:
         self.counts, self.heads, self.backing = dict(counts), dict(heads), backing
         self.letters = max(2, len({g[-1] for g in grams}) + 1)
         self.memo: dict[tuple[str, str], float] = {}
+        self.all = None
 
     def logp(self, head: str, letter: str) -> float:
         got = self.memo.get((head, letter))
@@ -73,6 +75,21 @@ class Spelling:
             got = self.memo[head, letter] = math.log(p)
         return got
 
+    def table(self, letters: str) -> np.ndarray:
+        """Log probability of each letter after each two letters; that of ``ALPHABET``, its first letters, is kept."""
+        if letters == ALPHABET:
+            if self.all is None:
+                self.all = np.array([[[self.logp(a + b, c) for c in letters] for b in letters] for a in letters])
+            return self.all
+        out, k = np.empty((len(letters),) * 3), len(ALPHABET)
+        out[:k, :k, :k] = self.table(ALPHABET)
+        for i, a in enumerate(letters):
+            for j, b in enumerate(letters):
+                for n, c in enumerate(letters):
+                    if max(i, j, n) >= k:
+                        out[i, j, n] = self.logp(a + b, c)
+        return out
+
 
 def lattice(word: str) -> list[list[tuple[str, float]]]:
     """For each character of a word: (letter or nothing, cost of the channel)."""
@@ -89,7 +106,11 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
 
 
 def restore(word: str, spelling: Spelling) -> str:
-    """The likeliest clean word behind a distorted one: Viterbi over the last two letters."""
+    """The likeliest clean word behind a distorted one: exact Viterbi over the last two letters."""
+    if sum(c in WILD for c in word) > 1:
+        others = "".join(sorted({c for c in word if c.isalpha()} - set(ALPHABET)))
+        if len(others) <= MORE_LETTERS:
+            return _restore_dense(word, spelling, ALPHABET + others)
     best = {BOUNDARY * 2: (0.0, None)}
     for column in lattice(word):
         new: dict[str, tuple] = {}
@@ -102,8 +123,6 @@ def restore(word: str, spelling: Spelling) -> str:
                     to, now, way = state, score + cost, path
                 if to not in new or now > new[to][0]:
                     new[to] = (now, way)
-        if len(new) > STATES:
-            new = dict(heapq.nlargest(STATES, new.items(), key=lambda x: x[1][0]))
         best = new
     _, path = max(((s + spelling.logp(state, BOUNDARY), p) for state, (s, p) in best.items()), key=lambda x: x[0])
     out = []
@@ -113,6 +132,42 @@ def restore(word: str, spelling: Spelling) -> str:
     return "".join(reversed(out))
 
 
+def _restore_dense(word: str, spelling: Spelling, letters: str) -> str:
+    """The same with all states in one array, for words in which wildcards reach most of them."""
+    step, place = spelling.table(letters), {c: i for i, c in enumerate(letters)}
+    size = len(letters)
+    score = np.full((size, size), -np.inf)
+    score[0, 0] = 0.0
+    ways = []  # for each character and state: the letter before the last two, or -1 where the character is dropped
+    for column in lattice(word):
+        cost, drop = np.full(size, -np.inf), -np.inf
+        for letter, c in column:
+            if letter:
+                cost[place[letter]] = max(cost[place[letter]], c)
+            else:
+                drop = max(drop, c)
+        on = np.flatnonzero(cost > -np.inf)
+        new, way = score + drop, np.full((size, size), -1, dtype=np.int16)
+        if len(on):
+            came = score[:, :, None] + step[:, :, on]
+            before = came.argmax(axis=0)
+            reached = np.take_along_axis(came, before[None], axis=0)[0] + cost[on]
+            better = reached > new[:, on]
+            new[:, on] = np.where(better, reached, new[:, on])
+            way[:, on] = np.where(better, before, -1)
+        ways.append(way)
+        score = new
+    end = score + step[:, :, 0]
+    b, c = np.unravel_index(int(end.argmax()), end.shape)
+    out = []
+    for way in reversed(ways):
+        a = way[b, c]
+        if a >= 0:
+            out.append(letters[c])
+            b, c = a, b
+    return "".join(reversed(out))
+
+
 def edge(token: str, marks: frozenset) -> int:
     """How many characters at the start of a token are punctuation or runs of a symbol."""
     at = 0
@@ -239,6 +294,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     """Fit on a hash sample of about ``labelled`` labelled documents, a third of which only calibrates.
 
     ``train`` is a condition on the id column that says which rows may teach.
+    The spelling model keeps the ``most_features`` most frequent letter trigrams,
+    the scorer as many of the strongest features.
     """
     taught = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     taught = (taught.where(train) if train is not None else taught).groupBy(
@@ -247,8 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     spelling = Spelling({})
     if not n:
         return Scorer(spelling, {})
-    million = 1_000_000
-    chosen = taught.where(F.pmod(F.xxhash64("label_id", F.lit(13)), F.lit(million)) < round(min(1.0, labelled / n) * million))
+    chosen = taught.where(F.xxhash64("label_id", F.lit(13)) <= threshold(labelled / n))
     kept = text_docs(docs, id_col=id_col, text_col=text_col)
     sample = checkpointed(
         kept.join(F.broadcast(chosen), kept["doc_id"] == chosen["label_id"])  # at most about ``labelled`` rows
