@@ -76,3 +76,26 @@ def test_edge_rows(spark):
     got = {(r["page_id"], r["n_chars"]) for r in extract(df).collect()}
     assert got == {(1, 0), (2, 0), (None, 1), (3, 5 * 50_000 - 1)} and extract(df).count() == 5
     assert extract(df.where("false")).count() == 0
+
+
+def test_short_paragraphs_after_an_advert_stay():
+    long = "<p>" + "Words of a long paragraph go on here. " * 50 + "</p>"
+    short = "<p>" + "A later and much shorter paragraph. " * 20 + "</p>"
+    page = f"<div><nav>Menu here</nav>{long * 3}<div class='advert'>Buy</div>{short}<div class='share'>Share</div><p>The end.</p></div>"
+    text = main_text(page + "<footer>Imprint</footer>")
+    assert text.count("shorter paragraph.") == 20 and text.endswith("The end.") and "Buy" not in text and "Imprint" not in text
+    # What lies before the first surge, or after the last without being a sentence, is no article.
+    assert main_text(f"<div>Home</div><aside>x</aside>{long}<aside>x</aside><div>Imprint</div>") == " ".join(
+        ["Words of a long paragraph go on here."] * 50)
+
+
+def test_stray_ends_take_linear_time():
+    import time
+
+    def spent(n):
+        start = time.process_time()
+        assert main_text("<div>" * n + "text" + "</section>" * n).strip() == "text"
+        return time.process_time() - start
+
+    spent(500)
+    assert spent(16_000) < 10 * spent(4_000) + 0.5

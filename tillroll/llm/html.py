@@ -5,9 +5,10 @@ that are no article (menus, page headers, footers, sidebars, forms, notices,
 adverts, reader comments) leave a gap, and each block element's text becomes one
 line.  Text lengths are summed over a sliding window of lines.  Where the sum
 surges above a floor a run of text begins; where it dives to nothing the run
-ends.  The text between surge and dive is kept.  A page with an ``article`` or
-``main`` element is looked at inside it, every run of which counts; on any other
-page a run must reach a share of the page's highest sum.
+ends.  The text between surge and dive is kept.  Stripped markup is a gap in the
+article, no end of it: from the first surge above the floor to the last dive all
+runs count, and after that those whose text ends as a sentence does.  A page with
+an ``article`` or ``main`` element is looked at inside it, and every run counts.
 
 Defined results: a null or empty page, or one without text, gives an empty text;
 markup left open ends with the page; character references are decoded, any run
@@ -19,6 +20,7 @@ rows; pages are read whole.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -56,6 +58,7 @@ NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 PARTS = re.compile(r"[a-z0-9]+")
 WINDOW = 3
+SENTENCE_END = re.compile(r"[.!?…。！？][\"'”’»)\]]*$")
 GAP = ("", False)  # a line of stripped markup
 
 
@@ -79,6 +82,7 @@ def lines_of(html: str, by_name: bool = True) -> list[tuple[str, bool]]:
     lines: list[tuple[str, bool]] = []
     text: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # (element, dropped, inside) of open elements
+    opened: Counter = Counter()  # how many of each are open
     dropped = inside = False
 
     def settle():
@@ -98,14 +102,15 @@ def lines_of(html: str, by_name: bool = True) -> list[tuple[str, bool]]:
         if name in BLOCKS:
             settle()
         if m[2]:
-            if any(e[0] == name for e in reversed(stack)):
+            if opened[name]:
                 while True:
                     last = stack.pop()
-                    if last[0] == name:
-                        break
                     if name in LOOSE and last[0] not in LOOSE:  # a stray end doesn't close its parents
                         stack.append(last)
                         break
+                    opened[last[0]] -= 1
+                    if last[0] == name:
+                        break
                 was = dropped
                 dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
                 if was and not dropped:
@@ -124,6 +129,7 @@ def lines_of(html: str, by_name: bool = True) -> list[tuple[str, bool]]:
         if drop and not dropped:
             settle()
         stack.append((name, drop, into))
+        opened[name] += 1
         dropped, inside = drop, into
     if at < len(html) and not dropped:
         text.append(html[at:])
@@ -150,7 +156,7 @@ def surges(sizes: list[int], floor: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def main_text(html: str | None, *, floor: int = 40, share: float = 0.2) -> str:
+def main_text(html: str | None, *, floor: int = 40) -> str:
     """The article's text of one page.
 
     A page on which names mark all text as no article is read without them."""
@@ -162,20 +168,22 @@ def main_text(html: str | None, *, floor: int = 40, share: float = 0.2) -> str:
         runs = surges([len(t) for t in kept], 1)
     else:
         kept = [t for t, _ in lines]
-        runs = surges([len(t) for t in kept], floor) or surges([len(t) for t in kept], 1)
-        highest = max((r[2] for r in runs), default=0)
-        runs = [r for r in runs if r[2] >= share * highest]
+        runs = surges([len(t) for t in kept], 1)
+        high = [i for i, r in enumerate(runs) if r[2] >= floor]
+        if high:
+            ends = [next((t for t in reversed(kept[a:b]) if t), "") for a, b, _ in runs]
+            runs = [r for i, r in enumerate(runs) if high[0] <= i <= high[-1] or i > high[-1] and SENTENCE_END.search(ends[i])]
     return " ".join(t for a, b, _ in runs for t in kept[a:b] if t)
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            floor: int = 40, share: float = 0.2) -> DataFrame:
+            floor: int = 40) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages``."""
     fields = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches):
         for b in batches:
-            texts = [main_text(h, floor=floor, share=share) for h in b.column("html").to_pylist()]
+            texts = [main_text(h, floor=floor) for h in b.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], schema=fields)
