@@ -44,6 +44,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{%d,}" % LEAST)
 # Between two strings of a chain: separators, line ends as such or escaped; not blanks alone.
 LINK = re.compile(r"(?=[^\n]*\n|[ \t]*[^\w\s])(?:\\[nrt]|(?<=\s)\+(?=\s)|[^\w+/=~-]){1,32}", re.A)
 KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----(.*?)(?:-----END|\Z)", re.S)
+# A line of several words that is no header of a key.
+PROSE_LINE = re.compile(r"\n(?![\w-]+: )[^\n]*?\S[ \t]+\S")
 
 # Identifiers that code repeats.
 IDENTIFIERS = """access_key_id account_name algorithm application_config argument attribute authentication
@@ -176,12 +178,15 @@ def novel_spans(text: str, taken, novelty: Novelty, *, least_bytes: int, least_s
                 follow(m.start(), at)
     for block in KEY_BLOCK.finditer(text) if "PRIVATE KEY" in text else ():
         after = False  # of a secret line, the shorter last ones are part of the key
-        for m in RUN.finditer(text, *block.span(1)):
+        start, end = block.span(1)
+        if end == block.end() and (prose := PROSE_LINE.search(text, start, end)):  # cut off: up to the text that goes on
+            end = prose.start()
+        for m in RUN.finditer(text, start, end):
             if m.start() in done:
                 after = after or ("novel", *m.span()) in found[-1:] or len(m[0]) >= LONG
             elif len(m[0]) >= LONG:
                 after = measure(*m.span())
-            elif after and text[:m.start()].endswith("\n"):
+            elif after and text[m.start() - 1] == "\n" and text[m.end():m.end() + 1] in ("", "\n", "\r"):  # a line of its own
                 found += [("novel", a, b) for a, b in base.rest(*m.span())]
             done.add(m.start())
     return found
