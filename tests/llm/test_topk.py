@@ -64,3 +64,11 @@ def test_large_scores_stay_exact(spark):
     rng = np.random.default_rng(2)
     rows = [(i, (rng.standard_normal(6) * 3e5).astype(np.float32).tolist(), 1) for i in range(200)]
     assert run(spark, rows, k=5) == slow(rows, 5)
+
+
+def test_products_beyond_a_long_are_no_error(spark):
+    top = float(np.float32(2 ** 27 - 16)) / 64
+    rows = [(20, [top] * 512, 1), (1, [top] * 512, 1), (2, [-top] * 512, 1), (3, [1.0] * 512, 1)]
+    found = run(spark, rows, k=3)
+    assert [r[2] for r in found] == [1, 3, 2] and found[0][3] == 1 << 61 and found[2][3] == -(1 << 61)
+    assert found[1][3] == 512 * 64 * int(64 * top)

@@ -11,7 +11,7 @@ partition: bins below a partition's own k-th score can't hold the global one.
 Defined results: vectors that are null, empty or hold a null or non-finite
 component take no part, as query or candidate, nor do rows with a null id, nor
 components of 2 ** 27 or more once scaled (64-bit scores can't hold their
-products); vectors of another dimension than a query's are no candidates for it;
+products); a product beyond 2 ** 61 (vectors of over 128 such components) counts as 2 ** 61; vectors of another dimension than a query's are no candidates for it;
 repeated rows are candidates each; an id with several rows queries once, with
 the smallest vector, and none of its rows is its own candidate; fewer than k
 candidates are all returned; empty tables give no rows.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 ROWS_AT_ONCE = 2048
 BINS = 256
+MOST = 1 << 61  # half of what scores and the bins around them can be
 HISTOGRAM = "query int, bin long, n long"
 FOUND = "query_id long, vec_id long, score long"
 
@@ -58,9 +59,10 @@ def scores(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
     bound = vectors.shape[1] * float(np.abs(vectors).max()) * float(np.abs(queries).max())
     if bound < 2 ** 53:
         return (queries.astype(np.float64) @ vectors.T.astype(np.float64)).astype(np.int64)
-    if bound < 2 ** 62:
+    if bound < MOST:
         return queries @ vectors.T
-    raise OverflowError("inner products do not fit 64 bits")
+    exact = queries.astype(object) @ vectors.T.astype(object)
+    return np.clip(exact, -MOST, MOST).astype(np.int64)
 
 
 def _blocks(batches, dimension: int):
@@ -222,7 +224,7 @@ def _top_k_batch(spark, candidates: DataFrame, batch: Batch, dimension: int) ->
     # Any score lies within the product of the norms; the first bins cut that range.
     norms = candidates.where(F.size("v") == dimension).agg(
         F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)).alias("n")).first()
-    reach = math.sqrt(norms["n"]) * np.sqrt((batch.vectors.astype(np.float64) ** 2).sum(axis=1)) + 1
+    reach = np.minimum(math.sqrt(norms["n"]) * np.sqrt((batch.vectors.astype(np.float64) ** 2).sum(axis=1)) + 1, float(MOST) + 1)
     batch.low = -np.ceil(reach).astype(np.int64)
     batch.width = np.maximum(1, np.ceil(2 * reach / BINS)).astype(np.int64)
     done = False
