@@ -95,3 +95,25 @@ def test_notices_and_words_of_licences(spark):
     df = spark.createDataFrame([(n, f"{x}\n{mit}") for n, x in enumerate(notices + words)], "doc_id long, text string")
     found = {r["doc_id"] for r in scan_licenses(df).where("unit = 'document'").collect()}
     assert found == set(range(len(notices)))
+
+
+def test_sql_equals_the_operator_on_entire_licences(spark):
+    """Whole texts at several widths, notices of all kinds, and words of licences that look like notices."""
+    import duckdb
+
+    from tillroll.llm.licenses import known_texts, oracle_sql
+
+    whole = [t for _, t in known_texts()] + ["Copyright (c) 2020 A\n\n" + wrapped(t, n) for _, t in known_texts() if len(t) > 500
+                                             for n in (0, 72)]
+    heads = ["Copyright (c) 2020 A", "(C) 2020 A", "© Acme", "Copyright Google LLC", "copyright: a. author", "copyright a notice",
+             "Copyright The Linux Foundation and its contributors", "(c) You must retain", "copyright", "Copyright law", "(c) A. Author",
+             "COPYRIGHT HOLDERS BE LIABLE", "copyright   by A", "copyright treaty", "copyright  and", "copyright  notice-board"]
+    mit = next(t for i, t in KNOWN if i == "MIT" and "Permission" in t)
+    rows = [(n, t) for n, t in enumerate(whole + [f"{h}\n{mit}" for h in heads] + [f"{h} Released under the MIT Licence." for h in heads]
+                                         + ["Released under the\nMIT License.", None, "", "x\nAll rights reserved.\n"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r[c] for c in ("doc_id", "unit", "line_no", "license_id", "digest")) for r in scan_licenses(df).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(con.sql(oracle_sql()).fetchall()) == got and len(got) > len(whole)

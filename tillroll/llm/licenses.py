@@ -82,7 +82,6 @@ SPELLINGS = (
     ("gnu gpl", "gnu general public license"), ("merchantibility", "merchantability"),
     ("non infringement", "noninfringement"),
 )
-COPYRIGHT_LINE = r"^[ \t]*(copyright|\(c\)|©).*$"  # of the registered SQL
 
 # Entire texts beside the module, and the titles that they stand with or without.
 ENTIRE = ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "Unlicense")
@@ -159,30 +158,45 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             .select("doc_id", "unit", "line_no", "license_id", "digest"))
 
 
-def _sql_canonical(x: str) -> str:
-    body = f"CASE WHEN regexp_matches(lower({x}), '{COPYRIGHT_LINE}') THEN '' ELSE lower({x}) END"
-    out = f"' ' || trim(regexp_replace({body}, '[^a-z0-9]+', ' ', 'g')) || ' '"
+def _sql_alike(words: str) -> str:
+    out = f"' ' || {words} || ' '"
     for a, b in SPELLINGS:
         out = f"replace({out}, ' {a} ', ' {b} ')"
     return f"trim({out})"
 
 
+def _sql_notice(low: str) -> str:
+    """``NOTICE`` without lookaheads, which DuckDB's expressions don't have."""
+    kinds, named = NOTICE.rsplit("|(?:copyright[ \\t:]+|", 1)[0] + ")", r"^[ \t]*(copyright[ \t:]+|(©|\(c\))[ \t]*)"
+    words = "|".join(w for w in IN_TEXT if "(?!" not in w)
+
+    def matches(pattern: str) -> str:
+        return f"regexp_matches({low}, '{pattern}')"
+
+    own = f"{matches(rf'{named}({words})' + chr(92) + 'b')} OR {matches(named + r'a' + chr(92) + 'b')} AND NOT {matches(named + 'a[.]')}"
+    return f"({matches(kinds)} OR {matches(named + '[a-z]')} AND NOT ({own}))"
+
+
 def oracle_sql() -> str:
     """DuckDB SQL for ``scan_licenses`` over the table ``documents``."""
     def quoted(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 
-    values = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in KNOWN)
-    line = _sql_canonical("x")
+    values = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in known_texts())
+    words = "trim(regexp_replace(CASE WHEN " + _sql_notice("lower(x)") + " THEN '' ELSE lower(x) END, '[^a-z0-9]+', ' ', 'g'))"
+    line = _sql_alike(words)
+
+    def whole(lines: str) -> str:
+        return _sql_alike(f"array_to_string(list_filter({lines}, lambda y: y <> ''), ' ')")
+
     return f"""
 WITH known AS (
-  SELECT sha256(array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: {line}), lambda y: y <> ''), ' ')) AS digest,
-         min(i) AS license_id
+  SELECT sha256({whole(f"list_transform(string_split(t, chr(10)), lambda x: {line})")}) AS digest, min(i) AS license_id
   FROM (VALUES {values}) AS k(i, t) GROUP BY 1),
 lines AS (
   SELECT doc_id, list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {line}) AS l FROM documents),
 units AS (
-  SELECT doc_id, 0 AS line_no, array_to_string(list_filter(l, lambda y: y <> ''), ' ') AS canonical FROM lines
+  SELECT doc_id, 0 AS line_no, {whole('l')} AS canonical FROM lines
   UNION ALL
   SELECT doc_id, unnest(range(1, len(l) + 1)) AS line_no, unnest(l) AS canonical FROM lines)
 SELECT doc_id, CASE WHEN line_no = 0 THEN 'document' ELSE 'line' END AS unit, CAST(line_no AS BIGINT) AS line_no,
