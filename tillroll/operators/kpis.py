@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import (count_text, day_diff, label_or_unknown, money_sum, money_text,
-                         money_text_or_dash, pad_label, pct2, pct_text, plural, ratio2, round2, surrogate_key,
-                         to_double, whole)
+                         money_text_or_dash, pad_label, pct2, pct_text, plural, ratio2, round2, to_double, whole)
 from .facts import dimension_rows
 from .marts import ACTIVE, CHURNED, CHURN_DAYS
 from .staging import as_of_col
 
+# Into how many parts the orders of a customer are dealt when they meet the customer's names.
+PARTS = 4
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
@@ -123,17 +125,17 @@ def top_customers(stg_orders: DataFrame, dim_customer: DataFrame, stg_customers:
     fact JOIN dim ON key JOIN staging ON id.  An order of an id with d
     dimension rows has d fact rows, each of which meets d dimension rows and
     every staging row of the id, so it counts d * d times for each of those.
-    The weights come from customer-sized frames, joined on the key so that the
-    join on the id that follows shuffles them anew; orders are summed per
-    (customer, order) first and meet them in one join of two plain shuffles,
-    in which AQE can split a hot customer."""
-    per_order = stg_orders.groupBy("customer_id", "order_id").agg(money_sum("discountedTotal").alias("_spend")).alias("o")
-    keyed = stg_customers.where(F.col("customer_id").isNotNull()).select(
-        "customer_id", "name", surrogate_key("customer_id").alias("_key"))
-    dims = dimension_rows(dim_customer, "customer_key")
-    names = keyed.join(dims, keyed["_key"] == dims["customer_key"]).select(
-        "customer_id", "name", (F.col("_dims") * F.col("_dims")).alias("_weight")).alias("n")
-    j = per_order.join(names, F.col("o.customer_id") == F.col("n.customer_id"))
+    The weights come from customer-sized frames, joined on the id.  Orders are
+    summed per (customer, order) first and meet them on the id and a part
+    (order id modulo PARTS), so a hot customer's orders go to several tasks,
+    and both sides are plain shuffles that AQE can split further."""
+    part = F.coalesce(F.pmod(F.col("order_id"), F.lit(PARTS)), F.lit(0)).cast("int")
+    per_order = stg_orders.groupBy("customer_id", "order_id").agg(
+        money_sum("discountedTotal").alias("_spend")).withColumn("_part", part).alias("o")
+    names = stg_customers.select("customer_id", "name").join(dimension_rows(dim_customer), "customer_id").select(
+        "customer_id", "name", (F.col("_dims") * F.col("_dims")).alias("_weight"),
+        F.explode(F.array(*[F.lit(i) for i in range(PARTS)])).alias("_part")).alias("n")
+    j = per_order.join(names, (F.col("o.customer_id") == F.col("n.customer_id")) & (F.col("o._part") == F.col("n._part")))
     g = j.groupBy(F.col("n.name").alias("name")).agg(
         F.count_distinct(F.col("o.order_id")).alias("_orders"),
         F.sum(F.col("o._spend") * F.col("n._weight")).alias("_spend"))
@@ -181,36 +183,55 @@ def _report(src: DataFrame, lines: list[tuple[int, str, Column]]) -> DataFrame:
         for n, label, value in lines])).alias("l")).select("l.line_no", "l.line")
 
 
-def kpi_report_text(dim_customer: DataFrame, fact: DataFrame, mtd: DataFrame, daily: DataFrame, metrics: DataFrame,
+def _plain(c: str) -> Column:
+    return F.col(c).cast("string")
+
+
+def report_of_orders(figures: DataFrame) -> DataFrame:
+    """Report lines 3 to 8 from ``marts.order_figures``: the orders are read once."""
+    # The labels of the report.
+    return _report(figures, [
+        (3, "Total Orders", _plain("orders")),
+        (4, "Gross Revenue", money_text("_gross")), (5, "Net Revenue", money_text("_net")),
+        (6, "Average Order Value", money_text("_avg")),
+        (7, "Total Revenue", money_text("_net")), (8, "Daily Revenue Rows", _plain("days"))])
+
+
+def report_of_marts(fact: DataFrame, mtd: DataFrame, daily: DataFrame) -> DataFrame:
+    """The same lines from built tables, one aggregate a table."""
+    count = F.count(F.lit(1)).alias("n")
+    return _union([
+        _report(fact.agg(count), [(3, "Total Orders", _plain("n"))]),
+        _report(mtd.agg(money_sum("gross_revenue").alias("g"), money_sum("net_revenue").alias("n"),
+                        money_sum("avg_order_value").alias("a")),
+                [(4, "Gross Revenue", money_text("g")), (5, "Net Revenue", money_text("n")),
+                 (6, "Average Order Value", money_text("a"))]),
+        _report(daily.agg(money_sum("daily_revenue").alias("t"), count),
+                [(7, "Total Revenue", money_text("t")), (8, "Daily Revenue Rows", _plain("n"))]),
+    ])
+
+
+def kpi_report_text(dim_customer: DataFrame, order_lines: DataFrame, metrics: DataFrame,
                     raw: dict[str, DataFrame]) -> DataFrame:
     """The numeric lines of the run report as (line_no, line).
 
     One aggregate per mart or raw table, stacked to its lines; no frame is
-    joined to another, and nothing is collected.  ``raw`` has the bronze
-    frames of customers, products and orders: customers and products
+    joined to another, and nothing is collected.  ``order_lines`` come from
+    :func:`report_of_orders` or :func:`report_of_marts`.  ``raw`` has the
+    bronze frames of customers, products and orders: customers and products
     extracted are the totals the source reports, orders extracted is the
     landed count.  Counts are printed plainly."""
-    n = F.col("n").cast("string")
+    n = _plain("n")
     rows = F.concat(n, F.lit(" rows"))
-    total = F.col("total").cast("string")
+    total = _plain("total")
     count = F.count(F.lit(1)).alias("n")
     extracted = (count, F.coalesce(F.max("_total"), F.count(F.lit(1))).alias("total"))
-    status = kpi_customer_status(metrics)
-    text = lambda c: F.col(c).cast("string")
-    # The labels of the report.
     return _union([
         _report(dim_customer.agg(count), [(1, "Total Customers", n)]),
-        _report(fact.agg(count), [(3, "Total Orders", n)]),
-        _report(mtd.agg(money_sum("gross_revenue").alias("g"), money_sum("net_revenue").alias("n"),
-                        money_sum("avg_order_value").alias("a")),
-                [(4, "Gross Revenue", money_text("g")), (5, "Net Revenue", money_text("n")),
-                 (6, "Average Order Value", money_text("a"))]),
-        _report(daily.agg(money_sum("daily_revenue").alias("t"), count),
-                [(7, "Total Revenue", money_text("t")), (8, "Daily Revenue Rows", n)]),
-        _report(status, [(9, "Active Customers", text("active_customers")),
-                         (10, "Churned Customers", text("churned_customers")),
-                         (11, "Customer Churn Rate", pct_text("churn_rate_pct")),
-                         (12, "Average Customer LTV", money_text("avg_ltv"))]),
+        order_lines,
+        _report(kpi_customer_status(metrics), [
+            (9, "Active Customers", _plain("active_customers")), (10, "Churned Customers", _plain("churned_customers")),
+            (11, "Customer Churn Rate", pct_text("churn_rate_pct")), (12, "Average Customer LTV", money_text("avg_ltv"))]),
         _report(raw["customers"].agg(*extracted), [(13, "Customers Extracted", total), (16, "Customers Table", rows)]),
         _report(raw["products"].agg(*extracted),
                 [(2, "Total Products", total), (14, "Products Extracted", total), (17, "Products Table", rows)]),

@@ -85,6 +85,36 @@ def customer_churn(stg_customers: DataFrame, dim_customer: DataFrame, stg_orders
     return _customer_orders(stg_customers, dim_customer, stg_orders, as_of, own_dates=False)
 
 
+def _order_sums(fact: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """One row: how often each key occurs, each value once, and the sums of the orders, in one pass.
+
+    Every order gives one narrow row for each key (kind, value), the amounts
+    on that of the order; grouped by (kind, value) they give the distinct
+    counts.  A count_distinct for each would copy the joined rows (Expand)."""
+    amounts = ("total", "discount_amount", "discounted_total")
+    pairs = fact.select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), i.cast("bigint").alias("i"), F.lit(int(k == "o")).alias("one"),
+                 *[(F.col(c) if k == "o" else F.lit(None).cast("double")).alias(c) for c in amounts])
+        for k, i in keys.items()])).alias("p")).select("p.*")
+    per_id = pairs.groupBy("k", "i").agg(
+        F.sum("one").alias("one"), money_sum("total").alias("_gross"), money_sum("discount_amount").alias("_disc"),
+        money_sum("discounted_total").alias("_net"))
+    return per_id.agg(
+        F.count_if((F.col("k") == "o") & F.col("i").isNotNull()).alias("total_orders"),
+        F.count_if((F.col("k") == "c") & F.col("i").isNotNull()).alias("unique_customers"),
+        F.count_if(F.col("k") == "d").alias("days"),
+        F.coalesce(F.sum("one"), F.lit(0)).alias("orders"),
+        *[F.sum(c).alias(c) for c in ("_gross", "_disc", "_net")])
+
+
+def order_figures(fact: DataFrame) -> DataFrame:
+    """One row of the report's figures over all orders: rows, sums, average
+    order value (each as :func:`mtd_revenue` has it) and the days of
+    :func:`revenue_daily` (orders without a date are one day)."""
+    g = _order_sums(fact, {"o": F.col("order_id"), "d": F.unix_date(F.col("order_date").cast("date"))})
+    return g.select("orders", "days", "_gross", "_net", ratio2("_net", "total_orders").alias("_avg"))
+
+
 def mtd_revenue(fact: DataFrame, as_of=None, month_filter: bool = False) -> DataFrame:
     """One row of month-to-date figures.  By default over all orders (quirk
     Q3: the original has no month filter); ``month_filter`` restricts to the
@@ -93,19 +123,7 @@ def mtd_revenue(fact: DataFrame, as_of=None, month_filter: bool = False) -> Data
     f = fact
     if month_filter:
         f = f.where((F.col("order_date") >= F.trunc(d, "month")) & (F.col("order_date") <= d))
-    # One row for each order and one for each customer, the amounts on the order's: grouped by (kind, id) they
-    # give both distinct counts in one pass.  Two count_distinct would copy the joined rows three times (Expand).
-    nothing = F.lit(None).cast("double")
-    pairs = f.select(F.explode(F.array(
-        F.struct(F.lit("o").alias("k"), F.col("order_id").alias("i"), "total", "discount_amount", "discounted_total"),
-        F.struct(F.lit("c").alias("k"), F.col("customer_id").alias("i"), nothing.alias("total"), nothing.alias("discount_amount"),
-                 nothing.alias("discounted_total")))).alias("p")).select("p.*")
-    per_id = pairs.groupBy("k", "i").agg(money_sum("total").alias("_gross"), money_sum("discount_amount").alias("_disc"),
-                                         money_sum("discounted_total").alias("_net"))
-    g = per_id.agg(
-        F.count_if((F.col("k") == "o") & F.col("i").isNotNull()).alias("total_orders"),
-        F.count_if((F.col("k") == "c") & F.col("i").isNotNull()).alias("unique_customers"),
-        *[F.sum(c).alias(c) for c in ("_gross", "_disc", "_net")])
+    g = _order_sums(f, {"o": F.col("order_id"), "c": F.col("customer_id")})
     return g.select(
         trunc_ts("month", d).alias("month"),
         d.alias("report_date"),

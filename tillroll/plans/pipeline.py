@@ -86,7 +86,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, work_root: str, as_of=N
     append_by_name(spark.createDataFrame(tests, results.schema).withColumn("run_at", F.current_timestamp()), TEST_RESULTS)
     raw = {"customers": w.bronze.customers, "products": w.bronze.products, "orders": w.bronze.carts}
     report = [r.line for r in kpis.kpi_report_text(
-        w.dim_customer, w.fact_orders, w.mtd_revenue, w.revenue_daily,
+        w.dim_customer, kpis.report_of_marts(w.fact_orders, w.mtd_revenue, w.revenue_daily),
         w.customer_metrics, raw).orderBy("line_no").collect()]  # 18 lines
     return {
         **load,

@@ -140,8 +140,8 @@ def kpi_row_counts(spark, sf_dir):
 
 def kpi_report_text(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return kpis.kpi_report_text(w.dim_customer, w.fact_orders, w.mtd_revenue, w.revenue_daily, w.customer_metrics,
-                                _bronze_frames(w))
+    orders = kpis.report_of_orders(marts.order_figures(w.fact_orders))
+    return kpis.kpi_report_text(w.dim_customer, orders, w.customer_metrics, _bronze_frames(w))
 
 
 def churn_report(spark, sf_dir):
