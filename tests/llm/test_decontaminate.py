@@ -1,10 +1,12 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tillroll.llm.decontaminate import Index, contaminated, decontaminated, shingles_of, similarity, words_of
+from tillroll.llm.decontaminate import Fingerprints, Index, contaminated, decontaminated, shingles_of, similarity, words_of
 from tillroll.llm.queries import op9_decontamination
 
 
@@ -50,6 +52,41 @@ def test_short_and_repetitive_texts(words, items):
     assert {index.items[i][0] for i in got} == {i for i, t in pairs if slow_best(" ".join(words), t) >= 0.8}
 
 
+@pytest.mark.parametrize("radius", [0, 3, 15, 23])
+def test_multi_index_against_all_pairs(radius, monkeypatch):
+    import tillroll.llm.decontaminate as module
+
+    rng = np.random.default_rng(radius)
+    items = rng.integers(0, 2 ** 64, 40, dtype=np.uint64)
+    items[5] = items[6]
+    flips = np.array([sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 27), replace=False)) for _ in range(300)], dtype=np.uint64)
+    seen = np.concatenate([rng.choice(items, 300) ^ flips, rng.integers(0, 2 ** 64, 200, dtype=np.uint64)])
+    apart = np.bitwise_count(seen[:, None] ^ items[None, :])
+    want = {(int(w), int(m)) for w, m in zip(*np.nonzero(apart <= radius))}
+    index = Fingerprints(items.view(np.uint8).reshape(-1, 8), radius)
+    for at_once in (module.PAIRS_AT_ONCE, 7):
+        monkeypatch.setattr(module, "PAIRS_AT_ONCE", at_once)
+        w, m = index.within(seen.view(np.uint8).reshape(-1, 8))
+        assert set(zip(w.tolist(), m.tolist())) == want and len(w) == len(want)
+        assert (np.diff(apart[w, m].astype(int)) >= 0).all()
+    assert Fingerprints(items[:1].view(np.uint8).reshape(-1, 8), radius).within(np.empty((0, 8), np.uint8))[0].size == 0
+
+
+def test_recall_at_the_least_similarity():
+    rng = random.Random(8)
+    vocabulary, found, wanted = [f"w{i}" for i in range(3000)], 0, 0
+    for _ in range(120):
+        words = rng.choices(vocabulary, k=rng.randint(50, 200))
+        copy = list(words)
+        for _ in range(len(words) // 50):
+            copy[rng.randrange(len(copy))] = "other"
+        if slow_best(" ".join(copy), " ".join(words)) < 0.8:
+            continue
+        wanted += 1
+        found += bool(Index([(1, " ".join(words))], 5, 15).matches("x " * 9 + " ".join(copy), 0.8))
+    assert wanted > 40 and found >= 0.97 * wanted
+
+
 def test_a_passage_repeated_many_times(monkeypatch):
     import tillroll.llm.decontaminate as module
 

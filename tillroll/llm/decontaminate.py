@@ -1,11 +1,13 @@
 """Benchmark decontamination: SimHash of item-sized windows, then exact similarity.
 
 For every length an item has, a document's windows of that length are
-fingerprinted over their word shingles.  Item fingerprints lie in a multi-index:
-8 blocks of 8 bits, each matched within radius // 8 bits, so that any window at
-most ``radius`` bits from an item is found (some block differs by no more than
-its share).  Each match is verified by the weighted Jaccard similarity of the
-two shingle multisets, the weight of a shingle being its count.
+fingerprinted over their word shingles.  Item fingerprints lie in a multi-index
+of 4 blocks of 16 bits: a sorted table for each block holds the Hamming ball of
+radius // 4 bits around every item's block, so that any window at most
+``radius`` bits from an item is looked up in some table (one block differs by no
+more than its share).  Whole distances are counted for what the tables list, and
+each pair within the radius is verified by the weighted Jaccard similarity of
+the two shingle multisets, the weight of a shingle being its count.
 
 A window without any shingle of the benchmark has similarity 0, so only windows
 that hold one are fingerprinted; nothing else is left out.
@@ -31,9 +33,9 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import map_batches, text_docs
 
 WORD = re.compile(r"\w+")
-BLOCKS = 8  # of 8 bits each
+BLOCKS = 4  # of 16 bits each
 WINDOWS_AT_ONCE = 1 << 14
-BITS = np.array([bin(x).count("1") for x in range(256)], dtype=np.uint8)
+PAIRS_AT_ONCE = 1 << 20  # pairs a lookup lists before their distances are counted
 
 
 def words_of(text: str | None) -> list[str]:
@@ -67,8 +69,40 @@ def _bytes(votes: np.ndarray) -> np.ndarray:
     return np.packbits(votes > 0, axis=1, bitorder="little")
 
 
+class Fingerprints:
+    """A multi-index over the fingerprints of items of one length."""
+
+    def __init__(self, prints: np.ndarray, radius: int):
+        self.whole, self.radius, self.tables = prints.view("<u8").ravel(), radius, []
+        values = np.arange(1 << 16, dtype=np.uint16)
+        ball = values[np.bitwise_count(values) <= radius // BLOCKS]
+        for block in prints.view("<u2").T:
+            near = (block[:, None] ^ ball).ravel()
+            order = np.argsort(near, kind="stable")
+            self.tables.append((near[order], (order // len(ball)).astype(np.int32)))
+
+    def within(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position in ``seen``, position of an item) of all pairs within the radius, the nearest first."""
+        whole, found = seen.view("<u8").ravel(), []
+        for (values, owners), block in zip(self.tables, seen.view("<u2").T):
+            first = np.searchsorted(values, block)
+            hit = np.flatnonzero(values[np.minimum(first, len(values) - 1)] == block)
+            first, sizes = first[hit], np.searchsorted(values, block[hit], "right") - first[hit]
+            before = np.cumsum(sizes) - sizes
+            # A piece starts where the pairs before it pass a multiple of the bound.
+            for at in np.split(np.arange(len(hit)), np.flatnonzero(np.diff(before // PAIRS_AT_ONCE)) + 1):
+                n = sizes[at]
+                w = np.repeat(hit[at], n)
+                m = owners[np.arange(len(w)) + np.repeat(first[at] - (np.cumsum(n) - n), n)]
+                apart = np.bitwise_count(whole[w] ^ self.whole[m])
+                near = np.flatnonzero(apart <= self.radius)
+                found.append(np.stack([apart[near].astype(np.int64), w[near], m[near]]))
+        _, w, m = np.unique(np.concatenate(found, axis=1), axis=1)
+        return w, m
+
+
 class Index:
-    """One block of benchmark items: anchors, and a multi-index for each item length."""
+    """One block of benchmark items: anchors, and the fingerprints of each item length."""
 
     def __init__(self, items: list[tuple[int, str]], shingle: int, radius: int):
         self.shingle, self.radius = shingle, radius
@@ -86,13 +120,15 @@ class Index:
             by_length[len(words)].append(len(self.items))
             self.items.append((item_id, len(words), Counter(shingles_of(words, shingle))))
         self.anchors = {k: np.unique(self._mix(np.array(sorted(v), dtype=np.uint64).T)) for k, v in anchors.items()}
-        self.lengths = {}
-        ball = BITS[np.arange(256)[:, None] ^ np.arange(256)[None, :]] <= radius // BLOCKS  # values within a block's share
-        for n, members in by_length.items():
-            prints = np.concatenate(
-                [_bytes(_votes([*self.items[m][2].elements()]).sum(axis=0, keepdims=True)) for m in members])
-            near = np.stack([ball[:, prints[:, b]] for b in range(BLOCKS)])  # block, value -> items
-            self.lengths[n] = (np.array(members), prints, near)
+        self.lengths = {n: (np.array(members), np.concatenate(
+            [_bytes(_votes([*self.items[m][2].elements()]).sum(axis=0, keepdims=True)) for m in members]))
+            for n, members in by_length.items()}
+        self._near: dict[int, Fingerprints] = {}  # made in the tasks, where a length is first met
+
+    def near(self, n: int) -> Fingerprints:
+        if n not in self._near:
+            self._near[n] = Fingerprints(self.lengths[n][1], self.radius)
+        return self._near[n]
 
     @staticmethod
     def _mix(columns) -> np.ndarray:
@@ -124,13 +160,13 @@ class Index:
         numbers = np.array([get(w, 0) for w in words], dtype=np.uint64)
         found: dict[int, tuple[float, int]] = {}
         starts = {k: at for k in self.anchors if len(at := self.starts(numbers, k))}
-        for n, (members, prints, near) in self.lengths.items() if starts else ():
+        for n, (members, _) in self.lengths.items() if starts else ():
             k = min(self.shingle, n)
             if k in starts:
-                self._windows(words, starts[k], n, k, members, prints, near, least, found)
+                self._windows(words, starts[k], n, k, members, least, found)
         return found
 
-    def _windows(self, words, anchors, n, k, members, prints, near, least, found) -> None:
+    def _windows(self, words, anchors, n, k, members, least, found) -> None:
         size = min(n, len(words))
         last = len(words) - size
         reach = np.zeros(last + 2, dtype=np.int64)  # starts of windows that hold an anchor
@@ -144,13 +180,7 @@ class Index:
             wide = size - k + 1  # shingles a window holds
             sums = np.concatenate([np.zeros((1, 64), dtype=np.int32), np.cumsum(_votes(grams), axis=0, dtype=np.int32)])
             seen = _bytes(sums[wide:wide + len(run)] - sums[:len(run)])
-            hit = np.zeros((len(run), len(members)), dtype=bool)
-            for b in range(BLOCKS):
-                hit |= near[b][seen[:, b]]
-            w, m = np.nonzero(hit)
-            apart = BITS[seen[w] ^ prints[m]].sum(axis=1)
-            near_by = np.argsort(apart, kind="stable")[:int((apart <= self.radius).sum())]  # nearest first
-            for i, j in zip(w[near_by].tolist(), m[near_by].tolist()):
+            for i, j in zip(*(x.tolist() for x in self.near(n).within(seen))):
                 item = int(members[j])
                 if found.get(item, (0.0, 0))[0] == 1.0:  # no window can be more similar
                     continue
@@ -171,7 +201,7 @@ def _indexes(benchmark: DataFrame, item_id_col: str, item_text_col: str, shingle
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text", shingle: int = 5, least: float = 0.8,
-                 radius: int = 23, items_at_once: int = 20_000) -> DataFrame:
+                 radius: int = 15, items_at_once: int = 10_000) -> DataFrame:
     """(doc_id, item_id, similarity, start_word, n_words): best window of each document and item.
 
     The benchmark goes to the executors in blocks of bounded size, one pass over
@@ -198,8 +228,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id_col: str = "item_id",
-                   item_text_col: str = "text", shingle: int = 5, least: float = 0.8, radius: int = 23,
-                   items_at_once: int = 20_000) -> DataFrame:
+                   item_text_col: str = "text", shingle: int = 5, least: float = 0.8, radius: int = 15,
+                   items_at_once: int = 10_000) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no window similar to an item."""
     for shared in _indexes(benchmark, item_id_col, item_text_col, shingle, radius, items_at_once):
         def change(shared=shared):
