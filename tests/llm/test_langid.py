@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import fold
-from tillroll.llm.langid import Letters, Model, accepted, fit, identify
+from tillroll.llm.langid import Letters, Model, accepted, allowance, fit, identify
 from tillroll.llm.queries import op7_language
 
 GRAMS = {"x": {"  ab": 3, " aba": 2, "abab": 1, "babb": 1, "  ba": 1}, "y": {"  bc": 2, " bcb": 2, "bcbc": 3}}
@@ -50,6 +50,44 @@ def test_probabilities_equal_the_definition():
             assert n[0] == len(text) and abs(xent[0, j] - want) < 1e-5, (lang, text)
 
 
+def test_families_do_not_change_a_probability(monkeypatch):
+    import tillroll.llm.langid as langid
+
+    grams = {f"l{i:02}": {g: c + i for g, c in GRAMS["xy"[i % 2]].items()} for i in range(11)}
+    texts = [Letters()(t) for t in ("abab", "bcbc babb", "", "zz ab")]
+    apart = Model(grams, 4)
+    monkeypatch.setattr(langid, "FAMILY", 100)
+    together = Model(grams, 4)
+    assert len(apart.families) == 2 and len(together.families) == 1
+    monkeypatch.undo()
+    got = apart.entropies(texts)[0]
+    monkeypatch.setattr(langid, "FAMILY", 100)
+    assert np.allclose(got, together.entropies(texts)[0], atol=1e-6)
+
+
+def test_allowance():
+    assert allowance([], 10, 100) == 10 and allowance([5, 500], 300, 400) == 300
+    assert allowance([5] * 10 + [500, 500], 300, 250) == 100  # strays take only what they have
+    assert allowance([500] * 4, 300, 400) == 100 and allowance([500] * 4, 300, 1200) == 300
+    for have in ([3, 9, 27, 81], [50] * 7, [1000, 1]):
+        share = allowance(have, 60, 100)
+        assert sum(min(n, share) for n in have) <= 100
+
+
+def test_hundreds_of_languages_and_null_ids(spark):
+    """Each of 300 languages is learned, the common ones are not starved, and null ids are sampled row by row."""
+    alphabet = [chr(0x4E00 + i) for i in range(900)]
+    own = {f"l{i:03}": "".join(alphabet[3 * i:3 * i + 3]) for i in range(300)}
+    rows = [(None, f"{a[0]}{a[1]} {a[2]}{a[0]} " * 12, lang) for lang, a in own.items() for _ in range(3)]
+    rows += [(None, " ".join(f"word{chr(97 + i % 26)}" for i in range(n, n + 30)), "en") for n in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(docs, docs_per_language=500, most_grams=20_000)
+    assert len(model.languages) == 301
+    pred = identify(docs.join(spark.createDataFrame([(x,) for x in ("l007", "l299", "en")], "lang string"), "lang"), model)
+    assert {(r["lang_pred"], r["n"]) for r in pred.groupBy("lang_pred").agg(F.count("*").alias("n")).collect()} == {
+        ("l007", 3), ("l299", 3), ("en", 2000)}
+
+
 def test_texts_longer_than_a_piece_are_scored_whole(monkeypatch):
     import tillroll.llm.langid as langid
 

@@ -1,9 +1,10 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 One model a language, fitted on a bounded sample of labelled documents.  The
-grams of all languages share one sorted array of hashes per order, with a row of
-log probabilities per gram (a column a language), discounts and lower orders
-already interpolated.  A gram that is missing falls back over the weight of its
+grams of a family of up to 8 languages share one sorted array of hashes per
+order, with a row of log probabilities per gram (a column a language), discounts
+and lower orders already interpolated, so the arrays grow in proportion to the
+languages.  A gram that is missing falls back over the weight of its
 context, kept in a second sorted array.  The language of the lowest cross-entropy
 per character wins; a text that fits even that language worse than documents of
 its length do in calibration is marked as rejected.
@@ -30,6 +31,7 @@ PIECE = 1 << 19  # code points scored at once
 SPACE = 32
 STEP = np.uint64(0x9E3779B97F4A7C15)
 UNDETERMINED = "und"
+FAMILY = 8  # languages that share their arrays
 LEAST_APART = 20  # documents of a language from which on some only calibrate
 
 
@@ -83,16 +85,12 @@ def _hash_rows(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-class Model:
-    """Kneser-Ney models of all languages over shared sorted hash arrays."""
+class Family:
+    """Kneser-Ney models of a few languages over shared sorted hash arrays."""
 
-    def __init__(self, grams: dict[str, dict[str, int]], order: int):
+    def __init__(self, grams: dict[str, dict[str, int]], order: int, letters: int):
         self.order, self.languages = order, sorted(grams)
         self.keys, self.logp, self.contexts, self.weights = [], [], [], []
-        self.centre = np.zeros(len(self.languages))
-        self.spread = np.full(len(self.languages), np.inf)
-        if not self.languages:
-            return
         raw = {}  # (order, language) -> (code rows, counts)
         for lang in self.languages:
             items = sorted(grams[lang].items())
@@ -103,7 +101,6 @@ class Model:
                 # Continuation counts: in how many distinct grams of this order the shorter one ends.
                 rows, counts = np.unique(rows[:, 1:], axis=0, return_counts=True) if n > 1 else (rows, counts)
                 counts = counts.astype(np.float64)
-        letters = {int(c) for lang in self.languages for c in raw[1, lang][0][:, 0]}
         lower = None
         for n in range(1, order + 1):
             rows = np.unique(np.concatenate([raw[n, lang][0] for lang in self.languages]), axis=0)
@@ -124,35 +121,46 @@ class Model:
                 weights[:, j] = np.where(total > 0, discount * types / np.maximum(total, 1), 1.0)
                 seen = np.zeros(len(keys))
                 seen[_spot(keys, _hash_rows(own))] = np.maximum(counts - discount, 0) / total[head]
-                base = lower[suffix, j] if n > 1 else 1.0 / (len(letters) + 1)
+                base = lower[suffix, j] if n > 1 else 1.0 / (letters + 1)
                 p[:, j] = seen + weights[_spot(heads, _hash_rows(rows[:, :-1])), j] * base
             lower = p
             self.keys.append(keys)
             self.logp.append(np.log(p).astype(np.float32))
             self.contexts.append(heads)
             self.weights.append(np.log(weights).astype(np.float32))
-        self.unseen = (self.weights[0][0] - np.log(len(letters) + 1)).astype(np.float32)
+        self.unseen = (self.weights[0][0] - np.log(letters + 1)).astype(np.float32)
 
-    def _logp(self, codes: np.ndarray, skip: int) -> np.ndarray:
-        """Log probability of each position from ``skip`` on, a column a language."""
-        hashes = gram_hashes(codes, self.order)
-        out = np.zeros((len(codes) - skip, len(self.languages)), dtype=np.float32)
-        left = np.arange(skip, len(codes))
+    def score(self, hashes: list[np.ndarray]) -> np.ndarray:
+        """Log probability of each position, from the hashes of its grams; a column a language."""
+        out = np.zeros((len(hashes[0]), len(self.languages)), dtype=np.float32)
+        left = np.arange(len(hashes[0]))
         for n in range(self.order, 0, -1):
             spot = _spot(self.keys[n - 1], hashes[n - 1][left])
             hit = spot >= 0
-            out[left[hit] - skip] += self.logp[n - 1][spot[hit]]
+            out[left[hit]] += self.logp[n - 1][spot[hit]]
             left = left[~hit]
             if not len(left):
                 break
             if n > 1:
                 context = _spot(self.contexts[n - 1], hashes[n - 2][left - 1])
                 known = context >= 0
-                out[left[known] - skip] += self.weights[n - 1][context[known]]
+                out[left[known]] += self.weights[n - 1][context[known]]
             else:
-                out[left - skip] += self.unseen
+                out[left] += self.unseen
         return out
 
+
+class Model:
+    """Kneser-Ney models of all languages, in families, and where documents of each language lie."""
+
+    def __init__(self, grams: dict[str, dict[str, int]], order: int):
+        self.order, self.languages = order, sorted(grams)
+        self.centre = np.zeros(len(self.languages))
+        self.spread = np.full(len(self.languages), np.inf)
+        letters = len({g[-1] for own in grams.values() for g in own})
+        self.families = [Family({lang: grams[lang] for lang in self.languages[i:i + FAMILY]}, order, letters)
+                         for i in range(0, len(self.languages), FAMILY)]
+
     def entropies(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(nats per character, a column a language; characters) of each text's codes."""
         lead = self.order - 1
@@ -163,11 +171,12 @@ class Model:
         def settle():
             nonlocal held, size
             if held:
-                logp = self._logp(np.concatenate([x for _, x in held]), 0)
-                at = 0
-                for i, x in held:
-                    sums[i] -= logp[at + lead:at + len(x)].sum(axis=0, dtype=np.float64)
-                    at += len(x)
+                hashes = gram_hashes(np.concatenate([x for _, x in held]), self.order)
+                for f, family in enumerate(self.families):
+                    logp, own, at = family.score(hashes), slice(f * FAMILY, (f + 1) * FAMILY), 0
+                    for i, x in held:
+                        sums[i, own] -= logp[at + lead:at + len(x)].sum(axis=0, dtype=np.float64)
+                        at += len(x)
             held, size = [], 0
 
         for i, codes in enumerate(texts):
@@ -206,15 +215,28 @@ class Model:
         return np.where(some, best, -1), np.where(some, 1 / odds.sum(axis=1), 0.0), low, rejected
 
 
+def allowance(grams: list[int], most_each: int, most: int) -> int:
+    """Grams a language may keep, of ``grams`` that they have, so that all keep no more than ``most`` together.
+
+    What languages of few grams leave goes to the others."""
+    left = most
+    for i, n in enumerate(sorted(grams)):
+        share = left // (len(grams) - i)
+        if min(n, most_each) > share:
+            return share
+        left -= min(n, most_each)
+    return most_each
+
+
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         train: Column | None = None, order: int = 4, docs_per_language: int = 1500,
-        grams_per_language: int = 300_000, most_languages: int = 256,
-        most_cells: int = 50_000_000, quantile: float = 0.9995, slack: float = 1.0) -> Model:
+        grams_per_language: int = 300_000, most_languages: int = 10_000,
+        most_grams: int = 4_000_000, quantile: float = 0.9995, slack: float = 1.0) -> Model:
     """Fit the models on about ``docs_per_language`` labelled documents of each language.
 
-    Of more than ``most_languages`` languages the most frequent ones are learned,
-    and with many languages each keeps fewer grams, so that the table of grams by
-    languages has at most about ``most_cells`` cells.
+    All languages keep at most ``most_grams`` grams together; languages of few
+    grams, such as stray labels, take nothing from the others but those.  Of a
+    column of more than ``most_languages`` values the most frequent are learned.
     ``train`` says which rows may be learned from.  A fifth of the sample only
     calibrates the rejection (of languages with ``LEAST_APART`` documents; the others reject nothing).  Gram counts are summed in Spark; each language
     keeps its most frequent ones, at most ``grams_per_language``.
@@ -226,14 +248,13 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
              .orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
     if not sizes:
         return Model({}, order)
-    grams_per_language = min(grams_per_language, most_cells // len(sizes) ** 2)
-    below, many = F.lit(None).cast("long"), F.lit(False)
-    for lang, n in sorted(sizes.items()):
-        below = F.when(F.col("lang") == lang, F.lit(threshold(docs_per_language / n))).otherwise(below)
-        many = F.when(F.col("lang") == lang, F.lit(n >= LEAST_APART)).otherwise(many)
+    spark = docs.sparkSession
+    known = spark.createDataFrame([(lang, threshold(docs_per_language / n), n >= LEAST_APART) for lang, n in sizes.items()],
+                                  "lang string, below long, many boolean")
     # By the row's place too, so that copies and null ids are sampled row by row; of a language of few rows, all are learned.
-    rows = rows.where(F.xxhash64("doc_id", "text", F.monotonically_increasing_id(), F.lit(7)) <= below)
-    apart = many & (F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(5)) == 0)
+    rows = rows.join(F.broadcast(known), "lang").where(
+        F.xxhash64("doc_id", "text", F.monotonically_increasing_id(), F.lit(7)) <= F.col("below"))
+    apart = F.col("many") & (F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(5)) == 0)
 
     def count(batches):
         from collections import Counter, defaultdict
@@ -250,23 +271,26 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())],
                 names=["lang", "gram", "n"])
 
-    counts = checkpointed(rows.where(~apart).mapInArrow(count, "lang string, gram string, n long")
+    counts = checkpointed(rows.where(~apart).select("lang", "text").mapInArrow(count, "lang string, gram string, n long")
                           .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     # The least count at which a language has no more than its share of grams.
+    steps = counts.groupBy("lang", "n").agg(F.count("*").alias("grams")).orderBy(F.desc("n")).collect()
     held, least = {}, {}
-    for r in counts.groupBy("lang", "n").agg(F.count("*").alias("grams")).orderBy(F.desc("n")).collect():
+    for r in steps:
         held[r["lang"]] = held.get(r["lang"], 0) + r["grams"]
-        if held[r["lang"]] <= grams_per_language:
+    share = allowance(list(held.values()), grams_per_language, most_grams)
+    held = dict.fromkeys(held, 0)
+    for r in steps:
+        held[r["lang"]] += r["grams"]
+        if held[r["lang"]] <= share:
             least[r["lang"]] = r["n"]
-    few = F.lit(0)
-    for lang in sorted(held):
-        few = F.when(F.col("lang") == lang, F.lit(least.get(lang, 1 << 62))).otherwise(few)
-    top = counts.where(F.col("n") >= few).toPandas()
+    few = spark.createDataFrame(list(least.items()), "lang string, least long")
+    top = counts.join(F.broadcast(few), "lang").where(F.col("n") >= F.col("least")).select("lang", "gram", "n").toPandas()
     grams = {lang: dict(zip(part["gram"], part["n"])) for lang, part in top.groupby("lang")}
     model = Model(grams, order)
     if not grams:
         return model
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model)
 
     def measure(batches):
         model, letters = shared.value, Letters()
@@ -280,7 +304,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
                  pa.array([float(xent[i, place[lang]]) for i, (lang, _) in enumerate(kept)], pa.float64()),
                  pa.array(counts, pa.int64())], names=["lang", "entropy", "n"])
 
-    measured = rows.where(apart).mapInArrow(measure, "lang string, entropy double, n long").collect()
+    measured = rows.where(apart).select("lang", "text").mapInArrow(measure, "lang string, entropy double, n long").collect()
     model.calibrate([(r["lang"], r["entropy"], r["n"]) for r in measured], quantile, slack)
     return model
 
