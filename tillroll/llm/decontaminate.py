@@ -2,10 +2,10 @@
 
 For every length an item has, a document's windows of that length are
 fingerprinted over their word shingles.  Item fingerprints lie in a multi-index
-of 4 blocks of 16 bits: a sorted table for each block holds the Hamming ball of
-radius // 4 bits around every item's block, so that any window at most
-``radius`` bits from an item is looked up in some table (one block differs by no
-more than its share).  Whole distances are counted for what the tables list, and
+of 4 blocks of 16 bits: a sorted table holds, for each block, the Hamming ball
+of radius // 4 bits around every item's block, so that any window at most
+``radius`` bits from an item meets it there (one block differs by no more than
+its share).  Whole distances are counted for what the table lists, and
 each pair within the radius is verified by the weighted Jaccard similarity of
 the two shingle multisets, the weight of a shingle being its count.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -73,32 +74,42 @@ class Fingerprints:
     """A multi-index over the fingerprints of items of one length."""
 
     def __init__(self, prints: np.ndarray, radius: int):
-        self.whole, self.radius, self.tables = prints.view("<u8").ravel(), radius, []
+        self.whole, self.radius = prints.view("<u8").ravel(), radius
         values = np.arange(1 << 16, dtype=np.uint16)
         ball = values[np.bitwise_count(values) <= radius // BLOCKS]
-        for block in prints.view("<u2").T:
+        keys, owners = [], []
+        for b, block in enumerate(prints.view("<u2").T):
             near = (block[:, None] ^ ball).ravel()
             order = np.argsort(near, kind="stable")
-            self.tables.append((near[order], (order // len(ball)).astype(np.int32)))
+            keys.append(near[order] + np.uint32(b << 16))
+            owners.append((order // len(ball)).astype(np.int32))
+        self.keys, self.owners = np.concatenate(keys), np.concatenate(owners)  # block by block, each sorted
 
     def within(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position in ``seen``, position of an item) of all pairs within the radius, the nearest first."""
         whole, found = seen.view("<u8").ravel(), []
-        for (values, owners), block in zip(self.tables, seen.view("<u2").T):
-            first = np.searchsorted(values, block)
-            hit = np.flatnonzero(values[np.minimum(first, len(values) - 1)] == block)
-            first, sizes = first[hit], np.searchsorted(values, block[hit], "right") - first[hit]
-            before = np.cumsum(sizes) - sizes
-            # A piece starts where the pairs before it pass a multiple of the bound.
-            for at in np.split(np.arange(len(hit)), np.flatnonzero(np.diff(before // PAIRS_AT_ONCE)) + 1):
-                n = sizes[at]
-                w = np.repeat(hit[at], n)
-                m = owners[np.arange(len(w)) + np.repeat(first[at] - (np.cumsum(n) - n), n)]
-                apart = np.bitwise_count(whole[w] ^ self.whole[m])
-                near = np.flatnonzero(apart <= self.radius)
-                found.append(np.stack([apart[near].astype(np.int64), w[near], m[near]]))
-        _, w, m = np.unique(np.concatenate(found, axis=1), axis=1)
-        return w, m
+        keys = (seen.view("<u2") + (np.arange(BLOCKS, dtype=np.uint32) << 16)).ravel()
+        first = np.searchsorted(self.keys, keys)
+        hit = np.flatnonzero(self.keys[np.minimum(first, len(self.keys) - 1)] == keys)
+        first = first[hit]
+        sizes = np.searchsorted(self.keys, keys[hit], "right") - first
+        before = np.cumsum(sizes) - sizes
+        pieces = [slice(None)]
+        if sizes.sum() > PAIRS_AT_ONCE:  # a piece starts where the pairs before it pass a multiple of the bound
+            pieces = np.split(np.arange(len(hit)), np.flatnonzero(np.diff(before // PAIRS_AT_ONCE)) + 1)
+        for at in pieces:
+            n = sizes[at]
+            w = np.repeat(hit[at] // BLOCKS, n)
+            m = self.owners[np.arange(len(w)) + np.repeat(first[at] - (np.cumsum(n) - n), n)]
+            apart = np.bitwise_count(whole[w] ^ self.whole[m])
+            near = np.flatnonzero(apart <= self.radius)
+            if len(near):
+                found.append((apart[near].astype(np.int64) * len(whole) + w[near]) * len(self.whole) + m[near])
+        if not found:
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        # A pair comes from each of its blocks that is near; by distance, window and item, each once.
+        pair = np.unique(np.concatenate(found)) % (len(whole) * len(self.whole))
+        return pair // len(self.whole), pair % len(self.whole)
 
 
 class Index:
@@ -157,7 +168,7 @@ class Index:
         """Item position -> (best similarity, first word) of the windows that reach ``least``."""
         words = words_of(text)
         get = self.vocabulary.get
-        numbers = np.array([get(w, 0) for w in words], dtype=np.uint64)
+        numbers = np.fromiter(map(get, words, repeat(0)), dtype=np.uint64, count=len(words))
         found: dict[int, tuple[float, int]] = {}
         starts = {k: at for k in self.anchors if len(at := self.starts(numbers, k))}
         for n, (members, _) in self.lengths.items() if starts else ():
