@@ -212,7 +212,7 @@ def _indexes(benchmark: DataFrame, item_id_col: str, item_text_col: str, shingle
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text", shingle: int = 5, least: float = 0.8,
-                 radius: int = 15, items_at_once: int = 10_000) -> DataFrame:
+                 radius: int = 15, items_at_once: int = 5_000) -> DataFrame:
     """(doc_id, item_id, similarity, start_word, n_words): best window of each document and item.
 
     The benchmark goes to the executors in blocks of bounded size, one pass over
@@ -240,7 +240,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id_col: str = "item_id",
                    item_text_col: str = "text", shingle: int = 5, least: float = 0.8, radius: int = 15,
-                   items_at_once: int = 10_000) -> DataFrame:
+                   items_at_once: int = 5_000) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no window similar to an item."""
     for shared in _indexes(benchmark, item_id_col, item_text_col, shingle, radius, items_at_once):
         def change(shared=shared):
