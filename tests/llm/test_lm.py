@@ -155,3 +155,22 @@ def test_sampling_at_any_size(spark):
     same = spark.range(1_000_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'x' AS text")
     assert 9_000 < same.where(sampled(0.01, "doc_id", "text", seed=3)).count() < 11_000
     assert same.where(sampled(1.0, "doc_id", seed=3)).count() == 1_000_000
+
+
+def test_every_training_token_is_learnt_once(spark, monkeypatch):
+    """More documents than a sample would hold, some without an id, some repeated: all of them train the network."""
+    from tillroll.llm import lm
+    from tillroll.llm.common import checkpointed
+
+    learnt, averaged = [], lm._averaged
+
+    def counted(fitted, shards):
+        fitted = checkpointed(fitted)
+        learnt.append(fitted.where("name = 'U'").agg(F.sum("size").alias("n")).first()["n"])
+        return averaged(fitted, shards)
+
+    monkeypatch.setattr(lm, "_averaged", counted)
+    rows = [(i % 5900 if i % 10 else None, " ".join(f"w{i * k % 300}" for k in range(1, 90))) for i in range(6000)]
+    held = F.coalesce(F.col("doc_id") == 1, F.lit(False))
+    got = score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), held).limit(1).first()
+    assert sum(learnt) == got["train_tokens"] == 90 * 5998

@@ -6,11 +6,12 @@ the symbols of the network: a GRU whose output softmax is factored into classes
 of equal size.  A word outside the frequent ones costs its bucket, then its
 share of the bucket by training counts, so every training word counts.
 
-Word counts cover all training texts.  The weights are fitted by truncated
-backpropagation on a fixed share of all training documents (all of them where
-they are few): shards of like size, whose number grows with the corpus, are
-trained side by side in Spark tasks, and their weights averaged, also by Spark,
-for a few rounds.  Scoring reads whole documents: the state is carried from
+Word counts cover all training texts, and so does the training of the weights:
+every training text is learnt from, whole, in one pass of truncated
+backpropagation.  The texts, as symbols, are dealt by hash to shards of like size,
+whose number grows with the corpus.  A pass has a few rounds; in each the shards
+are trained side by side in Spark tasks, each on its next part, and their weights
+averaged, also by Spark.  Scoring reads whole documents: the state is carried from
 window to window, and only reset after an end.
 
 Defined results: a null or empty text is the end alone; an unseen word has count
@@ -25,7 +26,8 @@ from __future__ import annotations
 import heapq
 import math
 from collections import Counter, defaultdict
-from itertools import count
+from copy import copy
+from itertools import chain, count
 from zlib import crc32
 
 import numpy as np
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import checkpointed, sampled, text_docs
+from tillroll.llm.common import checkpointed, text_docs
 
 FLUSH = 200_000  # words a counting task holds before it passes them on
 END = 0
@@ -78,6 +80,10 @@ class Symbols:
         got = self.frequent.get(word)
         return int(self.bucket[bucket(word, len(self.bucket))]) if got is None else got
 
+    def kind(self) -> str:
+        """The type of a stored symbol."""
+        return "<u2" if self.mass.size <= 1 << 16 else "<u4"
+
 
 class Network:
     """A GRU with a class-factored softmax, in numpy."""
@@ -122,14 +128,14 @@ class Network:
         to_gates, to_inner = half * self.U[:, :2 * k], np.ascontiguousarray(self.U[:, 2 * k:])
 
         def advance(h: np.ndarray, inputs: np.ndarray) -> np.ndarray:
-            zr = gates[inputs]
+            zr = gates.take(inputs, axis=0)
             zr += h @ to_gates
             np.tanh(zr, out=zr)
             zr *= half
             zr += half
             n = h @ to_inner
             n *= zr[:, k:]
-            n += inner[inputs]
+            n += inner.take(inputs, axis=0)
             np.tanh(n, out=n)
             out = h - n
             out *= zr[:, :k]
@@ -138,44 +144,61 @@ class Network:
 
         return advance
 
-    def output(self, h: np.ndarray, targets: np.ndarray, grads: dict | None = None):
-        """Log probability of each target; with ``grads``, adds the gradients and returns that of h too."""
+    def softmax(self) -> tuple:
+        """What ``output`` reads of the weights: whether exponentials are safe, and the softmaxes' matrices with their biases.
+
+        The biases are the weights of one more state, always 1."""
         # States lie in (-1, 1), so logits this small can't overflow an exponential.
         tame = max(np.abs(w).sum(axis=-2).max() + np.abs(b).max() for w, b in ((self.Wc, self.bc), (self.Wo, self.bo))) < 80
+        return tame, np.vstack([self.Wc, self.bc]), np.concatenate([self.Wo, self.bo[:, None]], axis=1)
+
+    def output(self, h: np.ndarray, targets: np.ndarray, grads: dict | None = None, ready: tuple | None = None):
+        """Log probability of each target; with ``grads``, adds the gradients and returns that of h too.
 
-        def exponentials(part, w, b):
+        ``ready`` is ``softmax()``, where the weights stay the same for many calls."""
+        tame, to_class, to_place = ready or self.softmax()
+        k = self.hidden
+
+        def exponentials(part, w):
             a = part @ w
-            a += b
             if not tame:
                 a -= a.max(axis=1, keepdims=True)
-            return a, np.exp(a)
+            e = np.exp(a)
+            return a, e, e @ ones[:e.shape[1]]
+
+        def learn(part, e, total, rows, places, back_w):
+            """Gradients of the weights with their bias, and of the states."""
+            e[rows, places] -= total
+            e *= (1 / total)[:, None]
+            return part.T @ e, e @ back_w
 
+        ones = np.ones(max(len(self.bc), self.size), dtype=to_class.dtype)
         order = np.argsort(targets // self.size, kind="stable")
-        h, cls, place = h[order], targets[order] // self.size, targets[order] % self.size
+        to = targets[order]
+        cls, place = to // self.size, to % self.size
+        part = np.empty((len(h), k + 1), dtype=h.dtype)
+        part[:, :k], part[:, k] = h.take(order, axis=0), 1
         rows = np.arange(len(h))
-        a, e = exponentials(h, self.Wc, self.bc)
-        total = e.sum(axis=1)
+        a, e, total = exponentials(part, to_class)
         logp = a[rows, cls] - np.log(total)
         back = None
         if grads is not None:
-            e /= total[:, None]
-            e[rows, cls] -= 1.0
-            grads["Wc"] += h.T @ e
-            grads["bc"] += e.sum(axis=0)
-            back = e @ self.Wc.T
-        edges = np.searchsorted(cls, np.arange(len(self.bc) + 1))
-        for c in np.flatnonzero(np.diff(edges)).tolist():
-            at = slice(edges[c], edges[c + 1])
-            a, e = exponentials(h[at], self.Wo[c], self.bo[c])
-            total = e.sum(axis=1)
-            own = rows[:len(a)]
-            logp[at] += a[own, place[at]] - np.log(total)
+            got, back = learn(part, e, total, rows, cls, self.Wc.T)
+            grads["Wc"] += got[:k]
+            grads["bc"] += got[k]
+            back_place = np.ascontiguousarray(self.Wo.swapaxes(1, 2))
+        edges = np.searchsorted(cls, np.arange(len(self.bc) + 1)).tolist()
+        for c, (lo, hi) in enumerate(zip(edges, edges[1:])):
+            if lo == hi:
+                continue
+            own, places = rows[:hi - lo], place[lo:hi]
+            a, e, total = exponentials(part[lo:hi], to_place[c])
+            logp[lo:hi] += a[own, places] - np.log(total)
             if grads is not None:
-                e /= total[:, None]
-                e[own, place[at]] -= 1.0
-                grads["Wo"][c] += h[at].T @ e
-                grads["bo"][c] += e.sum(axis=0)
-                back[at] += e @ self.Wo[c].T
+                got, more = learn(part[lo:hi], e, total, own, places, back_place[c])
+                grads["Wo"][c] += got[:k]
+                grads["bo"][c] += got[k]
+                back[lo:hi] += more
         out = np.empty_like(logp)
         out[order] = logp
         if grads is None:
@@ -184,54 +207,118 @@ class Network:
         d[order] = back
         return out, d
 
-    def gradients(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray):
-        """(loss sum, gradients, last state) of one window; inputs and targets are (steps, lanes)."""
-        grads = {n: np.zeros_like(w) for n, w in self.weights().items()}
-        states, kept = [], []
-        for x in inputs:
-            h = np.where((x == END)[:, None], np.float32(0), h)
-            h, held = self.step(h, x)
-            states.append(h)
-            kept.append(held)
-        logp, back = self.output(np.concatenate(states), targets.ravel(), grads)
-        back = back.reshape(len(inputs), -1, self.hidden)
-        k, carried = self.hidden, np.zeros_like(h)
-        for t in range(len(inputs) - 1, -1, -1):
-            before, z, r, n, gn = kept[t]
-            d = back[t] + carried
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            dx = np.concatenate([dz, dr, dn], axis=1)
-            dg = np.concatenate([dz, dr, dn * r], axis=1)
-            np.add.at(grads["Wx"], inputs[t], dx)
-            grads["U"] += before.T @ dg
-            carried = d * z + dg @ self.U.T
-            carried[inputs[t] == END] = 0
-        return -float(logp.sum()), grads, h
-
-    def train(self, stream: np.ndarray, *, lanes: int, steps: int, rate: float, decay_to: float = 0.2) -> float:
-        """One pass of truncated backpropagation over a symbol stream; returns the mean loss."""
-        length = len(stream) // lanes
-        if length < 2:
+    def gradients(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, grads: dict | None = None):
+        """(loss sum, gradients, last state) of one window; inputs and targets are (steps, lanes).
+
+        ``grads``, all zero, takes the gradients.  All but the recurrence itself is
+        done for the whole window at once."""
+        k, (steps, lanes) = self.hidden, inputs.shape
+        if grads is None:
+            grads = {n: np.zeros_like(w) for n, w in self.weights().items()}
+        ends = inputs == END
+        ending = ends.any(axis=1).tolist()
+        # The gates (update, reset) and the inner sum lie apart; the logistic function is tanh of half its argument.
+        apart = np.array([[[0.5]], [[0.5]], [[1.0]]], dtype=self.U.dtype)
+        to = np.ascontiguousarray(self.U.reshape(k, 3, k).swapaxes(0, 1)) * apart
+        own = np.ascontiguousarray(self.Wx.reshape(-1, 3, k).swapaxes(0, 1)) * apart
+        x = np.empty((steps, 3, lanes, k), dtype=own.dtype)
+        for j in range(3):
+            x[:, j] = own[j].take(inputs, axis=0)
+        before, states, gn = (np.empty((steps, lanes, k), dtype=x.dtype) for _ in range(3))
+        for t in range(steps):
+            if ending[t]:
+                h = h.copy()
+                h[ends[t]] = 0
+            before[t] = h
+            g = np.matmul(h, to)
+            zr, n = x[t, :2], x[t, 2]
+            zr += g[:2]
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            gn[t] = g[2]
+            g[2] *= zr[1]
+            n += g[2]
+            np.tanh(n, out=n)
+            h = np.subtract(h, n, out=states[t])
+            h *= zr[0]
+            h += n
+        logp, back = self.output(states.reshape(-1, k), targets.ravel(), grads)
+        back = back.reshape(steps, lanes, k)
+        z, r, n = x[:, 0], x[:, 1], x[:, 2]
+        # What a state's gradient is multiplied by to give those of the gates, and of the inner sum.
+        inner = (1 - z) * (1 - n * n)
+        by = np.empty_like(x)
+        by[:, 0] = (before - n) * z * (1 - z)
+        by[:, 2] = inner * r
+        by[:, 1] = by[:, 2] * gn * (1 - r)
+        dg, carried = np.empty_like(by), np.zeros_like(h)
+        back_to = np.ascontiguousarray(self.U.reshape(k, 3, k).transpose(1, 2, 0))
+        for t in range(steps - 1, -1, -1):
+            d = back[t]
+            d += carried
+            np.multiply(d, by[t], out=dg[t])
+            through = np.matmul(dg[t], back_to)
+            carried = d * z[t]
+            for j in range(3):
+                carried += through[j]
+            if ending[t]:
+                carried[ends[t]] = 0
+        flat, before = inputs.ravel(), before.reshape(-1, k).T
+        order = np.argsort(flat, kind="stable")
+        starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        sorted_by = np.empty((len(flat), 3, k), dtype=x.dtype)
+        for j in range(3):
+            grads["U"][:, j * k:(j + 1) * k] += before @ dg[:, j].reshape(-1, k)
+            sorted_by[:, j] = (dg[:, j] if j < 2 else back * inner).reshape(-1, k).take(order, axis=0)
+        grads["Wx"][flat[order[starts]]] += np.add.reduceat(sorted_by.reshape(-1, 3 * k), starts, axis=0)
+        return -float(logp.sum(dtype=np.float64)), grads, states[-1]
+
+    def train(self, stream: np.ndarray, *, lanes: int, steps: int, rate: float, decay_to: float = 0.2,
+              begin: float = 0.0, end: float = 1.0) -> float:
+        """One pass of truncated backpropagation over a symbol stream; returns the mean loss.
+
+        The stream is the part from ``begin`` to ``end`` of a pass, over which the rate
+        falls to ``decay_to`` of itself.  Every symbol is learnt; the first ones, fewer
+        than ``lanes``, twice where the lanes don't come out even."""
+        length = -(-len(stream) // lanes)
+        if not length:
             return float("nan")
-        targets = stream[:length * lanes].reshape(lanes, length).T
+        targets = np.ascontiguousarray(np.resize(stream, length * lanes).reshape(lanes, length).T)
         inputs = np.vstack([np.full((1, lanes), END, dtype=targets.dtype), targets[:-1]])
-        moments = {n: (np.zeros_like(w), np.zeros_like(w)) for n, w in self.weights().items()}
-        h, loss, seen = np.zeros((lanes, self.hidden), dtype=np.float32), 0.0, 0
+        # All matrices in one array, as are their gradients.
+        names, sizes = self.NAMES, [getattr(self, n).size for n in self.NAMES]
+        edges = np.cumsum([0, *sizes])
+        w = np.concatenate([getattr(self, n).ravel() for n in names])
+        g, m, v, a, b = (np.zeros_like(w) for _ in range(5))
+        grads = {}
+        for n, lo, hi in zip(names, edges, edges[1:]):
+            shape = getattr(self, n).shape
+            setattr(self, n, w[lo:hi].reshape(shape))
+            grads[n] = g[lo:hi].reshape(shape)
+        h, loss, seen = np.zeros((lanes, self.hidden), dtype=w.dtype), 0.0, 0
         windows = range(0, length, steps)
         for i, lo in enumerate(windows):
             part = targets[lo:lo + steps]
-            cost, grads, h = self.gradients(h, inputs[lo:lo + steps], part)
+            g.fill(0)
+            cost, _, h = self.gradients(h, inputs[lo:lo + steps], part, grads)
             loss, seen = loss + cost, seen + part.size
-            now = rate * (decay_to + (1 - decay_to) * (1 - i / len(windows)))
-            norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values())) / part.size
-            scale = min(1.0, 1.0 / max(norm, 1e-12)) / part.size
-            for n, w in self.weights().items():
-                g, (m, v) = grads[n] * np.float32(scale), moments[n]
-                m += 0.1 * (g - m)
-                v += 0.005 * (g * g - v)
-                w -= np.float32(now) * (m / (1 - 0.9 ** (i + 1))) / (np.sqrt(v / (1 - 0.995 ** (i + 1))) + 1e-7)
+            now = rate * (decay_to + (1 - decay_to) * (1 - begin - (end - begin) * i / len(windows)))
+            norm = math.sqrt(float(g @ g)) / part.size
+            g *= min(1.0, 1.0 / max(norm, 1e-12)) / part.size
+            np.subtract(g, m, out=a)
+            a *= 0.1
+            m += a
+            g *= g
+            g -= v
+            g *= 0.005
+            v += g
+            np.multiply(v, 1 / (1 - 0.995 ** (i + 1)), out=b)
+            np.sqrt(b, out=b)
+            b += 1e-7
+            np.divide(m, b, out=a)
+            a *= now / (1 - 0.9 ** (i + 1))
+            w -= a
         return loss / max(seen, 1)
 
     def score(self, documents: list[np.ndarray], *, lanes: int = 128, steps: int = 32) -> list[np.ndarray]:
@@ -253,13 +340,13 @@ class Network:
         if not order:
             return []
         flat = np.concatenate([documents[d] for d in order])
-        before = np.concatenate([[END], flat[:-1]])
+        before = np.concatenate([np.array([END], dtype=flat.dtype), flat[:-1]])
         sizes = np.array([sum(len(documents[d]) for d in m) for m in mine])
         offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         before[offsets] = END
         logp = np.empty(len(flat), dtype=np.float32)
         h = np.zeros((len(mine), self.hidden), dtype=self.U.dtype)
-        advance = self.advancing()
+        advance, ready = self.advancing(), self.softmax()
         for lo in range(0, int(sizes[0]), steps):
             states, places = [], []
             for t in range(lo, min(lo + steps, int(sizes[0]))):
@@ -275,7 +362,7 @@ class Network:
                 states.append(h)
                 places.append(at)
             at = np.concatenate(places)
-            logp[at] = self.output(np.concatenate(states), flat[at])
+            logp[at] = self.output(np.concatenate(states), flat[at], ready=ready)
         out: list = [None] * len(documents)
         at = 0
         for d in order:
@@ -321,19 +408,60 @@ def _bucket_column(word: Column, buckets: int) -> Column:
     return F.crc32(F.substring(word, -3, 3)) % buckets
 
 
-def _fit_shard(shared, seed: int, **how):
-    """Trains on one shard, in an order of documents that differs by round; returns the weights."""
-    def fit(key, rows):
-        symbols, network = shared.value
-        by = sorted(zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()),
-                    key=lambda x: crc32(b"%d %d" % (seed, x[0] or 0)))
-        stream = np.fromiter((s for _, t in by for s in (*map(symbols.number, tokens(t)), END)), dtype=np.int64)
-        network.train(stream, **how)
-        weights = network.weights()
-        return pa.table({"name": list(weights), "data": pa.array([w.tobytes() for w in weights.values()], pa.binary()),
-                         "size": pa.array([len(stream)] * len(weights), pa.int64()),
-                         "shard": pa.array([key[0].as_py()] * len(weights), pa.int64()),
-                         "summed": pa.array([False] * len(weights))})
+class Numbers(dict):
+    """Symbols of words, remembering those of the last words outside the frequent ones."""
+
+    def __init__(self, symbols: Symbols):
+        super().__init__(symbols.frequent)
+        self.symbols = symbols
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > FLUSH:
+            self.clear()
+            self.update(self.symbols.frequent)
+        got = self[word] = self.symbols.number(word)
+        return got
+
+
+def _encoded(train: DataFrame, symbols: Symbols, shards: int) -> DataFrame:
+    """(shard, data): the symbols of all training rows, a row a shard; copies of a row are dealt one by one."""
+    kind, shared = symbols.kind(), train.sparkSession.sparkContext.broadcast(symbols)
+
+    def run(batches):
+        number = Numbers(shared.value).__getitem__
+        for b in batches:
+            data = [np.fromiter(chain(map(number, tokens(t)), (END,)), dtype=kind).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(data, pa.binary())], names=["key", "data"])
+
+    def joined(key, rows):
+        by = sorted(zip(rows.column("key").to_pylist(), rows.column("data").to_pylist()))
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([b"".join(d for _, d in by)], pa.binary())})
+
+    key = F.xxhash64("doc_id", "text", F.monotonically_increasing_id(), F.lit(5)).alias("key")
+    return checkpointed(
+        train.select(key, "text").mapInArrow(run, "key long, data binary")
+        .groupBy(F.pmod("key", F.lit(shards)).alias("shard")).applyInArrow(joined, "shard long, data binary"))
+
+
+def _fit_part(shared, begin: float, end: float, *, lanes: int, steps: int, rate: float, updates: int = 256):
+    """Trains on a part of each shard, from the same weights; returns the weights.
+
+    Short parts have fewer lanes, for ``updates`` updates where 8 lanes allow."""
+    def fit(batches):
+        symbols, start = shared.value
+        for b in batches:
+            for shard, data in zip(b.column("shard").to_pylist(), b.column("data")):
+                stream = np.frombuffer(data.as_buffer(), dtype=symbols.kind())
+                part = stream[int(len(stream) * begin):int(len(stream) * end)]
+                network = copy(start)  # the worker's other shards begin with the same weights
+                if len(part):
+                    network.train(part, lanes=min(lanes, max(8, len(part) // (steps * updates)), len(part)), steps=steps, rate=rate,
+                                  begin=begin, end=end)
+                weights = network.weights()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(weights)), pa.array([w.tobytes() for w in weights.values()], pa.binary()),
+                     pa.array([len(part)] * len(weights), pa.int64()), pa.array([shard] * len(weights), pa.int64()),
+                     pa.array([False] * len(weights))], names=["name", "data", "size", "shard", "summed"])
 
     return fit
 
@@ -360,17 +488,19 @@ def _averaged(fitted: DataFrame, shards: int, fan_in: int = 16) -> DataFrame:
             return fitted.select("name", "data", "size")
 
 
-def _train(train: DataFrame, symbols: Symbols, network: Network, *, share: float, shards: int, rounds: int,
+def _train(train: DataFrame, symbols: Symbols, network: Network, *, shards: int, rounds: int,
            lanes: int, steps: int, rate: float) -> Network:
-    """Fit on a share of the training documents: shards in parallel, weights averaged each round."""
-    sample = checkpointed(
-        train.where(sampled(share, "doc_id", "text", seed=3))
-        .withColumn("shard", F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id(), F.lit(5)), F.lit(shards))))
+    """Fit on all training documents, once: shards in parallel, weights averaged after each round.
+
+    Each round's part of the shards is as large as all parts before it."""
+    shard = _encoded(train, symbols, shards)
     context = train.sparkSession.sparkContext
     schema = "name string, data binary, size long, shard long, summed boolean"
-    for r in range(rounds):
-        fitted = sample.groupBy("shard").applyInArrow(_fit_shard(
-            context.broadcast((symbols, network)), r, lanes=lanes, steps=steps, rate=rate), schema)
+    edges = [0.0, *(0.5 ** r for r in reversed(range(rounds)))]
+    for begin, end in zip(edges, edges[1:]):
+        fitted = shard.mapInArrow(_fit_part(
+            context.broadcast((symbols, network)), begin, end, lanes=lanes, steps=steps, rate=rate), schema)
+        network = copy(network)
         for row in _averaged(fitted, shards).collect():  # one row a matrix
             old = getattr(network, row["name"])
             if row["size"]:
@@ -381,15 +511,15 @@ def _train(train: DataFrame, symbols: Symbols, network: Network, *, share: float
 
 def score_texts(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col: str = "text",
                 frequent: int = 1024, buckets: int = 1024, class_size: int = 64, hidden: int = 32,
-                common_words: int = 100_000, share: float = 0.01, least_docs: int = 2400, shard_docs: int = 400, rounds: int = 2,
-                lanes: int = 32, steps: int = 32,
+                common_words: int = 100_000, shard_tokens: int = 4_000_000, few_tokens: int = 250_000, rounds: int = 3,
+                lanes: int = 128, steps: int = 32,
                 rate: float = 0.02, chunk_bytes: int = 12_000_000) -> DataFrame:
     """Score every whole text; learn from the rows where ``held_out`` is false.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
     unigram) and score (the network's), both as log10 probabilities.  The network
-    learns from ``share`` of the training documents, ``least_docs`` at least, in
-    shards of about ``shard_docs``.  Documents are dealt by hash to chunks of about
+    learns from all training documents, in shards of about ``shard_tokens``; small
+    corpora have up to 8 shards of ``few_tokens`` or more.  Documents are dealt by hash to chunks of about
     ``chunk_bytes`` of text; each chunk is joined with the training counts of the
     words it holds, but for the ``common_words`` commonest, whose counts are
     broadcast.  A chunk that repeated rows make larger is dealt on row by row.
@@ -409,9 +539,10 @@ def score_texts(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", te
     for w, c in top:
         mass[bucket(w, buckets)] -= c + 1
     symbols = Symbols(top, mass, ends, class_size)
-    taught = max(ends * share, min(ends, least_docs))
-    network = _train(train, symbols, Network(symbols, hidden), share=taught / max(ends, 1),
-                     shards=max(1, round(taught / shard_docs)), rounds=rounds, lanes=lanes, steps=steps, rate=rate)
+    network = Network(symbols, hidden)
+    if n:
+        network = _train(train, symbols, network, shards=max(1, math.ceil(n / shard_tokens), min(8, n // few_tokens)),
+                         rounds=rounds, lanes=lanes, steps=steps, rate=rate)
     # Words that nearly every chunk holds are told to all tasks, not joined chunk by chunk.
     common = _commonest(words, common_words) | dict(top)
     shared = docs.sparkSession.sparkContext.broadcast((symbols, network, common))
@@ -453,16 +584,12 @@ def score_texts(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", te
         place = defaultdict(count().__next__)
         texts = [np.fromiter(map(place.__getitem__, tokens(t)), dtype=np.int64) for t in rows.column("text").to_pylist()]
         size = len(place) + 1  # the last place is the end's
-        number, c, extra = np.empty(size, dtype=np.int64), np.empty(size), np.zeros(size)
-        for i, w in enumerate(place):
-            c[i] = known = common.get(w) or table.get(w, 0)
-            at = symbols.frequent.get(w)
-            if at is None:
-                b = bucket(w, len(symbols.bucket))
-                at = symbols.bucket[b]
-                extra[i] = math.log10((known + 1) / symbols.bucket_mass[b])
-            number[i] = at
-        number[-1], c[-1] = END, counted_end
+        number, c, extra = np.full(size, END, dtype=symbols.kind()), np.full(size, float(counted_end)), np.zeros(size)
+        c[:-1] = [common.get(w) or table.get(w, 0) for w in place]
+        at = np.array([symbols.frequent.get(w, -1) for w in place], dtype=np.int64)
+        b = np.array([crc32(w[-3:]) for w in place], dtype=np.int64) % len(symbols.bucket)
+        number[:-1] = np.where(at < 0, symbols.bucket[b], at)
+        extra[:-1] = np.where(at < 0, np.log10((c[:-1] + 1) / symbols.bucket_mass[b]), 0.0)
         base = np.log10(c + 1) - log_total
         whole = [np.append(t, size - 1) for t in texts]
         logp = network.score([number[t] for t in whole])
