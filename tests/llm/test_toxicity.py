@@ -107,3 +107,27 @@ def test_wildcards_are_decoded_exactly(word):
 
 def test_long_runs_of_wildcards_end_soon():
     assert isinstance(restore("a" + "*" * 5000 + "é", MODEL), str)
+
+
+def test_every_labelled_document_teaches(spark):
+    """A sign in 18 of 26,000 labelled documents, too few for a sample of them to hold, is learnt."""
+    rows = [(i, f"water house {i % 97} zorgle" if i % 1500 == 7 else f"street letter {i % 89}", i % 1500 == 7 or i % 50 == 3)
+            for i in range(26_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic boolean").repartition(4)
+    scorer = fit(df.drop("toxic"), df.select("doc_id", F.col("toxic").cast("int").alias("toxic")), least_docs=9)
+    assert scorer.weights["=zorgle"] > 0.5 and scorer.coefficients is not None
+
+
+def test_calibration_adds_up_over_partitions(spark):
+    """The sums of many tasks lead to the point where the penalized likelihood has no slope."""
+    from tillroll.llm.toxicity import SUMMARY, Scorer
+
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((500, SUMMARY + 1))
+    y = rng.random(500) < 1 / (1 + np.exp(-(x @ np.arange(SUMMARY + 1) / 2 - 1)))
+    rows = [(bool(b), [float(v) for v in a]) for a, b in zip(x, y)]
+    scorer = Scorer(MODEL, {})
+    scorer.calibrate(spark.createDataFrame(rows, "toxic boolean, x array<double>").repartition(7))
+    b, whole = scorer.coefficients, np.column_stack([x, np.ones(500)])
+    slope = whole.T @ (y - 1 / (1 + np.exp(-whole @ b))) - 0.1 * b * (np.arange(SUMMARY + 2) < SUMMARY + 1)
+    assert np.abs(slope).max() < 1e-6

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import checkpointed, text_docs, threshold
+from tillroll.llm.common import checkpointed, delete_folder, shared_folder, text_docs
 
 # The letters a character may stand for.
 STANDS_FOR = {
@@ -216,6 +216,12 @@ def spelled_out(tokens: list[str]) -> list[str]:
     return runs + [r[1:] for r in runs]
 
 
+def distinct_tokens(text: str) -> set[str]:
+    """All that a text's words come from: its lower-cased tokens, and what is spelled out letter by letter."""
+    tokens = text.lower().split()
+    return {*tokens, *spelled_out(tokens)}
+
+
 class Words:
     """Distinct clean words of a text, remembering what tokens stand for."""
 
@@ -231,9 +237,11 @@ class Words:
         return got
 
     def __call__(self, text: str) -> set[str]:
-        tokens = text.lower().split()
+        return self.of_tokens(distinct_tokens(text))
+
+    def of_tokens(self, tokens) -> set[str]:
         out: set[str] = set()
-        for token in {*tokens, *spelled_out(tokens)}:
+        for token in tokens:
             out.update(self.of_token(token))
         return out
 
@@ -254,10 +262,10 @@ class Scorer:
         self.words, self.memo = Words(self.spelling), {}
         return self
 
-    def strongest(self, text: str) -> list[float]:
-        """The largest word weights of a text, falling, 0 where there is none; then the log of its distinct words."""
+    def strongest(self, tokens) -> list[float]:
+        """The largest word weights of distinct tokens, falling, 0 where there is none; then the log of the distinct words."""
         memo, get = self.memo, self.weights.get
-        found, words = [], self.words(text)
+        found, words = [], self.words.of_tokens(tokens)
         for word in words:
             w = memo.get(word)
             if w is None:
@@ -268,15 +276,29 @@ class Scorer:
                 found.append(w)
         return [*(heapq.nlargest(SUMMARY, found) + [0.0] * SUMMARY)[:SUMMARY], math.log(1 + len(words))]
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Logistic regression by Newton's steps, with a small penalty."""
-        x = np.column_stack([x, np.ones(len(x))])
-        b = np.zeros(x.shape[1])
+    def calibrate(self, held: DataFrame) -> None:
+        """Logistic regression by Newton's steps, with a small penalty, over (toxic, x) rows; each task adds up its rows for a step."""
+        size = SUMMARY + 2
+        held = checkpointed(held.groupBy("toxic", "x").agg(F.count("*").alias("n")))
+        b = np.zeros(size)
+
+        def sums(batches):
+            total = np.zeros((size, size + 1))
+            for batch in batches:
+                y = np.array(batch.column("toxic").to_pylist(), dtype=np.float64)
+                x = np.column_stack([batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1), np.ones(len(y))])
+                p, n = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30))), batch.column("n").to_numpy()
+                total[:, :-1] += (x * (n * p * (1 - p))[:, None]).T @ x
+                total[:, -1] += x.T @ (n * (y - p))
+            yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], names=["sums"])
+
+        if held.isEmpty():
+            return
         for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-            pull = 0.1 * b * (np.arange(len(b)) < len(b) - 1)
-            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(b)), x.T @ (y - p) - pull)
-            b += np.clip(step, -5, 5)
+            total = sum(np.array(r["sums"]) for r in held.mapInArrow(sums, "sums array<double>").collect()).reshape(size, size + 1)
+            pull = 0.1 * b * (np.arange(size) < size - 1)
+            step = np.linalg.solve(total[:, :-1] + 0.1 * np.eye(size), total[:, -1] - pull)
+            b = b + np.clip(step, -5, 5)
             if np.abs(step).max() < 1e-8:
                 break
         self.coefficients = b
@@ -284,40 +306,64 @@ class Scorer:
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.coefficients is None or not texts:
             return np.zeros(len(texts))
-        x = np.array([self.strongest(t) for t in texts])
+        x = np.array([self.strongest(distinct_tokens(t)) for t in texts])
         return 1 / (1 + np.exp(-np.clip(x @ self.coefficients[:-1] + self.coefficients[-1], -500, 500)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", train: Column | None = None, labelled: int = 12_000, least_docs: int = 3,
+        label_col: str = "toxic", train: Column | None = None, least_docs: int = 3,
         most_features: int = 50_000) -> Scorer:
-    """Fit on a hash sample of about ``labelled`` labelled documents, a third of which only calibrates.
+    """Fit on all labelled documents, a third of which only calibrates.
 
     ``train`` is a condition on the id column that says which rows may teach.
     The spelling model keeps the ``most_features`` most frequent letter trigrams,
-    the scorer as many of the strongest features.
+    the scorer as many of the strongest features.  Documents meet their labels as
+    distinct tokens, which are written once to the shared folder.
     """
+    own = docs.where(F.col(id_col).isNotNull())
+    own = own.where(train) if train is not None else own
     taught = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     taught = (taught.where(train) if train is not None else taught).groupBy(
         F.col(id_col).cast("long").alias("label_id")).agg((F.max(label_col) > 0).alias("toxic"))
-    n = taught.count()
-    spelling = Spelling({})
-    if not n:
-        return Scorer(spelling, {})
-    chosen = taught.where(F.xxhash64("label_id", F.lit(13)) <= threshold(labelled / n))
-    kept = text_docs(docs, id_col=id_col, text_col=text_col)
-    sample = checkpointed(
-        kept.join(F.broadcast(chosen), kept["doc_id"] == chosen["label_id"])  # at most about ``labelled`` rows
-        .select("doc_id", "text", "toxic", (F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(3)) == 0).alias("held")))
-    learn = sample.where(~F.col("held"))
+    if taught.isEmpty():
+        return Scorer(Spelling({}), {})
+
+    def distinct(batches):
+        for b in batches:
+            tokens = [" ".join(distinct_tokens(t)) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(tokens, pa.string())], names=["doc_id", "tokens"])
+
+    kept = text_docs(own, id_col=id_col, text_col=text_col).mapInArrow(distinct, "doc_id long, tokens string")
+    folder = shared_folder(docs.sparkSession, "labelled")
+    (kept.join(taught, kept["doc_id"] == taught["label_id"])
+     .select("tokens", "toxic", (F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(3)) == 0).alias("held"))
+     .write.parquet(folder))
+    try:
+        return _fit(docs.sparkSession.read.parquet(folder), least_docs=least_docs, most_features=most_features)
+    finally:
+        delete_folder(docs.sparkSession, folder)
+
+
+def _fit(labelled: DataFrame, *, least_docs: int, most_features: int) -> Scorer:
+    """Fit on (tokens, toxic, held) rows; held ones calibrate."""
+    learn = labelled.where(~F.col("held"))
 
     def count_grams(batches):
-        grams, words = Counter(), Words(None)
+        grams, words, held = Counter(), Words(None), Counter()
+
+        def pass_on():
+            for w, n in held.items():
+                s = BOUNDARY * 2 + w + BOUNDARY
+                for i in range(len(s) - 2):
+                    grams[s[i:i + 3]] += n
+            held.clear()
+
         for b in batches:
-            for text in b.column("text").to_pylist():
-                for w in words(text):
-                    s = BOUNDARY * 2 + w + BOUNDARY
-                    grams.update(s[i:i + 3] for i in range(len(s) - 2))
+            for tokens in b.column("tokens").to_pylist():
+                held.update(words.of_tokens(tokens.split()))
+            if len(held) > MEMO:
+                pass_on()
+        pass_on()
         yield pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())],
                                          names=["gram", "n"])
 
@@ -335,8 +381,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                  pa.array([counts[1][f] for f in names], pa.int64())], names=["feature", "clean", "toxic"])
 
         for b in batches:
-            for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-                counts[bool(toxic)].update({f for w in words(text) for f in features(w)})
+            for tokens, toxic in zip(b.column("tokens").to_pylist(), b.column("toxic").to_pylist()):
+                counts[bool(toxic)].update({f for w in words.of_tokens(tokens.split()) for f in features(w)})
                 if len(counts[0]) + len(counts[1]) > MEMO:
                     yield rows()
                     counts[0].clear(), counts[1].clear()
@@ -356,13 +402,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     def summarise(batches):
         ready = scorer.start()
         for b in batches:
-            x = np.array([ready.strongest(t) for t in b.column("text").to_pylist()]).reshape(-1, SUMMARY + 1)
+            x = np.array([ready.strongest(t.split()) for t in b.column("tokens").to_pylist()]).reshape(-1, SUMMARY + 1)
             yield pa.RecordBatch.from_arrays(
                 [b.column("toxic"), pa.array(list(x), pa.list_(pa.float64()))], names=["toxic", "x"])
 
-    held = sample.where("held").mapInArrow(summarise, "toxic boolean, x array<double>").collect()
-    if held:
-        scorer.calibrate(np.array([r["x"] for r in held]), np.array([float(r["toxic"]) for r in held]))
+    scorer.calibrate(labelled.where("held").mapInArrow(summarise, "toxic boolean, x array<double>"))
     return scorer
 
 
