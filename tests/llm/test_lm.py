@@ -3,11 +3,12 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import fold
-from tillroll.llm.lm import END, Network, Symbols, _bucket_column, bucket, score_texts, tokens
+from tillroll.llm.lm import END, Network, Symbols, _bucket_column, add_rows, bucket, looked_up, score_texts, tokens, words_of
 from tillroll.llm.queries import op2_lm
 
 WORDS = [(b"the", 50), (b"of", 30), (b"to", 20), (b"and", 10)]
@@ -174,3 +175,52 @@ def test_every_training_token_is_learnt_once(spark, monkeypatch):
     held = F.coalesce(F.col("doc_id") == 1, F.lit(False))
     got = score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), held).limit(1).first()
     assert sum(learnt) == got["train_tokens"] == 90 * 5998
+
+
+def test_words_of_many_texts_at_once():
+    """A batch's words are parted, numbered and looked up as one by one, without a Python call for each."""
+    texts = ["", " \t the OF\x0b\x0cto\r\n", "the", "  ", "a\x1cb \x85 \u00a0Ünï 你好\x00 AND", "\u3000ß", "x" * 9 + " the"]
+    symbols, _ = small()
+    for kind in (pa.string(), pa.large_string()):
+        for few in ([], texts[:1], texts):
+            words, edges = words_of(pa.array(["not this", *few], kind).slice(1))
+            found = words.to_pylist()
+            assert [found[lo:hi] for lo, hi in zip(edges, edges[1:])] == [tokens(t) for t in few]
+            number, rare, buckets = symbols.numbers(words)
+            assert number.tolist() == [symbols.number(w) for w in found]
+            assert rare.tolist() == [w not in symbols.frequent for w in found]
+            assert buckets.tolist() == [bucket(w, 3) for w in found]
+    keys = pa.array([b"of", b"the", b"of"])
+    assert looked_up(pa.array([b"the", b"", b"of"]), keys, np.array([2.0, 1.0, 2.0]), 0).tolist() == [1, 0, 2]
+    assert looked_up(pa.array([b"the"]), keys.slice(0, 0), np.array([]), 7).tolist() == [7]
+
+
+def test_rows_are_added_by_place():
+    rng = np.random.default_rng(0)
+    for places, n in ((70, 500), (64, 1), (5, 40), (33, 0)):
+        at, rows = np.sort(rng.integers(0, places, n)).astype("<u2"), rng.standard_normal((n, 6))
+        total = rng.standard_normal((places, 6))
+        want = total.copy()
+        np.add.at(want, at, rows)
+        add_rows(total, at, rows)
+        assert total == pytest.approx(want)
+
+
+def test_updates_are_adams():
+    symbols, network = small()
+    _, plain = small()
+    stream = np.random.default_rng(0).integers(0, 8, 60)
+    network.train(stream, lanes=2, steps=10, rate=0.02, decay_to=1.0)
+    m, v = ({n: np.zeros_like(w) for n, w in plain.weights().items()} for _ in range(2))
+    targets, h = stream.reshape(2, 30).T, np.zeros((2, 5))
+    inputs = np.vstack([np.full((1, 2), END), targets[:-1]])
+    for i, lo in enumerate((0, 10, 20), start=1):
+        _, grads, h = plain.gradients(h, inputs[lo:lo + 10], targets[lo:lo + 10])
+        norm = math.sqrt(sum((g * g).sum() for g in grads.values())) / 20
+        for n, w in plain.weights().items():
+            g = grads[n] / 20 * min(1.0, 1.0 / norm)
+            m[n] = 0.9 * m[n] + 0.1 * g
+            v[n] = 0.995 * v[n] + 0.005 * g * g
+            w -= 0.02 * (m[n] / (1 - 0.9 ** i)) / (np.sqrt(v[n] / (1 - 0.995 ** i)) + 1e-7)
+    for n, w in plain.weights().items():
+        assert getattr(network, n) == pytest.approx(w, rel=1e-6, abs=1e-9)

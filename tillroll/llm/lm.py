@@ -25,19 +25,19 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter, defaultdict
 from copy import copy
-from itertools import chain, count
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import checkpointed, text_docs
 
-FLUSH = 200_000  # words a counting task holds before it passes them on
+FLUSH = 24_000_000  # bytes of words a counting task holds before it counts them and passes them on
+BLOCK = 16_384  # weights an update takes at a time, so that they stay in a core's cache
 END = 0
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
@@ -48,15 +48,47 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The ``tokens`` of all texts, one text after the other, and where those of each text begin (and the last end)."""
+    parted = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    found = parted.values.cast(pa.binary())
+    real = pc.greater(pc.binary_length(found), 0)  # white space at a text's edges leaves empty words
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return found.filter(real), before[parted.offsets.to_numpy()]
+
+
 def bucket(word: bytes, buckets: int) -> int:
     return crc32(word[-3:]) % buckets
 
 
+def bucket_array(words: pa.Array, buckets: int) -> np.ndarray:
+    """``bucket`` of many words."""
+    ends = pc.binary_slice(words, -3).dictionary_encode()
+    return np.array([bucket(e, buckets) for e in ends.dictionary.to_pylist()], dtype=np.int64)[ends.indices.to_numpy()]
+
+
+def looked_up(words: pa.Array, keys: pa.Array, values: np.ndarray, default: float) -> np.ndarray:
+    """The value of each word's key; the default for words without one."""
+    at = pc.index_in(words, value_set=keys).fill_null(len(keys)).to_numpy()
+    return np.append(values, default)[at]
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return 1.0 / (1.0 + np.exp(-x))
 
 
+def add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray, span: int = 32) -> None:
+    """Adds each row to the total's row ``at``, which doesn't fall; ``span`` rows of the total take theirs at once."""
+    edges = np.searchsorted(at, np.arange(0, len(total) + span, span)).tolist()
+    which = np.zeros((len(at), span), dtype=rows.dtype)
+    which[np.arange(len(at)), at % span] = 1
+    for first, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        if lo < hi:
+            to = total[first * span:(first + 1) * span]
+            to += (which[lo:hi].T @ rows[lo:hi])[:len(to)]
+
+
 class Symbols:
     """Numbers of the network's symbols: the end, frequent words, buckets; by falling frequency."""
 
@@ -80,6 +112,13 @@ class Symbols:
         got = self.frequent.get(word)
         return int(self.bucket[bucket(word, len(self.bucket))]) if got is None else got
 
+    def numbers(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``number`` of many words, whether each is one of a bucket's, and its bucket."""
+        own = np.array(list(self.frequent.values()), dtype=np.int64)
+        at = looked_up(words, pa.array(list(self.frequent), pa.binary()), own, -1).astype(np.int64)
+        buckets = bucket_array(words, len(self.bucket))
+        return np.where(at < 0, self.bucket[buckets], at).astype(self.kind()), at < 0, buckets
+
     def kind(self) -> str:
         """The type of a stored symbol."""
         return "<u2" if self.mass.size <= 1 << 16 else "<u4"
@@ -118,39 +157,54 @@ class Network:
         n = 2.0 * sigmoid(2.0 * (x[:, 2 * k:] + r * g[:, 2 * k:])) - 1.0
         return n + z * (h - n), (h, z, r, n, g[:, 2 * k:])
 
-    def advancing(self):
-        """``step`` for scoring alone: a function (states, inputs) -> next states, from weights split by gate.
+    def apart(self) -> tuple[np.ndarray, np.ndarray]:
+        """What ``unrolled`` reads of the weights: those of the gates (update, reset) and of the inner sum, each by itself.
 
-        The logistic function is taken as tanh of half its argument, so the
-        halves are in the weights."""
-        k, half = self.hidden, np.float32(0.5)
-        gates, inner = half * self.Wx[:, :2 * k], np.ascontiguousarray(self.Wx[:, 2 * k:])
-        to_gates, to_inner = half * self.U[:, :2 * k], np.ascontiguousarray(self.U[:, 2 * k:])
+        The logistic function is tanh of half its argument, so the halves are in the weights."""
+        k = self.hidden
+        by = np.array([[[0.5]], [[0.5]], [[1.0]]], dtype=self.U.dtype)
+        return self.U.reshape(k, 3, k).swapaxes(0, 1) * by, self.Wx.reshape(-1, 3, k).swapaxes(0, 1) * by
+
+    def unrolled(self, h: np.ndarray, inputs: np.ndarray, apart: tuple, keep: bool = False):
+        """The states after each input of a window, (steps, lanes); where an end is read, the state before it is zero.
 
-        def advance(h: np.ndarray, inputs: np.ndarray) -> np.ndarray:
-            zr = gates.take(inputs, axis=0)
-            zr += h @ to_gates
+        With ``keep``, also what backpropagation needs: the steps with ends, the states before,
+        (update, reset, inner) and the states' share of the inner sum."""
+        (to, own), k, (steps, lanes) = apart, self.hidden, inputs.shape
+        ends = inputs == END
+        ending = ends.any(axis=1).tolist()
+        x = np.empty((3, steps, lanes, k), dtype=own.dtype)
+        for j in range(3):
+            own[j].take(inputs, axis=0, out=x[j], mode="clip")
+        states, g, through = np.empty_like(x[0]), np.empty_like(x[:, 0]), np.empty_like(x[0, 0])
+        before, gn = (np.empty_like(states), np.empty_like(states)) if keep else (None, None)
+        for t in range(steps):
+            if ending[t]:
+                h = h.copy()
+                h[ends[t]] = 0
+            np.matmul(h, to, out=g)
+            zr, n = x[:2, t], x[2, t]
+            zr += g[:2]
             np.tanh(zr, out=zr)
-            zr *= half
-            zr += half
-            n = h @ to_inner
-            n *= zr[:, k:]
-            n += inner.take(inputs, axis=0)
+            zr *= 0.5
+            zr += 0.5
+            n += np.multiply(g[2], zr[1], out=through)
             np.tanh(n, out=n)
-            out = h - n
-            out *= zr[:, :k]
-            out += n
-            return out
-
-        return advance
+            if keep:
+                before[t], gn[t] = h, g[2]
+            h = np.subtract(h, n, out=states[t])
+            h *= zr[0]
+            h += n
+        return (states, ends, ending, before, x, gn) if keep else states
 
     def softmax(self) -> tuple:
         """What ``output`` reads of the weights: whether exponentials are safe, and the softmaxes' matrices with their biases.
 
-        The biases are the weights of one more state, always 1."""
+        The biases are the weights of one more state, always 1; three more, always 0, keep the matrices aligned."""
         # States lie in (-1, 1), so logits this small can't overflow an exponential.
         tame = max(np.abs(w).sum(axis=-2).max() + np.abs(b).max() for w, b in ((self.Wc, self.bc), (self.Wo, self.bo))) < 80
-        return tame, np.vstack([self.Wc, self.bc]), np.concatenate([self.Wo, self.bo[:, None]], axis=1)
+        return tame, np.vstack([self.Wc, self.bc, np.zeros((3, *self.bc.shape), self.Wc.dtype)]), np.concatenate(
+            [self.Wo, self.bo[:, None], np.zeros((len(self.Wo), 3, self.size), self.Wo.dtype)], axis=1)
 
     def output(self, h: np.ndarray, targets: np.ndarray, grads: dict | None = None, ready: tuple | None = None):
         """Log probability of each target; with ``grads``, adds the gradients and returns that of h too.
@@ -166,9 +220,9 @@ class Network:
             e = np.exp(a)
             return a, e, e @ ones[:e.shape[1]]
 
-        def learn(part, e, total, rows, places, back_w):
+        def learn(part, e, total, places, back_w):
             """Gradients of the weights with their bias, and of the states."""
-            e[rows, places] -= total
+            e.reshape(-1)[places] -= total
             e *= (1 / total)[:, None]
             return part.T @ e, e @ back_w
 
@@ -176,26 +230,28 @@ class Network:
         order = np.argsort(targets // self.size, kind="stable")
         to = targets[order]
         cls, place = to // self.size, to % self.size
-        part = np.empty((len(h), k + 1), dtype=h.dtype)
+        part = np.zeros((len(h), k + 4), dtype=h.dtype)
         part[:, :k], part[:, k] = h.take(order, axis=0), 1
         rows = np.arange(len(h))
         a, e, total = exponentials(part, to_class)
-        logp = a[rows, cls] - np.log(total)
+        places = rows * len(self.bc) + cls
+        logp = a.reshape(-1).take(places) - np.log(total)
         back = None
         if grads is not None:
-            got, back = learn(part, e, total, rows, cls, self.Wc.T)
+            got, back = learn(part, e, total, places, self.Wc.T)
             grads["Wc"] += got[:k]
             grads["bc"] += got[k]
             back_place = np.ascontiguousarray(self.Wo.swapaxes(1, 2))
         edges = np.searchsorted(cls, np.arange(len(self.bc) + 1)).tolist()
+        starts = rows * self.size
         for c, (lo, hi) in enumerate(zip(edges, edges[1:])):
             if lo == hi:
                 continue
-            own, places = rows[:hi - lo], place[lo:hi]
             a, e, total = exponentials(part[lo:hi], to_place[c])
-            logp[lo:hi] += a[own, places] - np.log(total)
+            places = starts[:hi - lo] + place[lo:hi]
+            logp[lo:hi] += a.reshape(-1).take(places) - np.log(total)
             if grads is not None:
-                got, more = learn(part[lo:hi], e, total, own, places, back_place[c])
+                got, more = learn(part[lo:hi], e, total, places, back_place[c])
                 grads["Wo"][c] += got[:k]
                 grads["bo"][c] += got[k]
                 back[lo:hi] += more
@@ -215,63 +271,44 @@ class Network:
         k, (steps, lanes) = self.hidden, inputs.shape
         if grads is None:
             grads = {n: np.zeros_like(w) for n, w in self.weights().items()}
-        ends = inputs == END
-        ending = ends.any(axis=1).tolist()
-        # The gates (update, reset) and the inner sum lie apart; the logistic function is tanh of half its argument.
-        apart = np.array([[[0.5]], [[0.5]], [[1.0]]], dtype=self.U.dtype)
-        to = np.ascontiguousarray(self.U.reshape(k, 3, k).swapaxes(0, 1)) * apart
-        own = np.ascontiguousarray(self.Wx.reshape(-1, 3, k).swapaxes(0, 1)) * apart
-        x = np.empty((steps, 3, lanes, k), dtype=own.dtype)
-        for j in range(3):
-            x[:, j] = own[j].take(inputs, axis=0)
-        before, states, gn = (np.empty((steps, lanes, k), dtype=x.dtype) for _ in range(3))
-        for t in range(steps):
-            if ending[t]:
-                h = h.copy()
-                h[ends[t]] = 0
-            before[t] = h
-            g = np.matmul(h, to)
-            zr, n = x[t, :2], x[t, 2]
-            zr += g[:2]
-            np.tanh(zr, out=zr)
-            zr *= 0.5
-            zr += 0.5
-            gn[t] = g[2]
-            g[2] *= zr[1]
-            n += g[2]
-            np.tanh(n, out=n)
-            h = np.subtract(h, n, out=states[t])
-            h *= zr[0]
-            h += n
+        states, ends, ending, before, x, gn = self.unrolled(h, inputs, self.apart(), keep=True)
         logp, back = self.output(states.reshape(-1, k), targets.ravel(), grads)
         back = back.reshape(steps, lanes, k)
-        z, r, n = x[:, 0], x[:, 1], x[:, 2]
-        # What a state's gradient is multiplied by to give those of the gates, and of the inner sum.
-        inner = (1 - z) * (1 - n * n)
-        by = np.empty_like(x)
-        by[:, 0] = (before - n) * z * (1 - z)
-        by[:, 2] = inner * r
-        by[:, 1] = by[:, 2] * gn * (1 - r)
-        dg, carried = np.empty_like(by), np.zeros_like(h)
-        back_to = np.ascontiguousarray(self.U.reshape(k, 3, k).transpose(1, 2, 0))
+        z, r, n = x
+        # What a state's gradient is multiplied by to give those of the inner sum's share, of the gates, and of the inner sum.
+        by = np.empty((4, *z.shape), dtype=x.dtype)
+        share, to_z, to_r, inner = by
+        np.multiply(n, n, out=to_z)
+        np.subtract(1, to_z, out=to_z)
+        rest = 1 - z
+        np.multiply(rest, to_z, out=inner)
+        np.multiply(inner, r, out=share)
+        np.subtract(1, r, out=to_r)
+        to_r *= share
+        to_r *= gn
+        np.subtract(before, n, out=to_z)
+        to_z *= z
+        to_z *= rest
+        dg, carried = np.empty_like(by), np.zeros_like(states[0])
+        through = np.empty((3, lanes, k), dtype=x.dtype)
+        back_to = np.ascontiguousarray(self.U.reshape(k, 3, k)[:, [2, 0, 1]].transpose(1, 2, 0))
         for t in range(steps - 1, -1, -1):
             d = back[t]
             d += carried
-            np.multiply(d, by[t], out=dg[t])
-            through = np.matmul(dg[t], back_to)
-            carried = d * z[t]
+            np.multiply(d, by[:, t], out=dg[:, t])
+            np.matmul(dg[:3, t], back_to, out=through)
+            np.multiply(d, z[t], out=carried)
             for j in range(3):
                 carried += through[j]
             if ending[t]:
                 carried[ends[t]] = 0
-        flat, before = inputs.ravel(), before.reshape(-1, k).T
-        order = np.argsort(flat, kind="stable")
-        starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        sorted_by = np.empty((len(flat), 3, k), dtype=x.dtype)
+        before, dg = before.reshape(-1, k).T, dg.reshape(4, -1, k)
         for j in range(3):
-            grads["U"][:, j * k:(j + 1) * k] += before @ dg[:, j].reshape(-1, k)
-            sorted_by[:, j] = (dg[:, j] if j < 2 else back * inner).reshape(-1, k).take(order, axis=0)
-        grads["Wx"][flat[order[starts]]] += np.add.reduceat(sorted_by.reshape(-1, 3 * k), starts, axis=0)
+            grads["U"][:, j * k:(j + 1) * k] += before @ dg[(j + 1) % 3]
+        flat = inputs.ravel()
+        order = np.argsort(flat, kind="stable")
+        places = order[:, None] + np.arange(1, 4) * len(flat)  # a symbol's gradients of the gates and of the inner sum
+        add_rows(grads["Wx"], flat[order], dg.reshape(-1, k).take(places, axis=0).reshape(-1, 3 * k))
         return -float(logp.sum(dtype=np.float64)), grads, states[-1]
 
     def train(self, stream: np.ndarray, *, lanes: int, steps: int, rate: float, decay_to: float = 0.2,
@@ -290,7 +327,7 @@ class Network:
         names, sizes = self.NAMES, [getattr(self, n).size for n in self.NAMES]
         edges = np.cumsum([0, *sizes])
         w = np.concatenate([getattr(self, n).ravel() for n in names])
-        g, m, v, a, b = (np.zeros_like(w) for _ in range(5))
+        g, m, v, a = (np.zeros_like(w) for _ in range(4))
         grads = {}
         for n, lo, hi in zip(names, edges, edges[1:]):
             shape = getattr(self, n).shape
@@ -298,6 +335,7 @@ class Network:
             grads[n] = g[lo:hi].reshape(shape)
         h, loss, seen = np.zeros((lanes, self.hidden), dtype=w.dtype), 0.0, 0
         windows = range(0, length, steps)
+        blocks = [tuple(x[lo:lo + BLOCK] for x in (w, g, m, v, a)) for lo in range(0, len(w), BLOCK)]
         for i, lo in enumerate(windows):
             part = targets[lo:lo + steps]
             g.fill(0)
@@ -305,20 +343,22 @@ class Network:
             loss, seen = loss + cost, seen + part.size
             now = rate * (decay_to + (1 - decay_to) * (1 - begin - (end - begin) * i / len(windows)))
             norm = math.sqrt(float(g @ g)) / part.size
-            g *= min(1.0, 1.0 / max(norm, 1e-12)) / part.size
-            np.subtract(g, m, out=a)
-            a *= 0.1
-            m += a
-            g *= g
-            g -= v
-            g *= 0.005
-            v += g
-            np.multiply(v, 1 / (1 - 0.995 ** (i + 1)), out=b)
-            np.sqrt(b, out=b)
-            b += 1e-7
-            np.divide(m, b, out=a)
-            a *= now / (1 - 0.9 ** (i + 1))
-            w -= a
+            clip = min(1.0, 1.0 / max(norm, 1e-12)) / part.size
+            # Adam; the means lack their factors 0.1 and 0.005, which are in the last steps.
+            unit = math.sqrt(0.005 / (1 - 0.995 ** (i + 1)))
+            step = now * 0.1 / (1 - 0.9 ** (i + 1)) / unit
+            for bw, bg, bm, bv, ba in blocks:
+                bg *= clip
+                bm *= 0.9
+                bm += bg
+                bg *= bg
+                bv *= 0.995
+                bv += bg
+                np.sqrt(bv, out=ba)
+                ba += 1e-7 / unit
+                np.divide(bm, ba, out=ba)
+                ba *= step
+                bw -= ba
         return loss / max(seen, 1)
 
     def score(self, documents: list[np.ndarray], *, lanes: int = 128, steps: int = 32) -> list[np.ndarray]:
@@ -346,23 +386,18 @@ class Network:
         before[offsets] = END
         logp = np.empty(len(flat), dtype=np.float32)
         h = np.zeros((len(mine), self.hidden), dtype=self.U.dtype)
-        advance, ready = self.advancing(), self.softmax()
+        apart, ready = self.apart(), self.softmax()
         for lo in range(0, int(sizes[0]), steps):
-            states, places = [], []
-            for t in range(lo, min(lo + steps, int(sizes[0]))):
-                live = int(np.searchsorted(-sizes, -t))  # streams longer than t come first
-                at = offsets[:live] + t
-                x = before[at]
-                h = h[:live]
-                ends = x == END
-                if ends.any():
-                    h = h.copy()  # the states before are still to be read
-                    h[ends] = 0
-                h = advance(h, x)
-                states.append(h)
-                places.append(at)
-            at = np.concatenate(places)
-            logp[at] = self.output(np.concatenate(states), flat[at], ready=ready)
+            live = int(np.searchsorted(-sizes, -lo))  # streams longer than lo come first
+            t = np.arange(lo, min(lo + steps, int(sizes[0])))[:, None]
+            at = np.minimum(offsets[:live] + t, len(flat) - 1)
+            states = self.unrolled(h[:live], before[at], apart)
+            h = states[-1]
+            real = (t < sizes[:live]).ravel()  # streams end within the window
+            at, states = at.ravel(), states.reshape(-1, self.hidden)
+            if not real.all():
+                at, states = at[real], states[real]
+            logp[at] = self.output(states, flat[at], ready=ready)
         out: list = [None] * len(documents)
         at = 0
         for d in order:
@@ -374,19 +409,19 @@ class Network:
 def word_counts(train: DataFrame) -> DataFrame:
     """(word, c) of all words of the training texts; the null word is the end."""
     def run(batches):
-        held, ends = Counter(), 0
+        held, size, ends = [], 0, 0
 
         def rows():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(held.keys()), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "c"])
+            found = pa.chunked_array(held, pa.binary()).value_counts()
+            return pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "c"])
 
         for b in batches:
-            for text in b.column("text").to_pylist():
-                held.update(tokens(text))
-                ends += 1
-                if len(held) > FLUSH:
-                    yield rows()
-                    held.clear()
+            words, _ = words_of(b.column("text"))
+            held.append(words)
+            size, ends = size + words.nbytes, ends + b.num_rows
+            if size > FLUSH:
+                yield rows()
+                held, size = [], 0
         yield rows()
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([ends], pa.int64())], names=["word", "c"])
 
@@ -408,29 +443,17 @@ def _bucket_column(word: Column, buckets: int) -> Column:
     return F.crc32(F.substring(word, -3, 3)) % buckets
 
 
-class Numbers(dict):
-    """Symbols of words, remembering those of the last words outside the frequent ones."""
-
-    def __init__(self, symbols: Symbols):
-        super().__init__(symbols.frequent)
-        self.symbols = symbols
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > FLUSH:
-            self.clear()
-            self.update(self.symbols.frequent)
-        got = self[word] = self.symbols.number(word)
-        return got
-
-
 def _encoded(train: DataFrame, symbols: Symbols, shards: int) -> DataFrame:
     """(shard, data): the symbols of all training rows, a row a shard; copies of a row are dealt one by one."""
     kind, shared = symbols.kind(), train.sparkSession.sparkContext.broadcast(symbols)
 
     def run(batches):
-        number = Numbers(shared.value).__getitem__
+        end = np.array([END], dtype=kind).tobytes()
         for b in batches:
-            data = [np.fromiter(chain(map(number, tokens(t)), (END,)), dtype=kind).tobytes() for t in b.column("text").to_pylist()]
+            words, edges = words_of(b.column("text"))
+            coded = words.dictionary_encode()
+            stream = shared.value.numbers(coded.dictionary)[0][coded.indices.to_numpy()]
+            data = [stream[lo:hi].tobytes() + end for lo, hi in zip(edges, edges[1:])]
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(data, pa.binary())], names=["key", "data"])
 
     def joined(key, rows):
@@ -545,7 +568,8 @@ def score_texts(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", te
                          rounds=rounds, lanes=lanes, steps=steps, rate=rate)
     # Words that nearly every chunk holds are told to all tasks, not joined chunk by chunk.
     common = _commonest(words, common_words) | dict(top)
-    shared = docs.sparkSession.sparkContext.broadcast((symbols, network, common))
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (symbols, network, pa.array(list(common), pa.binary()), np.array(list(common.values()), dtype=np.float64)))
 
     size = kept.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     chunks = max(1, math.ceil(size / chunk_bytes))
@@ -553,16 +577,14 @@ def score_texts(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", te
 
     def rare(batches):
         for b in batches:
-            found = {}
-            for chunk, text in zip(b.column("chunk").to_pylist(), b.column("text").to_pylist()):
-                found.setdefault(chunk, set()).update(tokens(text))
-            words, sizes = [], []
-            for held in found.values():
-                ws = held.difference(shared.value[2])
-                words.extend(ws)
-                sizes.append(len(ws))
-            chunk = np.repeat(np.array(list(found), dtype=np.int64), np.array(sizes, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(chunk), pa.array(words, pa.binary())], names=["chunk", "word"])
+            words, edges = words_of(b.column("text"))
+            coded = words.dictionary_encode()
+            held, code = coded.dictionary, coded.indices.to_numpy()
+            rare = pc.invert(pc.is_in(held, value_set=shared.value[2])).to_numpy(zero_copy_only=False)[code]
+            chunk = np.repeat(b.column("chunk").to_numpy(), np.diff(edges))[rare]
+            each = np.unique(chunk * len(held) + code[rare])
+            chunk, code = np.divmod(each, max(1, len(held)))
+            yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.int64()), held.take(pa.array(code, pa.int64()))], names=["chunk", "word"])
 
     # Chunks of several times their size hold many copies of a row: at most one for each ``3 * chunk_bytes`` of text.
     large = (dealt.groupBy("chunk").agg(F.sum(F.octet_length("text") + 16).alias("n")).where(F.col("n") > 3 * chunk_bytes)
@@ -579,23 +601,24 @@ def score_texts(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", te
     counted_end = ends
 
     def score(key, rows, found):
-        symbols, network, common = shared.value
-        table = dict(zip(found.column("word").to_pylist(), found.column("c").to_pylist()))
-        place = defaultdict(count().__next__)
-        texts = [np.fromiter(map(place.__getitem__, tokens(t)), dtype=np.int64) for t in rows.column("text").to_pylist()]
-        size = len(place) + 1  # the last place is the end's
+        symbols, network, common, common_counts = shared.value
+        words, edges = words_of(rows.column("text").combine_chunks())
+        coded = words.dictionary_encode()
+        held, lengths = coded.dictionary, np.diff(edges) + 1
+        size = len(held) + 1  # the last place is the end's
+        at = np.full(int(lengths.sum()), size - 1, dtype=np.int64)
+        at[np.arange(len(words)) + np.repeat(np.arange(len(lengths)), lengths - 1)] = coded.indices.to_numpy()
         number, c, extra = np.full(size, END, dtype=symbols.kind()), np.full(size, float(counted_end)), np.zeros(size)
-        c[:-1] = [common.get(w) or table.get(w, 0) for w in place]
-        at = np.array([symbols.frequent.get(w, -1) for w in place], dtype=np.int64)
-        b = np.array([crc32(w[-3:]) for w in place], dtype=np.int64) % len(symbols.bucket)
-        number[:-1] = np.where(at < 0, symbols.bucket[b], at)
-        extra[:-1] = np.where(at < 0, np.log10((c[:-1] + 1) / symbols.bucket_mass[b]), 0.0)
+        c[:-1] = looked_up(held, common, common_counts, 0) + looked_up(
+            held, found.column("word").combine_chunks(), found.column("c").to_numpy().astype(np.float64), 0)
+        number[:-1], rare, b = symbols.numbers(held)
+        extra[:-1] = np.where(rare, np.log10((c[:-1] + 1) / symbols.bucket_mass[b]), 0.0)
         base = np.log10(c + 1) - log_total
-        whole = [np.append(t, size - 1) for t in texts]
+        whole = np.split(at, np.cumsum(lengths)[:-1]) if len(lengths) else []
         logp = network.score([number[t] for t in whole])
         return pa.table({
             "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"),
-            "n_tokens": pa.array([len(t) for t in whole], pa.int64()),
+            "n_tokens": pa.array(lengths, pa.int64()),
             "n_known": pa.array([int((c[t] > 0).sum()) for t in whole], pa.int64()),
             "train_tokens": pa.array([n] * len(whole), pa.int64()),
             "base_score": pa.array([float(base[t].sum()) for t in whole], pa.float64()),
